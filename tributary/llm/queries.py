@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import shards, urls
-from tributary.workspace import new_path
+import public_tokenizers
+from tributary.llm import decontaminate, language, packing, quality, shards, token_files, urls
+from tributary.workspace import new_path, stored
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
 
@@ -26,7 +27,46 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.col("block_score"))
 
 
-QUERIES = {"op1_shards": op1_shards, "op3_url_filter": op3_url_filter}
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured = stored(quality.measure(table(spark, sf_dir, "documents")), "measured")
+    forest = quality.train(measured, table(spark, sf_dir, "labels"))
+    return quality.judge(measured, forest).select("doc_id", *quality.COUNTS, "base_failed", "kept", "anomaly")
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_path(spark, "token-files")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    manifest = token_files.write_token_files(table(spark, sf_dir, "documents"), folder, path, end_id=2, width=2)
+    return token_files.read_token_files(manifest, folder)
+
+
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = language.held_out_third("doc_id")
+    model = language.train(docs.where(~held_out))
+    found = language.identify(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), path, end_id=1)
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+QUERIES = {
+    "op1_shards": op1_shards,
+    "op3_url_filter": op3_url_filter,
+    "op5_quality": op5_quality,
+    "op6_token_files": op6_token_files,
+    "op7_decontaminate": op7_decontaminate,
+    "op8_language_id": op8_language_id,
+    "op9_packing": op9_packing,
+}
 
 #: SQL for the queries that it can express.
 ORACLE_SQL: dict[str, str] = {}
