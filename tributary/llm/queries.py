@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tributary.llm import decontaminate, language, packing, quality, shards, token_files, urls
+from tributary.llm import decontaminate, language, lm, oracles, packing, quality, shards, substrings, token_files, urls
 from tributary.workspace import new_path, stored
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -27,6 +27,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", F.col("block_score"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents"), window=50)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = stored(quality.measure(table(spark, sf_dir, "documents")), "measured")
     forest = quality.train(measured, table(spark, sf_dir, "labels"))
@@ -58,15 +63,21 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), held_out=lm.held_out_tenth("doc_id"))
+
+
 QUERIES = {
     "op1_shards": op1_shards,
     "op3_url_filter": op3_url_filter,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_quality": op5_quality,
     "op6_token_files": op6_token_files,
     "op7_decontaminate": op7_decontaminate,
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
+    "op10_lm_score": op10_lm_score,
 }
 
 #: SQL for the queries that it can express.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": oracles.OP4, "op7_decontaminate": oracles.OP7}
