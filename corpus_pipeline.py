@@ -1,12 +1,69 @@
-"""Cleans documents for training in five stages."""
+"""Cleans documents for training in five stages.
+
+Each stage takes (spark, docs, sf_dir), docs being what the stage before it kept, and all but the last return the columns
+of documents. Between stages the documents are written as Parquet to the shared folder and read again.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tributary.llm import decontaminate, language, ngram_join, packing, substrings
+from tributary.workspace import stored
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null texts, no letters) go; a null lang is filled in."""
+    found = language.identify(docs, language.train(docs), keep=["text", "lang", "source", "n_chars"])
+    known = found.where(F.col("lang_pred") != language.UNKNOWN)
+    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
+
+
+def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents that five-word shingles link at 0.8 or more, the one with the smallest id stays."""
+    return ngram_join.one_of_each(docs).select(COLUMNS)
+
+
+def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that a document with a smaller id has go; a document with nothing else goes too.
+
+    A text that loses words is what is left of it, joined by single spaces, and n_chars is set anew; others stay as are.
+    """
+    found = substrings.remove_repeats(docs, window=50, keep=["text", "lang", "source", "n_chars"])
+    cut = F.col("n_removed") > 0
+    text = F.when(cut, F.col("kept_text")).otherwise(F.col("text"))
+    chars = F.when(cut, F.length("kept_text").cast("long")).otherwise(F.col("n_chars"))
+    return found.where(~cut | (F.col("n_removed") < F.col("n_words"))).withColumns({"text": text, "n_chars": chars}).select(COLUMNS)
+
+
+def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item go."""
+    return decontaminate.leak_free(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).select(COLUMNS)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of 2048 tokens at most, one row for each piece, with its ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1).drop("loss")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("ngram_join", join_near_copies),
+    ("substring_dedup", remove_repeats),
+    ("decontamination", remove_benchmark),
+    ("packing", pack),
+]
 
-STAGES: list = []
+#: Classifiers and tokenizers have no SQL; the stages are tested against brute force instead.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -139,21 +139,25 @@ def _featured(batches):
             yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "row"])
 
 
-def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text", close: float = 0.1) -> DataFrame:
-    """One row per document: id, ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` (a second language within ``close``).
+def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text", close: float = 0.1, keep: list[str] | None = None) -> DataFrame:
+    """One row per document: its id, the columns ``keep``, ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` (a second language within ``close``).
 
     ``und`` with score 0 if the text is null, has no letter, or nothing was learned. Whole texts are read; only the text
     is an input of the prediction. Ties go to the language first in order. Repeated rows are answered each; an empty
-    table gives no rows; other columns are not read.
+    table gives no rows; other columns are not read, and ``keep`` may not name the new ones.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    kind = docs.schema[id_col].dataType.simpleString()
+    carried = docs.select(F.col(id_col), *(keep or []))
+    names = [*carried.columns, "lang_pred", "score", "ambiguous"]
+    if len(set(names)) < len(names):
+        raise ValueError("keep names a column twice")
+    schema = carried.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False)}).schema
 
     def predict(batches):
         for batch in batches:
-            for part in sliced(batch):
-                words = Words(part.column("text"))
+            for part in sliced(batch, "_text"):
+                words = Words(part.column("_text"))
                 langs = np.full(words.docs, UNKNOWN, object)
                 score, unsure = np.zeros(words.docs), np.zeros(words.docs, bool)
                 known = np.flatnonzero(has_letter(words))
@@ -167,9 +171,9 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
                     if losses.shape[1] > 1:
                         two = np.sort(odds, axis=1)
                         unsure[known] = two[:, -1] - two[:, -2] < close
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(langs, pa.string()), pa.array(score), pa.array(unsure)], names=[id_col, "lang_pred", "score", "ambiguous"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(langs, pa.string()), pa.array(score), pa.array(unsure)], names=names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(predict, f"`{id_col}` {kind}, lang_pred string, score double, ambiguous boolean")
+    return docs.select(F.col(id_col), *(keep or []), F.col(text_col).alias("_text")).mapInArrow(predict, schema)
 
 
 def held_out_third(doc_id) -> F.Column:

@@ -97,7 +97,7 @@ class Automaton:
         return np.where(pair > 0, self.arc(pair, history, count), self.failure_arc(history) + self.null_arc(count))
 
 
-def score(docs: DataFrame, *, held_out: F.Column | None = None, prior: float = 8.0, block_bytes: int = 8 << 20) -> DataFrame:
+def score(docs: DataFrame, *, held_out: F.Column | None = None, prior: float = 256.0, block_bytes: int = 8 << 20) -> DataFrame:
     """SCORES: one row per document of ``docs`` (doc_id, text), learning from those that are not ``held_out``.
 
     A null text is empty: its only token is the end. Null ids are carried as null and learned from; repeated rows are

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tributary.llm import decontaminate, language, lm, oracles, packing, quality, shards, substrings, token_files, urls
+from tributary.llm import decontaminate, language, lm, ngram_join, oracles, packing, quality, shards, substrings, token_files, urls
 from tributary.workspace import new_path, stored
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -21,6 +21,10 @@ def op1_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.shard_digest(shards.write_shards(sharded, new_path(spark, "shards")))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_similar(table(spark, sf_dir, "documents"), k=5, percent=80)
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = urls.train(urls.labelled_table(spark))
     judged = urls.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES, model)
@@ -69,6 +73,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_shards": op1_shards,
+    "op2_ngram_join": op2_ngram_join,
     "op3_url_filter": op3_url_filter,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_quality": op5_quality,
@@ -80,4 +85,4 @@ QUERIES = {
 }
 
 #: SQL for the queries that it can express.
-ORACLE_SQL: dict[str, str] = {"op4_substring_dedup": oracles.OP4, "op7_decontaminate": oracles.OP7}
+ORACLE_SQL: dict[str, str] = {"op2_ngram_join": oracles.OP2, "op4_substring_dedup": oracles.OP4, "op7_decontaminate": oracles.OP7}

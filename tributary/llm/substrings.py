@@ -102,14 +102,19 @@ def kept_texts(rows: pa.Table, removed: np.ndarray) -> pa.Array:
     return pa.chunked_array(out, pa.string())
 
 
-def remove_repeats(docs: DataFrame, *, window: int = 50, block_bytes: int = 8 << 20) -> DataFrame:
-    """KEPT: one row per document of ``docs`` (doc_id, text): its words, those removed, and the rest joined by a space.
+def remove_repeats(docs: DataFrame, *, window: int = 50, block_bytes: int = 8 << 20, keep: list[str] | None = None) -> DataFrame:
+    """KEPT and the columns ``keep``: one row per document of ``docs`` (doc_id, text): its words, those removed, and the rest joined by a space.
 
     A word goes if a window of ``window`` consecutive words over it also starts in a document with a smaller id; windows
     are judged on the input. Null texts have no words. A null id is larger than all others and equal to itself, as are
-    repeated ids, which do not remove each other. Empty tables give no rows; other columns are not read.
+    repeated ids, which do not remove each other. Empty tables give no rows; other columns are not read, and ``keep`` may not name those of
+    KEPT or ``block``.
     """
-    blocked, parts = into_blocks(docs, block_bytes=block_bytes)
+    kept = [c for c in keep or [] if c != "text"]
+    blocked, parts = into_blocks(docs, *kept, block_bytes=block_bytes)
+    out = blocked.select("doc_id", *(keep or [])).schema
+    for name, kind in (("n_words", "long"), ("n_removed", "long"), ("kept_text", "string")):
+        out = out.add(name, kind)
 
     def probe(rows: pa.Table) -> pa.Table:
         _, distinct, _, index, times = Block(rows, window, parts).probes()
@@ -129,7 +134,7 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, block_bytes: int = 8 <<
 
     def remove(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
-            return pa.table({"doc_id": pa.array([], pa.int64()), "n_words": [], "n_removed": [], "kept_text": []})
+            return pa.table({name: [] for name in out.names})
         block = Block(rows, window, parts)
         starts, distinct, places, least = block.extended(*anchors_of(block, answers))
         elsewhere = read_answer(answers, 1, part_of(distinct, parts), "bool")
@@ -141,7 +146,7 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, block_bytes: int = 8 <<
         total = np.concatenate([[0], np.cumsum(removed)])
         return pa.table(
             {
-                "doc_id": rows.column("doc_id"),
+                **{name: rows.column(name) for name in out.names[:-3]},
                 "n_words": pa.array(block.counts),
                 "n_removed": pa.array(total[block.first[1:]] - total[block.first[:-1]]),
                 "kept_text": kept_texts(rows, removed),
@@ -152,4 +157,4 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, block_bytes: int = 8 <<
     anchors = stored(anchors, "anchors")
     windows = blocked.groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(extend, SENT)
     smaller = answered(windows, 1, "<u8", "<i8", _smaller_elsewhere)
-    return blocked.groupBy("block").cogroup(anchors.unionByName(smaller).groupBy("block")).applyInArrow(remove, KEPT)
+    return blocked.groupBy("block").cogroup(anchors.unionByName(smaller).groupBy("block")).applyInArrow(remove, out)
