@@ -15,9 +15,12 @@ import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MOST_PIECES = 400_000
-_LINES = re.compile(r"(?<=[^\s\x1c-\x1f\x85])\n(?=[^\s\x1c-\x1f\x85])")
-_SPACES = re.compile(r"(?<=[^\s\x1c-\x1f\x85]) (?=[^\s\x1c-\x1f\x85])")
+MOST_PIECES = 1_000_000
+_BLANK = r"[\s\x1c-\x1f\x85]"
+_WIDE_GAP = re.compile(rf"{_BLANK}{{2}}|^{_BLANK}|{_BLANK}\Z")
+_LINES = re.compile(rf"(?<!{_BLANK})\n(?!{_BLANK})(?<!^)(?!\Z)")
+_SPACES = re.compile(rf"(?<!{_BLANK}) (?!{_BLANK})(?<!^)(?!\Z)")
+_SEPARATORS = re.compile(r"[\x1c-\x1f]")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 _encoders: dict[str, Encoder] = {}
 
@@ -37,16 +40,17 @@ class Encoder:
             self.kind = "bytes"
         elif before.get("type") == "Sequence" and (first := before["pretokenizers"][0]).get("type") == "Split" and first.get("invert") and first.get("behavior") == "Removed":
             self.kind = "words"
-        self.known: dict[str, bytes] = {}
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}  # pieces, and pieces after a space
 
-    def _encoded(self, pieces: list[str]) -> bytes:
-        known = self.known
-        missing = list(set(pieces) - known.keys())
+    def _encoded(self, pieces: list[str], spaced: bool = False) -> bytes:
+        known = self.known[spaced]
+        missing = list(set(pieces).difference(known))
         if missing:
             if len(known) + len(missing) > MOST_PIECES:
                 known.clear()
                 missing = list(set(pieces))
-            for piece, found in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False), strict=True):
+            texts = [" " + p for p in missing] if spaced else missing
+            for piece, found in zip(missing, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
                 known[piece] = np.array(found.ids, "<u4").tobytes()
         return b"".join(map(known.__getitem__, pieces))
 
@@ -54,16 +58,18 @@ class Encoder:
         if not text:
             return b""
         if self.kind == "words":
-            return self._encoded(_WORDS.findall(text))
+            return self._encoded(_WORDS.findall(text) if _SEPARATORS.search(text) else text.split())
         if self.kind == "bytes":
-            pieces: list[str] = []
-            for n, line in enumerate(_LINES.split(text)):
-                first, *rest = _SPACES.split(line)
+            plain = not _WIDE_GAP.search(text)
+            out = []
+            for n, line in enumerate(text.split("\n") if plain else _LINES.split(text)):
+                first, *rest = line.split(" ") if plain else _SPACES.split(line)
                 if n:
-                    pieces.append("\n")
-                pieces.append(first)
-                pieces += [" " + x for x in rest]
-            return self._encoded(pieces)
+                    out.append(self._encoded(["\n"]))
+                out.append(self._encoded([first]))
+                if rest:
+                    out.append(self._encoded(rest, spaced=True))
+            return b"".join(out)
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
