@@ -1,0 +1,489 @@
+"""The corpus operators against brute force on small tables."""
+
+import math
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow as pa
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tributary.llm import decontaminate, encoding, language, lm, ngram_join, packing, quality, shards, substrings, text, token_files, tries, urls
+from tributary.llm.graph import components
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, shard string, block string, part int"
+LONG = " ".join(f"w{i % 977}x{i % 31}" for i in range(20_000))
+PASSAGE = " ".join(f"passage{i}" for i in range(60))
+TEXTS = [
+    None,
+    "",
+    " \n\t",
+    "one",
+    "one two three",
+    "One TWO three",
+    "a b c d e f g h",
+    "a b c d e f g h",
+    "a b c d e f g h i",
+    f"start here {PASSAGE} and the end",
+    f"another {PASSAGE} text that goes on",
+    PASSAGE,
+    f"{PASSAGE} {PASSAGE}",
+    LONG,
+    LONG,
+    LONG.replace("w5x", "W5X"),
+    "same line\nsame line\n\nother *** ### line\n",
+    "the cat sat on the mat " * 30,
+    "žluťoučký kůň 漢字 語\u00a0x \x1c y",
+    "12 34 !!",
+]
+
+
+def table(spark, texts=TEXTS, ids=None):
+    ids = ids or list(range(len(texts)))
+    rows = [(i, t, "en" if i is not None and i % 2 else "fr", "s", 0 if t is None else len(t), "x", "y", 1) for i, t in zip(ids, texts, strict=True)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return table(spark).repartition(3).cache()
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Null and repeated ids and rows."""
+    return table(spark, ["a b c d e f", "a b c d e f", None, "x y", PASSAGE, PASSAGE, PASSAGE], [7, 7, None, None, 3, None, 3])
+
+
+def words(t, lower=False):
+    t = t or ""
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t) if lower else t)
+
+
+# The text kernel.
+
+
+def test_words_and_hashes():
+    batch = text.Words(pa.array(TEXTS, pa.string()))
+    assert [[w.decode() for w in batch.strings(d)] for d in range(len(TEXTS))] == [words(t) for t in TEXTS]
+    hashes = batch.hashes()
+    flat = [w for t in TEXTS for w in words(t)]
+    assert len(set(hashes.tolist())) == len(set(flat)) and len({(h, w) for h, w in zip(hashes.tolist(), flat, strict=True)}) == len(set(flat))
+
+
+def test_slices_hold_all_rows():
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([*TEXTS, None])})
+    parts = list(text.sliced(batch, most=1000))
+    assert sum(p.num_rows for p in parts) == len(TEXTS) + 1 and len(parts) > 3
+    assert pa.Table.from_batches(parts).column("text").to_pylist() == [*TEXTS, None]
+
+
+# 1: sharding.
+
+
+@pytest.mark.parametrize("bucket_bytes", [200, 1 << 20])
+def test_shards(docs, bucket_bytes):
+    rows = shards.shuffle_into_shards(docs, 3, bucket_bytes=bucket_bytes).collect()
+    assert sorted((r.doc_id, r.text or "") for r in rows) == sorted((i, t or "") for i, t in enumerate(TEXTS))
+    by = defaultdict(list)
+    for r in rows:
+        by[r.shard].append(r.slot)
+    assert sorted(by) == [0, 1, 2] and max(map(len, by.values())) - min(map(len, by.values())) <= 1
+    assert all(sorted(v) == list(range(len(v))) for v in by.values())
+    again = shards.shuffle_into_shards(docs, 3, bucket_bytes=bucket_bytes).collect()
+    assert {(r.doc_id, r.shard) for r in rows} == {(r.doc_id, r.shard) for r in again} or bucket_bytes == 1 << 20
+
+
+def test_shards_of_odd_and_empty_tables(spark, odd, tmp_path):
+    digest = shards.shard_digest(shards.write_shards(shards.shuffle_into_shards(odd, 24), str(tmp_path / "s"))).collect()
+    assert len(digest) == 7 and len({(r.shard, r.slot) for r in digest}) == 7
+    assert {(r.size, r.text_crc32) for r in digest if r.doc_id == 7} == {(19, zlib.crc32(b"a b c d e f"))}
+    assert shards.shuffle_into_shards(table(spark, []), 24).count() == 0
+
+
+# 2: n-gram join.
+
+
+def brute_components(texts, ids, k=5, percent=80):
+    sets = []
+    for t in texts:
+        w = words(t, lower=True)
+        sets.append({tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set())
+    label = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= percent * len(sets[a] | sets[b]):
+                label = [label[a] if x == label[b] else x for x in label]
+    out = []
+    for a in range(len(texts)):
+        members = [ids[b] for b in range(len(texts)) if label[b] == label[a] and ids[b] is not None]
+        out.append((ids[a], len(sets[a]), min(members) if members and sets[a] else ids[a]))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("how", [{}, {"block_sets": 2, "block_items": 3000, "pivots": 1}])
+def test_ngram_join(spark, docs, how):
+    found = sorted((tuple(r) for r in ngram_join.join_similar(docs, **how).collect()), key=str)
+    assert found == brute_components(TEXTS, list(range(len(TEXTS))))
+
+
+def test_ngram_join_of_chains_and_odd_tables(spark, odd):
+    base = [f"t{i}" for i in range(60)]
+    chain = [" ".join(base[: 60 - 4 * n] + [f"n{n}x{i}" for i in range(4 * n)]) for n in range(6)]
+    ids = [50 - n for n in range(6)]
+    found = sorted((tuple(r) for r in ngram_join.join_similar(table(spark, chain, ids)).collect()), key=str)
+    assert found == brute_components(chain, ids)
+    rows = [tuple(r) for r in ngram_join.join_similar(odd).collect()]
+    assert sorted(rows, key=str) == sorted([(7, 2, 7), (7, 2, 7), (None, 0, None), (None, 1, None), (3, 56, 3), (3, 56, 3), (None, 56, 3)], key=str)
+    assert ngram_join.join_similar(table(spark, [])).count() == 0
+
+
+def test_tries_against_all_pairs():
+    rng = np.random.default_rng(1)
+    for trial in range(60):
+        base = [rng.integers(0, 60, rng.integers(1, 25)) for _ in range(3)]
+        sets = []
+        for _ in range(rng.integers(2, 25)):
+            one = base[rng.integers(3)].copy()
+            new = rng.random(len(one)) < 0.1
+            one[new] = rng.integers(0, 60, new.sum())
+            sets.append(np.unique(one).astype(np.uint64))
+        percent, wanted = int(rng.choice([50, 80, 100])), np.arange(len(sets))
+        for a in range(len(sets)):
+            for b in range(a):
+                both = len(np.intersect1d(sets[a], sets[b]))
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    wanted[wanted == wanted[b]] = wanted[a]
+        found = tries.Trie(sets).linked(percent, np.arange(len(sets)))
+        assert len(set(zip(found.tolist(), wanted.tolist(), strict=True))) == len(set(wanted.tolist())) == len(set(found.tolist())), trial
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 300), (300, 250)]
+    found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert found == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 200: 200, 250: 200, 300: 200}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# 3: URL filter.
+
+
+def test_urls(spark):
+    rules = [("com/en/", "block"), ("example.com/en/7", "allow"), ("org/es/", "block")]
+    given = [
+        ("http://A.Example.COM/en/71?x", "a.example.com", "/en/71", "example.com/en/7"),
+        ("http://example.com/en/8#t", "example.com", "/en/8", "com/en/"),
+        ("http://xexample.com/en/7", "xexample.com", "/en/7", "com/en/"),
+        ("https://a.org/es", "a.org", "/es", None),
+        ("https://a.org?/es/", "a.org", "", None),
+        ("x://casino-win-bets.net", "casino-win-bets.net", "", None),
+        ("no host", "", "", None),
+        ("", "", "", None),
+        (None, "", "", None),
+        ("a://b://c/d", "b:", "//c/d", None),
+    ]
+    pages = spark.createDataFrame([(n, g[0], "old") for n, g in enumerate(given)], "page_id long, url string, host string")
+    model = urls.train(urls.labelled_table(spark))
+    rows = urls.filter_urls(pages, rules, model).orderBy("page_id").collect()
+    assert [(r.host, r.path, r.rule) for r in rows] == [g[1:] for g in given]
+    verdicts = dict(rules)
+    for r in rows:
+        assert r.verdict == (verdicts[r.rule] if r.rule else "block" if r.block_score >= 0.5 else "allow")
+    assert rows[5].verdict == "block"
+    assert urls.filter_urls(pages.limit(0), rules, model).count() == 0
+    assert urls.filter_urls(pages, [], model).where("rule IS NOT NULL").count() == 0
+
+
+def test_url_scores_are_the_models(spark):
+    model = urls.train(urls.labelled_table(spark))
+    row = urls.hashed(spark.range(1).select(F.lit("casino.test").alias("_host"), F.lit("/en/1").alias("_path")), model.numFeatures).first()
+    margin = model.intercept + sum(model.coefficients[int(i)] for i in row["_features"].indices)
+    score = urls.filter_urls(spark.range(1).select(F.lit("x://casino.test/en/1").alias("url")), [], model).first().block_score
+    assert score == pytest.approx(1 / (1 + math.exp(-margin)))
+
+
+# 4: substring deduplication.
+
+
+def brute_repeats(texts, ids, size):
+    order = [math.inf if i is None else i for i in ids]
+    least = {}
+    split = [words(t) for t in texts]
+    for i, w in zip(order, split, strict=True):
+        for p in range(len(w) - size + 1):
+            key = tuple(w[p : p + size])
+            least[key] = min(least.get(key, math.inf), i)
+    out = []
+    for i, own, w in zip(ids, order, split, strict=True):
+        gone = {q for p in range(len(w) - size + 1) if least[tuple(w[p : p + size])] < own for q in range(p, p + size)}
+        out.append((i, len(w), len(gone), " ".join(x for q, x in enumerate(w) if q not in gone)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("size, block_bytes", [(50, 8 << 20), (50, 300), (7, 300), (2, 300)])
+def test_repeats(docs, size, block_bytes):
+    found = sorted((tuple(r) for r in substrings.remove_repeats(docs, window=size, block_bytes=block_bytes).collect()), key=str)
+    assert found == brute_repeats(TEXTS, list(range(len(TEXTS))), size)
+
+
+def test_repeats_of_odd_and_empty_tables(spark, odd):
+    rows = odd.collect()
+    found = sorted((tuple(r) for r in substrings.remove_repeats(odd).collect()), key=str)
+    assert found == brute_repeats([r.text for r in rows], [r.doc_id for r in rows], 50)
+    assert substrings.remove_repeats(table(spark, [])).count() == 0
+    kept = substrings.remove_repeats(odd, keep=["text", "lang"]).columns
+    assert kept == ["doc_id", "text", "lang", "n_words", "n_removed", "kept_text"]
+
+
+# 5: quality.
+
+
+def brute_counts(t):
+    t = t or ""
+    w = words(t)
+    lines = [line for line in t.split("\n") if words(line)]
+    three = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
+    times = Counter(three)
+    covered = {q for i, x in enumerate(three) if times[x] > 1 for q in range(i, i + 3)}
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), len(covered)
+
+
+def test_statistics(docs):
+    found = {r.doc_id: tuple(r[c] for c in quality.COUNTS) for r in quality.measure(docs).collect()}
+    assert found == {i: brute_counts(t) for i, t in enumerate(TEXTS)}
+    tricky = ["a\n\nb\na", "\na", "a\n", "\n", "a b\n a b\na b", "x x x x"]
+    got = quality.statistics(text.Words(pa.array(tricky)))
+    assert [tuple(int(got[c][k]) for c in quality.COUNTS) for k in range(len(tricky))] == [brute_counts(t) for t in tricky]
+
+
+def test_forest_isolates_outliers():
+    rng = np.random.default_rng(0)
+    rows = np.vstack([rng.normal(0, 1, (900, 4)), rng.normal(0, 1, (100, 4)) + [0, 9, 0, 9]])
+    good = np.arange(1000) < 900
+    forest = quality.grow(rows)
+    cut = quality.calibrate(forest, rows, good, 0.98)
+    score = forest.score(rows)
+    assert (score[good] > cut).mean() <= 0.02 and (score[~good] > cut).mean() > 0.9 and 0 <= score.min() and score.max() <= 1
+
+
+def test_judging(spark, docs):
+    rng = np.random.default_rng(6)
+    vocabulary = np.array(["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(2000)])
+    plain = [" ".join(rng.choice(vocabulary, rng.integers(60, 200))) for _ in range(320)]
+    texts = [t.replace(" ", "### ") if i >= 300 else t for i, t in enumerate(plain)]
+    own = table(spark, texts)
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(320)] + [(None, 1), (1, None)], "doc_id long, quality int")
+    measured = quality.measure(own)
+    forest = quality.train(measured, labels)
+    kept = {r.doc_id: r.kept for r in quality.judge(measured, forest).collect()}
+    assert sum(kept[i] for i in range(300)) >= 295 and sum(kept[i] for i in range(300, 320)) <= 2
+    base = {r.doc_id: r.base_failed for r in quality.judge(quality.measure(docs), None).collect()}
+    for i, t in enumerate(TEXTS):
+        n, _, _, _, repeat = brute_counts(t)
+        assert base[i] == (n < 50 or 100 * repeat > 50 * n)
+    assert quality.train(measured, labels.limit(0)) is None
+    assert quality.judge(quality.measure(table(spark, [])), None).count() == 0
+
+
+# 6 and 9: tokens.
+
+ODD_TEXTS = ["", "a", "a  b", " a\nb ", "don't  'll\n\nx", "x\u00a0y\x85z \x1c q", "ǅ İ Σς ΑΣ\u0301", "<|endoftext|> <|startoftext|>", "漢字 かな 12 345", "tab\there\r\nnew"]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_encoder_gives_the_librarys_ids(name):
+    path = public_tokenizers.path(name)
+    direct = Tokenizer.from_file(path)
+    direct.encode_special_tokens = True
+    own = encoding.Encoder(path)
+    rng = np.random.default_rng(2)
+    pieces = ["a", "é", "'s", " ", "  ", "\n", ".", "12", "İ", "\t", "Word", "\u0301", "🙂"]
+    for t in [*ODD_TEXTS, *(x for x in TEXTS if x), *("".join(rng.choice(pieces, 12)) for _ in range(500))]:
+        assert np.frombuffer(own.ids(t), "<u4").tolist() == direct.encode(t, add_special_tokens=False).ids
+
+
+def encoded(path, texts, end):
+    own = Tokenizer.from_file(path)
+    own.encode_special_tokens = True
+    return [np.array(own.encode(t or "", add_special_tokens=False).ids + [end], "<u4") for t in texts]
+
+
+@pytest.mark.parametrize("part_bytes, width", [(1 << 25, 4), (500, 2)])
+def test_token_files(spark, docs, tmp_path, part_bytes, width):
+    path, folder = public_tokenizers.path("byte_bpe_50k.json"), f"file://{tmp_path}/t"
+    manifest = token_files.write_token_files(docs, folder, path, 2, width=width, part_bytes=part_bytes)
+    rows = token_files.read_token_files(manifest, folder).orderBy("doc_id").collect()
+    start = 0
+    for r, ids in zip(rows, encoded(path, TEXTS, 2), strict=True):
+        assert (r.start, r.n_tokens, r.ids_crc32) == (start, len(ids), zlib.crc32(ids.tobytes()))
+        start += len(ids)
+
+
+def test_token_files_of_odd_and_empty_tables(spark, odd, tmp_path):
+    path, folder = public_tokenizers.path("byte_bpe_50k.json"), f"file://{tmp_path}/t"
+    rows = token_files.read_token_files(token_files.write_token_files(odd, folder, path, 2), folder).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None, None, None, 3, 3, 7, 7] and rows[0].n_tokens == 1
+    assert token_files.read_token_files(token_files.write_token_files(table(spark, []), folder, path, 2), folder).count() == 0
+
+
+def check_packing(rows, texts, path, capacity, end=1):
+    ids = encoded(path, texts, end)
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for r in rows:
+        assert r.doc_tokens == len(ids[r.doc_id]) and r.ids_crc32 == zlib.crc32(ids[r.doc_id][r.start : r.start + r.length].tobytes())
+        by_doc[r.doc_id].append((r.start, r.length))
+        by_sequence[r.sequence_id].append((r.offset, r.length))
+    for d, x in enumerate(ids):
+        at = 0
+        for start, length in sorted(by_doc[d]):
+            assert start == at
+            at += length
+        assert at == len(x)
+    padding = 0
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert 0 < at <= capacity
+        padding += 0 if at & (at - 1) == 0 else capacity - at
+    return padding
+
+
+@pytest.mark.parametrize("block_bytes", [4 << 20, 400])
+def test_packing(docs, block_bytes):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = packing.pack_documents(docs, path, 1, capacity=256, segments=8, block_bytes=block_bytes).collect()
+    assert check_packing(rows, TEXTS, path, 256) == 0
+
+
+def test_packing_of_odd_and_empty_tables(spark, odd):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rows = packing.pack_documents(odd, path, 1).collect()
+    assert sum(r.length for r in rows) == sum(len(x) for x in encoded(path, [r.text for r in odd.collect()], 1))
+    assert packing.pack_documents(table(spark, []), path, 1).count() == 0
+
+
+def test_filling_keeps_all_limits():
+    rng = np.random.default_rng(3)
+    lengths = rng.integers(1, 200, 400)
+    loss = (lengths * rng.choice([0, 0.3, 1], 400)).astype(int)
+    for cut in (False, True):
+        sequences = packing.fill(lengths, loss, (200, 5, 120), cut) if loss.max() <= 120 else packing.fill(lengths, np.minimum(loss, 120), (200, 5, 120), cut)
+        seen = Counter()
+        for members in sequences:
+            assert sum(b - a for _, a, b in members) <= 200 and len(members) <= 5
+            for k, a, b in members:
+                seen[k] += b - a
+        assert [seen[k] for k in range(400)] == lengths.tolist()
+        if not cut:
+            assert all(len({k for k, _, _ in m}) == len(m) and sum(min(loss[k], 120) for k, _, _ in m) <= 120 for m in sequences)
+
+
+# 7: decontamination.
+
+
+def test_leaks(spark, docs):
+    items = [PASSAGE, " ".join(PASSAGE.split()[:40] + ["other"] * 3), "b c D e f g", "two three", "one", "absent words here now again", None, "", "a b c d e f g h"]
+    bench = spark.createDataFrame([(n, t, "x") for n, t in enumerate(items)], "item_id long, text string, lang string")
+    wanted = set()
+    for d, t in enumerate(TEXTS):
+        w = words(t, lower=True)
+        for n, item in enumerate(items):
+            v = words(item, lower=True)
+            k = min(5, len(v))
+            own = {tuple(v[i : i + k]) for i in range(len(v) - k + 1)} if k else set()
+            there = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if k else set()
+            if own and 100 * len(own & there) >= 80 * len(own):
+                wanted.add((d, n, len(own), len(own & there)))
+    for block_bytes in (1 << 20, 300):
+        assert {tuple(r) for r in decontaminate.find_leaks(docs, bench, block_bytes=block_bytes).collect()} == wanted
+    assert {r.doc_id for r in decontaminate.leak_free(docs, bench).collect()} == set(range(len(TEXTS))) - {d for d, *_ in wanted}
+    assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
+    assert decontaminate.find_leaks(table(spark, []), bench).count() == 0
+
+
+# 8: language.
+
+
+def test_language(spark):
+    rng = np.random.default_rng(4)
+    parts = {"aa": ["the", "and", "ing", "tion"], "bb": ["der", "und", "sch", "ein"], "cc": ["que", "les", "eau", "ment"], "dd": ["жил", "был", "кот", "дом"]}
+    rows = []
+    for i in range(400):
+        lang = list(parts)[i % 4]
+        rows.append((i, " ".join("".join(rng.choice(parts[lang], 2)) for _ in range(30)), lang))
+    rows += [(400, None, "aa"), (401, "12 !!", "aa"), (402, "", None), (None, "theand thetion", None), (404, "кот", "dd")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(docs.where("coalesce(doc_id, 0) % 3 <> 1"), per_language=50)
+    found = language.identify(docs, model).collect()
+    assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
+    right = [r.lang_pred == rows[r.doc_id][2] for r in found if r.doc_id is not None and r.doc_id < 400 and r.doc_id % 3 == 1]
+    assert np.mean(right) > 0.97
+    by = {r.doc_id: r for r in found}
+    assert by[400].lang_pred == by[401].lang_pred == by[402].lang_pred == "und" and by[None].lang_pred == "aa" and by[404].lang_pred == "dd"
+    assert language.train(docs.where("lang IS NULL")) is None
+    assert {r.lang_pred for r in language.identify(docs, None).collect()} == {"und"}
+    assert language.identify(docs.limit(0), model).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 17, 60])
+def test_codewords_are_apart(n):
+    code = language.codewords(n)
+    apart = [(code[a] != code[b]).sum() for a in range(n) for b in range(a)]
+    assert code.shape[0] == n and (not apart or min(apart) >= 1)
+
+
+# 10: language model.
+
+
+def brute_scores(texts, ids, held, prior):
+    split = [words(t, lower=True) + [None] for t in texts]
+    one, two = Counter(), Counter()
+    for h, w in zip(held, split, strict=True):
+        if not h:
+            one.update(w)
+            two.update(zip([0, *w], w, strict=False))
+    total, scale = sum(one.values()), sum(one.values()) + 0.1 * (len(one) + 1)
+    out = []
+    for i, h, w in zip(ids, held, split, strict=True):
+        base = [math.log10((one[x] + 0.1) / scale) for x in w]
+        score = 0.0
+        for before, x in zip([0, *w], w, strict=False):
+            c = one[None] if before == 0 else one[before]
+            score += math.log10((two[before, x] + prior * (one[x] + 0.1) / scale) / (c + prior))
+        out.append((i, h, len(w), sum(one[x] > 0 for x in w), total, sum(base), score))
+    return out
+
+
+@pytest.mark.parametrize("block_bytes", [8 << 20, 200])
+def test_scores(docs, block_bytes):
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(TEXTS))]
+    rows = sorted(lm.score(docs, held_out=lm.held_out_tenth("doc_id"), prior=3.0, block_bytes=block_bytes).collect(), key=lambda r: r.doc_id)
+    for r, wanted in zip(rows, brute_scores(TEXTS, range(len(TEXTS)), held, 3.0), strict=True):
+        assert tuple(r)[:5] == wanted[:5]
+        assert r.base_score == pytest.approx(wanted[5], abs=1e-6) and r.score == pytest.approx(wanted[6], abs=1e-6)
+
+
+def test_scores_of_odd_and_empty_tables(spark, odd):
+    rows = odd.collect()
+    found = sorted(lm.score(odd, prior=2.0).collect(), key=str)
+    wanted = sorted(brute_scores([r.text for r in rows], [r.doc_id for r in rows], [False] * len(rows), 2.0), key=lambda r: str(r))
+    assert sorted(round(r.score, 6) for r in found) == pytest.approx(sorted(round(w[6], 6) for w in wanted))
+    assert lm.score(table(spark, [])).count() == 0
+    none = lm.score(odd, held_out=F.lit(True)).collect()
+    assert {(r.train_tokens, r.n_known) for r in none} == {(0, 0)} and all(math.isfinite(r.score) for r in none)
+
+
+def test_arcs_add_up_to_one():
+    counts = np.array([5, 3, 2])
+    model = lm.Automaton(10, 3, prior=4.0)
+    pairs = np.array([2, 0, 1])
+    weights = model.weights(np.append(pairs, 0), np.full(4, 3), np.append(counts, 0))
+    assert (10.0**weights).sum() == pytest.approx(1.0)

@@ -1,0 +1,51 @@
+"""The registered queries over the smallest tables: SQL where there is some, contracts otherwise."""
+
+import os
+
+import duckdb
+import pytest
+
+import __spark_entry__
+import corpus_pipeline
+from tributary.llm import queries
+from tributary.workspace import stored
+
+SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    duck = duckdb.connect()
+    for table in ("documents", "benchmark"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    found = duck.execute(queries.ORACLE_SQL[name])
+    names = [d[0] for d in found.description]
+    rows = queries.QUERIES[name](spark, SF).select(names).collect()
+    assert sorted(map(tuple, rows)) == sorted(found.fetchall())
+
+
+def test_all_are_registered():
+    assert {*queries.QUERIES, "pipeline"} <= set(__spark_entry__.queries())
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, seen = docs.columns, [docs.count()]
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stored(stage(spark, docs, SF), name)
+        assert docs.columns == columns
+        seen.append(docs.count())
+    assert seen == sorted(seen, reverse=True) and seen[-1] > 0.7 * seen[0]
+    assert queries.ngram_join.join_similar(docs).where("n_shingles > 0 AND doc_id <> component_id").count() <= 2
+    assert queries.decontaminate.find_leaks(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).count() == 0
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
+    assert packed.select("doc_id").distinct().count() == seen[-1]
+    assert packed.count() == corpus_pipeline.run(spark, SF).count()
+
+
+@pytest.mark.parametrize("name", ["op1_shards", "op5_quality", "op6_token_files", "op8_language_id", "op10_lm_score"])
+def test_one_row_for_each_document(spark, name):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    found = queries.QUERIES[name](spark, SF)
+    assert sorted(r.doc_id for r in found.select("doc_id").collect()) == sorted(r.doc_id for r in documents.select("doc_id").collect())
