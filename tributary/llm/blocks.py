@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.text import sliced
+
 BLOCK_BYTES = 8 << 20
 SENT = "part long, block long, keys binary, about binary"
 ANSWER = "block long, step int, part long, about binary"
@@ -35,42 +37,76 @@ def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
 
 
-def sent(block: int, keys: np.ndarray, part: np.ndarray, about: np.ndarray) -> pa.Table:
-    """Rows of SENT for keys in ascending order of their parts."""
-    cuts = np.flatnonzero(np.diff(part, prepend=-1 if len(part) else 0)) if len(part) else np.zeros(0, np.int64)
-    ends = np.append(cuts[1:], len(part))
+def packed_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as their differences, byte by byte from the lowest: the upper bytes are mostly zeros."""
+    steps = np.diff(keys, prepend=keys.dtype.type(0))
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(len(steps), -1).T).tobytes()
+
+
+def unpacked_keys(data: bytes, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.cumsum(steps, dtype=kind)
+
+
+def encoded(values: np.ndarray, kind: str) -> bytes:
+    """``kind``: a numpy type; ``bool`` for bits; ``count`` for numbers from 0 that are mostly below 255."""
+    if kind == "bool":
+        return np.packbits(values).tobytes()
+    if kind == "count":
+        return np.minimum(values, 255).astype(np.uint8).tobytes() + values[values >= 255].astype("<i8").tobytes()
+    return values.astype(kind).tobytes()
+
+
+def decoded(data: bytes, n: int, kind: str) -> np.ndarray:
+    if kind == "bool":
+        return np.unpackbits(np.frombuffer(data, np.uint8), count=n).astype(bool)
+    if kind == "count":
+        values = np.frombuffer(data, np.uint8, n).astype(np.int64)
+        values[values == 255] = np.frombuffer(data, "<i8", offset=n)
+        return values
+    return np.frombuffer(data, kind)
+
+
+def sent(block: int, keys: np.ndarray, part: np.ndarray, about: np.ndarray, kind: str) -> pa.Table:
+    """Rows of SENT for keys in ascending order, in each part; ``kind`` is that of ``about`` (see ``encoded``)."""
+    cuts = np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1))
+    ends = np.append(cuts[1:], len(part))[: len(cuts)]
     return pa.table(
         {
             "part": pa.array(part[cuts].astype(np.int64)),
             "block": pa.array(np.full(len(cuts), block, np.int64)),
-            "keys": pa.array([keys[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
-            "about": pa.array([about[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+            "keys": pa.array([packed_keys(keys[a:b]) for a, b in zip(cuts, ends, strict=True)], pa.binary()),
+            "about": pa.array([encoded(about[a:b], kind) for a, b in zip(cuts, ends, strict=True)], pa.binary()),
         }
     )
 
 
-def answered(parts: DataFrame, step: int, key_type: str, about_type: str, decide: Callable) -> DataFrame:
+def received(rows: pa.Table, key_type: str, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The keys of rows of SENT, what is said about them, and where each row's end."""
+    keys = [unpacked_keys(x, key_type) for x in rows.column("keys").to_pylist()]
+    about = [decoded(x, len(k), kind) for x, k in zip(rows.column("about").to_pylist(), keys, strict=True)]
+    return np.concatenate(keys), np.concatenate(about), np.cumsum([len(k) for k in keys])
+
+
+def answered(parts: DataFrame, step: int, key_type: str, about_kind: str, answer_kind: str, decide: Callable) -> DataFrame:
     """Gather each part's keys; ``decide(places, n, about)`` gives an array of answers, one for each value that was sent.
 
-    ``places`` numbers the part's distinct keys, ``n`` of them, in the order of the values. Answers of type bool are
-    packed to bits.
+    ``places`` numbers the part's distinct keys, ``n`` of them, in the order of the values.
     """
 
     def gather(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
-        keys = np.frombuffer(b"".join(rows.column("keys").to_pylist()), key_type)
-        sizes = [len(x.as_buffer()) // np.dtype(key_type).itemsize for x in rows.column("keys")]
-        about = np.frombuffer(b"".join(rows.column("about").to_pylist()), about_type)
+        keys, about, ends = received(rows, key_type, about_kind)
         distinct, places = np.unique(keys, return_inverse=True)
         found = decide(places, len(distinct), about)
-        ends = np.cumsum(sizes)
-        pack = np.packbits if found.dtype == bool else lambda x: x
+        starts = np.concatenate([[0], ends[:-1]])
         return pa.table(
             {
                 "block": rows.column("block"),
                 "step": pa.array(np.full(rows.num_rows, step, np.int32)),
                 "part": rows.column("part"),
-                "about": pa.array([pack(found[e - n : e]).tobytes() for n, e in zip(sizes, ends, strict=True)], pa.binary()),
+                "about": pa.array([encoded(found[a:b], answer_kind) for a, b in zip(starts, ends, strict=True)], pa.binary()),
             }
         )
 
@@ -80,29 +116,16 @@ def answered(parts: DataFrame, step: int, key_type: str, about_type: str, decide
 def read_answer(answers: pa.Table, step: int, part: np.ndarray, kind: str) -> np.ndarray:
     """The answers of one step, in the order of the keys that were sent; ``part`` is each key's part."""
     rows = sorted((p, a) for s, p, a in zip(answers.column("step").to_pylist(), answers.column("part").to_pylist(), answers.column("about").to_pylist(), strict=True) if s == step)
-    if kind != "bool":
-        found = np.frombuffer(b"".join(a for _, a in rows), kind)
-    else:
-        sizes = np.bincount(part.astype(np.int64)) if len(part) else np.zeros(0, np.int64)
-        sizes = sizes[sizes > 0]
-        bits = [np.unpackbits(np.frombuffer(a, np.uint8), count=int(n)) for (_, a), n in zip(rows, sizes, strict=True)]
-        found = np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
-    if len(found) != len(part):
-        raise ValueError("an answer is missing")
-    return found
+    sizes = np.diff(np.append(np.flatnonzero(np.diff(part.astype(np.int64), prepend=-1)), len(part)))  # none without keys
+    found = [decoded(a, int(n), kind) for (_, a), n in zip(rows, sizes, strict=True)]
+    return np.concatenate(found) if found else np.zeros(0, bool if kind == "bool" else np.int64)
 
 
 def block_of(rows: pa.Table) -> int:
     return rows.column("block")[0].as_py()
 
 
-def one_array(rows: pa.Table, name: str) -> pa.Array:
-    column = rows.column(name)
-    return column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
-
-
 def text_slices(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-    from tributary.llm.text import sliced
-
+    """The rows of a block, a few texts at a time."""
     for batch in rows.combine_chunks().to_batches():
         yield from sliced(batch)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.blocks import SENT, answered, block_of, into_blocks, part_of, read_answer, sent, text_slices
+from tributary.llm.blocks import SENT, answered, block_of, into_blocks, part_of, read_answer, received, sent, text_slices
 from tributary.llm.text import Words, mix, sliced
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814E)  # stand for the two ends of a text
@@ -63,13 +63,12 @@ def corpus_size(docs: DataFrame, training: F.Column, *, parts: int) -> tuple[int
                 held, places = np.unique(np.concatenate([held, new]), return_inverse=True)
                 n = np.bincount(places, np.concatenate([n, more])).astype(np.int64)
                 if len(held) > 1 << 20:
-                    yield from sent(0, held, part_of(held, parts), n).to_batches()
+                    yield from sent(0, held, part_of(held, parts), n, "count").to_batches()
                     held, n = held[:0], n[:0]
-        yield from sent(0, held, part_of(held, parts), n).to_batches()
+        yield from sent(0, held, part_of(held, parts), n, "count").to_batches()
 
     def add(rows: pa.Table) -> pa.Table:
-        keys = np.frombuffer(b"".join(rows.column("keys").to_pylist()), np.uint64)
-        counts = np.frombuffer(b"".join(rows.column("about").to_pylist()), np.int64)
+        keys, counts, _ = received(rows, "<u8", "count")
         return pa.table({"types": [len(np.unique(keys))], "tokens": [int(counts.sum())]})
 
     counted = docs.where(training).select("text").mapInArrow(count, SENT).groupBy("part").applyInArrow(add, "types long, tokens long")
@@ -127,8 +126,8 @@ def score(docs: DataFrame, *, held_out: F.Column | None = None, prior: float = 2
 
     def ask(rows: pa.Table) -> pa.Table:
         *_, train, distinct, places = keys_of(rows)
-        counts = np.bincount(places, np.concatenate([train, train]), minlength=len(distinct)).astype(np.uint32)
-        return sent(block_of(rows), distinct, part_of(distinct, parts), counts)
+        counts = np.bincount(places, np.concatenate([train, train]), minlength=len(distinct)).astype(np.int64)
+        return sent(block_of(rows), distinct, part_of(distinct, parts), counts, "count")
 
     def add(places: np.ndarray, n: int, counts: np.ndarray) -> np.ndarray:
         return np.bincount(places, counts, minlength=n).astype(np.int64)[places]
@@ -137,7 +136,7 @@ def score(docs: DataFrame, *, held_out: F.Column | None = None, prior: float = 2
         if not rows.num_rows:
             return pa.table({n: [] for n in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
         token, history, sizes, _, distinct, places = keys_of(rows)
-        counts = read_answer(answers, 0, part_of(distinct, parts), "int64")
+        counts = read_answer(answers, 0, part_of(distinct, parts), "count")
         count, pair = counts[places[: len(token)]], counts[places[len(token) :]]
         # A history's count is its word's; as many training texts start as end.
         ends = counts[np.searchsorted(distinct, word_keys(np.array([END]))[0])]
@@ -159,5 +158,5 @@ def score(docs: DataFrame, *, held_out: F.Column | None = None, prior: float = 2
         )
 
     asked = blocked.groupBy("block").applyInArrow(ask, SENT)
-    answers = answered(asked, 0, "<u8", "<u4", add)
+    answers = answered(asked, 0, "<u8", "count", "count", add)
     return blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(read, SCORES)

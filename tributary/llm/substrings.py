@@ -119,7 +119,7 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, block_bytes: int = 8 <<
     def probe(rows: pa.Table) -> pa.Table:
         _, distinct, _, index, times = Block(rows, window, parts).probes()
         flags = (index | (times > 1).astype(np.uint8) << 1).astype(np.uint8)
-        return sent(block_of(rows), distinct.astype(np.uint32), distinct >> np.uint64(32), flags)
+        return sent(block_of(rows), distinct.astype(np.uint32), distinct >> np.uint64(32), flags, "u1")
 
     def anchors_of(block: Block, answers: pa.Table):
         at, distinct, places, _, _ = block.probes()
@@ -127,10 +127,10 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, block_bytes: int = 8 <<
 
     def extend(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
-            return sent(0, np.zeros(0), np.zeros(0, np.uint64), np.zeros(0))
+            return sent(0, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0), "<i8")
         block = Block(rows, window, parts)
         _, distinct, _, least = block.extended(*anchors_of(block, answers))
-        return sent(block_of(rows), distinct, part_of(distinct, parts), least)
+        return sent(block_of(rows), distinct, part_of(distinct, parts), least, "<i8")
 
     def remove(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
@@ -153,8 +153,8 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, block_bytes: int = 8 <<
             }
         )
 
-    anchors = answered(blocked.groupBy("block").applyInArrow(probe, SENT), 0, "<u4", "u1", _repeated)
+    anchors = answered(blocked.groupBy("block").applyInArrow(probe, SENT), 0, "<u4", "u1", "bool", _repeated)
     anchors = stored(anchors, "anchors")
     windows = blocked.groupBy("block").cogroup(anchors.groupBy("block")).applyInArrow(extend, SENT)
-    smaller = answered(windows, 1, "<u8", "<i8", _smaller_elsewhere)
+    smaller = answered(windows, 1, "<u8", "<i8", "bool", _smaller_elsewhere)
     return blocked.groupBy("block").cogroup(anchors.unionByName(smaller).groupBy("block")).applyInArrow(remove, out)
