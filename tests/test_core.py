@@ -160,10 +160,65 @@ def test_run_sends_nothing_new_twice(spark, tmp_path):
     assert run.state().first().last_ts == NOW
     again = Run(spark, tables, str(tmp_path), as_of=dt.datetime(2024, 6, 3), batch=1)
     assert again.orders() == {}
-    payload = spark.read.text(f"{tmp_path}/payloads/orden_compra/20240602_000000").collect()
+    payload = spark.read.text(f"{tmp_path}/payloads/orden_compra/20240602_000000/ordenes_compra").collect()
     assert len(payload) == 1 and '"ordenes_compra":["{' in payload[0].value
 
 
+def _all_tables(spark):
+    oc, items, sg = _purchases(spark)
+    text = "".join(f", {c} string" for stem in ("CALLE", "NRO", "LOCA", "COD", "PROV") for c in (f"{stem}_LEGAL", f"{stem}_POSTAL"))
+    text += "".join(f", NRO_{k}_TE{n} string" for n in (1, 2, 3) for k in ("PAIS", "INTE", "TELE"))
+    prov = spark.createDataFrame([(5, "five", " ", "20-12345678-9", "RINS", NOW, *[None] * 19, "1", "m@x")], f"COD_PROV int, RAZON_SOCIAL string, FANTASIA string, CUIT string, COD_IVA string, FECHA_ULT_COMP timestamp_ntz{text}, TE_CELULAR string, EMAIL string")
+    more = {"IMPORTE_TOT": "double", "FECH_SOLIC": "string", "FECH_NECESIDAD": "string", "FECH_ENTREGA": "string", "TIPO_DOC": "string", "NRO_DOC": "int", "ESTADO_SOLIC": "string", "OBSERVACIONES": "string"}
+    sg = sg.withColumns({c: F.lit(None).cast(k) for c, k in more.items()}).withColumns({"IMPORTE_TOT": F.lit(9.5), "FECH_SOLIC": F.lit("2024-05-01 00:00:00"), "TIPO_DOC": F.lit("FA")})
+    return {
+        "JURISDICCIONES": spark.createDataFrame([("100", "a"), ("200", None), (" ", "x")], "JURISDICCION string, DENOMINACION string"),
+        "PROVEEDORES": prov,
+        "PEDIDOS": spark.createDataFrame([(2024, 3, NOW, "o", "d", 7.0, "200")], "EJERCICIO int, NUM_PED int, FECH_EMI timestamp_ntz, OBSERVACIONES string, CODIGO_DEP string, COSTO_TOT double, JURISDICCION string"),
+        "PED_ITEMS": spark.createDataFrame([(2024, 3, 1, "200", 2.0, "d", 1.5), (2024, 3, 2, "200", None, "d", 1.5)], "EJERCICIO int, NUM_PED int, ORDEN int, JURISDICCION string, CANTIDAD double, DESCRIP_BIE string, COSTO_UNI double"),
+        "ORDEN_COMPRA": oc,
+        "OC_ITEMS": items,
+        "SOLIC_GASTOS": sg,
+        "ORDEN_PAGO": spark.createDataFrame(
+            [(2024, 1, NOW, 7, None, None, "C", 10.0, None, "c", None)],
+            "EJERCICIO int, NRO_OP int, FECH_OP timestamp_ntz, NRO_CANCE int, RECO_DEU_COMPRA int, RECO_DEU_COMPRA_EJER int, ESTADO_OP string, IMPORTE_TOTAL double, FECH_CONFIRM timestamp_ntz, CONCEPTO string, OBSERVACIONES string",
+        ),
+        "RETENCIONES": spark.createDataFrame([(2024, 7, 3, "x", 1.25), (2024, 7, 4, "x", 0.0)], "EJERCICIO int, NRO_CANCE int, COD_RET int, CUENTA string, IMPORTE double"),
+        "DEDUCCIONES": spark.createDataFrame([(3, "Ret. IVA")], "CODIGO int, DESCRIPCION string"),
+    }
+
+
+def _result(spark, section, **external):
+    pairs = ", ".join(f'"{k}": "{v}"' for k, v in external.items())
+    return spark.createDataFrame([(f'{{"results": {{"{section}": [{{"success": true, "id": "70", "external_id": {{{pairs}}}}}]}}}}',)], "body string")
+
+
+def test_run_of_all_entities(spark, tmp_path):
+    import json
+
+    run = Run(spark, _all_tables(spark), str(tmp_path), as_of=dt.datetime(2024, 6, 2))
+    sent = lambda entity, section, day: [json.loads(d) for r in spark.read.text(f"{tmp_path}/payloads/{entity}/202406{day}_000000/{section}").collect() for d in json.loads(r.value)[section]]
+    run.take_results("proveedores", ["COD_PROV"], "COD_PROV int", _result(spark, "proveedores", cod_prov=5), "proveedores", {"COD_PROV": F.col("external_id")["cod_prov"].try_cast("int")})
+    run.all()
+    assert {r.entity: r.status for r in run.state().collect()} == {e: "ok" for e in ("jurisdicciones", "proveedores", "ped_items", "orden_compra", "solic_gastos", "orden_pago")}
+    assert [d["name"] for d in sent("jurisdicciones", "rubros", "02")] == ["a", "200"]
+    assert sent("proveedores", "proveedores", "02")[0]["Proveedor"]["iva_condicion_id"] == 1
+    assert len(sent("ped_items", "pedidos", "02")[0]["items"]) == 1
+    assert [d["NRO_OC"] for d in sent("orden_compra", "ordenes_compra", "02")] == [10]
+    assert sent("solic_gastos", "gastos", "02") == [] and sent("orden_pago", "ordenes_pago", "02") == []
+    keys = {c: F.col("external_id")[c.lower()].try_cast("int") for c in extracts.ORDER}
+    later = Run(spark, _all_tables(spark), str(tmp_path), as_of=dt.datetime(2024, 6, 3))
+    later.take_results("orden_compra", extracts.ORDER, "EJERCICIO int, UNI_COMPRA int, NRO_OC int", _result(spark, "ordenes_compra", ejercicio=2024, uni_compra=1, nro_oc=10), "ordenes_compra", keys)
+    assert later.links("orden_compra", "EJERCICIO int, UNI_COMPRA int, NRO_OC int").where("NRO_OC = 10 AND gasto_refs = 'SG-2024-1-7,SG-2024-1-8' AND remote_id = '70'").count() == 1
+    later.store("checkpoints").write(incremental.reset(later.state()))
+    types = spark.createDataFrame([(0, "4", "fa", "x")], "ordinal int, id string, name string, codename string")
+    assert later.expenses(types) == 2 and {d["tipo_factura_id"] for d in sent("solic_gastos", "gastos", "03")} == {4}
+    later.take_results("gasto", ["ref"], "ref string", _result(spark, "gastos", ref="SG-2024-1-7"), "gastos", {"ref": F.col("external_id")["ref"]})
+    assert later.payments() == 1
+    (doc,) = sent("orden_pago", "ordenes_pago", "03")
+    assert doc["gasto_ids"] == [70] and [(w["cod_ret"], w["tipo"]) for w in doc["retenciones"]] == [("3", "iva")]
+
+
 def test_payment_documents(spark):
     op = spark.createDataFrame(
         [(2024, 1, 7, None, None, "C", 10.0, "2024-05-05", None, "c"), (2024, 2, None, 10, 2024, "N", 5.0, "2024-05-06", None, None), (2024, 3, 7, None, None, "A", 1.0, "2024-05-06", None, None)],

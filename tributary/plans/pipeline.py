@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions import exprs as E
-from tributary.operators import documents, extracts, incremental, reconcile
+from tributary.operators import documents, extracts, incremental, lookups, reconcile
 from tributary.sources import payloads
-from tributary.specs import ENTITIES, LINK_COLUMNS
+from tributary.specs import ENTITIES, LINK_COLUMNS, RUN_ORDER
 
+ORDER_KEY = "EJERCICIO int, UNI_COMPRA int, NRO_OC int"
 LINK = "remote_id string, updated_at timestamp_ntz"
 
 
@@ -47,16 +48,18 @@ class Run:
         row = self.state().where(F.col("entity") == entity).first()
         return incremental.changed_rows(self.tables[spec.table], spec, row, F.lit(self.as_of).cast("timestamp_ntz"))
 
-    def step(self, entity: str, section: str, docs: DataFrame, key: list[str]) -> int:
-        """Write the documents' payloads, then move the cursor; on an error the cursor stays and the error is kept."""
-        now = F.lit(self.as_of).cast("timestamp_ntz")
+    def step(self, entity: str, *parts: tuple[str, DataFrame, list[str]]) -> int:
+        """Write payloads of the parts (section, documents, key), then move the cursor.
+
+        On an error the cursor stays and the error is kept; a dry run writes payloads only.
+        """
+        now, sent = F.lit(self.as_of).cast("timestamp_ntz"), 0
         try:
-            numbered = payloads.batch_numbers(docs, key, self.batch)
-            doc = F.to_json(F.struct(*(c for c in docs.columns)))
-            out = payloads.envelopes(numbered, section, doc, dry_run=self.dry_run, options={"upsert": True})
-            path = f"{self.folder}/payloads/{entity}/{self.as_of:%Y%m%d_%H%M%S}"
-            out.select("payload").write.mode("overwrite").text(path)
-            sent = docs.count()
+            for section, docs, key in parts:
+                numbered = payloads.batch_numbers(docs, key, self.batch)
+                out = payloads.envelopes(numbered, section, F.to_json(F.struct(*docs.columns)), dry_run=self.dry_run, options={"upsert": True})
+                out.select("payload").write.mode("overwrite").text(f"{self.folder}/payloads/{entity}/{self.as_of:%Y%m%d_%H%M%S}/{section}")
+                sent += docs.count()
             if not self.dry_run:
                 seen = incremental.cursor_values(self.changed(entity), ENTITIES[entity])
                 runs = seen.select(F.lit(entity).alias("entity"), "last_id", "last_ts", now.alias("run_at"), F.lit(sent).cast("long").alias("records"))
@@ -67,12 +70,60 @@ class Run:
             raise
 
     def take_results(self, name: str, key: list[str], schema: str, results: DataFrame, section: str, columns: dict[str, Column]) -> None:
-        """Upsert links from import results (``body``: JSON): ``columns`` gives the key columns from external_id."""
+        """Upsert target ids from import results (``body``: JSON): ``columns`` gives the key columns from external_id.
+
+        The other columns of a link stay as they are.
+        """
         found = payloads.import_results(results, "body", section).select(*(c.alias(k) for k, c in columns.items()), F.col("id").alias("remote_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("updated_at"))
-        self.save_links(name, key, schema, found.dropna(subset=key))
+        known = self.links(name, schema).drop("remote_id", "updated_at")
+        self.save_links(name, key, schema, found.dropna(subset=key).join(known, key, "left"))
+
+    def units(self) -> int:
+        rows = documents.units(self.changed("jurisdicciones"))
+        kinds = (("centro_costo", "centros_costo"), ("rubro", "rubros"), ("clasificacion", "clasificaciones"))
+        return self.step("jurisdicciones", *((section, rows.where(F.col("kind") == kind).drop("kind"), ["code"]) for kind, section in kinds))
 
     def suppliers(self) -> int:
-        return self.step("proveedores", "proveedores", documents.suppliers(self.changed("proveedores")).withColumn("cod_prov", F.col("external_id.cod_prov")), ["cod_prov"])
+        docs = documents.suppliers(self.changed("proveedores")).withColumn("cod_prov", F.col("external_id.cod_prov"))
+        return self.step("proveedores", ("proveedores", docs, ["cod_prov"]))
+
+    def requests(self) -> int:
+        lines = extracts.request_line_extract(self.changed("ped_items"), self.tables["PEDIDOS"])
+        return self.step("ped_items", ("pedidos", documents.request_documents(lines, self.unit_links()), extracts.REQUEST))
+
+    def expenses(self, document_types: DataFrame | None = None, default_type: int | None = None) -> int:
+        """Expenses that sent orders refer to; ``document_types`` is a catalog (ordinal, id, name, codename)."""
+        rows = extracts.expense_extract(self.changed("solic_gastos"), self.tables["OC_ITEMS"], self.tables["ORDEN_COMPRA"])
+        orders = self.links("orden_compra", ORDER_KEY)
+        rows = lookups.with_sent_refs(rows, E.expense_ref(*extracts.EXPENSE), orders, "remote_id", "gasto_refs")
+        kind = None
+        if document_types is not None:
+            attempts = [(F.col("TIPO_DOC"), lookups.text_index(document_types, c)) for c in ("codename", "name")]
+            rows, kind = lookups.resolve_text(rows, attempts, "_type", default=default_type), F.col("_type")
+        docs = documents.expense_documents(rows, kind, self.unit_links(), self.links("proveedores", "COD_PROV int").where("remote_id <> ''"))
+        return self.step("solic_gastos", ("gastos", docs, extracts.EXPENSE))
+
+    def payments(self) -> int:
+        """Payments with a resolved expense, found by number or trace, else by the order settled; with withholdings."""
+        rows, lines, expenses = self.changed("orden_pago"), self.tables["OC_ITEMS"], self.tables["SOLIC_GASTOS"]
+        trace = extracts.trace_view(lines, expenses, self.tables["ORDEN_COMPRA"], self.tables.get("PEDIDOS"))
+        direct = extracts.payment_refs(rows, expenses, trace)
+        orders = self.links("orden_compra", ORDER_KEY).select("EJERCICIO", "NRO_OC", E.split_list("gasto_refs").alias("refs"))
+        links = self.links("gasto", "ref string").where("remote_id <> ''")
+        docs = documents.payment_documents(rows, direct, extracts.fallback_refs(rows, orders), links)
+        if self.tables.get("RETENCIONES") is not None:
+            held = rows.select(*extracts.PAYMENT, "NRO_CANCE").join(self.tables["RETENCIONES"], ["EJERCICIO", "NRO_CANCE"])
+            codes = self.tables.get("DEDUCCIONES")
+            if codes is not None:
+                held = held.join(codes.select(F.col("CODIGO").alias("COD_RET"), "DESCRIPCION").dropDuplicates(["COD_RET"]), "COD_RET", "left")
+            else:
+                held = held.withColumn("DESCRIPCION", F.lit(None).cast("string"))
+            types = self.links("tipo_retencion", "COD_RET string").select(F.col("COD_RET").alias("_code"), E.to_int("remote_id").alias("tipo_impuesto_id"))
+            held = held.join(types, F.col("COD_RET").cast("string") == F.col("_code"), "left").withColumn("ordinal", F.struct("CUENTA", "IMPORTE"))
+            found = documents.withholding_documents(held)
+            own = F.sort_array(F.collect_list(F.struct(*(c for c in found.columns if c not in extracts.PAYMENT)))).alias("retenciones")
+            docs = docs.join(found.groupBy(*extracts.PAYMENT).agg(own), extracts.PAYMENT, "left")
+        return self.step("orden_pago", ("ordenes_pago", docs, extracts.PAYMENT))
 
     def unit_links(self) -> DataFrame:
         """JURISDICCION with the ids of its cost centre, rubro and classification."""
@@ -85,7 +136,7 @@ class Run:
 
     def orders(self) -> dict[str, int]:
         """Send confirmed orders that are new or whose resolved expenses changed, and cancel those sent; register the rest."""
-        key, schema = extracts.ORDER, "EJERCICIO int, UNI_COMPRA int, NRO_OC int"
+        key, schema = extracts.ORDER, ORDER_KEY
         lines = extracts.order_extract(self.changed("orden_compra"), self.tables["OC_ITEMS"], self.tables["SOLIC_GASTOS"])
         suppliers = self.links("proveedores", "COD_PROV int").where("remote_id <> ''")
         expenses = self.links("gasto", "ref string").where("remote_id <> ''")
@@ -97,7 +148,7 @@ class Run:
         decided.write.mode("overwrite").parquet(path := f"{self.folder}/decided/orden_compra/{self.as_of:%Y%m%d_%H%M%S}")
         decided = self.spark.read.parquet(path)
         sent = decided.where("action IN ('create', 'resend', 'cancel')").withColumn("estado_aprobacion", F.when(F.col("action") == "cancel", 4).otherwise(1))
-        self.step("orden_compra", "ordenes_compra", sent.drop("_refs", "_previous", "_id", "_old_refs"), key)
+        self.step("orden_compra", ("ordenes_compra", sent.drop("_refs", "_previous", "_id", "_old_refs"), key))
         now = F.lit(self.as_of).cast("timestamp_ntz")
         links = decided.select(
             *key, F.coalesce("_id", F.lit("")).alias("remote_id"), now.alias("updated_at"), F.nullif(E.date_only("OC_FECH_CONFIRM"), F.lit("")).alias("fech_confirm"),
@@ -105,3 +156,15 @@ class Run:
         )
         self.save_links("orden_compra", key, schema, links)
         return {r["action"]: r["count"] for r in decided.groupBy("action").count().collect()}
+
+    def all(self) -> None:
+        """Every entity in the order of their dependencies; an entity's error does not stop the others."""
+        steps = {"jurisdicciones": self.units, "proveedores": self.suppliers, "ped_items": self.requests, "orden_compra": self.orders, "solic_gastos": self.expenses, "orden_pago": self.payments}
+        failed = {}
+        for entity in RUN_ORDER:
+            try:
+                steps[entity]()
+            except Exception as error:
+                failed[entity] = error
+        if failed:
+            raise RuntimeError(f"failed: {', '.join(failed)}") from next(iter(failed.values()))
