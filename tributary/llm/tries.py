@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 import numpy as np
 
 
@@ -9,7 +11,7 @@ class Trie:
     """Sets with their items in one global order, most frequent first, stored as a prefix tree of runs.
 
     A node covers a range of the sorted sets; its run is what they share beyond its parent. ``shortest`` and ``longest``
-    are the sizes of the sets below it.
+    are the sizes of the sets below it, ``starts`` where its children's ranges begin.
     """
 
     def __init__(self, sets: list[np.ndarray]):
@@ -26,7 +28,7 @@ class Trie:
         self.root = self._node(np.array(common, np.int64), 0, len(own), 0)
 
     def _node(self, common: np.ndarray, lo: int, hi: int, depth: int) -> tuple:
-        """(lo, hi, run, shortest, longest, children) of the sets lo to hi, which share their first ``depth`` items."""
+        """(lo, hi, run, shortest, longest, children, starts) of the sets lo to hi, which share their first ``depth`` items."""
         first = (lo, hi, depth)
         made: dict[tuple, tuple] = {}
         stack = [(first, False)]
@@ -40,37 +42,58 @@ class Trie:
                 stack += [(p, False) for p in parts]
             else:
                 sizes = self.sizes[lo:hi]
-                made[key] = (lo, hi, self.sets[lo][depth:end], int(sizes.min()), int(sizes.max()), [made.pop(p) for p in parts])
+                made[key] = (lo, hi, self.sets[lo][depth:end], int(sizes.min()), int(sizes.max()), [made.pop(p) for p in parts], cuts[:-1])
         return made[first]
 
+    def _filed(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """For each item, where its sets begin in a list of the sets that have it among their n - ceil(t n) + 1 rarest."""
+        rarest = [s[(percent * len(s) + 99) // 100 - 1 :] for s in self.sets]
+        items, owners = np.concatenate(rarest), np.repeat(np.arange(len(rarest)), [len(r) for r in rarest])
+        return np.searchsorted(np.sort(items), np.arange(self.items + 1)), owners[np.argsort(items, kind="stable")]
+
     def linked(self, percent: int, labels: np.ndarray) -> np.ndarray:
         """Labels (one for each set, as given) after joining those of sets a and b with 100 |a & b| >= percent |a | b|.
 
-        Each set walks the tree carrying its overlap with the path. A subtree is left out if all its sets have the
-        walker's label already, if no set in it has a fitting size, or if too much of the path is not shared.
+        Each set walks the tree carrying its overlap with the path, towards the later sets of other labels that share one
+        of their rarest items with it. A subtree is left out if no such set is below it, if none in it has a fitting
+        size, or if too much of the path is not shared.
         """
         labels = labels[self.order].copy()
         mark = np.zeros(self.items, bool)
+        begin, filed = self._filed(percent)
         for k, own in enumerate(self.sets):
-            if (labels == labels[k]).all():
-                break
-            mark[own] = True
             size = len(own)
-            stack = [(self.root, 0, 0)]
+            rarest = own[(percent * size + 99) // 100 - 1 :]
+            rarest = rarest[begin[rarest + 1] - begin[rarest] > 1]
+            if not len(rarest):
+                continue
+            there = np.unique(np.concatenate([filed[a:b] for a, b in zip(begin[rarest].tolist(), begin[rarest + 1].tolist(), strict=True)]))
+            there = there[(there > k) & (labels[there] != labels[k])].tolist()
+            if not there:
+                continue
+            mark[own] = True
+            stack = [(self.root, 0, 0, 0, len(there))]
             while stack:
-                (lo, hi, run, shortest, longest, children), overlap, depth = stack.pop()
-                if hi <= k or 100 * shortest * percent > 10_000 * size or (labels[max(lo, k) : hi] == labels[k]).all():
+                (lo, hi, run, shortest, longest, children, starts), overlap, depth, a, b = stack.pop()
+                if 100 * shortest * percent > 10_000 * size:
                     continue
                 overlap, depth = overlap + int(np.count_nonzero(mark[run])), depth + len(run)
                 # A set of n items below shares n - (depth - overlap) at most: (100 + percent) of that >= percent (n + size).
                 if 100 * longest < percent * size + (100 + percent) * (depth - overlap):
                     continue
                 if children:
-                    stack += [(child, overlap, depth) for child in children]
+                    while a < b:  # the sought sets from a to b, child by child
+                        child = children[bisect_right(starts, there[a]) - 1]
+                        end = bisect_left(there, child[1], a, b)
+                        stack.append((child, overlap, depth, a, end))
+                        a = end
                 elif (100 + percent) * overlap >= percent * (depth + size):
-                    for j in range(max(lo, k + 1), hi):
-                        labels[labels == labels[j]] = labels[k]
+                    for j in there[a:b]:
+                        if labels[j] != labels[k]:
+                            labels[labels == labels[j]] = labels[k]
             mark[own] = False
+            if (labels == labels[0]).all():
+                break
         out = np.empty_like(labels)
         out[self.order] = labels
         return out
