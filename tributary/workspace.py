@@ -21,9 +21,19 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back: any executor can be lost afterwards."""
+    """Write ``df`` as Parquet to the shared folder and read it back: any executor can be lost afterwards.
+
+    The shuffle files of the job that writes it are removed when it ends; nothing reads them again.
+    """
     spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.parquet(path)
+    path, before = new_path(spark, name), spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
