@@ -248,3 +248,21 @@ def test_stream_intake_sees_each_file_once(spark, tmp_path):
     spark.range(3, 5).write.mode("append").parquet(folder)
     take_in(spark, folder, spark.range(1).schema, job, str(tmp_path / "c"))
     assert sorted(seen) == [0, 1, 2, 3, 4]
+
+
+def test_dry_run_keeps_state(spark, tmp_path):
+    tables = _all_tables(spark)
+    run = Run(spark, tables, str(tmp_path), as_of=dt.datetime(2024, 6, 2), dry_run=True)
+    assert run.suppliers() == 1
+    assert run.state().count() == 0 and run.links("proveedores", "COD_PROV int").count() == 0
+    assert '"dry_run":true' in spark.read.text(f"{tmp_path}/payloads/proveedores/20240602_000000/proveedores").first().value
+
+
+def test_failed_step_keeps_the_cursor(spark, tmp_path):
+    tables = _all_tables(spark)
+    Run(spark, tables, str(tmp_path), as_of=dt.datetime(2024, 6, 2)).suppliers()
+    broken = Run(spark, tables | {"PROVEEDORES": tables["PROVEEDORES"].withColumn("FECHA_ULT_COMP", F.lit("2024-07-01").cast("timestamp_ntz")).withColumn("EMAIL", F.raise_error(F.lit("gone")).cast("string"))}, str(tmp_path), as_of=dt.datetime(2024, 6, 3))
+    with pytest.raises(Exception, match="gone"):
+        broken.suppliers()
+    row = broken.state().first()
+    assert row.last_ts == NOW and row.status.startswith("error: ")
