@@ -2,7 +2,8 @@
 
 A text is cut where the tokenizer's own splitting cuts it for certain, and each piece is encoded by the library once:
 a byte-level tokenizer always cuts at a single space or newline between two other characters, one that drops white
-space cuts at all of it. Other tokenizers get the whole text.
+space cuts at all of it, and both cut between a run of letters and the punctuation after it. A run of letters is one
+word to the tokenizer's model, and is given to it directly. Other tokenizers get the whole text.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -22,9 +24,21 @@ _LINES = re.compile(rf"(?<!{_BLANK})\n(?!{_BLANK})(?<!^)(?!\Z)")
 _SPACES = re.compile(rf"(?<!{_BLANK}) (?!{_BLANK})(?<!^)(?!\Z)")
 _SEPARATORS = re.compile(r"[\x1c-\x1f]")
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+#: Letters whose lower case and composition do not depend on their neighbours, then punctuation.
+_LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([-,.!?;:|*#$%&()\"]*)\Z")
 _encoders: dict[str, Encoder] = {}
 
 
+def _byte_characters() -> dict[int, str]:
+    """What stands for each byte in byte-level vocabularies: itself if it can be printed, else the next free character."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(0x100 + n) for n, b in enumerate(hidden)}
+
+
+_BYTES = _byte_characters()
+
+
 class Encoder:
     """``ids(text)``: little-endian unsigned 32-bit ids, as bytes. Special tokens' strings are ordinary text."""
 
@@ -35,42 +49,78 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         told = json.loads(self.tokenizer.to_str())
         before = told["pre_tokenizer"] or {}
+        steps = before.get("pretokenizers", [])
         self.kind = "whole"
         if not told["normalizer"] and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space"):
             self.kind = "bytes"
-        elif before.get("type") == "Sequence" and (first := before["pretokenizers"][0]).get("type") == "Split" and first.get("invert") and first.get("behavior") == "Removed":
+        elif [x["type"] for x in steps] == ["Split", "ByteLevel"] and steps[0].get("invert") and steps[0].get("behavior") == "Removed":
             self.kind = "words"
-        self.known: tuple[dict[str, bytes], dict[str, bytes]] = {}, {}  # pieces, and pieces after a space
-
-    def _encoded(self, pieces: list[str], spaced: bool = False) -> bytes:
-        known = self.known[spaced]
-        missing = list(set(pieces).difference(known))
-        if missing:
-            if len(known) + len(missing) > MOST_PIECES:
-                known.clear()
-                missing = list(set(pieces))
-            texts = [" " + p for p in missing] if spaced else missing
-            for piece, found in zip(missing, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-                known[piece] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(known.__getitem__, pieces))
+        self.lower = self.kind == "words" and "Lowercase" in json.dumps(told["normalizer"])
+        self.model = self.tokenizer.model
+        self.bare: dict[str, bytes] = {}
+        self.spaced: dict[str, bytes] = {}  # pieces with a space before them
+
+    def _encode(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, letters: str, space: bool) -> bytes:
+        known = self.spaced if space else self.bare
+        found = known.get(letters)
+        if found is None:
+            text = (" " if space else "") + (letters.lower() if self.lower else letters)
+            tokens = self.model.tokenize(text.encode().decode("latin-1").translate(_BYTES))
+            found = known[letters] = array("I", [t.id for t in tokens]).tobytes()
+        return found
+
+    def _piece(self, piece: str, space: bool = False) -> bytes:
+        known = self.spaced if space else self.bare
+        found = known.get(piece)
+        if found is None:
+            parts = _LETTERS.match(piece)
+            if not parts:
+                found = self._encode(" " + piece if space else piece)
+            elif parts[2]:
+                found = self._word(parts[1], space) + (self.bare.get(parts[2]) or self._piece(parts[2]))
+            else:
+                found = self._word(piece, space)
+            known[piece] = found
+        return found
+
+    def _lines(self, text: str, space: bool) -> bytes:
+        first, *rest = text.split("\n")
+        return self._piece(first, space) + b"".join(self._piece("\n") + self._piece(x) for x in rest)
 
     def ids(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if len(self.bare) + len(self.spaced) > MOST_PIECES:
+            self.bare.clear()
+            self.spaced.clear()
         if self.kind == "words":
-            return self._encoded(_WORDS.findall(text) if _SEPARATORS.search(text) else text.split())
+            pieces = _WORDS.findall(text) if _SEPARATORS.search(text) else text.split()
+            for piece in set(pieces).difference(self.bare):
+                self._piece(piece)
+            return b"".join(map(self.bare.__getitem__, pieces))
+        if self.kind == "bytes" and not _WIDE_GAP.search(text):
+            first, *pieces = text.split(" ")
+            passing = []
+            for piece in set(pieces).difference(self.spaced):
+                if "\n" in piece:
+                    self.spaced[piece] = self._lines(piece, True)
+                    passing.append(piece)
+                else:
+                    self._piece(piece, True)
+            found = self._lines(first, False) + b"".join(map(self.spaced.__getitem__, pieces))
+            for piece in passing:
+                del self.spaced[piece]
+            return found
         if self.kind == "bytes":
-            plain = not _WIDE_GAP.search(text)
             out = []
-            for n, line in enumerate(text.split("\n") if plain else _LINES.split(text)):
-                first, *rest = line.split(" ") if plain else _SPACES.split(line)
-                if n:
-                    out.append(self._encoded(["\n"]))
-                out.append(self._encoded([first]))
-                if rest:
-                    out.append(self._encoded(rest, spaced=True))
+            for n, line in enumerate(_LINES.split(text)):
+                first, *rest = _SPACES.split(line)
+                out += [self._piece("\n")] * (n > 0) + [self._piece(first)] + [self._piece(x, True) for x in rest]
             return b"".join(out)
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self._encode(text)
 
 
 def encoder(path: str) -> Encoder:
