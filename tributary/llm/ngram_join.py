@@ -1,8 +1,8 @@
 """N-gram Jaccard join with prefix trees.
 
-All sets' n-grams have one global order: those that many documents share last, then by hash. Two sets that are similar
+All sets' n-grams have one global order, the rarest first: by the number of sets that have them, then by hash. Two sets that are similar
 enough share one of the first n - ceil(t n) + 1 of their n items, so that each set is filed under these only; what is
-filed together, and of a fitting size, is a cluster. The sets of a cluster go into a prefix tree, and each walks it with
+filed together, and of a fitting size, is a cluster; passages that many documents share come last and are seldom filed. The sets of a cluster go into a prefix tree, and each walks it with
 its overlap so far, leaving subtrees whose remaining lengths cannot reach the bound. Equal sets are one class throughout.
 
 A cluster of any size is handled: it is cut into blocks that share a few pivot sets, each block has a tree of its own,
@@ -19,15 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.blocks import SENT, answered, block_of, into_blocks, packed_keys, part_of, read_answer, sent, text_slices, unpacked_keys
 from tributary.llm.graph import components
 from tributary.llm.text import Words, shingles, sliced
 from tributary.llm.tries import Trie
 from tributary.workspace import stored
 
-MEASURED = "heavy boolean, doc_id long, n long, key binary"
+MEASURED = "doc_id long, n long, key binary"
 FILED = "part long, items binary, which binary, keys binary, sizes binary"
-HEAVY_IN_TASK, HEAVY_IN_ALL, MOST_HEAVY = 4, 32, 1 << 17
-PENDING = 1 << 20
+MOST_SETS = 254
 
 
 def sets_of(batch: pa.RecordBatch, k: int) -> list[np.ndarray]:
@@ -43,85 +43,74 @@ def key_of(own: np.ndarray) -> bytes:
 
 
 def _measure(k: int):
-    """Each document's set size and key; and n-grams that several sets of a few million n-grams share."""
-
-    def heavy(held: list[np.ndarray]) -> pa.RecordBatch:
-        distinct, n = np.unique(np.concatenate(held), return_counts=True)
-        many = n >= HEAVY_IN_TASK
-        items = distinct[many].view(np.int64)
-        return _rows(True, pa.array(items), n[many], [b""] * len(items))
-
-    def _rows(is_heavy, ids, n, keys):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([is_heavy] * len(n), pa.bool_()), ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(keys, pa.binary())], names=["heavy", "doc_id", "n", "key"]
-        )
-
     def rows(batches):
-        held, size, seen = [], 0, set()
         for batch in batches:
             for part in sliced(batch):
                 sets = sets_of(part, k)
-                keys = [key_of(s) for s in sets]
-                yield _rows(False, part.column("doc_id"), np.array([len(s) for s in sets]), keys)
-                for own, key in zip(sets, keys, strict=True):
-                    if key not in seen and len(own):
-                        seen.add(key)
-                        held.append(own)
-                        size += len(own)
-                if size > 4 * PENDING:
-                    yield heavy(held)
-                    held, size, seen = [], 0, set()
-        if held:
-            yield heavy(held)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([key_of(s) for s in sets], pa.binary())], names=["doc_id", "n", "key"]
+                )
 
     return rows
 
 
-def _file(k: int, percent: int, parts: int, shared):
+def distinct_sets(rows: pa.Table, k: int) -> dict[bytes, np.ndarray]:
+    """The sets of a block by their keys."""
+    found: dict[bytes, np.ndarray] = {}
+    for some in text_slices(rows.select(["text"])):
+        for own in sets_of(some, k):
+            if len(own):
+                found.setdefault(key_of(own), own)
+    return found
+
+
+def _codes(items: np.ndarray, parts: int) -> np.ndarray:
+    """What the frequency of an item is counted by: its part and 32 bits. Items that share a code only share a rank."""
+    return part_of(items, parts) << np.uint64(32) | items & np.uint64(0xFFFFFFFF)
+
+
+def _count(k: int, parts: int):
+    """Ask in how many sets each item of a block is."""
+
+    def ask(rows: pa.Table) -> pa.Table:
+        sets = distinct_sets(rows, k)
+        codes, n = np.unique(_codes(np.concatenate([np.zeros(0, np.uint64), *sets.values()]), parts), return_counts=True)
+        return sent(block_of(rows), codes.astype(np.uint32), codes >> np.uint64(32), n, "count")
+
+    return ask
+
+
+def _add(places: np.ndarray, n: int, counts: np.ndarray) -> np.ndarray:
+    return np.minimum(np.bincount(places, counts, minlength=n), MOST_SETS).astype(np.int64)[places]
+
+
+def _file(k: int, percent: int, parts: int, file_parts: int):
     """File each set under the first items of its global order, in packed rows for each part of the item space."""
 
-    def packed(items, owners, keys, sizes):
+    def file(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        sets = distinct_sets(rows, k)
+        items, owners, keys, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], list(sets), [len(s) for s in sets.values()]
+        codes = np.unique(_codes(np.concatenate([items[0], *sets.values()]), parts))
+        times = read_answer(answers, 0, codes >> np.uint64(32), "count")
+        for n, own in enumerate(sets.values()):
+            filed = len(own) - (percent * len(own) + 99) // 100 + 1
+            first = own[np.argsort(times[np.searchsorted(codes, _codes(own, parts))], kind="stable")[:filed]]
+            items.append(first)
+            owners.append(np.full(filed, n))
         item, owner = np.concatenate(items), np.concatenate(owners)
         order = np.argsort(item, kind="stable")
         item, owner = item[order], owner[order]
-        part = (((item >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+        part = part_of(item, file_parts).astype(np.int64)
         cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        keys, sizes = np.frombuffer(b"".join(keys), "V16"), np.array(sizes, "<u4")
+        key, size = np.frombuffer(b"".join(keys), "V16"), np.array(sizes, "<u4")
         out: list[list] = [[] for _ in range(5)]
-        for a, b in zip(cuts, np.append(cuts[1:], len(part)), strict=True):
+        for a, b in zip(cuts, np.append(cuts[1:], len(part))[: len(cuts)], strict=True):
             docs, which = np.unique(owner[a:b], return_inverse=True)
-            for column, value in zip(out, (int(part[a]), item[a:b].tobytes(), which.astype("<u4").tobytes(), keys[docs].tobytes(), sizes[docs].tobytes()), strict=True):
+            for column, value in zip(out, (int(part[a]), packed_keys(item[a:b]), which.astype("<u4").tobytes(), key[docs].tobytes(), size[docs].tobytes()), strict=True):
                 column.append(value)
-        return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["part", "items", "which", "keys", "sizes"])
+        return pa.table([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["part", "items", "which", "keys", "sizes"])
 
-    def rows(batches):
-        heavy, times = shared.value
-        items, owners, keys, sizes, seen, pending = [], [], [], [], set(), 0
-        for batch in batches:
-            for some in sliced(batch):
-                for own in sets_of(some, k):
-                    n = len(own)
-                    key = key_of(own)
-                    if not n or key in seen:
-                        continue
-                    seen.add(key)
-                    filed = n - (percent * n + 99) // 100 + 1
-                    if len(heavy):
-                        at = np.minimum(np.searchsorted(heavy, own), len(heavy) - 1)
-                        many = np.where(heavy[at] == own, times[at], 0)
-                        own = own[np.argsort(many, kind="stable")]
-                    items.append(own[:filed])
-                    owners.append(np.full(filed, len(keys), np.uint32))
-                    keys.append(key)
-                    sizes.append(n)
-                    pending += filed
-                if pending > PENDING:
-                    yield packed(items, owners, keys, sizes)
-                    items, owners, keys, sizes, seen, pending = [], [], [], [], set(), 0
-        if pending:
-            yield packed(items, owners, keys, sizes)
-
-    return rows
+    return file
 
 
 def _candidates(percent: int):
@@ -131,7 +120,7 @@ def _candidates(percent: int):
         columns = {c: rows.column(c).to_pylist() for c in ("items", "which", "keys", "sizes")}
         keys, sizes = np.frombuffer(b"".join(columns["keys"]), "V16"), np.frombuffer(b"".join(columns["sizes"]), "<u4").astype(np.int64)
         before = np.concatenate([[0], np.cumsum([len(x) // 4 for x in columns["sizes"]])])
-        item = np.frombuffer(b"".join(columns["items"]), "<u8")
+        item = np.concatenate([unpacked_keys(x, "<u8") for x in columns["items"]])
         doc = np.concatenate([np.frombuffer(x, "<u4").astype(np.int64) + n for x, n in zip(columns["which"], before[:-1], strict=True)])
         # One number for each class: the same set may have come from several tasks.
         head = np.ascontiguousarray(keys).view("<u8").reshape(-1, 2)
@@ -204,21 +193,15 @@ def join_similar(
     equal sets are linked; a null id is never a component's smallest, so that component_id is null only where all its
     documents have null ids. Empty tables give no rows; other columns are not read.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = stored(docs.mapInArrow(_measure(k), MEASURED), "measured")
-    heavy = measured.where("heavy").groupBy("doc_id").agg(F.sum("n").alias("n")).where(F.col("n") >= HEAVY_IN_ALL)
-    most = heavy.orderBy(F.desc("n"), "doc_id").limit(MOST_HEAVY).toArrow()
-    items, times = most.column("doc_id").to_numpy().view(np.uint64), most.column("n").to_numpy()
-    order = np.argsort(items)
-    shared = spark.sparkContext.broadcast((items[order], times[order]))
-
-    sizes = measured.where("NOT heavy").select("doc_id", "n", "key")
-    total = sizes.agg(F.sum("n")).first()[0] or 0
-    parts = max(1, math.ceil(total * (100 - percent) / 100 / part_items))
-    filed = docs.mapInArrow(_file(k, percent, parts, shared), FILED)
+    total = measured.agg(F.sum("n")).first()[0] or 0
+    blocked, parts = into_blocks(docs)
+    answers = answered(blocked.groupBy("block").applyInArrow(_count(k, parts), SENT), 0, "<u4", "count", "count", _add)
+    file_parts = max(1, math.ceil(total * (100 - percent) / 100 / part_items))
+    filed = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_file(k, percent, parts, file_parts), FILED)
     near = filed.groupBy("part").applyInArrow(_candidates(percent), "a binary, b binary")
-    classes = sizes.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
+    classes = measured.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
 
     clusters = components(near).select(F.col("node").alias("key"), F.col("label").alias("cluster"))
     inside = stored(clusters.join(classes, "key"), "members")
@@ -240,8 +223,8 @@ def join_similar(
     named = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "doc_id", label.alias("_label"))
     least = named.groupBy("_label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "_label").select("key", "component_id")
-    found = sizes.where("n > 0").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-    return found.unionByName(sizes.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
+    found = measured.where("n > 0").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    return found.unionByName(measured.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
 def _outside(docs, inside, labels, own_block, k, percent, block_sets, block_items) -> DataFrame:
