@@ -178,7 +178,8 @@ def _trees(docs: DataFrame, members: DataFrame, k: int, percent: int, group_item
     total = members.agg(F.sum("n")).first()[0] or 0
     groups = max(1, math.ceil(total / group_items))
     dealt = members.withColumn("_group", F.pmod(F.xxhash64("cluster", "place"), F.lit(groups)))
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(dealt, F.col("_id").eqNullSafe(F.col("doc_id")))
+    # A merge join at every size: members of a small corpus would be broadcast, those of a large one may not be.
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(dealt.hint("merge"), F.col("_id").eqNullSafe(F.col("doc_id")))
     return texts.select("_group", "cluster", "place", "key", "label", "text").groupBy("_group").applyInArrow(_joined(k, percent), "a binary, b binary")
 
 
