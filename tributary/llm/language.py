@@ -8,6 +8,7 @@ text as ambiguous if a second codeword comes close.
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +46,14 @@ def features(words: Words) -> np.ndarray:
     return rows / np.maximum(norms, 1e-9)[:, None]
 
 
+def _few(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of few enough texts that their features take some 8 MB, however short the texts are."""
+    for batch in batches:
+        for part in sliced(batch, column):
+            for lo in range(0, part.num_rows, 512):
+                yield part.slice(lo, 512)
+
+
 def has_letter(words: Words) -> np.ndarray:
     """Whether each document has a letter of any script."""
     seen = np.concatenate([[0], np.cumsum(_ASCII_LETTERS[words.bytes])])
@@ -133,10 +142,9 @@ def train(docs: DataFrame, *, per_language: int = 300, most_languages: int = 100
 
 
 def _featured(batches):
-    for batch in batches:
-        for part in sliced(batch):
-            rows = features(Words(part.column("text"))).astype(np.float16)
-            yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "row"])
+    for part in _few(batches, "text"):
+        rows = features(Words(part.column("text"))).astype(np.float16)
+        yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "row"])
 
 
 def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text", close: float = 0.1, keep: list[str] | None = None) -> DataFrame:
@@ -155,23 +163,22 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
     schema = carried.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False)}).schema
 
     def predict(batches):
-        for batch in batches:
-            for part in sliced(batch, "_text"):
-                words = Words(part.column("_text"))
-                langs = np.full(words.docs, UNKNOWN, object)
-                score, unsure = np.zeros(words.docs), np.zeros(words.docs, bool)
-                known = np.flatnonzero(has_letter(words))
-                if shared.value is not None and len(known):
-                    losses = shared.value.losses(features(words)[known])
-                    odds = np.exp(-8 * (losses - losses.min(1, keepdims=True)))
-                    odds /= odds.sum(1, keepdims=True)
-                    best = losses.argmin(1)
-                    langs[known] = np.array(shared.value.languages, object)[best]
-                    score[known] = odds.max(1)
-                    if losses.shape[1] > 1:
-                        two = np.sort(odds, axis=1)
-                        unsure[known] = two[:, -1] - two[:, -2] < close
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(langs, pa.string()), pa.array(score), pa.array(unsure)], names=names)
+        for part in _few(batches, "_text"):
+            words = Words(part.column("_text"))
+            langs = np.full(words.docs, UNKNOWN, object)
+            score, unsure = np.zeros(words.docs), np.zeros(words.docs, bool)
+            known = np.flatnonzero(has_letter(words))
+            if shared.value is not None and len(known):
+                losses = shared.value.losses(features(words)[known])
+                odds = np.exp(-8 * (losses - losses.min(1, keepdims=True)))
+                odds /= odds.sum(1, keepdims=True)
+                best = losses.argmin(1)
+                langs[known] = np.array(shared.value.languages, object)[best]
+                score[known] = odds.max(1)
+                if losses.shape[1] > 1:
+                    two = np.sort(odds, axis=1)
+                    unsure[known] = two[:, -1] - two[:, -2] < close
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(langs, pa.string()), pa.array(score), pa.array(unsure)], names=names)
 
     return docs.select(F.col(id_col), *(keep or []), F.col(text_col).alias("_text")).mapInArrow(predict, schema)
 
