@@ -184,7 +184,7 @@ def _trees(docs: DataFrame, members: DataFrame, k: int, percent: int, group_item
 
 
 def join_similar(
-    docs: DataFrame, *, k: int = 5, percent: int = 80, block_sets: int = 4096, block_items: int = 1 << 21, part_items: int = 1 << 20, pivots: int = 16
+    docs: DataFrame, *, k: int = 5, percent: int = 80, block_sets: int = 4096, block_items: int = 1 << 21, part_items: int = 1 << 19, pivots: int = 16, block_bytes: int = 4 << 20
 ) -> DataFrame:
     """One row per document of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -197,7 +197,7 @@ def join_similar(
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = stored(docs.mapInArrow(_measure(k), MEASURED), "measured")
     total = measured.agg(F.sum("n")).first()[0] or 0
-    blocked, parts = into_blocks(docs)
+    blocked, parts = into_blocks(docs, block_bytes=block_bytes)
     answers = answered(blocked.groupBy("block").applyInArrow(_count(k, parts), SENT), 0, "<u4", "count", "count", _add)
     file_parts = max(1, math.ceil(total * (100 - percent) / 100 / part_items))
     filed = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_file(k, percent, parts, file_parts), FILED)
