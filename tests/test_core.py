@@ -98,6 +98,20 @@ def test_batches_partition_the_documents(spark):
     assert len(sizes) == 11 and sizes[10] == (3, 1000, 1002) and all(sizes[b] == (100, 100 * b, 100 * b + 99) for b in range(10))
 
 
+def test_batches_of_wide_documents_lose_none(spark):
+    wide = [F.rpad(F.sha2(F.concat(F.lit(str(n)), F.col("id").cast("string")), 512), 128, "x").alias(f"c{n}") for n in range(8)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        numbered = payloads.batch_numbers(spark.range(30_000).select(F.col("id").alias("k"), *wide), ["k"], 100)
+        found = payloads.envelopes(numbered, "pedidos", F.to_json(F.struct("k", *(f"c{n}" for n in range(8)))), dry_run=False, options={})
+        sent = found.select("batch", F.size(F.from_json("payload", "pedidos array<string>")["pedidos"]).alias("n")).collect()
+        wrong = numbered.where(F.col("batch") != F.floor(F.col("k") / 100)).count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted((r.batch, r.n) for r in sent) == [(b, 100) for b in range(300)] and wrong == 0
+
+
 def test_import_results_and_gate(spark):
     body = '{"results": {"gastos": [{"success": true, "id": "5", "external_id": {"n": "1"}}, {"success": false, "id": "6", "external_id": {"n": "2"}}, {"success": true, "external_id": {"n": "3"}}]}}'
     found = payloads.import_results(spark.createDataFrame([(body,)], "body string"), "body", "gastos").collect()

@@ -59,7 +59,7 @@ class Run:
                 numbered = payloads.batch_numbers(docs, key, self.batch)
                 out = payloads.envelopes(numbered, section, F.to_json(F.struct(*docs.columns)), dry_run=self.dry_run, options={"upsert": True})
                 out.select("payload").write.mode("overwrite").text(f"{self.folder}/payloads/{entity}/{self.as_of:%Y%m%d_%H%M%S}/{section}")
-                sent += docs.count()
+                sent += numbered.count()
             if not self.dry_run:
                 seen = incremental.cursor_values(self.changed(entity), ENTITIES[entity])
                 runs = seen.select(F.lit(entity).alias("entity"), "last_id", "last_ts", now.alias("run_at"), F.lit(sent).cast("long").alias("records"))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tributary.workspace import stored
+
 RESULT = "success boolean, id string, external_id map<string,string>"
 
 # The sections of an envelope, in order.
@@ -15,11 +17,12 @@ SECTIONS = ("centros_costo", "rubros", "clasificaciones", "proveedores", "pedido
 def batch_numbers(docs: DataFrame, order: list[str], size: int) -> DataFrame:
     """``docs`` with ``batch``: ``size`` documents each in the order of ``order``, which must be unique.
 
-    Documents are numbered within range partitions, and partitions' sizes are added up: no task sees all rows.
+    Documents are numbered within range partitions, and partitions' sizes are added up: no task sees all rows. The
+    partitions are stored with their numbers: planned twice, they would be coalesced in two ways.
     """
-    ranged = docs.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranged = stored(docs.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
     within = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = within.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = sizes.select("_part", before.alias("_base"))
     number = ((F.col("_base") + F.col("_n") - 1) / size).cast("long")
