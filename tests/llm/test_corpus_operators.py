@@ -144,6 +144,38 @@ def test_ngram_join_of_chains_and_odd_tables(spark, odd):
     assert ngram_join.join_similar(table(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("ids", [lambda n: None, lambda n: n % 3, lambda n: n])
+@pytest.mark.parametrize("how", [{}, {"block_sets": 8, "block_items": 2000, "pivots": 2}])
+def test_ngram_join_fetches_one_text_for_each_member(spark, monkeypatch, ids, how):
+    base = [[f"g{g}t{i}" for i in range(40)] for g in range(2)]
+    texts = [" ".join([*base[n % 2][: 38 - n % 5], f"n{n}"]) for n in range(24)] * 2
+    rows = [ids(n % 24) for n in range(48)]
+    fetched = []
+
+    def joined(k, percent):
+        join = real(k, percent)
+
+        def count(rows):
+            out = join(rows)
+            members = rows.num_rows
+            return pa.table({"a": [*out.column("a").to_pylist(), b"rows"], "b": [*out.column("b").to_pylist(), str(members).encode()]}, schema=pa.schema([("a", pa.binary()), ("b", pa.binary())]))
+
+        return count
+
+    real, trees = ngram_join._joined, ngram_join._trees
+
+    def counted(docs, members, *args):
+        out = trees(docs, members, *args).cache()
+        fetched.append((members.count(), sum(int(r.b) for r in out.where("a = X'726F7773'").collect())))
+        return out.where("a <> X'726F7773'")
+
+    monkeypatch.setattr(ngram_join, "_joined", joined)
+    monkeypatch.setattr(ngram_join, "_trees", counted)
+    found = sorted((tuple(r) for r in ngram_join.join_similar(table(spark, texts, rows), **how).collect()), key=str)
+    assert found == brute_components(texts, rows)
+    assert fetched and all(members == got for members, got in fetched)
+
+
 def test_tries_against_all_pairs():
     rng = np.random.default_rng(1)
     for trial in range(60):

@@ -25,7 +25,7 @@ from tributary.llm.text import Words, shingles, sliced
 from tributary.llm.tries import Trie
 from tributary.workspace import stored
 
-MEASURED = "doc_id long, n long, key binary"
+MEASURED = "doc_id long, digest binary, n long, key binary"
 FILED = "part long, items binary, which binary, keys binary, sizes binary"
 MOST_SETS = 254
 
@@ -48,7 +48,8 @@ def _measure(k: int):
             for part in sliced(batch):
                 sets = sets_of(part, k)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([key_of(s) for s in sets], pa.binary())], names=["doc_id", "n", "key"]
+                    [part.column("doc_id"), part.column("digest"), pa.array([len(s) for s in sets], pa.int64()), pa.array([key_of(s) for s in sets], pa.binary())],
+                    names=["doc_id", "digest", "n", "key"],
                 )
 
     return rows
@@ -156,8 +157,7 @@ def _joined(k: int, percent: int):
         for hi in range(1, len(sets) + 1):
             if hi < len(sets) and (cluster[hi], place[hi]) == (cluster[lo], place[lo]):
                 continue
-            # A row whose text has another set came by a repeated id; one key may have come twice.
-            members = list({keys[n]: n for n in range(lo, hi) if key_of(sets[n]) == keys[n]}.values())
+            members = list({keys[n]: n for n in range(lo, hi)}.values())  # one key may have come twice
             if len(members) > 1:
                 names: dict[bytes, int] = {}
                 start = np.array([names.setdefault(labels[n] or keys[n], len(names)) for n in members])
@@ -173,13 +173,19 @@ def _joined(k: int, percent: int):
     return join
 
 
+def text_digest(column: str = "text"):
+    """128 bits that stand for a text; null for a null text."""
+    return F.unhex(F.md5(F.col(column).cast("binary")))
+
+
 def _trees(docs: DataFrame, members: DataFrame, k: int, percent: int, group_items: int) -> DataFrame:
-    """Edges found by the trees of ``members`` (doc_id, cluster, place, key, label, n), several small trees to a task."""
+    """Edges found by the trees of ``members`` (digest, cluster, place, key, label, n), several small trees to a task."""
     total = members.agg(F.sum("n")).first()[0] or 0
     groups = max(1, math.ceil(total / group_items))
     dealt = members.withColumn("_group", F.pmod(F.xxhash64("cluster", "place"), F.lit(groups)))
     # A merge join at every size: members of a small corpus would be broadcast, those of a large one may not be.
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text").join(dealt.hint("merge"), F.col("_id").eqNullSafe(F.col("doc_id")))
+    # Each digest has one text, whatever ids its documents have: a member gets one row.
+    texts = docs.where(F.col("text").isNotNull()).groupBy(text_digest().alias("digest")).agg(F.first("text").alias("text")).join(dealt.hint("merge"), "digest")
     return texts.select("_group", "cluster", "place", "key", "label", "text").groupBy("_group").applyInArrow(_joined(k, percent), "a binary, b binary")
 
 
@@ -195,17 +201,17 @@ def join_similar(
     documents have null ids. Empty tables give no rows; other columns are not read.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    measured = stored(docs.mapInArrow(_measure(k), MEASURED), "measured")
+    measured = stored(docs.withColumn("digest", text_digest()).mapInArrow(_measure(k), MEASURED), "measured")
     total = measured.agg(F.sum("n")).first()[0] or 0
     blocked, parts = into_blocks(docs, block_bytes=block_bytes)
     answers = answered(blocked.groupBy("block").applyInArrow(_count(k, parts), SENT), 0, "<u4", "count", "count", _add)
     file_parts = max(1, math.ceil(total * (100 - percent) / 100 / part_items))
     filed = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_file(k, percent, parts, file_parts), FILED)
     near = filed.groupBy("part").applyInArrow(_candidates(percent), "a binary, b binary")
-    classes = measured.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
+    classes = measured.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"), F.min("n").alias("n"))
 
     clusters = components(near).select(F.col("node").alias("key"), F.col("label").alias("cluster"))
-    inside = stored(clusters.join(classes, "key"), "members")
+    inside = stored(clusters.join(classes.drop("doc_id"), "key"), "members")
     scale = inside.groupBy("cluster").agg(F.count(F.lit(1)).alias("_sets"), F.sum("n").alias("_items"))
     blocks = F.greatest(F.ceil(F.col("_sets") / block_sets), F.ceil(F.col("_items") / block_items)).cast("int")
     inside = stored(inside.join(scale.select("cluster", "_sets", blocks.alias("_blocks")), "cluster"), "members")
@@ -213,7 +219,7 @@ def join_similar(
     own_block = F.pmod(F.xxhash64("key"), F.col("_blocks")).cast("int")
     several = F.col("_blocks") > 1
     places = F.when(several & (chance < pivots), F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(F.array(own_block))
-    members = inside.select("doc_id", "cluster", F.explode(places).alias("place"), "key", F.lit(None).cast("binary").alias("label"), "n")
+    members = inside.select("digest", "cluster", F.explode(places).alias("place"), "key", F.lit(None).cast("binary").alias("label"), "n")
     links = stored(_trees(docs, members, k, percent, block_items), "links")
     labels = components(links)
     if inside.where(several).limit(1).count():
@@ -240,10 +246,10 @@ def _outside(docs, inside, labels, own_block, k, percent, block_sets, block_item
     size = size.select("cluster", cuts.alias("_cuts"))
     place = lambda block, cut: F.struct(block.alias("block"), cut.alias("cut"))
     all_sets = named.join(size, "cluster").select("*", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)).alias("_cut"))
-    all_sets = all_sets.select("doc_id", "cluster", place(own_block, F.col("_cut")).alias("place"), "key", "label", "n")
+    all_sets = all_sets.select("digest", "cluster", place(own_block, F.col("_cut")).alias("place"), "key", "label", "n")
     own_cut = F.pmod(F.xxhash64("key"), F.col("_cuts")).cast("int")
     outer = outer.join(size, "cluster").select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
-    outer = outer.select("doc_id", "cluster", place(F.col("_block"), own_cut).alias("place"), "key", "label", "n")
+    outer = outer.select("digest", "cluster", place(F.col("_block"), own_cut).alias("place"), "key", "label", "n")
     both = all_sets.unionByName(outer).withColumn("place", F.col("place.block").cast("long") * (1 << 31) + F.col("place.cut"))
     return _trees(docs, both, k, percent, block_items)
 
