@@ -176,6 +176,57 @@ def test_ngram_join_fetches_one_text_for_each_member(spark, monkeypatch, ids, ho
     assert fetched and all(members == got for members, got in fetched)
 
 
+@pytest.mark.parametrize("how", [{}, {"block_bytes": 4000}, {"block_bytes": 1500, "most_blocks": 3, "part_items": 100}])
+def test_ngram_join_files_a_hot_item_once_for_a_block(spark, monkeypatch, tmp_path, how):
+    rng = np.random.default_rng(3)
+    base = [f"t{i}" for i in range(60)]
+    texts = [" ".join([*base[: 58 - n % 7], f"n{n}"]) for n in range(60)] + [" ".join(f"o{x}" for x in rng.integers(0, 30, 12)) for _ in range(20)]
+    texts += [" ".join(base[: 60 - 4 * n]) for n in range(12)]
+    real = ngram_join._candidates
+
+    def candidates(percent):
+        gather = real(percent)
+
+        def noted(rows):
+            times = Counter(np.concatenate([ngram_join.unpacked_keys(x, "<u8") for x in rows.column("items").to_pylist()]).tolist())
+            with (tmp_path / f"{rows.column('part')[0]}").open("w") as f:
+                f.write(str(max(times.values(), default=0)))
+            return gather(rows)
+
+        return noted
+
+    monkeypatch.setattr(ngram_join, "_candidates", candidates)
+    given = table(spark, texts)
+    found = sorted((tuple(r) for r in ngram_join.join_similar(given, **how).collect()), key=str)
+    assert found == brute_components(texts, list(range(len(texts))))
+    blocks = ngram_join.into_blocks(given, block_bytes=how.get("block_bytes", 4 << 20))[1]
+    runs = 3 * (math.ceil(blocks / how["most_blocks"]) if "most_blocks" in how else blocks)
+    assert 1 <= max(int(f.read_text()) for f in tmp_path.iterdir()) <= runs
+
+
+def test_runs_of_runs_are_those_of_the_sets():
+    rng = np.random.default_rng(5)
+    for trial in range(200):
+        n, percent = int(rng.integers(0, 40)), int(rng.choice([50, 80, 100]))
+        item, sizes = rng.integers(0, 3, n).astype(np.uint64), rng.integers(1, 60, n)
+        label = np.arange(n)
+        for x in range(3):
+            own = sorted(np.flatnonzero(item == x), key=lambda i: sizes[i])
+            for a, b in zip(own, own[1:], strict=False):
+                if 100 * sizes[a] >= percent * sizes[b]:
+                    label[label == label[b]] = label[a]
+        got, links, entries = np.arange(n), [], []
+        for salt in range(3):
+            at = np.flatnonzero(np.arange(n) % 3 == salt)
+            i, o, h, a, b = ngram_join._runs(item[at], sizes[at], sizes[at], at, percent)
+            entries.append((i, sizes[o], h, o))
+            links += zip(a, b, strict=True)
+        *_, a, b = ngram_join._runs(*(np.concatenate(x) for x in zip(*entries, strict=True)), percent)
+        for x, y in [*links, *zip(a, b, strict=True)]:
+            got[got == got[y]] = got[x]
+        assert len(set(zip(got.tolist(), label.tolist(), strict=True))) == len(set(label.tolist())) == len(set(got.tolist())), trial
+
+
 def test_tries_against_all_pairs():
     rng = np.random.default_rng(1)
     for trial in range(60):

@@ -19,14 +19,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.blocks import SENT, answered, block_of, into_blocks, packed_keys, part_of, read_answer, sent, text_slices, unpacked_keys
+from tributary.llm.blocks import SENT, answered, block_of, decoded, encoded, into_blocks, packed_keys, part_of, read_answer, sent, text_slices, unpacked_keys
 from tributary.llm.graph import components
-from tributary.llm.text import Words, shingles, sliced
+from tributary.llm.text import Words, mix, shingles, sliced
 from tributary.llm.tries import Trie
 from tributary.workspace import stored
 
 MEASURED = "doc_id long, digest binary, n long, key binary"
-FILED = "part long, items binary, which binary, keys binary, sizes binary"
+FILED = "part long, salt long, items binary, which binary, keys binary, sizes binary, spans binary, links binary"
 MOST_SETS = 254
 
 
@@ -85,59 +85,100 @@ def _add(places: np.ndarray, n: int, counts: np.ndarray) -> np.ndarray:
     return np.minimum(np.bincount(places, counts, minlength=n), MOST_SETS).astype(np.int64)[places]
 
 
-def _file(k: int, percent: int, parts: int, file_parts: int):
-    """File each set under the first items of its global order, in packed rows for each part of the item space."""
+def _runs(item: np.ndarray, low: np.ndarray, high: np.ndarray, owner: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
+    """Chain what is filed under one item while sizes fit, each entry being a set or a run of sets with sizes from low to high.
+
+    Item, smallest owner and largest size of each chain; and for the entries chained to one, its owner and their own.
+    """
+    order = np.lexsort([owner, low, item])
+    item, low, high, owner = item[order], low[order], high[order], owner[order]
+    new = np.ones(len(item), bool)
+    new[1:] = item[1:] != item[:-1]
+    segment = np.cumsum(new) << 34
+    reach = np.maximum.accumulate(segment + high) - segment
+    new[1:] |= 100 * reach[:-1] < percent * low[1:]
+    at = np.flatnonzero(new)
+    high = np.maximum.reduceat(high, at) if len(at) else high
+    return item[at], owner[at], high, owner[at][np.cumsum(new) - 1][~new], owner[~new]
+
+
+def _links(a: np.ndarray, b: np.ndarray, keys: np.ndarray) -> bytes:
+    """The distinct pairs of keys, 16 bytes each."""
+    n = max(len(keys), 1)
+    pairs = np.unique((a * n + b)[a != b])
+    return np.column_stack([keys[pairs // n], keys[pairs % n]]).tobytes()
+
+
+def _packed(item: np.ndarray, owner: np.ndarray, high: np.ndarray, keys: np.ndarray, sizes: np.ndarray, links: bytes, parts: int, part: int, salt: int) -> pa.Table:
+    """Rows of FILED: one for each part of the item space, and one for ``part`` with the links found so far."""
+    own = part_of(item, parts).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(own, prepend=-1))
+    out: list[tuple] = [(part, salt, b"", b"", b"", b"", b"", links)] if links else []
+    for a, b in zip(cuts, np.append(cuts[1:], len(own))[: len(cuts)], strict=True):
+        sets, which = np.unique(owner[a:b], return_inverse=True)
+        spans = encoded(high[a:b] - sizes[owner[a:b]], "count")
+        out.append((int(own[a]), salt, packed_keys(item[a:b]), which.astype("<u4").tobytes(), keys[sets].tobytes(), sizes[sets].astype("<u4").tobytes(), spans, b""))
+    columns = list(zip(*out, strict=True)) or [()] * 8
+    kinds = [pa.int64()] * 2 + [pa.binary()] * 6
+    return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["part", "salt", "items", "which", "keys", "sizes", "spans", "links"])
+
+
+def _unpacked(rows: pa.Table) -> tuple:
+    """Items, owners and largest sizes of rows of FILED, the owners' keys and sizes, and the links found so far."""
+    columns = {c: rows.column(c).to_pylist() for c in ("items", "which", "keys", "sizes", "spans", "links")}
+    keys, sizes = np.frombuffer(b"".join(columns["keys"]), "<u8").reshape(-1, 2), np.frombuffer(b"".join(columns["sizes"]), "<u4").astype(np.int64)
+    before = np.concatenate([[0], np.cumsum([len(x) // 4 for x in columns["sizes"]])])
+    item = np.concatenate([unpacked_keys(x, "<u8") for x in columns["items"]])
+    owner = np.concatenate([np.frombuffer(x, "<u4").astype(np.int64) + n for x, n in zip(columns["which"], before[:-1], strict=True)])
+    high = sizes[owner] + np.concatenate([decoded(x, len(w) // 4, "count") for x, w in zip(columns["spans"], columns["which"], strict=True)])
+    # One number for each class: the same set may have come from several blocks.
+    _, at, same = np.unique(keys[:, 0] ^ (keys[:, 1] * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True)
+    return item, same[owner], high, keys[at], sizes[at], b"".join(columns["links"])
+
+
+def _file(k: int, percent: int, parts: int, file_parts: int, salts: int):
+    """File each set under the first items of its global order: a block sends the runs of each item, and links within them."""
 
     def file(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        sets = distinct_sets(rows, k)
-        items, owners, keys, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], list(sets), [len(s) for s in sets.values()]
+        sets = dict(sorted(distinct_sets(rows, k).items()))
+        items, owners, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], np.array([len(s) for s in sets.values()], np.int64)
         codes = np.unique(_codes(np.concatenate([items[0], *sets.values()]), parts))
         times = read_answer(answers, 0, codes >> np.uint64(32), "count")
         for n, own in enumerate(sets.values()):
             filed = len(own) - (percent * len(own) + 99) // 100 + 1
-            first = own[np.argsort(times[np.searchsorted(codes, _codes(own, parts))], kind="stable")[:filed]]
+            # Parts are ranges of hashes: ties are broken by another hash, or the first parts would get most.
+            first = own[np.lexsort([mix(own), times[np.searchsorted(codes, _codes(own, parts))]])[:filed]]
             items.append(first)
             owners.append(np.full(filed, n))
         item, owner = np.concatenate(items), np.concatenate(owners)
-        order = np.argsort(item, kind="stable")
-        item, owner = item[order], owner[order]
-        part = part_of(item, file_parts).astype(np.int64)
-        cuts = np.flatnonzero(np.diff(part, prepend=-1))
-        key, size = np.frombuffer(b"".join(keys), "V16"), np.array(sizes, "<u4")
-        out: list[list] = [[] for _ in range(5)]
-        for a, b in zip(cuts, np.append(cuts[1:], len(part))[: len(cuts)], strict=True):
-            docs, which = np.unique(owner[a:b], return_inverse=True)
-            for column, value in zip(out, (int(part[a]), packed_keys(item[a:b]), which.astype("<u4").tobytes(), key[docs].tobytes(), size[docs].tobytes()), strict=True):
-                column.append(value)
-        return pa.table([pa.array(out[0], pa.int64()), *(pa.array(x, pa.binary()) for x in out[1:])], names=["part", "items", "which", "keys", "sizes"])
+        keys = np.frombuffer(b"".join(sets), "<u8").reshape(-1, 2)
+        item, owner, high, a, b = _runs(item, sizes[owner], sizes[owner], owner, percent)
+        block = block_of(rows) if rows.num_rows else 0
+        return _packed(item, owner, high, keys, sizes, _links(a, b, keys), file_parts, block % file_parts, block % salts)
 
     return file
 
 
+def _reduced(percent: int, file_parts: int):
+    """Chain the runs of the blocks of one salt."""
+
+    def reduce(rows: pa.Table) -> pa.Table:
+        item, owner, high, keys, sizes, links = _unpacked(rows)
+        item, owner, high, a, b = _runs(item, sizes[owner], high, owner, percent)
+        return _packed(item, owner, high, keys, sizes, links + _links(a, b, keys), file_parts, rows.column("part")[0].as_py(), 0)
+
+    return reduce
+
+
 def _candidates(percent: int):
-    """Of the sets filed under one item, those of fitting sizes, each joined to the smallest of its run of sizes."""
+    """Chain the runs of each item; each set is joined to the smallest of its run, and that to the smallest of its chain."""
 
     def gather(rows: pa.Table) -> pa.Table:
-        columns = {c: rows.column(c).to_pylist() for c in ("items", "which", "keys", "sizes")}
-        keys, sizes = np.frombuffer(b"".join(columns["keys"]), "V16"), np.frombuffer(b"".join(columns["sizes"]), "<u4").astype(np.int64)
-        before = np.concatenate([[0], np.cumsum([len(x) // 4 for x in columns["sizes"]])])
-        item = np.concatenate([unpacked_keys(x, "<u8") for x in columns["items"]])
-        doc = np.concatenate([np.frombuffer(x, "<u4").astype(np.int64) + n for x, n in zip(columns["which"], before[:-1], strict=True)])
-        # One number for each class: the same set may have come from several tasks.
-        head = np.ascontiguousarray(keys).view("<u8").reshape(-1, 2)
-        _, at, same = np.unique(head[:, 0] ^ (head[:, 1] * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True)
-        doc = at[same[doc]]
-        order = np.lexsort([doc, sizes[doc], item])
-        item, doc = item[order], doc[order]
-        again = np.zeros(len(item), bool)
-        again[1:] = (item[1:] == item[:-1]) & (doc[1:] == doc[:-1])
-        item, doc = item[~again], doc[~again]
-        new_run = np.ones(len(item), bool)
-        new_run[1:] = (item[1:] != item[:-1]) | (100 * sizes[doc[:-1]] < percent * sizes[doc[1:]])
-        centre = doc[np.maximum.accumulate(np.where(new_run, np.arange(len(item)), 0))]
-        edges = np.unique(centre[~new_run] * len(keys) + doc[~new_run]) if len(item) else np.zeros(0, np.int64)
-        a, b = edges // max(len(keys), 1), edges % max(len(keys), 1)
-        return pa.table({"a": pa.array([x.tobytes() for x in keys[a]], pa.binary()), "b": pa.array([x.tobytes() for x in keys[b]], pa.binary())})
+        item, owner, high, keys, sizes, links = _unpacked(rows)
+        *_, a, b = _runs(item, sizes[owner], high, owner, percent)
+        both = np.frombuffer(links + _links(a, b, keys), np.uint8).reshape(-1, 2, 16)
+        side = lambda n: pa.Array.from_buffers(pa.binary(16), len(both), [None, pa.py_buffer(both[:, n].tobytes())]).cast(pa.binary())
+        return pa.table({"a": side(0), "b": side(1)})
 
     return gather
 
@@ -190,7 +231,7 @@ def _trees(docs: DataFrame, members: DataFrame, k: int, percent: int, group_item
 
 
 def join_similar(
-    docs: DataFrame, *, k: int = 5, percent: int = 80, block_sets: int = 4096, block_items: int = 1 << 21, part_items: int = 1 << 19, pivots: int = 16, block_bytes: int = 4 << 20
+    docs: DataFrame, *, k: int = 5, percent: int = 80, block_sets: int = 4096, block_items: int = 1 << 21, part_items: int = 1 << 19, pivots: int = 16, block_bytes: int = 4 << 20, most_blocks: int = 1 << 14
 ) -> DataFrame:
     """One row per document of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -206,7 +247,11 @@ def join_similar(
     blocked, parts = into_blocks(docs, block_bytes=block_bytes)
     answers = answered(blocked.groupBy("block").applyInArrow(_count(k, parts), SENT), 0, "<u4", "count", "count", _add)
     file_parts = max(1, math.ceil(total * (100 - percent) / 100 / part_items))
-    filed = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_file(k, percent, parts, file_parts), FILED)
+    # Of each item a block sends runs, not sets; where blocks are many, their runs are chained in two steps.
+    salts = math.ceil(parts / most_blocks)
+    filed = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_file(k, percent, parts, file_parts, salts), FILED)
+    if salts > 1:
+        filed = filed.groupBy("part", "salt").applyInArrow(_reduced(percent, file_parts), FILED)
     near = filed.groupBy("part").applyInArrow(_candidates(percent), "a binary, b binary")
     classes = measured.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"), F.min("n").alias("n"))
 
