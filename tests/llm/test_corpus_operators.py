@@ -1,5 +1,6 @@
 """The corpus operators against brute force on small tables."""
 
+import hashlib
 import math
 import re
 import zlib
@@ -12,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tributary.llm import decontaminate, encoding, language, lm, ngram_join, packing, quality, shards, substrings, text, token_files, tries, urls
 from tributary.llm.graph import components
 
@@ -227,6 +229,29 @@ def test_runs_of_runs_are_those_of_the_sets():
         assert len(set(zip(got.tolist(), label.tolist(), strict=True))) == len(set(label.tolist())) == len(set(got.tolist())), trial
 
 
+def test_stages_decide_by_row(spark, odd, tmp_path):
+    more = [(7, "a b c d e f g"), (7, f"{PASSAGE} one more"), (7, "quite another text of its own"), (5, "the leak is in here"), (5, "but not in this row at all"), (None, "say the leak is in here too"), (None, "x y"), (9, "x y"), (2, "12 34 !!"), (2, "12 34 !!")]
+    docs = odd.union(table(spark, [t for _, t in more], [i for i, _ in more])).select(corpus_pipeline.COLUMNS)
+    spark.createDataFrame([(1, "The leak IS in here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    stages = dict(corpus_pipeline.STAGES)
+    run = lambda name: sorted(((r.doc_id, r.text) for r in stages[name](spark, docs, str(tmp_path)).collect()), key=str)
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert run("language_id") == sorted((r for r in rows if any(c.isalpha() for c in r[1] or "")), key=str)
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if (w := words(t, lower=True)) else None for _, t in rows]
+    label = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if sets[a] and sets[b] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b]):
+                label = [label[a] if x == label[b] else x for x in label]
+    order = lambda r: (r[0] is None, r[0] or 0, hashlib.md5(r[1].encode()).digest())
+    kept = [r for r, own in zip(rows, sets, strict=True) if own is None]
+    kept += [min((r for r, x, own in zip(rows, label, sets, strict=True) if x == one and own), key=order) for one in {x for x, own in zip(label, sets, strict=True) if own}]
+    assert run("ngram_join") == sorted(kept, key=str)
+    cut = brute_repeats([t for _, t in rows], [i for i, _ in rows], 50)
+    assert sorted((i, len(words(t))) for i, t in run("substring_dedup") if i) == sorted((i, n - gone) for i, n, gone, _ in cut if i and (not gone or gone < n))
+    assert run("decontamination") == sorted((r for r in rows if "the leak is in here" not in (r[1] or "")), key=str)
+
+
 def test_tries_against_all_pairs():
     rng = np.random.default_rng(1)
     for trial in range(60):

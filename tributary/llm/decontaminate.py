@@ -84,6 +84,17 @@ class Sketches:
         return out
 
 
+def _blocks(items: DataFrame, k: int, percent: int, block_bytes: int):
+    """The sketches of each block of ``items``, broadcast."""
+    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 64
+    total = items.agg(F.sum(size)).first()[0] or 0
+    blocks = max(1, math.ceil(total / block_bytes))
+    for block in range(blocks):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
+        rows = part.select("item_id", "text").toArrow()
+        yield items.sparkSession.sparkContext.broadcast(Sketches(rows.column(0).to_pylist(), rows.column(1).to_pylist(), k, percent))
+
+
 def find_leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document and contained item: doc_id, item_id, n_shingles (of the item), n_shared.
 
@@ -93,15 +104,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int =
     without words, or with a null text, matches nothing. Repeated documents or items give repeated rows, one per pair of
     rows; null ids are carried as null. Empty tables give no rows.
     """
-    spark = docs.sparkSession
-    size = F.coalesce(F.octet_length("text"), F.lit(0)) + 64
-    total = items.agg(F.sum(size)).first()[0] or 0
-    blocks = max(1, math.ceil(total / block_bytes))
     found = None
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block) if blocks > 1 else items
-        rows = part.select("item_id", "text").toArrow()
-        sketches = spark.sparkContext.broadcast(Sketches(rows.column(0).to_pylist(), rows.column(1).to_pylist(), k, percent))
+    for sketches in _blocks(items, k, percent, block_bytes):
         leaks = docs.select("doc_id", "text").mapInArrow(_leaks_in(sketches), SCHEMA)
         found = leaks if found is None else found.union(leaks)
     return found
@@ -123,7 +127,19 @@ def _leaks_in(sketches):
     return leaks
 
 
-def leak_free(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """``docs`` without the documents that contain an item. Documents with a null id are kept."""
-    leaks = find_leaks(docs, items, **how).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti")
+def _without(sketches):
+    def clean(batches):
+        for batch in batches:
+            for part in sliced(batch):
+                stays = np.ones(part.num_rows, bool)
+                stays[[doc for doc, *_ in sketches.value.found(Words(part.column("text"), lower=True))]] = False
+                yield part.filter(pa.array(stays))
+
+    return clean
+
+
+def leak_free(docs: DataFrame, items: DataFrame, *, k: int = 5, percent: int = 80, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """``docs`` without the rows whose text contains an item. Each row is judged by its own text, whatever its id."""
+    for sketches in _blocks(items, k, percent, block_bytes):
+        docs = docs.mapInArrow(_without(sketches), docs.schema)
+    return docs

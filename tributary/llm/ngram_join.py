@@ -230,17 +230,8 @@ def _trees(docs: DataFrame, members: DataFrame, k: int, percent: int, group_item
     return texts.select("_group", "cluster", "place", "key", "label", "text").groupBy("_group").applyInArrow(_joined(k, percent), "a binary, b binary")
 
 
-def join_similar(
-    docs: DataFrame, *, k: int = 5, percent: int = 80, block_sets: int = 4096, block_items: int = 1 << 21, part_items: int = 1 << 19, pivots: int = 16, block_bytes: int = 4 << 20, most_blocks: int = 1 << 14
-) -> DataFrame:
-    """One row per document of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
-
-    Words are lower-cased in A-Z; two documents link if 100 |a & b| >= percent |a | b| for their sets of distinct k-word
-    shingles (with fewer words, the whole sequence). component_id is the smallest doc_id reachable by links. Without
-    words, or with a null text, the set is empty, linked with nothing, and component_id the own id. Repeated rows and
-    equal sets are linked; a null id is never a component's smallest, so that component_id is null only where all its
-    documents have null ids. Empty tables give no rows; other columns are not read.
-    """
+def _linked(docs: DataFrame, k: int, percent: int, block_sets: int, block_items: int, part_items: int, pivots: int, block_bytes: int, most_blocks: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest, n, key) of each row of ``docs``, and (key, doc_id, _label): the class of each key and its component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = stored(docs.withColumn("digest", text_digest()).mapInArrow(_measure(k), MEASURED), "measured")
     total = measured.agg(F.sum("n")).first()[0] or 0
@@ -272,7 +263,21 @@ def join_similar(
         labels = components(stored(links, "links"))
 
     label = F.coalesce("label", "key")
-    named = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "doc_id", label.alias("_label"))
+    return measured, classes.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "doc_id", label.alias("_label"))
+
+
+def join_similar(
+    docs: DataFrame, *, k: int = 5, percent: int = 80, block_sets: int = 4096, block_items: int = 1 << 21, part_items: int = 1 << 19, pivots: int = 16, block_bytes: int = 4 << 20, most_blocks: int = 1 << 14
+) -> DataFrame:
+    """One row per document of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
+
+    Words are lower-cased in A-Z; two documents link if 100 |a & b| >= percent |a | b| for their sets of distinct k-word
+    shingles (with fewer words, the whole sequence). component_id is the smallest doc_id reachable by links. Without
+    words, or with a null text, the set is empty, linked with nothing, and component_id the own id. Repeated rows and
+    equal sets are linked; a null id is never a component's smallest, so that component_id is null only where all its
+    documents have null ids. Empty tables give no rows; other columns are not read.
+    """
+    measured, named = _linked(docs, k, percent, block_sets, block_items, part_items, pivots, block_bytes, most_blocks)
     least = named.groupBy("_label").agg(F.min("doc_id").alias("component_id"))
     named = named.join(least, "_label").select("key", "component_id")
     found = measured.where("n > 0").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
@@ -299,8 +304,16 @@ def _outside(docs, inside, labels, own_block, k, percent, block_sets, block_item
     return _trees(docs, both, k, percent, block_items)
 
 
-def one_of_each(docs: DataFrame, **how) -> DataFrame:
-    """``docs`` with one document of each component: the one with the smallest id. Documents without words stay."""
-    found = join_similar(docs, **how)
-    gone = found.where("doc_id <> component_id AND n_shingles > 0").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+def one_of_each(docs: DataFrame, *, k: int = 5, percent: int = 80, block_sets: int = 4096, block_items: int = 1 << 21, part_items: int = 1 << 19, pivots: int = 16, block_bytes: int = 4 << 20, most_blocks: int = 1 << 14) -> DataFrame:
+    """``docs`` with one row of each component: the one with the smallest id, null ids being the largest, and the smallest digest.
+
+    Of equal rows one stays. Rows without words all stay.
+    """
+    measured, named = _linked(docs, k, percent, block_sets, block_items, part_items, pivots, block_bytes, most_blocks)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")).alias("first")
+    least = measured.where("n > 0").groupBy("key").agg(first).join(named.select("key", "_label"), "key").groupBy("_label").agg(F.min("first").alias("first"))
+    row = lambda doc_id, digest: F.md5(F.concat(F.coalesce(doc_id.cast("long").cast("string"), F.lit("")), F.lit(" "), F.hex(digest)).cast("binary"))
+    stays = least.select(row(F.col("first.doc_id"), F.col("first.digest")).alias("_row"))
+    some = F.coalesce(F.col("text").rlike("[^ \\t\\n\\x0B\\f\\r]"), F.lit(False))
+    rows = docs.where(some).groupBy(row(F.col("doc_id"), text_digest()).alias("_row")).agg(F.first(F.struct(*docs.columns)).alias("_first"))
+    return rows.join(stays.hint("merge"), "_row").select("_first.*").unionByName(docs.where(~some))
