@@ -404,21 +404,35 @@ def test_judging(spark, docs):
 ODD_TEXTS = ["", "a", "a  b", " a\nb ", "don't  'll\n\nx", "x\u00a0y\x85z \x1c q", "ǅ İ Σς ΑΣ\u0301", "<|endoftext|> <|startoftext|>", "漢字 かな 12 345", "tab\there\r\nnew"]
 
 
+@pytest.mark.parametrize("special_as_text", [False, True])
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
-def test_encoder_gives_the_librarys_ids(name):
+def test_encoder_gives_the_librarys_ids(name, special_as_text):
     path = public_tokenizers.path(name)
     direct = Tokenizer.from_file(path)
-    direct.encode_special_tokens = True
-    own = encoding.Encoder(path)
+    direct.encode_special_tokens = special_as_text
+    own = encoding.Encoder(path, special_as_text)
     rng = np.random.default_rng(2)
-    pieces = ["a", "é", "'s", " ", "  ", "\n", ".", "12", "İ", "\t", "Word", "\u0301", "🙂"]
-    for t in [*ODD_TEXTS, *(x for x in TEXTS if x), *("".join(rng.choice(pieces, 12)) for _ in range(500))]:
-        assert np.frombuffer(own.ids(t), "<u4").tolist() == direct.encode(t, add_special_tokens=False).ids
+    pieces = ["a", "é", "É", "×", "'s", " ", "  ", "\n", ".", "(", "12", "İ", "\t", "Word", "\u0301", "🙂", "\u3000", "\xa0", "\x85", "\x1c", "<|endoftext|>", "\r"]
+    texts = [None, *ODD_TEXTS, *TEXTS, *("".join(rng.choice(pieces, rng.integers(1, 14))) for _ in range(4000))]
+    for end, given in ((None, pa.array(texts, pa.string())), (7, pa.array(["x", *texts], pa.large_string()).slice(1))):
+        ids, bounds = own.encode(given, end)
+        for t, lo, hi in zip(texts, bounds, bounds[1:], strict=False):
+            assert ids[lo:hi].tolist() == direct.encode(t or "", add_special_tokens=False).ids + ([] if end is None else [end])
+    assert own.encode(pa.array([], pa.string()))[0].size == 0
+
+
+def test_encoder_forgets(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    monkeypatch.setattr(encoding, "MOST_PIECES", 10)
+    own, direct = encoding.Encoder(path), Tokenizer.from_file(path)
+    for n in range(5):
+        text = " ".join(f"word{k}" for k in range(n, n + 20))
+        assert own.encode(pa.array([text]))[0].tolist() == direct.encode(text, add_special_tokens=False).ids
+    assert own.begin.n <= 40
 
 
 def encoded(path, texts, end):
     own = Tokenizer.from_file(path)
-    own.encode_special_tokens = True
     return [np.array(own.encode(t or "", add_special_tokens=False).ids + [end], "<u4") for t in texts]
 
 

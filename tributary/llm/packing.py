@@ -14,35 +14,42 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.encoding import encoder
+from tributary.llm.text import mix, run_hashes, sliced
 
 PIECES = "block long, doc_id long, start long, doc_tokens long, loss long, ids binary"
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss long, ids binary"
 PER_BLOCK = 1 << 24
 
 
-def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, blocks: int) -> DataFrame:
-    """Each document's ids with ``end_id``, cut into pieces of ``capacity`` ids at most; all ids bear loss."""
+def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, blocks: int, special_as_text: bool = False) -> DataFrame:
+    """Each document's ids with ``end_id``, cut into pieces of ``capacity`` ids at most; all ids bear loss.
+
+    A piece goes to a block by a hash of its id, place, ids and partition: no row that is repeated falls into one block.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]):
-        encode, end = encoder(tokenizer).ids, np.uint32(end_id).tobytes()
+        own, salt = encoder(tokenizer, special_as_text), np.uint64(TaskContext.get().partitionId())
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                rows: list[list] = [[] for _ in range(6)]
-                some = batch.slice(lo, 256)
-                for doc, text in zip(some.column(0).to_pylist(), some.column(1), strict=True):
-                    ids = encode(text.as_py()) + end
-                    for at in range(0, len(ids), 4 * capacity):
-                        piece = ids[at : at + 4 * capacity]
-                        block = zlib.crc32(f"{doc} {at} {zlib.crc32(piece) if doc is None else ''}".encode()) % blocks
-                        for column, value in zip(rows, (block, doc, at // 4, len(ids) // 4, len(piece) // 4, piece), strict=True):
-                            column.append(value)
-                yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in rows[:5]), pa.array(rows[5], pa.binary())], names=["block", "doc_id", "start", "doc_tokens", "loss", "ids"])
-
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+            for some in sliced(batch):
+                ids, bounds = own.encode(some.column("text"), end_id)
+                sizes = np.diff(bounds)
+                pieces = -(-sizes // capacity)
+                doc = np.repeat(np.arange(len(sizes)), pieces)
+                start = (np.arange(len(doc)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * capacity
+                lo = bounds[doc] + start
+                hi = np.minimum(lo + capacity, bounds[doc + 1])
+                about = mix(some.column("doc_id").fill_null(-1).to_numpy().astype(np.uint64)[doc] + mix(start.astype(np.uint64) + salt))
+                block = (run_hashes(ids.astype(np.uint64) + np.uint64(1), lo, hi) ^ about) % np.uint64(blocks)
+                data = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(np.append(lo, len(ids)) * 4), pa.py_buffer(ids)])
+                columns = [block.astype(np.int64), some.column("doc_id").take(pa.array(doc)), start, sizes[doc], hi - lo, data.cast(pa.binary())]
+                yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x) for x in columns], names=["block", "doc_id", "start", "doc_tokens", "loss", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, PIECES)
 
 
 def fill(lengths: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int], cut: bool) -> list[list[tuple[int, int, int]]]:
