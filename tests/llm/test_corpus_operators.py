@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from tributary.llm import decontaminate, encoding, language, lm, ngram_join, packing, quality, shards, substrings, text, token_files, tries, urls
+from tributary.llm import blocks, decontaminate, encoding, language, lm, ngram_join, packing, quality, shards, substrings, text, token_files, tries, urls
 from tributary.llm.graph import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -565,47 +565,112 @@ def test_codewords_are_apart(n):
 # 10: language model.
 
 
-def brute_scores(texts, ids, held, prior):
+def brute_scores(texts, ids, held):
+    """The same model by recursion over dictionaries of words."""
     split = [words(t, lower=True) + [None] for t in texts]
-    one, two = Counter(), Counter()
+    one, two, three, kept = Counter(), Counter(), Counter(), defaultdict(dict)
     for h, w in zip(held, split, strict=True):
         if not h:
             one.update(w)
             two.update(zip([0, *w], w, strict=False))
+            three.update(zip([0, *w], w, w[1:], strict=False))
+    times, after = Counter(two.values()), Counter(h for h, _ in two)
+    d = round(1024 * min(max(times[1] / (times[1] + 2 * times[2]), 0.1), 0.95)) / 1024 if times[1] + times[2] else 0.5
+    for (u, v, w), c in three.items():
+        if c >= 2:
+            kept[u, v][w] = c
     total, scale = sum(one.values()), sum(one.values()) + 0.1 * (len(one) + 1)
+
+    def chance(w, history=()):
+        if not history:
+            return (one[w] + 0.1) / scale
+        if len(history) == 1:
+            n = one[None] if history[0] == 0 else one[history[0]]
+            if not n:
+                return chance(w)
+            rest = d * after[history[0]] / n * chance(w)
+            return (two[history[0], w] - d) / n + rest if two[history[0], w] else rest
+        if history not in kept:
+            return chance(w, history[1:])
+        n = two[history]
+        rest = (1 - sum(c - d for c in kept[history].values()) / n) * chance(w, history[1:])
+        return (kept[history][w] - d) / n + rest if w in kept[history] else rest
+
     out = []
     for i, h, w in zip(ids, held, split, strict=True):
-        base = [math.log10((one[x] + 0.1) / scale) for x in w]
-        score = 0.0
-        for before, x in zip([0, *w], w, strict=False):
-            c = one[None] if before == 0 else one[before]
-            score += math.log10((two[before, x] + prior * (one[x] + 0.1) / scale) / (c + prior))
-        out.append((i, h, len(w), sum(one[x] > 0 for x in w), total, sum(base), score))
+        known = [0, *w]
+        found = sum(math.log10(chance(x, tuple(known[max(0, n - 1) : n + 1]))) for n, x in enumerate(w))
+        out.append((i, h, len(w), sum(one[x] > 0 for x in w), total, sum(math.log10(chance(x)) for x in w), found))
+    for history in [*list(kept)[:3], *[(h,) for h in list(after)[:3]], ()]:
+        assert not one or math.isclose(sum(chance(w, history) for w in one) + chance("never seen", history), 1)
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [8 << 20, 200])
-def test_scores(docs, block_bytes):
-    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(TEXTS))]
-    rows = sorted(lm.score(docs, held_out=lm.held_out_tenth("doc_id"), prior=3.0, block_bytes=block_bytes).collect(), key=lambda r: r.doc_id)
-    for r, wanted in zip(rows, brute_scores(TEXTS, range(len(TEXTS)), held, 3.0), strict=True):
+MORE = [" ".join(f"r{(7 * i * i + n) % 23}" for i in range(60)) for n in range(4)] * 2 + ["r1 r2 r3 unknown r4 r5", PASSAGE, "r5 r6"]
+
+
+@pytest.mark.parametrize("block_bytes", [4 << 20, 200])
+@pytest.mark.parametrize("texts", [TEXTS, TEXTS + MORE])
+def test_scores(spark, texts, block_bytes):
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))]
+    rows = sorted(lm.score(table(spark, texts).repartition(3), held_out=lm.held_out_tenth("doc_id"), block_bytes=block_bytes).collect(), key=lambda r: r.doc_id)
+    for r, wanted in zip(rows, brute_scores(texts, range(len(texts)), held), strict=True):
         assert tuple(r)[:5] == wanted[:5]
         assert r.base_score == pytest.approx(wanted[5], abs=1e-6) and r.score == pytest.approx(wanted[6], abs=1e-6)
 
 
 def test_scores_of_odd_and_empty_tables(spark, odd):
     rows = odd.collect()
-    found = sorted(lm.score(odd, prior=2.0).collect(), key=str)
-    wanted = sorted(brute_scores([r.text for r in rows], [r.doc_id for r in rows], [False] * len(rows), 2.0), key=lambda r: str(r))
-    assert sorted(round(r.score, 6) for r in found) == pytest.approx(sorted(round(w[6], 6) for w in wanted))
+    found = lm.score(odd).collect()
+    wanted = brute_scores([r.text for r in rows], [r.doc_id for r in rows], [False] * len(rows))
+    assert sorted(r.score for r in found) == pytest.approx(sorted(w[6] for w in wanted))
     assert lm.score(table(spark, [])).count() == 0
     none = lm.score(odd, held_out=F.lit(True)).collect()
     assert {(r.train_tokens, r.n_known) for r in none} == {(0, 0)} and all(math.isfinite(r.score) for r in none)
 
 
-def test_arcs_add_up_to_one():
-    counts = np.array([5, 3, 2])
-    model = lm.Automaton(10, 3, prior=4.0)
-    pairs = np.array([2, 0, 1])
-    weights = model.weights(np.append(pairs, 0), np.full(4, 3), np.append(counts, 0))
-    assert (10.0**weights).sum() == pytest.approx(1.0)
+def test_scores_tell_apart_what_was_seen(spark):
+    rng = np.random.default_rng(8)
+    new = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 60, n))
+    texts = [new(80) for _ in range(120)]
+    twice, fresh = texts[:20], [new(80) for _ in range(20)]
+    all_texts = [*texts, *twice, *fresh]
+    rows = lm.score(table(spark, all_texts), held_out=F.col("doc_id") >= 140).collect()
+    per = {r.doc_id: r.score / r.n_tokens for r in rows}
+    seen, once, unseen = ([per[i] for i in x] for x in (range(20), range(20, 120), range(140, 160)))
+    assert min(seen) > max(once) and np.mean(once) > np.mean(unseen)
+
+
+def automaton(texts, held=()):
+    rows = pa.table({"doc_id": range(len(texts)), "text": texts, "held_out": [i in held for i in range(len(texts))], "block": [0] * len(texts)})
+    block = lm.Block(rows, 1)
+    answers = lambda step, keys, counts: pa.table({"step": [step], "part": [0], "about": [blocks.encoded(lm.summed(np.arange(len(keys)), len(keys), counts), "count")]})
+    block.counted(answers(0, block.keys, block.own_counts()))
+    block.triples()
+    block.kept(answers(1, *block.second()))
+    less = lm.discount(*lm.corpus_counts(block.keys, np.arange(len(block.keys)), block.own_counts())[2:])
+    block.weighed(answers(2, block.heads(), block.masses(less)))
+    total, types, *_ = lm.corpus_counts(block.keys, np.arange(len(block.keys)), block.own_counts())
+    return block, lm.Automaton(block, total, types, less)
+
+
+def test_lanes_lead_to_the_same_states():
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 12, n)) for n in (0, 1, 2, 3, 50, 64, 65, 400)]
+    block, found = automaton(texts, held=(7,))
+    whole = found.walk(block.word, block.first, lane=10_000)
+    for lane in (2, 3, 7, 64):
+        assert found.walk(block.word, block.first, lane=lane) == pytest.approx(whole)
+
+
+def test_arcs_and_failures():
+    block, found = automaton(["a b c", "a b c", "a b d", "x b e"])
+    by = {name: block.word[n] for n, name in enumerate("a b c".split())} | {"e": block.word[-2], "d": block.word[8 + 2], "x": block.word[12]}
+    read = lambda *words: found.step(*[np.array([x]) for x in (read(*words[:-1])[1][0] if words else 0, by[words[-1]])]) if words else (0, [found.start])
+    pair = block.pair[1] + 1
+    assert read("a", "b")[1] == pair and found.fail[pair] == by["b"] + 1 and found.fail[by["b"] + 1] == 0
+    kept, failed, twice = read("a", "b", "c")[0][0], read("a", "b", "d")[0][0], read("a", "b", "x")[0][0]
+    from_b = {w: found.step(np.array([by["b"] + 1]), np.array([by[w]]))[0][0] for w in "cdx"}
+    assert kept > from_b["c"] and failed == pytest.approx(found.fail_weight[pair] + from_b["d"])
+    assert twice == pytest.approx(found.fail_weight[pair] + found.fail_weight[by["b"] + 1] + found.null[by["x"]])
+    assert read("x", "b")[1] == by["b"] + 1  # the pair has no arcs, and is no state

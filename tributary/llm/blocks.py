@@ -20,14 +20,14 @@ from tributary.llm.text import sliced
 
 BLOCK_BYTES = 8 << 20
 SENT = "part long, block long, keys binary, about binary"
-ANSWER = "block long, step int, part long, about binary"
+ANSWER = "block long, step int, part long, about binary, told array<long>"
 
 
 def into_blocks(docs: DataFrame, *columns, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """(block, doc_id, text, columns...) and the number of blocks. Rows with a null id are dealt by their text."""
+    """(block, doc_id, text, columns...) and the number of blocks. Rows are dealt by their id and text together."""
     total = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    key = F.xxhash64(F.lit("block"), F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col)))
+    key = F.xxhash64(F.lit("block"), F.col(id_col), F.col(text_col))
     block = F.pmod(key, F.lit(blocks).cast("long")).alias("block")
     return docs.select(block, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *columns), blocks
 
@@ -89,10 +89,11 @@ def received(rows: pa.Table, key_type: str, kind: str) -> tuple[np.ndarray, np.n
     return np.concatenate(keys), np.concatenate(about), np.cumsum([len(k) for k in keys])
 
 
-def answered(parts: DataFrame, step: int, key_type: str, about_kind: str, answer_kind: str, decide: Callable) -> DataFrame:
+def answered(parts: DataFrame, step: int, key_type: str, about_kind: str, answer_kind: str, decide: Callable, tell: Callable | None = None) -> DataFrame:
     """Gather each part's keys; ``decide(places, n, about)`` gives an array of answers, one for each value that was sent.
 
-    ``places`` numbers the part's distinct keys, ``n`` of them, in the order of the values.
+    ``places`` numbers the part's distinct keys, ``n`` of them, in the order of the values. ``tell(keys, places, about)``
+    gives numbers about the part, which its first row carries in ``told``.
     """
 
     def gather(rows: pa.Table) -> pa.Table:
@@ -107,6 +108,7 @@ def answered(parts: DataFrame, step: int, key_type: str, about_kind: str, answer
                 "step": pa.array(np.full(rows.num_rows, step, np.int32)),
                 "part": rows.column("part"),
                 "about": pa.array([encoded(found[a:b], answer_kind) for a, b in zip(starts, ends, strict=True)], pa.binary()),
+                "told": pa.array([tell(distinct, places, about) if tell and not n else None for n in range(rows.num_rows)], pa.list_(pa.int64())),
             }
         )
 
