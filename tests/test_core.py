@@ -68,27 +68,45 @@ def test_upsert_and_store(spark, tmp_path):
     store.write(reconcile.upsert(store.read(), new, ["k"]))
     store.write(reconcile.upsert(store.read(), new, ["k"]))
     assert store.version() == 3
+    old.write.parquet(str(tmp_path / "s" / "v9"))  # a writer that was lost
+    for _ in range(5):
+        store.write(store.read())
+    assert store.version() == 14 and not (tmp_path / "s" / "v9").exists()
+
+    class Late(reconcile.StateStore):
+        def _path(self, name=""):
+            if name.startswith("new-"):
+                raise AssertionError("not reached")
+            return super()._path(name)
+
+    late = Late(spark, str(tmp_path / "s"))
+    real, late.version = late.version, lambda answers=iter([14, 15]): next(answers)
+    with pytest.raises(RuntimeError, match="another run"):
+        late.write(store.read())
+    assert real() == 14
     assert sorted((r.k, r.v, r.extra) for r in store.read().collect()) == [(1, "a", None), (2, "c", "x"), (3, "d", "y")]
 
 
 @pytest.mark.parametrize(
-    "status, previous, remote, refs, old, resolved, wanted",
+    "status, previous, remote, resolved, sent, wanted",
     [
-        ("R", None, None, "a", None, False, "create"),
-        ("R", "N", "1", "a", "a", False, "create"),
-        ("R", "R", "1", "b", "a", True, "resend"),
-        ("R", "R", "1", "a", "a", True, "same"),
-        ("R", "R", "1", "b", "a", False, "same"),
-        ("A", "R", "1", "a", "a", False, "cancel"),
-        ("A", "R", "", "a", "a", False, "register"),
-        ("A", None, None, "a", None, False, "register"),
-        ("N", None, None, "a", None, True, "register"),
-        (None, "R", "1", "a", None, True, "register"),
+        ("R", None, None, None, None, "create"),
+        ("R", "N", "1", "7", "7", "create"),
+        ("R", "R", "1", "7,8", "7", "resend"),
+        ("R", "R", "1", "7", "", "resend"),
+        ("R", "R", "1", "7", None, "resend"),
+        ("R", "R", "1", "7", "7", "same"),
+        ("R", "R", "1", "", "7", "same"),
+        ("R", "R", "1", None, None, "same"),
+        ("A", "R", "1", None, None, "cancel"),
+        ("A", "R", "", None, None, "register"),
+        ("A", None, None, None, None, "register"),
+        ("N", None, None, "7", None, "register"),
+        (None, "R", "1", "7", None, "register"),
     ],
 )
-def test_order_action(spark, status, previous, remote, refs, old, resolved, wanted):
-    text = lambda x: F.lit(x).cast("string")
-    action = reconcile.order_action(text(status), text(previous), text(remote), text(refs), text(old), F.lit(resolved))
+def test_order_action(spark, status, previous, remote, resolved, sent, wanted):
+    action = reconcile.order_action(*(F.lit(x).cast("string") for x in (status, previous, remote, resolved, sent)))
     assert spark.range(1).select(action.alias("x")).first().x == wanted
 
 
@@ -164,19 +182,106 @@ def test_expense_with_least_supplier_and_trace(spark):
     assert extracts.trace_view(items, sg, oc).count() == 4
 
 
-def test_run_sends_nothing_new_twice(spark, tmp_path):
+def _body(spark, text):
+    return spark.createDataFrame([(text,)], "body string")
+
+
+def _link_supplier(spark, run):
+    run.take_results("proveedores", _body(spark, '{"results": {"proveedores": [{"success": true, "id": "50", "external_id": {"cod_prov": "5"}}]}}'))
+
+
+def _day(spark, tables, folder, day, **how):
+    return Run(spark, tables, str(folder), as_of=dt.datetime(2024, 6, day), batch=1, **how)
+
+
+def _order_tables(spark):
     oc, items, sg = _purchases(spark)
-    tables = {"ORDEN_COMPRA": oc, "OC_ITEMS": items, "SOLIC_GASTOS": sg, "JURISDICCIONES": spark.createDataFrame([("100", "a")], "JURISDICCION string, DENOMINACION string")}
-    run = Run(spark, tables, str(tmp_path), as_of=dt.datetime(2024, 6, 2), batch=1)
-    body = '{"results": {"proveedores": [{"success": true, "id": "50", "external_id": {"cod_prov": "5"}}]}}'
-    run.take_results("proveedores", ["COD_PROV"], "COD_PROV int", spark.createDataFrame([(body,)], "body string"), "proveedores", {"COD_PROV": F.col("external_id")["cod_prov"].try_cast("int")})
+    return {"ORDEN_COMPRA": oc, "OC_ITEMS": items, "SOLIC_GASTOS": sg, "JURISDICCIONES": spark.createDataFrame([("100", "a")], "JURISDICCION string, DENOMINACION string")}
+
+
+ORDER_DONE = '{"stats": {"ordenes_compra": {"ok": 1, "error": 0}}, "results": {"ordenes_compra": [{"success": true, "id": "70", "external_id": {"ejercicio": 2024, "uni_compra": 1, "nro_oc": 10}}]}}'
+
+
+def test_orders_are_kept_only_by_results(spark, tmp_path):
+    tables = _order_tables(spark)
+    run = _day(spark, tables, tmp_path, 2)
+    _link_supplier(spark, run)
     assert run.orders() == {"create": 1}
-    assert run.state().first().last_ts == NOW
-    again = Run(spark, tables, str(tmp_path), as_of=dt.datetime(2024, 6, 3), batch=1)
-    assert again.orders() == {}
+    assert run.state().count() == 0 and run.links("orden_compra").count() == 0
     payload = spark.read.text(f"{tmp_path}/payloads/orden_compra/20240602_000000/ordenes_compra").collect()
     assert len(payload) == 1 and '"ordenes_compra":["{' in payload[0].value
 
+    failing = _day(spark, tables, tmp_path, 3)
+    assert failing.orders() == {"create": 1}  # no result has come
+    with pytest.raises(RuntimeError, match="ordenes_compra"):
+        failing.take_results("orden_compra", _body(spark, ORDER_DONE.replace('"error": 0', '"error": 2')))
+    with pytest.raises(RuntimeError, match="errors"):
+        failing.take_results("orden_compra", _body(spark, ORDER_DONE.replace('"stats"', '"errors": ["x"], "stats"')))
+    assert failing.links("orden_compra").count() == 0
+    assert failing.state().first().status.startswith("error: ") and failing.state().first().last_ts is None
+
+    again = _day(spark, tables, tmp_path, 4)
+    assert again.orders() == {"create": 1}
+    assert again.take_results("orden_compra", _body(spark, ORDER_DONE)) == {"orden_compra": 1}
+    (link,) = again.links("orden_compra").collect()
+    assert (link.NRO_OC, link.remote_id, link.estado_oc, link.cod_prov, link.gasto_refs) == (10, "70", "R", "5", "SG-2024-1-7,SG-2024-1-8")
+    assert (again.state().first().last_ts, again.state().first().status) == (NOW, "ok")
+    assert _day(spark, tables, tmp_path, 5).orders() == {}
+
+
+def test_orders_are_sent_again_once_when_an_expense_resolves(spark, tmp_path):
+    tables = _order_tables(spark)
+    run = _day(spark, tables, tmp_path, 2)
+    _link_supplier(spark, run)
+    run.orders()
+    run.take_results("orden_compra", _body(spark, ORDER_DONE))
+    again = _day(spark, tables, tmp_path, 3)
+    again.reset("orden_compra")
+    assert again.orders() == {"same": 1}
+    gasto = '{"results": {"gastos": [{"success": true, "id": "71", "external_id": {"ejercicio": "2024", "deleg_solic": 1, "nro_solic": 7}}, {"success": true, "id": "9", "external_id": {"nro_solic": 7}}]}}'
+    again.take_results("solic_gastos", _body(spark, gasto))
+    assert {(r.ref, r.remote_id) for r in again.links("gasto").collect()} == {("SG-2024-1-7", "71"), ('{"deleg_solic":1,"ejercicio":2024,"nro_solic":7}', "71")}
+    for day, wanted in ((4, "resend"), (5, "resend"), (6, "same")):
+        late = _day(spark, tables, tmp_path, day)
+        late.reset("orden_compra")
+        assert late.orders() == {wanted: 1}
+        if day == 5:
+            late.take_results("orden_compra", _body(spark, ORDER_DONE))
+    cancelled = tables | {"ORDEN_COMPRA": tables["ORDEN_COMPRA"].withColumn("ESTADO_OC", F.lit("A"))}
+    last = _day(spark, cancelled, tmp_path, 7, cancel_reason="no more")
+    last.reset()
+    assert last.orders() == {"cancel": 1}
+    payload = spark.read.text(f"{tmp_path}/payloads/orden_compra/20240607_000000/ordenes_compra").first().value
+    assert '\\"estado_aprobacion\\":4' in payload and '\\"motivo_rechazo\\":\\"no more\\"' in payload
+
+
+def test_rows_that_arrive_during_a_run_wait_for_the_next(spark, tmp_path):
+    tables = _order_tables(spark)
+    source = str(tmp_path / "source")
+    tables["ORDEN_COMPRA"].write.parquet(source)
+    live = tables | {"ORDEN_COMPRA": spark.read.parquet(source)}
+    run = _day(spark, live, tmp_path, 2)
+    _link_supplier(spark, run)
+    late = tables["ORDEN_COMPRA"].where("NRO_OC = 10").withColumns({"NRO_OC": F.lit(20), "FECH_OC": F.lit("2024-06-02 01:00:00").cast("timestamp_ntz")})
+    real = run.step
+    run.step = lambda *args, **named: (late.write.mode("append").parquet(source), real(*args, **named))[1]
+    assert run.orders() == {"create": 1}
+    run.take_results("orden_compra", _body(spark, ORDER_DONE))
+    assert run.state().first().last_ts == NOW
+    lines = tables["OC_ITEMS"].where("NRO_OC = 10").withColumn("NRO_OC", F.lit(20))
+    after = _day(spark, live | {"ORDEN_COMPRA": spark.read.parquet(source), "OC_ITEMS": tables["OC_ITEMS"].union(lines)}, tmp_path, 3)
+    assert after.orders() == {"create": 1}
+
+
+def test_limits_and_order_lines(spark, tmp_path):
+    tables = _order_tables(spark)
+    tables["ORDEN_COMPRA"] = tables["ORDEN_COMPRA"].withColumn("FECH_OC", F.expr("FECH_OC + make_interval(0, 0, 0, NRO_OC)"))
+    run = _day(spark, tables, tmp_path, 2, limits={"orden_compra": 2})
+    _link_supplier(spark, run)
+    assert run.orders() == {"create": 1} and run.changed("orden_compra").count() == 2
+    assert run.order_lines() == {"create": 1}
+    assert sorted((r.NRO_OC, r.n_lines) for r in spark.read.parquet(f"{tmp_path}/skipped/oc_items/20240602_000000").collect()) == [(11, 1)]
+
 
 def _all_tables(spark):
     oc, items, sg = _purchases(spark)
@@ -197,40 +302,83 @@ def _all_tables(spark):
             [(2024, 1, NOW, 7, None, None, "C", 10.0, None, "c", None)],
             "EJERCICIO int, NRO_OP int, FECH_OP timestamp_ntz, NRO_CANCE int, RECO_DEU_COMPRA int, RECO_DEU_COMPRA_EJER int, ESTADO_OP string, IMPORTE_TOTAL double, FECH_CONFIRM timestamp_ntz, CONCEPTO string, OBSERVACIONES string",
         ),
-        "RETENCIONES": spark.createDataFrame([(2024, 7, 3, "x", 1.25), (2024, 7, 4, "x", 0.0)], "EJERCICIO int, NRO_CANCE int, COD_RET int, CUENTA string, IMPORTE double"),
-        "DEDUCCIONES": spark.createDataFrame([(3, "Ret. IVA")], "CODIGO int, DESCRIPCION string"),
+        "RETENCIONES": spark.createDataFrame([(2024, 7, 3, "x", 1.25), (2024, 7, 4, "x", 0.0), (2024, 7, 5, "x", 2.0), (2024, 7, 6, "x", 3.0)], "EJERCICIO int, NRO_CANCE int, COD_RET int, CUENTA string, IMPORTE double"),
+        "DEDUCCIONES": spark.createDataFrame([(3, "Ret. IVA"), (5, "Other")], "CODIGO int, DESCRIPCION string"),
     }
 
 
 def _result(spark, section, **external):
     pairs = ", ".join(f'"{k}": "{v}"' for k, v in external.items())
-    return spark.createDataFrame([(f'{{"results": {{"{section}": [{{"success": true, "id": "70", "external_id": {{{pairs}}}}}]}}}}',)], "body string")
+    return _body(spark, f'{{"results": {{"{section}": [{{"success": true, "id": "70", "external_id": {{{pairs}}}}}]}}}}')
+
+
+CATALOG = "ordinal int, id string, name string, codename string, codigo string, description string"
 
 
 def test_run_of_all_entities(spark, tmp_path):
     import json
 
-    run = Run(spark, _all_tables(spark), str(tmp_path), as_of=dt.datetime(2024, 6, 2))
+    tables = _all_tables(spark)
+    catalogs = {
+        "tipos_factura": spark.createDataFrame([(0, "4", "fa", "x", None, None)], CATALOG),
+        "tipos_retencion": spark.createDataFrame([(0, "31", "other", "y", "z", None), (1, "32", "n", "6", None, None)], CATALOG),
+        "centros_costo": spark.createDataFrame([(0, "88", "c", None, None, "Jurisdiccion 200")], CATALOG),
+    }
+    run = _day(spark, tables, tmp_path, 2, catalogs=catalogs)
     sent = lambda entity, section, day: [json.loads(d) for r in spark.read.text(f"{tmp_path}/payloads/{entity}/202406{day}_000000/{section}").collect() for d in json.loads(r.value)[section]]
-    run.take_results("proveedores", ["COD_PROV"], "COD_PROV int", _result(spark, "proveedores", cod_prov=5), "proveedores", {"COD_PROV": F.col("external_id")["cod_prov"].try_cast("int")})
+    _link_supplier(spark, run)
     run.all()
-    assert {r.entity: r.status for r in run.state().collect()} == {e: "ok" for e in ("jurisdicciones", "proveedores", "ped_items", "orden_compra", "solic_gastos", "orden_pago")}
-    assert [d["name"] for d in sent("jurisdicciones", "rubros", "02")] == ["a", "200"]
+    assert {r.entity: r.status for r in run.state().collect()} == {"solic_gastos": "ok", "orden_pago": "ok"}  # the others wait for results
+    assert sorted(d["name"] for d in sent("jurisdicciones", "rubros", "02")) == ["200", "a"]
     assert sent("proveedores", "proveedores", "02")[0]["Proveedor"]["iva_condicion_id"] == 1
-    assert len(sent("ped_items", "pedidos", "02")[0]["items"]) == 1
+    (request,) = sent("ped_items", "pedidos", "02")
+    assert len(request["items"]) == 1 and request["centro_costo_id"] == 88
+    assert [(r.JURISDICCION, r.remote_id) for r in run.links("centro_costo").collect()] == [("200", "88")]
     assert [d["NRO_OC"] for d in sent("orden_compra", "ordenes_compra", "02")] == [10]
     assert sent("solic_gastos", "gastos", "02") == [] and sent("orden_pago", "ordenes_pago", "02") == []
-    keys = {c: F.col("external_id")[c.lower()].try_cast("int") for c in extracts.ORDER}
-    later = Run(spark, _all_tables(spark), str(tmp_path), as_of=dt.datetime(2024, 6, 3))
-    later.take_results("orden_compra", extracts.ORDER, "EJERCICIO int, UNI_COMPRA int, NRO_OC int", _result(spark, "ordenes_compra", ejercicio=2024, uni_compra=1, nro_oc=10), "ordenes_compra", keys)
-    assert later.links("orden_compra", "EJERCICIO int, UNI_COMPRA int, NRO_OC int").where("NRO_OC = 10 AND gasto_refs = 'SG-2024-1-7,SG-2024-1-8' AND remote_id = '70'").count() == 1
-    later.store("checkpoints").write(incremental.reset(later.state()))
-    types = spark.createDataFrame([(0, "4", "fa", "x")], "ordinal int, id string, name string, codename string")
-    assert later.expenses(types) == 2 and {d["tipo_factura_id"] for d in sent("solic_gastos", "gastos", "03")} == {4}
-    later.take_results("gasto", ["ref"], "ref string", _result(spark, "gastos", ref="SG-2024-1-7"), "gastos", {"ref": F.col("external_id")["ref"]})
+
+    later = _day(spark, tables, tmp_path, 3, catalogs=catalogs)
+    later.take_results("orden_compra", _body(spark, ORDER_DONE))
+    later.take_results("proveedores", _result(spark, "proveedores", cod_prov=5))
+    later.take_results("ped_items", _result(spark, "pedidos", ejercicio=2024, num_ped=3))
+    later.take_results("jurisdicciones", _body(spark, '{"results": {"rubros": [{"success": true, "id": 0, "external_id": {"jurisdiccion": "100"}}], "clasificaciones": []}}'))
+    assert {r.entity for r in later.state().where("status = 'ok'").collect()} == {"jurisdicciones", "proveedores", "ped_items", "orden_compra", "solic_gastos", "orden_pago"}
+    (supplier,) = later.links("proveedores").collect()
+    assert (supplier.remote_id, supplier.cuit) == ("70", "20123456789")
+    assert [r.remote_id for r in later.links("pedido").collect()] == ["70"] and [r.remote_id for r in later.links("rubro").collect()] == ["0"]
+    assert later.links("orden_compra").where("NRO_OC = 10 AND gasto_refs = 'SG-2024-1-7,SG-2024-1-8' AND remote_id = '70'").count() == 1
+    later.reset()
+    assert {r.status for r in later.report().collect()} == {"pending"}
+    assert later.expenses() == 2 and {d["tipo_factura_id"] for d in sent("solic_gastos", "gastos", "03")} == {4}
+    later.take_results("solic_gastos", _result(spark, "gastos", ejercicio=2024, deleg_solic=1, nro_solic=7))
+    assert {(r.importe_tot, r.cod_prov) for r in later.links("gasto").collect()} == {("9.5", "5")}
+    later.save_links("tipo_retencion", spark.createDataFrame([("3", "30", NOW)], "COD_RET string, remote_id string, updated_at timestamp_ntz"))
     assert later.payments() == 1
     (doc,) = sent("orden_pago", "ordenes_pago", "03")
-    assert doc["gasto_ids"] == [70] and [(w["cod_ret"], w["tipo"]) for w in doc["retenciones"]] == [("3", "iva")]
+    assert doc["gasto_ids"] == [70] and doc["external_id"] == {"ejercicio": 2024, "nro_op": 1}
+    assert [(w["cod_ret"], w["tipo_impuesto_id"]) for w in doc["retenciones"]] == [("3", 30), ("5", 31), ("6", 32)]
+
+
+def test_feed_skips_or_updates_linked_suppliers(spark, tmp_path):
+    tables = _all_tables(spark)
+    tables["PROVEEDORES"] = tables["PROVEEDORES"].union(tables["PROVEEDORES"].withColumns({"COD_PROV": F.lit(6), "CUIT": F.lit("27-00000000-1")}))
+    run = _day(spark, tables, tmp_path, 2)
+    _link_supplier(spark, run)
+    assert run.feed() == {"create": 1, "skip": 1}
+    assert _day(spark, tables, tmp_path, 3, force=True).feed() == {"create": 1, "update": 1}
+    found = _day(spark, tables, tmp_path, 4)
+    assert found.link_existing(spark.createDataFrame([("7", "27000000001"), ("8", None)], "id string, cuit string")) == 1
+    assert found.feed() == {"skip": 2}
+
+
+def test_changed_rows_without_documents_are_an_error(spark, tmp_path):
+    tables = _all_tables(spark)
+    tables["PED_ITEMS"] = tables["PED_ITEMS"].withColumn("CANTIDAD", F.lit(None).cast("double"))
+    assert _day(spark, tables, tmp_path, 2, dry_run=True).requests() == 0
+    run = _day(spark, tables, tmp_path, 3)
+    with pytest.raises(RuntimeError, match="no changed row"):
+        run.requests()
+    assert run.state().first().status.startswith("error: ")
 
 
 def test_payment_documents(spark):
@@ -266,16 +414,22 @@ def test_stream_intake_sees_each_file_once(spark, tmp_path):
 
 def test_dry_run_keeps_state(spark, tmp_path):
     tables = _all_tables(spark)
-    run = Run(spark, tables, str(tmp_path), as_of=dt.datetime(2024, 6, 2), dry_run=True)
+    run = _day(spark, tables, tmp_path, 2, dry_run=True)
     assert run.suppliers() == 1
-    assert run.state().count() == 0 and run.links("proveedores", "COD_PROV int").count() == 0
+    broken = tables | {"PROVEEDORES": tables["PROVEEDORES"].withColumn("EMAIL", F.raise_error(F.lit("gone")).cast("string"))}
+    with pytest.raises(Exception, match="gone"):
+        _day(spark, broken, tmp_path, 3, dry_run=True).suppliers()
+    assert run.state().count() == 0 and run.links("proveedores").count() == 0 and not (tmp_path / "state").exists()
     assert '"dry_run":true' in spark.read.text(f"{tmp_path}/payloads/proveedores/20240602_000000/proveedores").first().value
 
 
 def test_failed_step_keeps_the_cursor(spark, tmp_path):
     tables = _all_tables(spark)
-    Run(spark, tables, str(tmp_path), as_of=dt.datetime(2024, 6, 2)).suppliers()
-    broken = Run(spark, tables | {"PROVEEDORES": tables["PROVEEDORES"].withColumn("FECHA_ULT_COMP", F.lit("2024-07-01").cast("timestamp_ntz")).withColumn("EMAIL", F.raise_error(F.lit("gone")).cast("string"))}, str(tmp_path), as_of=dt.datetime(2024, 6, 3))
+    first = _day(spark, tables, tmp_path, 2)
+    first.suppliers()
+    _link_supplier(spark, first)
+    later = tables["PROVEEDORES"].withColumn("FECHA_ULT_COMP", F.lit("2024-07-01").cast("timestamp_ntz"))
+    broken = _day(spark, tables | {"PROVEEDORES": later.withColumn("EMAIL", F.raise_error(F.lit("gone")).cast("string"))}, tmp_path, 3)
     with pytest.raises(Exception, match="gone"):
         broken.suppliers()
     row = broken.state().first()

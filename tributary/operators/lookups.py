@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tributary.functions.exprs import clean, digits_key, normalize_text
+from tributary.functions.exprs import clean, digits_key, expense_ref, normalize_text, split_list
 
 MOST_BROADCAST_ROWS = 200_000
 
@@ -57,8 +57,6 @@ def match_by_digits(left: DataFrame, left_key: str, right: DataFrame, right_key:
 
 def sent_refs(links: DataFrame, ident: str, refs: str) -> DataFrame:
     """The distinct references of links that have a target id."""
-    from tributary.functions.exprs import split_list
-
     return links.where(F.col(ident).isNotNull() & (F.col(ident) != "")).select(F.explode(split_list(refs)).alias("ref")).distinct()
 
 
@@ -71,3 +69,11 @@ def unmatched(df: DataFrame, key: str, master: DataFrame, master_key: str) -> Da
     """Keys of ``df`` that ``master`` lacks, with their number of rows; null keys are not references."""
     known = master.select(F.col(master_key).alias(key))
     return df.where(F.col(key).isNotNull()).join(known, key, "left_anti").groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def expense_keys(year: Column | str, delegation: Column | str, number: Column | str) -> Column:
+    """The two texts that name an expense: its reference, and its key columns as JSON in the order of their names."""
+    columns = {"deleg_solic": delegation, "ejercicio": year, "nro_solic": number}
+    parts = F.struct(*((F.col(c) if isinstance(c, str) else c).try_cast("long").alias(k) for k, c in columns.items()))
+    ref = expense_ref(parts["ejercicio"], parts["deleg_solic"], parts["nro_solic"])
+    return F.when(ref.isNotNull(), F.array(ref, F.to_json(parts))).otherwise(F.array().cast("array<string>"))

@@ -2,23 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.functions.exprs import status_code
 
 
-def order_action(status: Column, previous: Column, remote_id: Column, refs: Column, old_refs: Column, resolved: Column) -> Column:
+def order_action(status: Column, previous: Column, remote_id: Column, resolved: Column, sent: Column) -> Column:
     """create, resend, same, cancel or register.
 
-    A confirmed order is created unless it was confirmed before; then it is sent again only if it has resolved expenses
-    and its refs have changed. A cancelled order that was sent as confirmed is cancelled. All others are registered.
+    A confirmed order is created unless it was sent as confirmed before; then it is sent again if its ``resolved`` expense
+    ids (a text, empty or null without any) are not those ``sent`` with it (null: unknown). A cancelled order that was sent
+    as confirmed is cancelled. All others are registered.
     """
     now, before = status_code(status), status_code(previous)
-    changed = ~refs.eqNullSafe(old_refs)
+    known = F.coalesce(resolved, F.lit(""))
     return (
         F.when((now == "R") & (before != "R"), "create")
-        .when((now == "R") & resolved & changed, "resend")
+        .when((now == "R") & (known != "") & ~known.eqNullSafe(sent), "resend")
         .when(now == "R", "same")
         .when((now == "A") & (before == "R") & (F.coalesce(remote_id, F.lit("")) != ""), "cancel")
         .otherwise("register")
@@ -48,28 +51,42 @@ def insert_absent(state: DataFrame, rows: DataFrame, key: list[str]) -> DataFram
 
 
 class StateStore:
-    """Versions of a state table in one folder: a version is written whole, then a pointer file names it."""
+    """Versions of a state table in one folder: a version is written whole, then marked as current by renaming a file.
+
+    Readers take the largest marked version. A writer that finds another one marked meanwhile stops, as its table was
+    made from an older state. Of the versions before the current one ``keep`` stay.
+    """
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+    def __init__(self, spark: SparkSession, folder: str, keep: int = 3):
+        self.spark, self.folder, self.keep = spark, folder.rstrip("/"), keep
 
-    def _pointer(self):
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/CURRENT")
+    def _path(self, name: str = ""):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}" if name else self.folder)
         return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def _names(self, start: str) -> list[int]:
+        path, files = self._path()
+        found = [s.getPath().getName() for s in files.listStatus(path)] if files.exists(path) else []
+        return [int(n[len(start) :]) for n in found if n.startswith(start) and n[len(start) :].isdigit()]
+
     def version(self) -> int:
-        path, files = self._pointer()
-        return int(self.spark.read.text(str(path.toString())).first()[0]) if files.exists(path) else 0
+        return max(self._names("current-"), default=0)
 
     def read(self) -> DataFrame | None:
         n = self.version()
         return self.spark.read.parquet(f"{self.folder}/v{n}") if n else None
 
     def write(self, df: DataFrame) -> int:
-        n = self.version() + 1
-        df.write.mode("overwrite").parquet(f"{self.folder}/v{n}")
-        path, files = self._pointer()
-        out = files.create(path, True)
-        out.write(bytearray(str(n).encode()))
-        out.close()
+        before, n = self.version(), 1 + max(self._names("v"), default=0)
+        df.write.parquet(f"{self.folder}/v{n}")
+        if self.version() != before:
+            raise RuntimeError(f"{self.folder} was written by another run")
+        marked, files = self._path(f"new-{uuid.uuid4().hex}")
+        files.create(marked, False).close()
+        if not files.rename(marked, self._path(f"current-{n}")[0]):
+            raise RuntimeError(f"{self.folder} was written by another run")
+        for start in ("current-", "v"):
+            for old in self._names(start):
+                if old < n - self.keep:
+                    files.delete(self._path(f"{start}{old}")[0], True)
         return n

@@ -1,12 +1,16 @@
-"""One incremental run over the purchasing data: units, suppliers, requests, orders, expenses, payments.
+"""Incremental runs over the purchasing data: units, suppliers, requests, orders, order lines, expenses, payments.
 
-Each step reads what changed since its cursor, maps it to documents, decides what to do with them, writes payload files,
-and only then moves its links and its cursor. Results of an import come back through ``take_results``.
+A step reads what changed since its cursor once, maps it to documents, decides what to do with them and writes payload
+files, together with the links that their success would make and the cursor that it would move. Results of the import
+come back through ``take_results``: if they hold errors, nothing is kept and the cursor stays; else the links of what
+succeeded are saved and the cursor moves. A payload whose results never come is built again by the next run.
 """
 
 from __future__ import annotations
 
 import datetime
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,148 +18,293 @@ from pyspark.sql import functions as F
 from tributary.functions import exprs as E
 from tributary.operators import documents, extracts, incremental, lookups, reconcile
 from tributary.sources import payloads
-from tributary.specs import ENTITIES, LINK_COLUMNS, RUN_ORDER
+from tributary.specs import ENTITIES, LINK_COLUMNS, LINK_KEYS, RESULT_SECTIONS, RUN_ORDER, UNIT_KINDS
 
-ORDER_KEY = "EJERCICIO int, UNI_COMPRA int, NRO_OC int"
 LINK = "remote_id string, updated_at timestamp_ntz"
+PENDING = "entity string, stamp string, last_id long, last_ts timestamp_ntz, records long, run_at timestamp_ntz"
 
 
 class Run:
-    """Tables by name in, payload folders and state out. ``tables`` maps source table names to typed DataFrames."""
+    """Tables by name in, payload folders and state out.
 
-    def __init__(self, spark: SparkSession, tables: dict[str, DataFrame], folder: str, *, as_of: datetime.datetime, batch: int = 500, dry_run: bool = False):
+    ``tables`` maps source table names to typed DataFrames; ``catalogs`` those of the target (``centros_costo``,
+    ``tipos_factura``, ``tipos_retencion``: ordinal, id, name, codename, codigo, description). ``limits``: rows that an
+    entity takes at most in one run. ``force``: linked suppliers are updated instead of skipped by ``feed``.
+    """
+
+    def __init__(
+        self, spark: SparkSession, tables: dict[str, DataFrame], folder: str, *, as_of: datetime.datetime, batch: int = 500, dry_run: bool = False, catalogs: dict[str, DataFrame] | None = None,
+        limits: dict[str, int] | None = None, force: bool = False, cancel_reason: str = "cancelled at the source", default_document_type: int | None = None,
+    ):
         self.spark, self.tables, self.folder, self.as_of, self.batch, self.dry_run = spark, tables, folder.rstrip("/"), as_of, batch, dry_run
+        self.catalogs, self.limits, self.force, self.cancel_reason, self.default_document_type = catalogs or {}, limits or {}, force, cancel_reason, default_document_type
+        self.stamp, self.now = f"{as_of:%Y%m%d_%H%M%S}", F.lit(as_of).cast("timestamp_ntz")
+        self.read: dict[str, DataFrame] = {}
+
+    # State.
 
     def store(self, name: str) -> reconcile.StateStore:
         return reconcile.StateStore(self.spark, f"{self.folder}/state/{name}")
 
-    def links(self, name: str, key: str) -> DataFrame:
-        """The link state ``name``: its key columns (a schema string), target id, time and columns of its own."""
-        found = self.store(f"link_{name}").read()
-        wanted = self.spark.createDataFrame([], f"{key}, {LINK}" + "".join(f", {c} string" for c in LINK_COLUMNS[name]))
-        return wanted if found is None else wanted.unionByName(found, allowMissingColumns=True)
+    def table(self, name: str, schema: str) -> DataFrame:
+        found = self.store(name).read()
+        empty = self.spark.createDataFrame([], schema)
+        return empty if found is None else empty.unionByName(found, allowMissingColumns=True)
+
+    def links(self, name: str) -> DataFrame:
+        """The link state ``name``: its key columns, target id, time and columns of its own."""
+        return self.table(f"link_{name}", f"{LINK_KEYS[name]}, {LINK}" + "".join(f", {c} string" for c in LINK_COLUMNS[name]))
 
-    def save_links(self, name: str, key: list[str], schema: str, changes: DataFrame) -> None:
+    def save_links(self, name: str, changes: DataFrame) -> None:
         if not self.dry_run:
-            self.store(f"link_{name}").write(reconcile.upsert(self.links(name, schema), changes, key))
+            self.store(f"link_{name}").write(reconcile.upsert(self.links(name), changes, _key(name)))
 
     def state(self) -> DataFrame:
-        found = self.store("checkpoints").read()
-        return incremental.empty_state(self.spark) if found is None else found
+        return self.table("checkpoints", incremental.STATE)
 
-    def changed(self, entity: str) -> DataFrame:
-        spec = ENTITIES[entity]
-        row = self.state().where(F.col("entity") == entity).first()
-        return incremental.changed_rows(self.tables[spec.table], spec, row, F.lit(self.as_of).cast("timestamp_ntz"))
+    def reset(self, entity: str | None = None) -> None:
+        """The next run of ``entity``, or of all, is full."""
+        self.store("checkpoints").write(incremental.reset(self.state(), entity))
 
-    def step(self, entity: str, *parts: tuple[str, DataFrame, list[str]]) -> int:
-        """Write payloads of the parts (section, documents, key), then move the cursor.
+    def report(self) -> DataFrame:
+        """All entities with their state."""
+        return incremental.status_report(self.spark.createDataFrame([(e,) for e in ENTITIES], "entity string"), self.state())
 
-        On an error the cursor stays and the error is kept; a dry run writes payloads only.
-        """
-        now, sent = F.lit(self.as_of).cast("timestamp_ntz"), 0
+    # One step.
+
+    @contextmanager
+    def attempt(self, entity: str) -> Iterator[None]:
+        """On an error the cursor stays and the error is kept; a dry run keeps nothing."""
         try:
-            for section, docs, key in parts:
-                numbered = payloads.batch_numbers(docs, key, self.batch)
-                out = payloads.envelopes(numbered, section, F.to_json(F.struct(*docs.columns)), dry_run=self.dry_run, options={"upsert": True})
-                out.select("payload").write.mode("overwrite").text(f"{self.folder}/payloads/{entity}/{self.as_of:%Y%m%d_%H%M%S}/{section}")
-                sent += numbered.count()
-            if not self.dry_run:
-                seen = incremental.cursor_values(self.changed(entity), ENTITIES[entity])
-                runs = seen.select(F.lit(entity).alias("entity"), "last_id", "last_ts", now.alias("run_at"), F.lit(sent).cast("long").alias("records"))
-                self.store("checkpoints").write(incremental.succeeded(self.state(), runs))
-            return sent
+            yield
         except Exception as error:
-            self.store("checkpoints").write(incremental.failed(self.state(), entity, str(error)))
+            if not self.dry_run:
+                self.store("checkpoints").write(incremental.failed(self.state(), entity, str(error)))
             raise
 
-    def take_results(self, name: str, key: list[str], schema: str, results: DataFrame, section: str, columns: dict[str, Column]) -> None:
-        """Upsert target ids from import results (``body``: JSON): ``columns`` gives the key columns from external_id.
+    def written(self, df: DataFrame, kind: str, name: str) -> DataFrame:
+        """``df``, written for this run and read back: what is derived from it sees one state of a live source."""
+        path = f"{self.folder}/{kind}/{name}/{self.stamp}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
-        The other columns of a link stay as they are.
+    def changed(self, entity: str) -> DataFrame:
+        if entity not in self.read:
+            spec = ENTITIES[entity]
+            row = self.state().where(F.col("entity") == entity).first()
+            rows = incremental.changed_rows(self.tables[spec.table], spec, row, self.now)
+            if entity in self.limits:
+                rows = incremental.limited(rows, spec.id_column or spec.ts_column, spec.key, self.limits[entity])
+            self.read[entity] = self.written(rows, "changed", entity)
+        return self.read[entity]
+
+    def step(self, entity: str, *parts: tuple[str, DataFrame, list[str]], links: dict[str, DataFrame] | None = None, needs_documents: bool = False) -> int:
+        """Write payloads of the parts (section, documents, key) and what their success would make of ``links``.
+
+        A step with nothing to send moves the cursor at once. ``needs_documents``: changed rows that make no document
+        are an error, unless in a dry run.
+        """
+        sent = 0
+        for section, docs, key in parts:
+            numbered = payloads.batch_numbers(docs, key, self.batch)
+            out = payloads.envelopes(numbered, section, F.to_json(F.struct(*docs.columns)), dry_run=self.dry_run, options={"upsert": True})
+            out.select("payload").write.mode("overwrite").text(f"{self.folder}/payloads/{entity}/{self.stamp}/{section}")
+            sent += numbered.count()
+        seen = incremental.cursor_values(self.changed(entity), ENTITIES[entity])
+        if self.dry_run:
+            return sent
+        runs = seen.select(F.lit(entity).alias("entity"), F.lit(self.stamp).alias("stamp"), "last_id", "last_ts", F.lit(sent).cast("long").alias("records"), self.now.alias("run_at"), F.col("records").alias("_read"))
+        if needs_documents and not sent and runs.first()["_read"]:
+            raise RuntimeError(f"{entity}: no changed row makes a document")
+        for name, rows in (links or {}).items():
+            self.written(rows, "sent", name)
+        pending = self.table("pending", PENDING).where(F.col("entity") != entity)
+        if sent:
+            self.store("pending").write(pending.unionByName(runs.drop("_read")))
+        else:
+            self.store("pending").write(pending)
+            self.store("checkpoints").write(incremental.succeeded(self.state(), runs.drop("_read", "stamp")))
+        return sent
+
+    def take_results(self, entity: str, results: DataFrame) -> dict[str, int]:
+        """Take in the import results (``body``: JSON) of the payload that ``entity`` has pending: links saved, by state.
+
+        Errors in them stop here: no link is saved and the cursor stays.
         """
-        found = payloads.import_results(results, "body", section).select(*(c.alias(k) for k, c in columns.items()), F.col("id").alias("remote_id"), F.lit(self.as_of).cast("timestamp_ntz").alias("updated_at"))
-        known = self.links(name, schema).drop("remote_id", "updated_at")
-        self.save_links(name, key, schema, found.dropna(subset=key).join(known, key, "left"))
+        with self.attempt(entity):
+            payloads.raise_on_errors(payloads.result_errors(results, "body"), "section", "errors")
+            pending = self.table("pending", PENDING)
+            own = pending.where(F.col("entity") == entity)
+            row, saved = own.first(), {}
+            for section, name in RESULT_SECTIONS[entity]:
+                saved[name] = self._take_section(name, payloads.import_results(results, "body", section), row and row["stamp"])
+            if row and not self.dry_run:
+                self.store("checkpoints").write(incremental.succeeded(self.state(), own.drop("stamp")))
+                self.store("pending").write(pending.where(F.col("entity") != entity))
+            return saved
+
+    def _take_section(self, name: str, found: DataFrame, stamp: str | None) -> int:
+        """Save the links of ``found``; their other columns are those of what was sent, or else stay as they are."""
+        key, kinds = _key(name), dict(x.split() for x in LINK_KEYS[name].split(", "))
+        external = F.col("external_id")
+        if name == "gasto":
+            columns = {"ref": F.explode(lookups.expense_keys(*(external[c.lower()] for c in extracts.EXPENSE)))}
+        else:
+            columns = {k: external[k.lower()].try_cast(kinds[k]) for k in key}
+        links = found.select(F.col("id").alias("remote_id"), *(c.alias(k) for k, c in columns.items())).dropna(subset=key)
+        links = self.written(links.groupBy(*key).agg(F.max("remote_id").alias("remote_id")).withColumn("updated_at", self.now), "results", name)
+        own = list(LINK_COLUMNS[name])
+        if own:
+            rest = self.links(name).select(*key, *own)
+            path = f"{self.folder}/sent/{name}/{stamp}"
+            if stamp and self._exists(path):
+                sent = self.spark.read.parquet(path)
+                rest = rest.join(sent.select(*key), key, "left_anti").unionByName(sent)
+            links = links.join(rest, key, "left")
+        self.save_links(name, links)
+        return links.count()
+
+    def _exists(self, path: str) -> bool:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(where)
+
+    # The entities.
 
     def units(self) -> int:
-        rows = documents.units(self.changed("jurisdicciones"))
-        kinds = (("centro_costo", "centros_costo"), ("rubro", "rubros"), ("clasificacion", "clasificaciones"))
-        return self.step("jurisdicciones", *((section, rows.where(F.col("kind") == kind).drop("kind"), ["code"]) for kind, section in kinds))
+        with self.attempt("jurisdicciones"):
+            rows = documents.units(self.changed("jurisdicciones"))
+            own = rows.withColumn("external_id", F.struct(F.col("code").alias("jurisdiccion")))
+            return self.step("jurisdicciones", *((section, own.where(F.col("kind") == kind).drop("kind"), ["code"]) for kind, section in UNIT_KINDS))
+
+    def _supplier_links(self, rows: DataFrame) -> DataFrame:
+        state = F.col("COD_ESTADO") if "COD_ESTADO" in rows.columns else F.lit(None)
+        return rows.dropna(subset=["COD_PROV"]).groupBy(F.col("COD_PROV").cast("int").alias("COD_PROV")).agg(F.max(E.digits_key("CUIT")).alias("cuit"), F.max(state.cast("string")).alias("cod_estado"))
 
     def suppliers(self) -> int:
-        docs = documents.suppliers(self.changed("proveedores")).withColumn("cod_prov", F.col("external_id.cod_prov"))
-        return self.step("proveedores", ("proveedores", docs, ["cod_prov"]))
+        with self.attempt("proveedores"):
+            rows = self.changed("proveedores")
+            docs = documents.suppliers(rows).withColumn("cod_prov", F.col("external_id.cod_prov"))
+            return self.step("proveedores", ("proveedores", docs, ["cod_prov"]), links={"proveedores": self._supplier_links(rows)})
+
+    def feed(self) -> dict[str, int]:
+        """Suppliers one by one: new ones are created, linked ones updated if forced, else skipped."""
+        with self.attempt("proveedores"):
+            rows = self.changed("proveedores")
+            linked = self.links("proveedores").where("remote_id <> ''").select(F.col("COD_PROV").alias("cod_prov"), F.col("remote_id"))
+            docs = documents.suppliers(rows).withColumn("cod_prov", F.col("external_id.cod_prov")).join(linked, "cod_prov", "left")
+            decided = self.written(docs.withColumn("action", reconcile.feed_action(F.col("remote_id").isNotNull(), F.lit(self.force))), "decided", "feed")
+            self.step("proveedores", ("proveedores", decided.where("action <> 'skip'"), ["cod_prov"]), links={"proveedores": self._supplier_links(rows)})
+            return _counts(decided)
+
+    def link_existing(self, directory: DataFrame, tax: str = "cuit", ident: str = "id") -> int:
+        """Link changed suppliers without a link to the target's ``directory`` by their tax ids."""
+        rows = self._supplier_links(self.changed("proveedores")).join(self.links("proveedores").where("remote_id <> ''"), "COD_PROV", "left_anti")
+        found = lookups.match_by_digits(rows, "cuit", directory, tax, ident, "remote_id").where("remote_id IS NOT NULL")
+        found = self.written(found.withColumns({"remote_id": F.col("remote_id").cast("string"), "updated_at": self.now}), "results", "directory")
+        self.save_links("proveedores", found)
+        return found.count()
 
     def requests(self) -> int:
-        lines = extracts.request_line_extract(self.changed("ped_items"), self.tables["PEDIDOS"])
-        return self.step("ped_items", ("pedidos", documents.request_documents(lines, self.unit_links()), extracts.REQUEST))
-
-    def expenses(self, document_types: DataFrame | None = None, default_type: int | None = None) -> int:
-        """Expenses that sent orders refer to; ``document_types`` is a catalog (ordinal, id, name, codename)."""
-        rows = extracts.expense_extract(self.changed("solic_gastos"), self.tables["OC_ITEMS"], self.tables["ORDEN_COMPRA"])
-        orders = self.links("orden_compra", ORDER_KEY)
-        rows = lookups.with_sent_refs(rows, E.expense_ref(*extracts.EXPENSE), orders, "remote_id", "gasto_refs")
-        kind = None
-        if document_types is not None:
-            attempts = [(F.col("TIPO_DOC"), lookups.text_index(document_types, c)) for c in ("codename", "name")]
-            rows, kind = lookups.resolve_text(rows, attempts, "_type", default=default_type), F.col("_type")
-        docs = documents.expense_documents(rows, kind, self.unit_links(), self.links("proveedores", "COD_PROV int").where("remote_id <> ''"))
-        return self.step("solic_gastos", ("gastos", docs, extracts.EXPENSE))
+        with self.attempt("ped_items"):
+            lines = extracts.request_line_extract(self.changed("ped_items"), self.tables["PEDIDOS"])
+            docs = documents.request_documents(lines, self.unit_links()).withColumn("external_id", _external(extracts.REQUEST))
+            return self.step("ped_items", ("pedidos", docs, extracts.REQUEST), needs_documents=True)
+
+    def expenses(self) -> int:
+        """Expenses that sent orders refer to."""
+        with self.attempt("solic_gastos"):
+            rows = extracts.expense_extract(self.changed("solic_gastos"), self.tables["OC_ITEMS"], self.tables["ORDEN_COMPRA"])
+            ref = E.expense_ref(*extracts.EXPENSE)
+            rows = lookups.with_sent_refs(rows, ref, self.links("orden_compra"), "remote_id", "gasto_refs")
+            types, kind = self.catalogs.get("tipos_factura"), None
+            if types is not None:
+                attempts = [(F.col("TIPO_DOC"), lookups.text_index(types, c)) for c in ("codename", "name")]
+                rows, kind = lookups.resolve_text(rows, attempts, "_type", default=self.default_document_type), F.col("_type")
+            docs = documents.expense_documents(rows, kind, self.unit_links(), self.links("proveedores").where("remote_id <> ''")).withColumn("external_id", _external(extracts.EXPENSE))
+            own = rows.select(
+                F.explode(lookups.expense_keys(*extracts.EXPENSE)).alias("ref"),
+                E.status_code("ESTADO_SOLIC").alias("estado_solic"), F.col("IMPORTE_TOT").cast("string").alias("importe_tot"), F.col("OC_COD_PROV").cast("string").alias("cod_prov"),
+            )
+            return self.step("solic_gastos", ("gastos", docs, extracts.EXPENSE), links={"gasto": own})
 
     def payments(self) -> int:
         """Payments with a resolved expense, found by number or trace, else by the order settled; with withholdings."""
-        rows, lines, expenses = self.changed("orden_pago"), self.tables["OC_ITEMS"], self.tables["SOLIC_GASTOS"]
-        trace = extracts.trace_view(lines, expenses, self.tables["ORDEN_COMPRA"], self.tables.get("PEDIDOS"))
-        direct = extracts.payment_refs(rows, expenses, trace)
-        orders = self.links("orden_compra", ORDER_KEY).select("EJERCICIO", "NRO_OC", E.split_list("gasto_refs").alias("refs"))
-        links = self.links("gasto", "ref string").where("remote_id <> ''")
-        docs = documents.payment_documents(rows, direct, extracts.fallback_refs(rows, orders), links)
-        if self.tables.get("RETENCIONES") is not None:
-            held = rows.select(*extracts.PAYMENT, "NRO_CANCE").join(self.tables["RETENCIONES"], ["EJERCICIO", "NRO_CANCE"])
-            codes = self.tables.get("DEDUCCIONES")
-            if codes is not None:
-                held = held.join(codes.select(F.col("CODIGO").alias("COD_RET"), "DESCRIPCION").dropDuplicates(["COD_RET"]), "COD_RET", "left")
-            else:
-                held = held.withColumn("DESCRIPCION", F.lit(None).cast("string"))
-            types = self.links("tipo_retencion", "COD_RET string").select(F.col("COD_RET").alias("_code"), E.to_int("remote_id").alias("tipo_impuesto_id"))
-            held = held.join(types, F.col("COD_RET").cast("string") == F.col("_code"), "left").withColumn("ordinal", F.struct("CUENTA", "IMPORTE"))
-            found = documents.withholding_documents(held)
-            own = F.sort_array(F.collect_list(F.struct(*(c for c in found.columns if c not in extracts.PAYMENT)))).alias("retenciones")
-            docs = docs.join(found.groupBy(*extracts.PAYMENT).agg(own), extracts.PAYMENT, "left")
-        return self.step("orden_pago", ("ordenes_pago", docs, extracts.PAYMENT))
+        with self.attempt("orden_pago"):
+            rows, lines, expenses = self.changed("orden_pago"), self.tables["OC_ITEMS"], self.tables["SOLIC_GASTOS"]
+            trace = extracts.trace_view(lines, expenses, self.tables["ORDEN_COMPRA"], self.tables.get("PEDIDOS"))
+            direct = extracts.payment_refs(rows, expenses, trace)
+            orders = self.links("orden_compra").select("EJERCICIO", "NRO_OC", E.split_list("gasto_refs").alias("refs"))
+            links = self.links("gasto").where("remote_id <> ''")
+            docs = documents.payment_documents(rows, direct, extracts.fallback_refs(rows, orders), links).withColumn("external_id", _external(extracts.PAYMENT))
+            if self.tables.get("RETENCIONES") is not None:
+                found = documents.withholding_documents(self.withholdings(rows))
+                own = F.sort_array(F.collect_list(F.struct(*(c for c in found.columns if c not in extracts.PAYMENT)))).alias("retenciones")
+                docs = docs.join(found.groupBy(*extracts.PAYMENT).agg(own), extracts.PAYMENT, "left")
+            sent = rows.dropna(subset=extracts.PAYMENT).groupBy(*extracts.PAYMENT).agg(F.max(E.status_code("ESTADO_OP")).alias("estado_op"), F.max(F.col("IMPORTE_TOTAL").cast("string")).alias("importe_total"))
+            return self.step("orden_pago", ("ordenes_pago", docs, extracts.PAYMENT), links={"orden_pago": sent})
+
+    def withholdings(self, payments: DataFrame) -> DataFrame:
+        """Withholdings of ``payments`` with the id of their type: by a link of the code, else from the catalog by code or name."""
+        held = payments.select(*extracts.PAYMENT, "NRO_CANCE").join(self.tables["RETENCIONES"], ["EJERCICIO", "NRO_CANCE"])
+        codes, types = self.tables.get("DEDUCCIONES"), self.catalogs.get("tipos_retencion")
+        if codes is not None:
+            held = held.join(codes.select(F.col("CODIGO").alias("COD_RET"), "DESCRIPCION").dropDuplicates(["COD_RET"]), "COD_RET", "left")
+        else:
+            held = held.withColumn("DESCRIPCION", F.lit(None).cast("string"))
+        linked = self.links("tipo_retencion").select(F.col("COD_RET").alias("_code"), E.to_int("remote_id").alias("_linked"))
+        held = held.join(linked, E.clean(F.col("COD_RET").cast("string")) == F.col("_code"), "left")
+        attempts = [] if types is None else [(F.col("COD_RET").cast("string"), lookups.text_index(types, "codigo")), (F.col("COD_RET").cast("string"), lookups.text_index(types, "codename")), (F.col("DESCRIPCION"), lookups.text_index(types, "name"))]
+        held = lookups.resolve_text(held, attempts, "_found") if attempts else held.withColumn("_found", F.lit(None).cast("int"))
+        return held.withColumn("tipo_impuesto_id", F.coalesce("_linked", "_found")).withColumn("ordinal", F.struct("CUENTA", "IMPORTE"))
 
     def unit_links(self) -> DataFrame:
-        """JURISDICCION with the ids of its cost centre, rubro and classification."""
-        key = "JURISDICCION string"
+        """JURISDICCION with the ids of its cost centre, rubro and classification.
+
+        Cost centres that only the catalog knows, by the unit in their description, are linked from it first.
+        """
+        catalog = self.catalogs.get("centros_costo")
+        if catalog is not None and not self.dry_run:
+            known = self.links("centro_costo")
+            rows = lookups.described_codes(catalog, documents.UNIT_TEXT).select(F.col("code").alias("JURISDICCION"), F.col("id").cast("string").alias("remote_id"), self.now.alias("updated_at"))
+            rows = rows.where(E.to_int("remote_id").isNotNull())
+            if rows.join(known.where("remote_id <> ''"), "JURISDICCION", "left_anti").limit(1).count():
+                self.store("link_centro_costo").write(reconcile.insert_absent(known.where("remote_id <> ''"), rows, ["JURISDICCION"]))
         out = self.tables["JURISDICCIONES"].select(E.clean("JURISDICCION").alias("JURISDICCION")).dropna().distinct()
-        for name in ("centro_costo", "rubro", "clasificacion"):
-            ids = self.links(name, key).select("JURISDICCION", E.to_int("remote_id").alias(f"{name}_id"))
+        for name, _ in UNIT_KINDS:
+            ids = self.links(name).select("JURISDICCION", E.to_int("remote_id").alias(f"{name}_id"))
             out = out.join(ids, "JURISDICCION", "left")
         return out
 
     def orders(self) -> dict[str, int]:
-        """Send confirmed orders that are new or whose resolved expenses changed, and cancel those sent; register the rest."""
-        key, schema = extracts.ORDER, ORDER_KEY
-        lines = extracts.order_extract(self.changed("orden_compra"), self.tables["OC_ITEMS"], self.tables["SOLIC_GASTOS"])
-        suppliers = self.links("proveedores", "COD_PROV int").where("remote_id <> ''")
-        expenses = self.links("gasto", "ref string").where("remote_id <> ''")
-        docs = documents.order_documents(lines, suppliers, self.unit_links(), expenses).withColumn("_refs", F.array_join("gasto_refs", ","))
-        old = self.links("orden_compra", schema).select(*key, F.col("estado_oc").alias("_previous"), F.col("remote_id").alias("_id"), F.col("gasto_refs").alias("_old_refs"))
-        resolved = F.coalesce(F.size("gasto_ids"), F.lit(0)) > 0
-        action = reconcile.order_action(F.col("OC_ESTADO_OC"), F.col("_previous"), F.col("_id"), F.col("_refs"), F.col("_old_refs"), resolved)
-        decided = docs.join(old, key, "left").withColumn("action", action)
-        decided.write.mode("overwrite").parquet(path := f"{self.folder}/decided/orden_compra/{self.as_of:%Y%m%d_%H%M%S}")
-        decided = self.spark.read.parquet(path)
-        sent = decided.where("action IN ('create', 'resend', 'cancel')").withColumn("estado_aprobacion", F.when(F.col("action") == "cancel", 4).otherwise(1))
-        self.step("orden_compra", ("ordenes_compra", sent.drop("_refs", "_previous", "_id", "_old_refs"), key))
-        now = F.lit(self.as_of).cast("timestamp_ntz")
+        """Send confirmed orders that are new or have newly resolved expenses, and cancel those sent; register the rest."""
+        with self.attempt("orden_compra"):
+            return self._orders("orden_compra", extracts.order_extract(self.changed("orden_compra"), self.tables["OC_ITEMS"], self.tables["SOLIC_GASTOS"]))
+
+    def order_lines(self) -> dict[str, int]:
+        """As ``orders``, from the changed lines."""
+        with self.attempt("oc_items"):
+            return self._orders("oc_items", extracts.order_line_extract(self.changed("oc_items"), self.tables["ORDEN_COMPRA"], self.tables["SOLIC_GASTOS"]))
+
+    def _orders(self, entity: str, lines: DataFrame) -> dict[str, int]:
+        key = extracts.ORDER
+        suppliers = self.links("proveedores").where("remote_id <> ''")
+        self.written(documents.skipped_orders(lines, suppliers), "skipped", entity)
+        docs = documents.order_documents(lines, suppliers, self.unit_links(), self.links("gasto").where("remote_id <> ''"))
+        docs = docs.withColumns({"_refs": F.array_join("gasto_refs", ","), "_ids": F.array_join("gasto_ids", ",")})
+        old = self.links("orden_compra").select(*key, F.col("estado_oc").alias("_previous"), F.col("remote_id").alias("_id"), F.col("gasto_ids").alias("_old_ids"))
+        action = reconcile.order_action(F.col("OC_ESTADO_OC"), F.col("_previous"), F.col("_id"), F.col("_ids"), F.col("_old_ids"))
+        decided = self.written(docs.join(old, key, "left").withColumn("action", action), "decided", entity)
         links = decided.select(
-            *key, F.coalesce("_id", F.lit("")).alias("remote_id"), now.alias("updated_at"), F.nullif(E.date_only("OC_FECH_CONFIRM"), F.lit("")).alias("fech_confirm"),
-            E.status_code("OC_ESTADO_OC").alias("estado_oc"), F.col("COD_PROV").cast("string").alias("cod_prov"), F.col("OC_IMPORTE_TOT").cast("string").alias("importe_tot"), F.col("_refs").alias("gasto_refs"),
+            *key, F.nullif(E.date_only("OC_FECH_CONFIRM"), F.lit("")).alias("fech_confirm"), E.status_code("OC_ESTADO_OC").alias("estado_oc"), F.col("COD_PROV").cast("string").alias("cod_prov"),
+            F.col("OC_IMPORTE_TOT").cast("string").alias("importe_tot"), F.col("_refs").alias("gasto_refs"), F.col("_ids").alias("gasto_ids"), "action", "_old_ids",
         )
-        self.save_links("orden_compra", key, schema, links)
-        return {r["action"]: r["count"] for r in decided.groupBy("action").count().collect()}
+        sent = F.col("action").isin("create", "resend", "cancel")
+        cancelled = F.col("action") == "cancel"
+        out = decided.where(sent).withColumns({"estado_aprobacion": F.when(cancelled, 4).otherwise(1), "motivo_rechazo": F.when(cancelled, F.lit(self.cancel_reason)), "external_id": _external(key)})
+        self.step(entity, ("ordenes_compra", out.drop("_refs", "_ids", "_previous", "_id", "_old_ids"), key), links={"orden_compra": links.where(sent).drop("action", "_old_ids")})
+        quiet = links.where(~sent).withColumn("gasto_ids", F.col("_old_ids")).drop("action", "_old_ids").withColumn("updated_at", self.now)
+        self.save_links("orden_compra", reconcile.keep_target(quiet, self.links("orden_compra"), key))
+        return _counts(decided)
 
     def all(self) -> None:
         """Every entity in the order of their dependencies; an entity's error does not stop the others."""
@@ -168,3 +317,15 @@ class Run:
                 failed[entity] = error
         if failed:
             raise RuntimeError(f"failed: {', '.join(failed)}") from next(iter(failed.values()))
+
+
+def _key(name: str) -> list[str]:
+    return [x.split()[0] for x in LINK_KEYS[name].split(", ")]
+
+
+def _external(key: list[str]) -> Column:
+    return F.struct(*(F.col(c).alias(c.lower()) for c in key))
+
+
+def _counts(decided: DataFrame) -> dict[str, int]:
+    return {r["action"]: r["count"] for r in decided.groupBy("action").count().collect()}

@@ -11,15 +11,15 @@ from tributary.sources.payloads import section_errors
 from tributary.specs import ENTITIES
 
 ACTIONS = """, p AS (SELECT NRO_OC AS p_oc, estado_oc AS prev, remote_id FROM oc_link),
-    a AS (SELECT oc.*, CASE WHEN ESTADO_OC = 'R' AND coalesce(prev, '') <> 'R' THEN 'create' WHEN ESTADO_OC = 'R' AND NRO_OC % 4 = 0 THEN 'resend' WHEN ESTADO_OC = 'R' THEN 'same'
+    a AS (SELECT oc.*, CASE WHEN ESTADO_OC = 'R' AND coalesce(prev, '') <> 'R' THEN 'create' WHEN ESTADO_OC = 'R' AND NRO_OC % 4 = 0 AND NRO_OC % 8 <> 0 THEN 'resend' WHEN ESTADO_OC = 'R' THEN 'same'
     WHEN ESTADO_OC = 'A' AND coalesce(prev, '') = 'R' AND coalesce(remote_id, '') <> '' THEN 'cancel' ELSE 'register' END AS action FROM oc LEFT JOIN p ON p_oc = NRO_OC)"""
 
 
 def _actions(spark, sf_dir):
     oc, links = roles(spark, sf_dir, "oc oc_link")
     joined = oc.join(links.select(*extracts.ORDER, F.col("estado_oc").alias("_previous"), "remote_id"), extracts.ORDER, "left")
-    resolved = F.col("NRO_OC") % 4 == 0
-    return joined.withColumn("action", reconcile.order_action(F.col("ESTADO_OC"), F.col("_previous"), F.col("remote_id"), F.lit("new"), F.lit(None).cast("string"), resolved))
+    ids = lambda n: F.when(F.col("NRO_OC") % n == 0, F.concat(F.lit("7"), "NRO_OC"))
+    return joined.withColumn("action", reconcile.order_action(F.col("ESTADO_OC"), F.col("_previous"), F.col("remote_id"), ids(4), ids(8)))
 
 
 @demo(with_roles("oc oc_link", f"{ACTIONS} SELECT NRO_OC, ESTADO_OC, action FROM a"))

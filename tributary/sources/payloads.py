@@ -50,9 +50,17 @@ def section_errors(stats: DataFrame, section: str = "section", errors: str = "er
     return bad.agg(F.array_join(F.sort_array(F.collect_list(section)), ",").alias("failing"), F.count(F.lit(1)).alias("n_failing"))
 
 
-def raise_on_errors(stats: DataFrame) -> None:
+def result_errors(results: DataFrame, json: str) -> DataFrame:
+    """section and errors of result documents: their statistics, and ``errors`` for those that name none."""
+    parsed = F.from_json(json, "stats map<string,struct<ok:string,error:string>>, errors array<string>")
+    stats = results.select(F.explode(parsed["stats"]).alias("section", "s")).select("section", F.coalesce(F.col("s.error").try_cast("long"), F.lit(0)).alias("errors"))
+    listed = results.select(F.lit("errors").alias("section"), F.coalesce(F.size(parsed["errors"]), F.lit(0)).cast("long").alias("errors"))
+    return stats.unionByName(listed).groupBy("section").agg(F.sum("errors").alias("errors"))
+
+
+def raise_on_errors(stats: DataFrame, section: str = "section", errors: str = "errors") -> None:
     """Stop a run whose import had errors; its cursor then stays where it was."""
-    found = section_errors(stats).first()
+    found = section_errors(stats, section, errors).first()
     if found["n_failing"]:
         raise RuntimeError(f"import errors in: {found['failing']}")
 

@@ -55,7 +55,37 @@ LINK_COLUMNS = {
     "tipo_pago": ("name", "codigo"),
     "tipo_retencion": ("name", "codigo"),
     "pedido": (),
-    "orden_compra": ("fech_confirm", "estado_oc", "cod_prov", "importe_tot", "gasto_refs"),
+    "orden_compra": ("fech_confirm", "estado_oc", "cod_prov", "importe_tot", "gasto_refs", "gasto_ids"),
     "gasto": ("estado_solic", "importe_tot", "cod_prov"),
     "orden_pago": ("estado_op", "importe_total"),
 }
+
+#: The key columns of each link state. An expense is known by two texts, see ``lookups.expense_keys``.
+LINK_KEYS = {
+    "proveedores": "COD_PROV int",
+    "centro_costo": "JURISDICCION string",
+    "clasificacion": "JURISDICCION string",
+    "rubro": "JURISDICCION string",
+    "unidad_medida": "CODIGO string",
+    "tipo_factura": "CODIGO string",
+    "tipo_pago": "CODIGO string",
+    "tipo_retencion": "COD_RET string",
+    "pedido": "EJERCICIO int, NUM_PED int",
+    "orden_compra": "EJERCICIO int, UNI_COMPRA int, NRO_OC int",
+    "gasto": "ref string",
+    "orden_pago": "EJERCICIO int, NRO_OP int",
+}
+
+#: Link states that a unit has, and the sections that create them.
+UNIT_KINDS = (("centro_costo", "centros_costo"), ("rubro", "rubros"), ("clasificacion", "clasificaciones"))
+
+#: Sections of an entity's import results, and the link states that they fill.
+RESULT_SECTIONS = {
+    "jurisdicciones": tuple((section, kind) for kind, section in UNIT_KINDS),
+    "proveedores": (("proveedores", "proveedores"),),
+    "ped_items": (("pedidos", "pedido"),),
+    "orden_compra": (("ordenes_compra", "orden_compra"),),
+    "oc_items": (("ordenes_compra", "orden_compra"),),
+    "solic_gastos": (("gastos", "gasto"),),
+    "orden_pago": (("ordenes_pago", "orden_pago"),),
+}
