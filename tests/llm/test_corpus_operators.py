@@ -268,10 +268,27 @@ def test_tries_against_all_pairs():
                 both = len(np.intersect1d(sets[a], sets[b]))
                 if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
                     wanted[wanted == wanted[b]] = wanted[a]
-        found = tries.Trie(sets).linked(percent, np.arange(len(sets)))
+        counts = Counter(np.concatenate(sets).tolist())
+        ranks = [ngram_join.ranks_of(np.array([counts[x] for x in s.tolist()])) for s in sets]
+        tree = tries.Trie(sets, ranks)
+        found = tree.linked(percent, np.arange(len(sets)))
         assert len(set(zip(found.tolist(), wanted.tolist(), strict=True))) == len(set(wanted.tolist())) == len(set(found.tolist())), trial
 
 
+def test_trees_prune_and_share():
+    """A tree of many families looks at few pairs, and at what a family shares once."""
+    rng = np.random.default_rng(2)
+    families = [rng.choice(2**40, 200, replace=False).astype(np.uint64) for _ in range(40)]
+    sets = [np.unique(np.concatenate([f[: 190 - n], rng.choice(2**40, 3).astype(np.uint64)])) for f in families for n in range(10)]
+    counts = Counter(np.concatenate(sets).tolist())
+    tree = tries.Trie(sets, [ngram_join.ranks_of(np.array([counts[x] for x in s.tolist()])) for s in sets])
+    compared, real = [], tree._shared
+    tree._shared = lambda run, seekers: (compared.append(len(seekers)), real(run, seekers))[1]
+    found = tree.linked(80, np.arange(len(sets)))
+    assert len(set(found.tolist())) == 40
+    assert sum(compared) < 0.2 * len(sets) ** 2
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (200, 300), (300, 250)]
     found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

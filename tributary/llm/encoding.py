@@ -26,8 +26,9 @@ from tributary.llm.text import _WHITE
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MOST_PIECES, MOST_IDS = 1 << 19, 1 << 22
+MOST_PIECES, MOST_IDS = 1 << 17, 1 << 20
 AT_ONCE = 4096
+SLICE_BYTES = 1 << 19
 # White space beyond ASCII in UTF-8.
 WIDE_SPACES = [*map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
 
@@ -73,17 +74,17 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = special_as_text
-        told = json.loads(self.tokenizer.to_str())
-        before, steps = told["pre_tokenizer"] or {}, (told["pre_tokenizer"] or {}).get("pretokenizers", [])
+        before, normalizer = (json.loads(x.__getstate__()) if x else {} for x in (self.tokenizer.pre_tokenizer, self.tokenizer.normalizer))
+        added, steps = self.tokenizer.get_added_tokens_decoder().values(), before.get("pretokenizers", [])
         self.kind = "whole"
-        if not told["normalizer"] and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space"):
+        if not normalizer and before.get("type") == "ByteLevel" and before.get("use_regex") and not before.get("add_prefix_space"):
             self.kind = "bytes"
         elif [x["type"] for x in steps] == ["Split", "ByteLevel"] and steps[0].get("invert") and steps[0].get("behavior") == "Removed":
             self.kind = "words"
-        if any(x["normalized"] or x["lstrip"] or x["rstrip"] or x["single_word"] for x in told["added_tokens"]):
+        if any(x.normalized or x.lstrip or x.rstrip or x.single_word for x in added):
             self.kind = "whole"
-        self.added = [] if special_as_text else [x["content"].encode() for x in told["added_tokens"]]
-        self.lower = self.kind == "words" and "Lowercase" in json.dumps(told["normalizer"])
+        self.added = [] if special_as_text else [x.content.encode() for x in added]
+        self.lower = self.kind == "words" and "Lowercase" in json.dumps(normalizer)
         self.model = self.tokenizer.model
         self._forget()
 

@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 from tributary.workspace import stored
 
 
+def _least(edges: DataFrame) -> DataFrame:
+    """(a, m): the smallest b of each a. Stored, so that both sides of the joins with it can be split where a node has many edges."""
+    return stored(edges.groupBy("a").agg(F.min("b").alias("m")), "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
-    """Each node joins its larger neighbours to its smallest neighbour (or itself)."""
-    both = edges.union(edges.select("b", "a"))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    """Each node joins its larger neighbours to its smallest neighbour (or itself). All edges lead to smaller nodes."""
+    least = _least(edges.union(edges.select("b", "a")))
+    up = edges.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return up.join(least.select("a", F.least("a", "m").alias("m")), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node joins its smaller neighbours, and itself, to the smallest of them. All edges lead to smaller nodes."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = _least(edges)
     joined = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return joined.union(least.select("a", F.col("m").alias("b")))
 
@@ -31,7 +36,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
     mark = _mark(now)
     while mark[0]:
-        now = stored(_small_star(_large_star(now).distinct()).distinct(), "edges")
+        now = stored(_large_star(now).distinct(), "edges")
+        now = stored(_small_star(now).distinct(), "edges")
         new = _mark(now)
         if new == mark:
             break

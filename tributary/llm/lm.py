@@ -301,5 +301,5 @@ def score(docs: DataFrame, *, held_out: F.Column | None = None, block_bytes: int
     with_counts = blocked.groupBy("block").cogroup(counted.groupBy("block"))
     known = counted.unionByName(stored(told(with_counts.applyInArrow(ask_again, SENT), 1), "counted"))
     with_triples = blocked.groupBy("block").cogroup(known.groupBy("block"))
-    weighed = told(with_triples.applyInArrow(weigh, SENT), 2)
+    weighed = stored(told(with_triples.applyInArrow(weigh, SENT), 2), "counted")
     return blocked.groupBy("block").cogroup(known.unionByName(weighed).groupBy("block")).applyInArrow(read, SCORES)

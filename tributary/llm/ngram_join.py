@@ -1,9 +1,10 @@
 """N-gram Jaccard join with prefix trees.
 
-All sets' n-grams have one global order, the rarest first: by the number of sets that have them, then by hash. Two sets that are similar
-enough share one of the first n - ceil(t n) + 1 of their n items, so that each set is filed under these only; what is
-filed together, and of a fitting size, is a cluster; passages that many documents share come last and are seldom filed. The sets of a cluster go into a prefix tree, and each walks it with
-its overlap so far, leaving subtrees whose remaining lengths cannot reach the bound. Equal sets are one class throughout.
+All sets' n-grams have one global order, the rarest first: by the number of sets that have them (its logarithm, in 1024ths),
+then by hash. Two sets that are similar enough share one of the first n - ceil(t n) + 1 of their n items, so that each set
+is filed under these only; what is filed together, and of a fitting size, is a cluster; passages that many documents share
+come last and are seldom filed. The sets of a cluster go into a prefix tree in the global order, which is walked once by
+all of them, overlaps with a path being shared by all below it; see ``tries``. Equal sets are one class throughout.
 
 A cluster of any size is handled: it is cut into blocks that share a few pivot sets, each block has a tree of its own,
 and the sets that are then outside the cluster's largest component are joined with all its blocks.
@@ -21,13 +22,13 @@ from pyspark.sql import functions as F
 
 from tributary.llm.blocks import SENT, answered, block_of, decoded, encoded, into_blocks, packed_keys, part_of, read_answer, sent, text_slices, unpacked_keys
 from tributary.llm.graph import components
-from tributary.llm.text import Words, mix, shingles, sliced
-from tributary.llm.tries import Trie
+from tributary.llm.text import Words, shingles, sliced
+from tributary.llm.tries import Trie, in_order
 from tributary.workspace import stored
 
 MEASURED = "doc_id long, digest binary, n long, key binary"
-FILED = "part long, salt long, items binary, which binary, keys binary, sizes binary, spans binary, links binary"
-MOST_SETS = 254
+FILED = "part long, salt long, items binary, which binary, keys binary, sizes binary, spans binary, links binary, key binary, ranks binary"
+FILED_TYPES = [pa.int64()] * 2 + [pa.binary()] * 8
 
 
 def sets_of(batch: pa.RecordBatch, k: int) -> list[np.ndarray]:
@@ -82,7 +83,12 @@ def _count(k: int, parts: int):
 
 
 def _add(places: np.ndarray, n: int, counts: np.ndarray) -> np.ndarray:
-    return np.minimum(np.bincount(places, counts, minlength=n), MOST_SETS).astype(np.int64)[places]
+    return np.bincount(places, counts, minlength=n).astype(np.int64)[places]
+
+
+def ranks_of(counts: np.ndarray) -> np.ndarray:
+    """Logarithms of counts, in 1024ths of a doubling: of two items the one with the higher rank is in more sets."""
+    return (np.log2(np.maximum(counts, 1)) * 1024).astype("<u2")
 
 
 def _runs(item: np.ndarray, low: np.ndarray, high: np.ndarray, owner: np.ndarray, percent: int) -> tuple[np.ndarray, ...]:
@@ -118,9 +124,12 @@ def _packed(item: np.ndarray, owner: np.ndarray, high: np.ndarray, keys: np.ndar
         sets, which = np.unique(owner[a:b], return_inverse=True)
         spans = encoded(high[a:b] - sizes[owner[a:b]], "count")
         out.append((int(own[a]), salt, packed_keys(item[a:b]), which.astype("<u4").tobytes(), keys[sets].tobytes(), sizes[sets].astype("<u4").tobytes(), spans, b""))
-    columns = list(zip(*out, strict=True)) or [()] * 8
-    kinds = [pa.int64()] * 2 + [pa.binary()] * 6
-    return pa.table([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], names=["part", "salt", "items", "which", "keys", "sizes", "spans", "links"])
+    return _filed([(*row, None, None) for row in out])
+
+
+def _filed(rows: list[tuple]) -> pa.Table:
+    columns = list(zip(*rows, strict=True)) or [()] * len(FILED_TYPES)
+    return pa.table([pa.array(x, t) for x, t in zip(columns, FILED_TYPES, strict=True)], names=[x.split()[0] for x in FILED.split(", ")])
 
 
 def _unpacked(rows: pa.Table) -> tuple:
@@ -137,24 +146,30 @@ def _unpacked(rows: pa.Table) -> tuple:
 
 
 def _file(k: int, percent: int, parts: int, file_parts: int, salts: int):
-    """File each set under the first items of its global order: a block sends the runs of each item, and links within them."""
+    """File each set under the first items of its global order: a block sends the runs of each item, and links within them.
+
+    Of a set that may have a partner the ranks of its items, in ascending order of the items, are sent as well.
+    """
 
     def file(rows: pa.Table, answers: pa.Table) -> pa.Table:
         sets = dict(sorted(distinct_sets(rows, k).items()))
-        items, owners, sizes = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], np.array([len(s) for s in sets.values()], np.int64)
+        items, owners, sizes, ranked = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], np.array([len(s) for s in sets.values()], np.int64), []
         codes = np.unique(_codes(np.concatenate([items[0], *sets.values()]), parts))
         times = read_answer(answers, 0, codes >> np.uint64(32), "count")
-        for n, own in enumerate(sets.values()):
-            filed = len(own) - (percent * len(own) + 99) // 100 + 1
+        for n, (key, own) in enumerate(sets.items()):
+            count = times[np.searchsorted(codes, _codes(own, parts))]
+            ranks = ranks_of(count)
             # Parts are ranges of hashes: ties are broken by another hash, or the first parts would get most.
-            first = own[np.lexsort([mix(own), times[np.searchsorted(codes, _codes(own, parts))]])[:filed]]
-            items.append(first)
-            owners.append(np.full(filed, n))
+            first = in_order(own, ranks)[: len(own) - (percent * len(own) + 99) // 100 + 1]
+            items.append(own[first])
+            owners.append(np.full(len(first), n))
+            if (count[first] > 1).any():
+                ranked.append((*[None] * 8, key, ranks.tobytes()))
         item, owner = np.concatenate(items), np.concatenate(owners)
         keys = np.frombuffer(b"".join(sets), "<u8").reshape(-1, 2)
         item, owner, high, a, b = _runs(item, sizes[owner], sizes[owner], owner, percent)
         block = block_of(rows) if rows.num_rows else 0
-        return _packed(item, owner, high, keys, sizes, _links(a, b, keys), file_parts, block % file_parts, block % salts)
+        return pa.concat_tables([_packed(item, owner, high, keys, sizes, _links(a, b, keys), file_parts, block % file_parts, block % salts), _filed(ranked)])
 
     return file
 
@@ -184,7 +199,7 @@ def _candidates(percent: int):
 
 
 def _joined(k: int, percent: int):
-    """Join the sets of each group (cluster, block) in a prefix tree: edges from each set to its component's first key."""
+    """Join the sets of each group (cluster, place) in a prefix tree: edges from each set to its component's first key."""
 
     def join(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("cluster", "ascending"), ("place", "ascending"), ("key", "ascending")]).combine_chunks()
@@ -192,7 +207,7 @@ def _joined(k: int, percent: int):
         for batch in rows.select(["text"]).to_batches():
             for some in sliced(batch):
                 sets += sets_of(some, k)
-        cluster, place, keys, labels = (rows.column(c).to_pylist() for c in ("cluster", "place", "key", "label"))
+        cluster, place, keys, labels, ranks = (rows.column(c).to_pylist() for c in ("cluster", "place", "key", "label", "ranks"))
         a, b = [], []
         lo = 0
         for hi in range(1, len(sets) + 1):
@@ -202,7 +217,7 @@ def _joined(k: int, percent: int):
             if len(members) > 1:
                 names: dict[bytes, int] = {}
                 start = np.array([names.setdefault(labels[n] or keys[n], len(names)) for n in members])
-                found = Trie([sets[n] for n in members]).linked(percent, start)
+                found = Trie([sets[n] for n in members], [np.frombuffer(ranks[n], "<u2") for n in members]).linked(percent, start)
                 centre: dict[int, bytes] = {}
                 for n, label in zip(members, found.tolist(), strict=True):
                     if centre.setdefault(label, keys[n]) != keys[n]:
@@ -219,15 +234,19 @@ def text_digest(column: str = "text"):
     return F.unhex(F.md5(F.col(column).cast("binary")))
 
 
-def _trees(docs: DataFrame, members: DataFrame, k: int, percent: int, group_items: int) -> DataFrame:
-    """Edges found by the trees of ``members`` (digest, cluster, place, key, label, n), several small trees to a task."""
+def _trees(docs: DataFrame, members: DataFrame, ranked: DataFrame, k: int, percent: int, group_items: int) -> DataFrame:
+    """Edges found by the trees of ``members`` (digest, cluster, place, key, label, n), several small trees to a task.
+
+    ``ranked`` has the ranks of the items of each key's set.
+    """
     total = members.agg(F.sum("n")).first()[0] or 0
     groups = max(1, math.ceil(total / group_items))
     dealt = members.withColumn("_group", F.pmod(F.xxhash64("cluster", "place"), F.lit(groups)))
     # A merge join at every size: members of a small corpus would be broadcast, those of a large one may not be.
     # Each digest has one text, whatever ids its documents have: a member gets one row.
+    dealt = dealt.join(ranked.hint("merge"), "key")
     texts = docs.where(F.col("text").isNotNull()).groupBy(text_digest().alias("digest")).agg(F.first("text").alias("text")).join(dealt.hint("merge"), "digest")
-    return texts.select("_group", "cluster", "place", "key", "label", "text").groupBy("_group").applyInArrow(_joined(k, percent), "a binary, b binary")
+    return texts.select("_group", "cluster", "place", "key", "label", "ranks", "text").groupBy("_group").applyInArrow(_joined(k, percent), "a binary, b binary")
 
 
 def _linked(docs: DataFrame, k: int, percent: int, block_sets: int, block_items: int, part_items: int, pivots: int, block_bytes: int, most_blocks: int) -> tuple[DataFrame, DataFrame]:
@@ -241,6 +260,9 @@ def _linked(docs: DataFrame, k: int, percent: int, block_sets: int, block_items:
     # Of each item a block sends runs, not sets; where blocks are many, their runs are chained in two steps.
     salts = math.ceil(parts / most_blocks)
     filed = blocked.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_file(k, percent, parts, file_parts, salts), FILED)
+    filed = stored(filed, "filed")
+    ranked = filed.where("key IS NOT NULL").groupBy("key").agg(F.first("ranks").alias("ranks"))
+    filed = filed.where("part IS NOT NULL")
     if salts > 1:
         filed = filed.groupBy("part", "salt").applyInArrow(_reduced(percent, file_parts), FILED)
     near = filed.groupBy("part").applyInArrow(_candidates(percent), "a binary, b binary")
@@ -256,10 +278,10 @@ def _linked(docs: DataFrame, k: int, percent: int, block_sets: int, block_items:
     several = F.col("_blocks") > 1
     places = F.when(several & (chance < pivots), F.sequence(F.lit(0), F.col("_blocks") - 1)).otherwise(F.array(own_block))
     members = inside.select("digest", "cluster", F.explode(places).alias("place"), "key", F.lit(None).cast("binary").alias("label"), "n")
-    links = stored(_trees(docs, members, k, percent, block_items), "links")
+    links = stored(_trees(docs, members, ranked, k, percent, block_items), "links")
     labels = components(links)
     if inside.where(several).limit(1).count():
-        links = links.union(_outside(docs, inside.where(several), labels, own_block, k, percent, block_sets, block_items))
+        links = links.union(_outside(docs, inside.where(several), ranked, labels, own_block, k, percent, block_sets, block_items))
         labels = components(stored(links, "links"))
 
     label = F.coalesce("label", "key")
@@ -284,7 +306,7 @@ def join_similar(
     return found.unionByName(measured.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
-def _outside(docs, inside, labels, own_block, k, percent, block_sets, block_items) -> DataFrame:
+def _outside(docs, inside, ranked, labels, own_block, k, percent, block_sets, block_items) -> DataFrame:
     """Join the sets outside the largest component of their cluster with all blocks of the cluster."""
     named = inside.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     named = stored(named, "labelled")
@@ -301,7 +323,7 @@ def _outside(docs, inside, labels, own_block, k, percent, block_sets, block_item
     outer = outer.join(size, "cluster").select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
     outer = outer.select("digest", "cluster", place(F.col("_block"), own_cut).alias("place"), "key", "label", "n")
     both = all_sets.unionByName(outer).withColumn("place", F.col("place.block").cast("long") * (1 << 31) + F.col("place.cut"))
-    return _trees(docs, both, k, percent, block_items)
+    return _trees(docs, both, ranked, k, percent, block_items)
 
 
 def one_of_each(docs: DataFrame, *, k: int = 5, percent: int = 80, block_sets: int = 4096, block_items: int = 1 << 21, part_items: int = 1 << 19, pivots: int = 16, block_bytes: int = 4 << 20, most_blocks: int = 1 << 14) -> DataFrame:

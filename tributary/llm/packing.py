@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.encoding import encoder
+from tributary.llm.encoding import SLICE_BYTES, encoder
 from tributary.llm.text import mix, run_hashes, sliced
 
 PIECES = "block long, doc_id long, start long, doc_tokens long, loss long, ids binary"
@@ -35,7 +35,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, block
     def cut(batches: Iterator[pa.RecordBatch]):
         own, salt = encoder(tokenizer, special_as_text), np.uint64(TaskContext.get().partitionId())
         for batch in batches:
-            for some in sliced(batch):
+            for some in sliced(batch, most=SLICE_BYTES):
                 ids, bounds = own.encode(some.column("text"), end_id)
                 sizes = np.diff(bounds)
                 pieces = -(-sizes // capacity)

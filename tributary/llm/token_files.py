@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tributary.llm.encoding import encoder
+from tributary.llm.encoding import SLICE_BYTES, encoder
 from tributary.llm.text import sliced
 from tributary.workspace import stored
 
@@ -54,14 +54,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         offsets, docs, nulls, place, first, kind = [np.zeros(1, np.int64)], [np.zeros(0, np.int64)], 0, 0, None, np.dtype(f"<u{width}")
         with files.open_output_stream(f"{root}/{name}.bin") as out:
             for batch in batches:
-                for some in sliced(batch):
+                for some in sliced(batch, most=SLICE_BYTES):
                     ids, bounds = own.encode(some.column("text"), end_id)
                     if ids.max() >= 1 << 8 * width:
                         raise ValueError(f"id {ids.max()} does not fit in {width} bytes")
                     out.write(ids.astype(kind).tobytes())
                     offsets.append(bounds[1:] + place)
                     place += len(ids)
-                    docs.append(some.column("doc_id").fill_null(0).to_numpy())
+                    docs.append(some.column("doc_id").fill_null(0).to_numpy().copy())  # a view would hold the texts
                     nulls += some.column("doc_id").null_count
                     first = first or (some.column("doc_id")[0].as_py(), some.column("by_text")[0].as_py())
         if first:
