@@ -108,6 +108,14 @@ def test_shards_of_odd_and_empty_tables(spark, odd, tmp_path):
     assert shards.shuffle_into_shards(table(spark, []), 24).count() == 0
 
 
+def test_shards_with_other_columns(spark):
+    names = ["_bucket", "_at", "_record", "_records", "_base", "_n", "shard", "slot", "a.b"]
+    given = spark.createDataFrame([(n % 3, f"text {n % 4}", *[str(n)] * len(names)) for n in range(40)], ", ".join(["doc_id long, text string", *(f"`{n}` string" for n in names)]))
+    found = shards.shuffle_into_shards(given, 4, bucket_bytes=60).collect()
+    assert sorted((r.doc_id, r.text, r["_at"], r["a.b"]) for r in found) == sorted((n % 3, f"text {n % 4}", str(n), str(n)) for n in range(40))
+    assert sorted((r.shard, r.slot) for r in found) == [(s, k) for s in range(4) for k in range(10)]
+
+
 # 2: n-gram join.
 
 
@@ -441,6 +449,34 @@ def test_forest_isolates_outliers():
     assert (score[good] > cut).mean() <= 0.02 and (score[~good] > cut).mean() > 0.9 and 0 <= score.min() and score.max() <= 1
 
 
+def test_forest_against_brute_force():
+    """Path lengths by walking each tree one row at a time, with the usual path of what a leaf holds."""
+    rng = np.random.default_rng(5)
+    rows = rng.normal(0, 1, (300, 3))
+    forest = quality.grow(rows, trees=10, subsample=64)
+    usual = lambda n: 0.0 if n < 2 else 1.0 if n == 2 else 2 * (math.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+    for row, score in zip(rows[:40], forest.score(rows[:40]), strict=True):
+        total = 0.0
+        for which, value, left, right, path in forest.trees:
+            at = 0
+            while which[at] >= 0:
+                at = left[at] if row[which[at]] < value[at] else right[at]
+            total += path[at]
+        assert score == pytest.approx(2 ** (-total / 10 / usual(64)))
+    assert [float(quality._usual_path(n)) for n in (0, 1, 2, 64)] == pytest.approx([usual(n) for n in (0, 1, 2, 64)])
+
+
+def test_training_rows_are_bounded_and_unique(spark, monkeypatch):
+    given = table(spark, ["word " + " ".join(f"w{n}x{k}" for k in range(60)) for n in range(300)] + ["same " * 3 + " ".join(f"v{k}" for k in range(70))] * 200, [*range(300), *[999] * 200])
+    labels = spark.createDataFrame([(n, 1) for n in range(290)] + [(n, 0) for n in range(280, 300)] + [(999, 1)] * 300, "doc_id long, quality int")
+    grown = []
+    real = quality.grow
+    monkeypatch.setattr(quality, "grow", lambda rows: (grown.append(len(rows)), real(rows))[1])
+    forest = quality.train(quality.measure(given), labels)
+    assert grown == [146]  # 291 ids with one label, half of them
+    assert 0 < forest.threshold <= 1
+
+
 def test_judging(spark, docs):
     rng = np.random.default_rng(6)
     vocabulary = np.array(["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(2000)])
@@ -553,20 +589,75 @@ def test_packing_of_odd_and_empty_tables(spark, odd):
     assert packing.pack_documents(table(spark, []), path, 1).count() == 0
 
 
+def check_filling(sequences, lengths, loss, limits, cut):
+    seen = Counter()
+    for members in sequences:
+        assert members and sum(b - a for _, a, b in members) <= limits[0] and len(members) <= limits[1]
+        assert sum(min(loss[k], b - a) for k, a, b in members) <= limits[2]
+        for k, a, b in members:
+            assert a == seen[k] and b > a if cut else (a, b) == (0, lengths[k])
+            seen[k] += b - a
+    assert [seen[k] for k in range(len(lengths))] == lengths.tolist()
+
+
 def test_filling_keeps_all_limits():
     rng = np.random.default_rng(3)
-    lengths = rng.integers(1, 200, 400)
-    loss = (lengths * rng.choice([0, 0.3, 1], 400)).astype(int)
-    for cut in (False, True):
-        sequences = packing.fill(lengths, loss, (200, 5, 120), cut) if loss.max() <= 120 else packing.fill(lengths, np.minimum(loss, 120), (200, 5, 120), cut)
-        seen = Counter()
-        for members in sequences:
-            assert sum(b - a for _, a, b in members) <= 200 and len(members) <= 5
-            for k, a, b in members:
-                seen[k] += b - a
-        assert [seen[k] for k in range(400)] == lengths.tolist()
-        if not cut:
-            assert all(len({k for k, _, _ in m}) == len(m) and sum(min(loss[k], 120) for k, _, _ in m) <= 120 for m in sequences)
+    for trial in range(30):
+        n, limits = int(rng.integers(0, 300)), (200, int(rng.integers(1, 9)), int(rng.integers(20, 200)))
+        lengths = rng.integers(1, 201, n)
+        bears = rng.random(n) < 0.5
+        lengths[bears] = np.minimum(lengths[bears], limits[2])
+        loss = np.where(bears, lengths, 0)
+        whole, cuts = packing.fill(lengths, loss, limits, False), packing.fill(lengths, loss, limits, True)
+        check_filling(whole, lengths, loss, limits, False)
+        check_filling(sorted(cuts, key=lambda m: 0), lengths, loss, limits, True)
+        part = np.minimum(loss, 20)  # some ids bear loss
+        check_filling(packing.fill(lengths, part, limits, False), lengths, part, limits, False)
+    many = rng.integers(1, 40, 40_000)
+    sequences = packing.fill(many, many, (2048, 256, 2048), True)
+    check_filling(sequences, many, many, (2048, 256, 2048), True)
+    assert len(sequences) <= 1.05 * many.sum() / 2048  # short pieces come last, where segments are what is scarce
+    with pytest.raises(ValueError):
+        packing.fill(np.array([5]), np.array([0]), (4, 1, 4), True)
+
+
+def test_filling_takes_what_fits_the_scarce_room():
+    """Prompts and answers are mixed, so that neither room is left over: first-come filling needs more sequences."""
+    lengths = np.array([50] * 60 + [50] * 60)
+    loss = np.array([50] * 60 + [0] * 60)
+    best = packing.fill(lengths, loss, (200, 8, 100), False)
+    assert len(best) == 30 and all(sum(loss[k] for k, _, _ in m) == 100 for m in best)
+
+
+def test_packing_of_turns(spark):
+    rng = np.random.default_rng(4)
+    path = public_tokenizers.path("word_bpe_49k.json")
+    roles, texts = ["user", "assistant", "system", None], ["", None, "a b c", LONG[:4000], "hello there " * 40]
+    rows = [(int(rng.integers(0, 5)) if n % 9 else None, n, roles[n % 4], texts[int(rng.integers(0, 5))], "x", n) for n in range(120)]
+    rows += [(7, 500, "assistant", "the same", "x", 1)] * 30
+    given = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, block string, ids long").repartition(3)
+    for block_bytes in (4 << 20, 2000):
+        found = packing.pack_turns(given, path, 1, capacity=256, segments=6, loss_tokens=100, block_bytes=block_bytes).collect()
+        by_sequence, by_turn = defaultdict(list), defaultdict(list)
+        for r in found:
+            by_sequence[r.sequence_id].append(r)
+            by_turn[r.turn].append(r)
+        for own in by_sequence.values():
+            assert sum(r.length for r in own) <= 256 and len(own) <= 6 and sum(r.loss for r in own) <= 100
+            at = 0
+            for r in sorted(own, key=lambda r: r.offset):
+                assert r.offset == at
+                at += r.length
+        ids = dict(zip([r[1] for r in rows], encoded(path, [r[3] for r in rows], 1), strict=True))
+        for turn, own in by_turn.items():
+            times = 30 if turn == 500 else 1
+            assert sum(r.length for r in own) == times * len(ids[turn])
+            for r in own:
+                assert r.ids_crc32 == zlib.crc32(ids[turn][r.start : r.start + r.length].tobytes()) and r.doc_tokens == len(ids[turn])
+                assert r.loss == (r.length if turn == 500 or roles[turn % 4] == "assistant" else 0)
+        assert set(by_turn) == set(ids)
+    used = [(sum(r.length for r in own), len(own), sum(r.loss for r in own)) for own in by_sequence.values()]
+    assert packing.pack_turns(given.limit(0), path, 1).count() == 0 and max(n for _, n, _ in used) == 6
 
 
 # 7: decontamination.
@@ -616,6 +707,34 @@ def test_language(spark):
     assert language.identify(docs.limit(0), model).count() == 0
 
 
+def test_language_decoding(spark):
+    """Each bit's logistic loss, weighted by the bit's accuracy, against a loop; two close codewords are ambiguous."""
+    rng = np.random.default_rng(3)
+    model = language.fit(rng.random((60, 20)).astype(np.float32), [f"l{n % 3}" for n in range(60)])
+    rows = rng.random((10, 20)).astype(np.float32)
+    found = model.losses(rows)
+    for n, row in enumerate(rows):
+        for k in range(3):
+            loss = sum(model.trust[b] * math.log1p(math.exp(-model.code[k, b] * (row @ model.weights[:, b] + model.bias[b]))) for b in range(model.code.shape[1]))
+            assert found[n, k] == pytest.approx(loss, rel=1e-4)
+    docs = spark.createDataFrame([(n, t, lang) for n, (t, lang) in enumerate([("abab abba baab", "x"), ("cdcd dccd cddc", "y")] * 40)], "doc_id long, text string, lang string")
+    model = language.train(docs)
+    asked = spark.createDataFrame([(1, "abab abba"), (2, "cdcd dccd"), (3, "zzz"), (4, "abab cdcd")], "doc_id long, text string")
+    by = {r.doc_id: r for r in language.identify(asked, model).collect()}
+    assert (by[1].lang_pred, by[2].lang_pred) == ("x", "y") and not by[1].ambiguous and not by[2].ambiguous
+    sure = {r.doc_id: r.ambiguous for r in language.identify(asked, model, close=1.1).collect()}
+    assert all(sure.values()) and by[4].score < by[1].score
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    docs = spark.range(3000).select(F.lit(1).alias("doc_id"), F.lit("the same text").alias("text"), F.lit("en").alias("lang")).union(spark.range(50).select("id", F.lit("autre texte"), F.lit("fr")))
+    sizes = []
+    real = language.fit
+    monkeypatch.setattr(language, "fit", lambda rows, labels: (sizes.append(Counter(labels)), real(rows, labels))[1])
+    assert language.identify(docs, language.train(docs, per_language=20)).where("lang_pred IN ('en', 'fr')").count() == 3050
+    assert sizes[0]["en"] <= 1 + 20 and 1 <= sizes[0]["fr"] <= 45
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 4, 17, 60])
 def test_codewords_are_apart(n):
     code = language.codewords(n)

@@ -115,11 +115,12 @@ def fit(rows: np.ndarray, labels: list[str], *, steps: int = 150, rate: float =
     return Model(languages, code, weights, bias, trust / trust.sum())
 
 
-def train(docs: DataFrame, *, per_language: int = 300, most_languages: int = 1000) -> Model | None:
+def train(docs: DataFrame, *, per_language: int = 300, most_languages: int = 1000, most_rows: int = 30_000) -> Model | None:
     """Fit on ``docs`` (doc_id, text, lang): about ``per_language`` labelled rows of each language, chosen by a hash.
 
-    Rows with a null text or lang are not used. None if no row is left. All languages that occur are learned;
-    more than ``most_languages`` are an error, as the driver holds the sample.
+    Rows with a null text or lang are not used, and of equal rows one. None if no row is left. All languages that occur
+    are learned; more than ``most_languages`` are an error, as the driver holds the sample, ``most_rows`` or so at most
+    (8 KB each).
     """
     labelled = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "text", "lang")
     sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(most_languages + 1).collect()}
@@ -127,9 +128,12 @@ def train(docs: DataFrame, *, per_language: int = 300, most_languages: int = 100
         raise ValueError(f"more than {most_languages} languages")
     if not sizes:
         return None
+    per_language = max(1, min(per_language, most_rows // len(sizes)))
     share = F.create_map(*(F.lit(x) for lang, n in sizes.items() for x in (lang, min(1.0, per_language / n))))
     chance = F.pmod(F.xxhash64(F.lit("language"), "doc_id", F.crc32(F.col("text").cast("binary"))), F.lit(1_000_003)) / 1_000_003.0
-    sample = labelled.where(chance < F.element_at(share, F.col("lang"))).mapInArrow(_featured, "lang string, row binary").toArrow()
+    drawn = labelled.where(chance < F.element_at(share, F.col("lang")))
+    once = drawn.groupBy("doc_id", "lang", F.md5(F.col("text").cast("binary"))).agg(F.first("text").alias("text")).select("lang", "text")
+    sample = once.mapInArrow(_featured, "lang string, row binary").toArrow()
     labels = sample.column("lang").to_pylist()
     missing = set(sizes) - set(labels)
     if missing:  # a language of few rows may have lost the draw
@@ -150,8 +154,8 @@ def _featured(batches):
 def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text", close: float = 0.1, keep: list[str] | None = None) -> DataFrame:
     """One row per document: its id, the columns ``keep``, ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` (a second language within ``close``).
 
-    ``und`` with score 0 if the text is null, has no letter, or nothing was learned. Whole texts are read; only the text
-    is an input of the prediction. Ties go to the language first in order. Repeated rows are answered each; an empty
+    ``und`` with score 0 if the text is null, has no letter, or nothing was learned. Whole texts are read, however long,
+    one at a time; only the text is an input of the prediction. Ties go to the language first in order and are ambiguous. Repeated rows are answered each; an empty
     table gives no rows; other columns are not read, and ``keep`` may not name the new ones.
     """
     spark = docs.sparkSession

@@ -67,6 +67,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def conversation_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Operator 9 for instruction data: only the assistant's turns bear loss, and all three limits bind."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return packing.pack_turns(table(spark, sf_dir, "conversations"), path, end_id=1).drop("ids")
+
+
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), held_out=lm.held_out_tenth("doc_id"))
 
@@ -82,6 +88,7 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_lm_score": op10_lm_score,
+    "conversation_packing": conversation_packing,
 }
 
 #: SQL for the queries that it can express.

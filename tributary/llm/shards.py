@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-BUCKET, BASE, RECORD, AT = "_bucket", "_base", "_record", "_at"
+BUCKET, BASE, RECORD, AT, SHARD = "_bucket", "_base", "_record", "_at", "_shard"
 
 
-def record_bytes(text: str) -> F.Column:
+def record_bytes(text: F.Column | str) -> F.Column:
     """UTF-8 bytes of the text (null: none) plus 8 for the id."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + F.lit(8).cast("long")
 
@@ -30,33 +30,37 @@ def shuffle_into_shards(
 
     Law ``rows``: shard counts are at most one apart. The same rows, seed and bucket size give the same buckets;
     rows are ordered by their columns before a bucket is shuffled, so fetch order does not matter.
-    Null texts count 8 bytes; rows with a null id are scattered by their text. Repeated rows are kept, each with a
-    slot of its own. An empty table gives no rows. Columns already named ``shard`` or ``slot`` are replaced.
-    Columns must be of types that can be ordered (no maps).
+    Null texts count 8 bytes; rows are scattered by id and text together, so that rows with a null or repeated id are
+    spread by their texts. Repeated rows are kept, each with a slot of its own; rows that are equal in all columns are
+    interchangeable. A very long text makes a bucket of its own size, which a task must hold. An empty table gives no
+    rows. Columns already named ``shard`` or ``slot`` are replaced; others, whatever their names, stay as they are.
+    Columns must be of types that can be ordered (no maps). Two windows run over one row for each bucket (input bytes /
+    ``bucket_bytes``) in one task.
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
     docs = docs.drop("shard", "slot")
     names = [id_col, text_col, *(c for c in docs.columns if c not in (id_col, text_col))]
-    total, rows = docs.agg(F.sum(record_bytes(text_col)), F.count(F.lit(1))).first()
+    id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    total, rows = docs.agg(F.sum(record_bytes(text)), F.count(F.lit(1))).first()
     buckets = max(1, math.ceil((total or 0) / bucket_bytes))
-    key = F.xxhash64(F.lit(seed), F.col(id_col), F.when(F.col(id_col).isNull(), F.col(text_col)))
-    scattered = docs.select(F.pmod(key, F.lit(buckets).cast("long")).alias(BUCKET), *names)
+    bucket = F.pmod(F.xxhash64(F.lit(seed), id_, text), F.lit(buckets).cast("long")).alias(BUCKET)
+    scattered = docs.select(bucket, F.struct(*(F.col(f"`{c}`") for c in names)).alias(RECORD))
 
     # As many counts as buckets: input bytes / bucket_bytes rows of two numbers.
     counts = scattered.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select(F.col(BUCKET).alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(BASE))
 
-    gathered = scattered.groupBy(BUCKET).agg(F.sort_array(F.collect_list(F.struct(*names))).alias("_records"))
+    gathered = scattered.groupBy(BUCKET).agg(F.sort_array(F.collect_list(RECORD)).alias("_records"))
     placed = gathered.join(bases, F.col(BUCKET) == F.col("_of")).sortWithinPartitions(BUCKET)
     position = F.col(BASE) + F.col(AT)
     shard = F.expr(f"(({BASE} + {AT}) * {n_shards}L) div {max(rows, 1)}L")
-    start = F.expr(f"(shard * {rows}L + {n_shards - 1}L) div {n_shards}L")  # first position p with floor(p * n / N) = shard
+    start = F.expr(f"({SHARD} * {rows}L + {n_shards - 1}L) div {n_shards}L")  # first position p with floor(p * n / N) = shard
     return (
         placed.select(BASE, F.posexplode(F.shuffle("_records", seed)).alias(AT, RECORD))
-        .select(f"{RECORD}.*", shard.cast("int").alias("shard"), position.alias(AT))
-        .select(*docs.columns, "shard", (F.col(AT) - start).cast("long").alias("slot"))
+        .select(RECORD, shard.cast("int").alias(SHARD), position.alias(AT))
+        .select(*(F.col(RECORD)[c].alias(c) for c in docs.columns), F.col(SHARD).alias("shard"), (F.col(AT) - start).cast("long").alias("slot"))
     )
 
 
