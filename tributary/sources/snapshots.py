@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,16 +24,22 @@ def snapshot_files(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("path", F.element_at(F.split("path", "/"), -1).alias("name"))
 
 
-def read_csv_snapshot(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """All columns as text, names in upper case, empty fields as null. Fields in quotes may hold line breaks."""
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("inferSchema", False).csv(path)
+def read_csv_snapshot(spark: SparkSession, path: str | list[str], *, line_breaks: bool = False) -> DataFrame:
+    """All columns as text, names in upper case, empty fields as null.
+
+    ``line_breaks``: fields in quotes may hold them; each file is then read by one task, else files are split.
+    """
+    raw = spark.read.option("header", True).option("multiLine", line_breaks).option("escape", '"').option("inferSchema", False).csv(path)
     return upper_names(raw).select(*(F.nullif(F.col(c), F.lit("")).alias(c) for c in upper_names(raw).columns))
 
 
-def read_latest(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """The latest CSV snapshot of each entity in ``folder``: one row an entity reaches the driver."""
+def read_latest(spark: SparkSession, folder: str, *, line_breaks: Collection[str] = ()) -> dict[str, DataFrame]:
+    """The latest CSV snapshot of each entity in ``folder``: one row an entity reaches the driver.
+
+    Give the entities with line breaks in fields.
+    """
     latest = latest_snapshots(snapshot_files(spark, folder)).collect()
-    return {r["entity"]: read_csv_snapshot(spark, f"{folder}/{r['name']}") for r in latest}
+    return {r["entity"]: read_csv_snapshot(spark, f"{folder}/{r['name']}", line_breaks=r["entity"] in line_breaks) for r in latest}
 
 
 def read_table(spark: SparkSession, source: str, table: str, **options) -> DataFrame:

@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; where it is unset (tests), a new temporary one."""
+    """The folder named by ``spark.checkpoint.dir``; where it is unset, a new temporary one, on a local master only."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
