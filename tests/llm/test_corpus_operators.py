@@ -260,6 +260,34 @@ def test_stages_decide_by_row(spark, odd, tmp_path):
     assert run("decontamination") == sorted((r for r in rows if "the leak is in here" not in (r[1] or "")), key=str)
 
 
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Empty tables, only nulls, and columns that clash with those that stages make."""
+    spark.createDataFrame([(1, "The leak IS in here")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    nothing = table(spark, [])
+    nulls = table(spark, [None, None, ""], [None, 1, 1])
+    own = nulls.columns
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, nothing.select(corpus_pipeline.COLUMNS), str(tmp_path)).count() == 0
+        found = stage(spark, nulls, str(tmp_path))
+        assert found.count() == {"language_id": 0}.get(name, 3), name
+        clash = table(spark, [PASSAGE, f"{PASSAGE} more", "x y z"], [4, 5, 6]).withColumns({c: F.lit("z") for c in ("_row", "block", "digest", "key", "lang_pred", "score", "n_words", "turn", "bears", "ids")})
+        assert stage(spark, clash, str(tmp_path)).select("doc_id").distinct().count() == {"ngram_join": 2}.get(name, 3), name
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "none" / "benchmark.parquet"))
+    assert dict(corpus_pipeline.STAGES)["decontamination"](spark, nulls, str(tmp_path / "none")).count() == 3
+    assert own == nulls.columns
+
+
+def test_language_stage(spark):
+    """The text decides where it is sure; labels stay where it is not; nothing is lost without labels."""
+    words_ = {"x": "abab abba baab bbaa", "y": "cdcd dccd cddc ddcc"}
+    rows = [(n, words_["xy"[n % 2]], "xy"[n % 2]) for n in range(80)] + [(90, words_["x"], "y"), (91, words_["y"], None), (92, "漢字", "zz"), (93, "12 !", "x"), (94, None, "x")]
+    docs = spark.createDataFrame([(*r, "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert (found[0], found[1], found[90], found[91]) == ("x", "y", "x", "y") and 92 in found and not {93, 94} & set(found)
+    bare = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in corpus_pipeline.identify_language(spark, bare, "").collect()} == set(found)
+
+
 def test_tries_against_all_pairs():
     rng = np.random.default_rng(1)
     for trial in range(60):

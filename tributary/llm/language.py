@@ -2,7 +2,8 @@
 
 Each language has a codeword of bits; a binary logistic classifier on hashed byte n-grams predicts each bit. Decoding
 takes the codeword with the least weighted logistic loss, the weights being the bits' training accuracies, and flags a
-text as ambiguous if a second codeword comes close.
+text as ambiguous if a second codeword comes close, and as outside if it is clearly farther from all codewords than any
+training text from its own.
 """
 
 from __future__ import annotations
@@ -88,6 +89,7 @@ class Model:
     weights: np.ndarray
     bias: np.ndarray
     trust: np.ndarray
+    farthest: float = np.inf  # the largest loss of a training text's own codeword
 
     def losses(self, rows: np.ndarray) -> np.ndarray:
         margins = rows @ self.weights + self.bias
@@ -112,7 +114,8 @@ def fit(rows: np.ndarray, labels: list[str], *, steps: int = 150, rate: float =
         weights, bias = new, new_bias
     right = ((rows @ weights + bias) * target > 0).mean(0)
     trust = np.clip(2 * right - 1, 0.01, None)
-    return Model(languages, code, weights, bias, trust / trust.sum())
+    model = Model(languages, code, weights, bias, trust / trust.sum())
+    return dataclasses.replace(model, farthest=float(model.losses(rows)[np.arange(len(which)), which].max()))
 
 
 def train(docs: DataFrame, *, per_language: int = 300, most_languages: int = 1000, most_rows: int = 30_000) -> Model | None:
@@ -151,8 +154,9 @@ def _featured(batches):
         yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array([r.tobytes() for r in rows], pa.binary())], names=["lang", "row"])
 
 
-def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text", close: float = 0.1, keep: list[str] | None = None) -> DataFrame:
-    """One row per document: its id, the columns ``keep``, ``lang_pred``, ``score`` (0 to 1) and ``ambiguous`` (a second language within ``close``).
+def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", text_col: str = "text", close: float = 0.1, beyond: float = 1.25, keep: list[str] | None = None) -> DataFrame:
+    """One row per document: its id, the columns ``keep``, ``lang_pred``, ``score`` (0 to 1), ``ambiguous`` (a second
+    language within ``close``) and ``outside`` (of all languages: a loss over ``beyond`` times the largest in training).
 
     ``und`` with score 0 if the text is null, has no letter, or nothing was learned. Whole texts are read, however long,
     one at a time; only the text is an input of the prediction. Ties go to the language first in order and are ambiguous. Repeated rows are answered each; an empty
@@ -161,16 +165,16 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     carried = docs.select(F.col(id_col), *(keep or []))
-    names = [*carried.columns, "lang_pred", "score", "ambiguous"]
+    names = [*carried.columns, "lang_pred", "score", "ambiguous", "outside"]
     if len(set(names)) < len(names):
         raise ValueError("keep names a column twice")
-    schema = carried.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False)}).schema
+    schema = carried.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False), "outside": F.lit(False)}).schema
 
     def predict(batches):
         for part in _few(batches, "_text"):
             words = Words(part.column("_text"))
             langs = np.full(words.docs, UNKNOWN, object)
-            score, unsure = np.zeros(words.docs), np.zeros(words.docs, bool)
+            score, unsure, outside = np.zeros(words.docs), np.zeros(words.docs, bool), np.zeros(words.docs, bool)
             known = np.flatnonzero(has_letter(words))
             if shared.value is not None and len(known):
                 losses = shared.value.losses(features(words)[known])
@@ -179,10 +183,11 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
                 best = losses.argmin(1)
                 langs[known] = np.array(shared.value.languages, object)[best]
                 score[known] = odds.max(1)
+                outside[known] = losses.min(1) > beyond * shared.value.farthest
                 if losses.shape[1] > 1:
                     two = np.sort(odds, axis=1)
                     unsure[known] = two[:, -1] - two[:, -2] < close
-            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(langs, pa.string()), pa.array(score), pa.array(unsure)], names=names)
+            yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(langs, pa.string()), pa.array(score), pa.array(unsure), pa.array(outside)], names=names)
 
     return docs.select(F.col(id_col), *(keep or []), F.col(text_col).alias("_text")).mapInArrow(predict, schema)
 
