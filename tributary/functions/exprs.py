@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import unicodedata
 from collections.abc import Mapping
 
 from pyspark.sql import Column
@@ -92,13 +94,32 @@ def parse_timestamp(c: Column | str, formats: tuple[str, ...] = ("yyyy-MM-dd HH:
     return F.coalesce(*(F.try_to_timestamp(text, F.lit(f)) for f in formats)).cast("timestamp_ntz")
 
 
-_ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçýÿ"
-_PLAIN = "aaaaaaeeeeiiiiooooouuuuncyy"
+@functools.cache
+def _plain_characters() -> tuple[str, str, dict[str, str]]:
+    """Characters whose compatibility decomposition without marks is another one, those, and ligatures with their letters.
+
+    Made by rule from the Unicode tables of Python; syllables of Hangul stay whole.
+    """
+    marked, plain, several = [], [], {}
+    for n in (*range(0xA0, 0xAC00), *range(0xF900, 0x10000)):
+        found = "".join(x for x in unicodedata.normalize("NFKD", chr(n)) if not unicodedata.combining(x))
+        if len(found) == 1 and found != chr(n):
+            marked.append(chr(n))
+            plain.append(found)
+        elif unicodedata.category(chr(n)) == "Ll" and found.isascii() and found.isalpha():
+            several[chr(n)] = found
+    return "".join(marked), "".join(plain), several
 
 
 def normalize_text(c: Column | str) -> Column:
-    """Lower case, no accents, one space for all that is neither letter nor digit."""
-    text = F.translate(F.lower(col(c).cast("string")), _ACCENTED, _PLAIN)
+    """Lower case, without accents and compatibility forms, one space for all that is neither letter nor digit.
+
+    Decomposition gives single characters, or several letters for ligatures.
+    """
+    marked, plain, several = _plain_characters()
+    low = F.lower(col(c).cast("string"))
+    apart = functools.reduce(lambda text, x: F.replace(text, F.lit(x[0]), F.lit(x[1])), several.items(), low)
+    text = F.translate(F.when(low.rlike(f"[{''.join(several)}]"), apart).otherwise(low), marked, plain)
     text = F.regexp_replace(text, r"\p{M}+", "")
     return F.regexp_replace(F.regexp_replace(text, r"[^\p{L}\p{N}]+", " "), "^ +| +$", "")
 

@@ -27,8 +27,9 @@ def full_chain(orders: DataFrame, lines: DataFrame, expenses: DataFrame, payment
 
 
 def payments_by_supplier(payments: DataFrame) -> DataFrame:
-    """Number and total of payments by supplier and status."""
-    return payments.groupBy("COD_PROV", "ESTADO_OP").agg(F.count(F.lit(1)).alias("n_payments"), F.sum("IMPORTE_TOTAL").alias("total"))
+    """Number and total of payments by supplier and status, the largest totals first."""
+    totals = payments.groupBy("COD_PROV", "ESTADO_OP").agg(F.count(F.lit(1)).alias("n_payments"), F.sum("IMPORTE_TOTAL").alias("total"))
+    return totals.orderBy(F.desc("total"), "COD_PROV", "ESTADO_OP")
 
 
 def line_supplier_mismatches(orders: DataFrame, lines: DataFrame, line_supplier: str) -> DataFrame:

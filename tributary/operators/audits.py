@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tributary.specs import EntitySpec
+
 
 def key_violations(df: DataFrame, key: list[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
@@ -34,13 +36,28 @@ def shared_values(pairs: list[tuple[str, DataFrame, str, DataFrame, str]]) -> Da
     return reduce(DataFrame.unionByName, found)
 
 
-def column_profile(df: DataFrame, table: str) -> DataFrame:
-    """One row per column: its place, non-null and distinct values; the table is read once."""
-    measures = []
-    for n, c in enumerate(df.columns):
-        measures += [F.count(F.col(c)).alias(f"_{n}_filled"), F.count_distinct(F.col(c)).alias(f"_{n}_distinct")]
-    rows = [F.struct(F.lit(table).alias("table_name"), F.lit(n + 1).alias("place"), F.lit(c).alias("column_name"), F.col(f"_{n}_filled").alias("n_filled"), F.col(f"_{n}_distinct").alias("n_distinct")) for n, c in enumerate(df.columns)]
-    return df.agg(*measures).select(F.inline(F.array(*rows)))
+def column_profile(df: DataFrame, table: str, at_once: int = 8) -> DataFrame:
+    """One row per column: its place, type, whether it may be null, comment, non-null and distinct values.
+
+    Distinct values are counted for ``at_once`` columns in one reading: each row is sent once for each of them.
+    """
+    found = []
+    for lo in range(0, len(df.columns), at_once):
+        measures, rows = [], []
+        for n, f in enumerate(df.schema.fields[lo : lo + at_once], lo):
+            measures += [F.count(F.col(f"`{f.name}`")).alias(f"_{n}_filled"), F.count_distinct(F.col(f"`{f.name}`")).alias(f"_{n}_distinct")]
+            about = {"table_name": table, "place": n + 1, "column_name": f.name, "type": f.dataType.simpleString(), "nullable": f.nullable}
+            comment = F.lit(f.metadata.get("comment")).cast("string").alias("comment")
+            rows.append(F.struct(*(F.lit(v).alias(k) for k, v in about.items()), comment, F.col(f"_{n}_filled").alias("n_filled"), F.col(f"_{n}_distinct").alias("n_distinct")))
+        found.append(df.agg(*measures).select(F.inline(F.array(*rows))))
+    return reduce(DataFrame.unionByName, found)
+
+
+def key_listing(spark: SparkSession, specs: dict[str, EntitySpec], relations: list[tuple[str, str, list[str], str, list[str]]]) -> DataFrame:
+    """kind (primary or foreign), table_name, columns and referenced: declared keys of entities and relations (name, child, its key, parent, its key)."""
+    rows = [("primary", s.table, ",".join(s.key), None) for s in specs.values()]
+    rows += [("foreign", child, ",".join(own), f"{parent}({','.join(other)})") for _, child, own, parent, other in relations]
+    return spark.createDataFrame(rows, "kind string, table_name string, columns string, referenced string")
 
 
 def mapping_coverage(df: DataFrame, table: str, mapped: list[str]) -> DataFrame:

@@ -97,5 +97,13 @@ def missing_cursor_columns(df: DataFrame, spec: EntitySpec) -> list[str]:
     return [c for c in (spec.id_column, spec.ts_column, spec.pending_column) if c and c not in df.columns]
 
 
+def missing_cursors(tables: dict[str, DataFrame], specs: dict[str, EntitySpec]) -> DataFrame:
+    """entity, column_name and n_rows: cursor columns that tables lack, so that all their rows are read in every run."""
+    found = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(e).alias("entity"), F.lit(c).alias("column_name"), "n_rows") for e, df in tables.items() for c in missing_cursor_columns(df, specs[e])]
+    if not found:
+        return next(iter(tables.values())).sparkSession.createDataFrame([], "entity string, column_name string, n_rows long")
+    return reduce(DataFrame.unionByName, found)
+
+
 def empty_state(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], STATE)

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.operators import audits
+from tributary.operators import audits, rows
 from tributary.plans.registry import demo, table
 
-ORDERS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+ORDERS = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string", "o_totalprice": "double", "o_orderdate": "timestamp_ntz", "o_orderpriority": "string"}
 MAPPED = ["o_orderkey", "o_custkey", "o_orderdate", "o_comment"]
 
 
-@demo("\nUNION ALL ".join(f"SELECT 'orders' AS table_name, {n + 1} AS place, '{c}' AS column_name, count({c}) AS n_filled, count(DISTINCT {c}) AS n_distinct FROM orders" for n, c in enumerate(ORDERS)))
+@demo("\nUNION ALL ".join(f"SELECT 'orders' AS table_name, {n + 1} AS place, '{c}' AS column_name, '{ORDERS[c]}' AS type, true AS nullable, CAST(NULL AS VARCHAR) AS comment, count({c}) AS n_filled, count(DISTINCT {c}) AS n_distinct FROM orders" for n, c in enumerate(ORDERS)))
 def column_profile(spark, sf_dir):
-    return audits.column_profile(table(spark, sf_dir, "orders").select(ORDERS), "orders")
+    return audits.column_profile(table(spark, sf_dir, "orders").select(*ORDERS), "orders")
 
 
 @demo(
@@ -23,7 +23,7 @@ def column_profile(spark, sf_dir):
     )
 )
 def mapping_coverage(spark, sf_dir):
-    return audits.mapping_coverage(table(spark, sf_dir, "orders").select(ORDERS), "orders", MAPPED)
+    return audits.mapping_coverage(table(spark, sf_dir, "orders").select(*ORDERS), "orders", MAPPED)
 
 
 @demo("SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")
@@ -58,6 +58,14 @@ def inferred_relations(spark, sf_dir):
     return audits.shared_values([(n, table(spark, sf_dir, t), a, table(spark, sf_dir, r), b) for n, t, a, r, b in PAIRS])
 
 
+@demo("\nUNION ALL ".join(f"SELECT '{n}' AS relation, '{c}' AS table_name, '{a}' AS columns, '{p}({b})' AS referenced, (SELECT count(*) FROM {c}) AS n_rows" for n, c, a, p, b, _ in RELATIONS))
+def key_listing(spark, sf_dir):
+    listed = audits.key_listing(spark, {}, [(n, c, [a], p, [b]) for n, c, a, p, b, _ in RELATIONS]).where("kind = 'foreign'")
+    names = spark.createDataFrame([(n, c, a) for n, c, a, *_ in RELATIONS], "relation string, table_name string, columns string")
+    sizes = rows.table_counts({c: table(spark, sf_dir, c) for c in {r[1] for r in RELATIONS}}).select(F.col("entity").alias("table_name"), F.col("n").alias("n_rows"))
+    return listed.join(names, ["table_name", "columns"]).join(sizes, "table_name").select("relation", "table_name", "columns", "referenced", "n_rows")
+
+
 @demo("SELECT o_orderkey, o_totalprice FROM orders WHERE abs(o_totalprice) > 400000")
 def amount_overflow(spark, sf_dir):
     return audits.amount_overflow(table(spark, sf_dir, "orders"), "o_totalprice", 400_000).select("o_orderkey", F.col("o_totalprice"))

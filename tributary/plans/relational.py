@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tributary.functions import exprs as E
-from tributary.operators import analysis, extracts, lookups
+from tributary.operators import analysis, extracts, lookups, rows
 from tributary.plans.bindings import role, roles, with_roles
 from tributary.plans.registry import demo, table
 
@@ -201,12 +201,11 @@ def order_refs(spark, sf_dir):
     with_roles(
         "op items",
         f"""SELECT NRO_OP, string_agg(ref, ',' ORDER BY ref) AS refs FROM (SELECT DISTINCT NRO_OP, {SG_REF.replace("EJERCICIO", "items.EJERCICIO")} AS ref
-        FROM op JOIN items ON items.EJERCICIO = RECO_DEU_COMPRA_EJER AND NRO_OC = RECO_DEU_COMPRA WHERE NRO_CANCE % 3 <> 0) GROUP BY NRO_OP""",
+        FROM op JOIN items ON items.EJERCICIO = RECO_DEU_COMPRA_EJER AND NRO_OC = RECO_DEU_COMPRA) GROUP BY NRO_OP""",
     )
 )
 def payment_fallback_refs(spark, sf_dir):
-    missing = role(spark, sf_dir, "op").where("NRO_CANCE % 3 <> 0")
-    return extracts.fallback_refs(missing, order_refs(spark, sf_dir)).select("NRO_OP", F.array_join("refs", ",").alias("refs"))
+    return extracts.fallback_refs(role(spark, sf_dir, "op"), order_refs(spark, sf_dir)).select("NRO_OP", F.array_join("refs", ",").alias("refs"))
 
 
 @demo(
@@ -238,18 +237,18 @@ def payments_by_supplier_status(spark, sf_dir):
 
 @demo(with_roles("oc", "SELECT count(*) AS n FROM (SELECT DISTINCT EJERCICIO, UNI_COMPRA, NRO_OC FROM oc WHERE ESTADO_OC = 'R')"))
 def distinct_active_orders(spark, sf_dir):
-    return role(spark, sf_dir, "oc").where("ESTADO_OC = 'R'").agg(F.count_distinct(F.struct(*extracts.ORDER)).alias("n"))
+    return rows.distinct_keys(role(spark, sf_dir, "oc").where("ESTADO_OC = 'R'"), extracts.ORDER)
 
 
-@demo(with_roles("items", f"SELECT NRO_OC, string_agg(ref, ',' ORDER BY ref) AS refs FROM (SELECT DISTINCT NRO_OC, {SG_REF} AS ref FROM items) GROUP BY NRO_OC"))
+@demo(with_roles("items", f"SELECT NRO_OC, string_agg(ref, ',' ORDER BY item, ref) AS refs FROM (SELECT NRO_OC, {SG_REF} AS ref, min(ITEM_OC) AS item FROM items GROUP BY ALL) GROUP BY NRO_OC"))
 def distinct_refs_per_po(spark, sf_dir):
-    return order_refs(spark, sf_dir).select("NRO_OC", F.array_join("refs", ",").alias("refs"))
+    listed = rows.distinct_list(role(spark, sf_dir, "items"), ["NRO_OC"], E.expense_ref(*extracts.EXPENSE), ["ITEM_OC"], "refs")
+    return listed.select("NRO_OC", F.array_join("refs", ",").alias("refs"))
 
 
 @demo(with_roles("ret", "SELECT NRO_CANCE, COD_RET, ORDINAL, CAST(IMPORTE AS DOUBLE) AS IMPORTE FROM ret QUALIFY row_number() OVER (PARTITION BY NRO_CANCE, COD_RET ORDER BY FECHA DESC, ORDINAL DESC, IMPORTE DESC) = 1"))
 def last_wins_per_code(spark, sf_dir):
-    latest = F.max(F.struct("FECHA", "ORDINAL", "IMPORTE")).alias("m")
-    return role(spark, sf_dir, "ret").groupBy("NRO_CANCE", "COD_RET").agg(latest).select("NRO_CANCE", "COD_RET", "m.ORDINAL", "m.IMPORTE")
+    return rows.latest_per_key(role(spark, sf_dir, "ret"), ["NRO_CANCE", "COD_RET"], ["FECHA", "ORDINAL", "IMPORTE"]).drop("FECHA")
 
 
 @demo(with_roles("op prov jur", "SELECT NRO_OP, FECH_OP, RAZON_SOCIAL, DENOMINACION FROM op JOIN prov USING (COD_PROV) JOIN jur USING (JURISDICCION) WHERE ESTADO_OP = 'C'"))
@@ -260,8 +259,8 @@ def settled_payments(spark, sf_dir):
 
 @demo(with_roles("op ret ded", "SELECT NRO_OP, COD_RET, DESCRIPCION, count(*) AS n, CAST(sum(IMPORTE) AS DOUBLE) AS total FROM op JOIN ret USING (NRO_CANCE) JOIN ded ON CODIGO = COD_RET GROUP BY ALL"))
 def withholdings_of_payment(spark, sf_dir):
-    rows = analysis.withholdings_of_payments(*roles(spark, sf_dir, "op ret ded"))
-    return rows.groupBy("NRO_OP", "COD_RET", "DESCRIPCION").agg(F.count(F.lit(1)).alias("n"), F.sum("IMPORTE").alias("total"))
+    held = analysis.withholdings_of_payments(*roles(spark, sf_dir, "op ret ded"))
+    return held.groupBy("NRO_OP", "COD_RET", "DESCRIPCION").agg(F.count(F.lit(1)).alias("n"), F.sum("IMPORTE").alias("total"))
 
 
 @demo(with_roles("ped ped_items", "SELECT NUM_PED, OBSERVACIONES, ORDEN, DESCRIP_BIE, CAST(COSTO_UNI AS DOUBLE) AS COSTO_UNI FROM ped JOIN ped_items USING (EJERCICIO, NUM_PED)"))
@@ -277,21 +276,21 @@ def po_with_items_supplier(spark, sf_dir):
 @demo(with_roles("items sg", f"SELECT count(*) AS n_lines, count(JURISDICCION) AS n_with_unit FROM items LEFT JOIN sg {ON_SG}"))
 def lines_with_unit(spark, sf_dir):
     items, sg = roles(spark, sf_dir, "items sg")
-    return items.join(sg.select(*extracts.EXPENSE, "JURISDICCION"), extracts.EXPENSE, "left").agg(F.count(F.lit(1)).alias("n_lines"), F.count("JURISDICCION").alias("n_with_unit"))
+    return rows.filled(items.join(sg.select(*extracts.EXPENSE, "JURISDICCION"), extracts.EXPENSE, "left"), "JURISDICCION", "n_with_unit")
 
 
 @demo(with_roles("items oc", f"SELECT NRO_OC, ITEM_OC, NRO_SOLIC FROM items WHERE NRO_OC IN (SELECT NRO_OC FROM oc WHERE coalesce(CASE WHEN NRO_OC % 4 = 0 THEN FECH_OC + INTERVAL 400 DAYS END, FECH_OC) > TIMESTAMP '2000-06-01 00:00:00')"))
 def child_by_parent_cursor(spark, sf_dir):
     items, oc = roles(spark, sf_dir, "items oc")
     modified = F.when(F.col("NRO_OC") % 4 == 0, F.col("FECH_OC") + F.expr("INTERVAL 400 DAYS"))
-    changed = oc.where(F.coalesce(modified, F.col("FECH_OC")) > F.lit("2000-06-01 00:00:00").cast("timestamp_ntz"))
-    return items.join(changed.select(*extracts.ORDER), extracts.ORDER, "left_semi").select("NRO_OC", "ITEM_OC", "NRO_SOLIC")
+    found = rows.changed_children(items, oc, extracts.ORDER, modified, F.col("FECH_OC"), F.lit("2000-06-01 00:00:00").cast("timestamp_ntz"))
+    return found.select("NRO_OC", "ITEM_OC", "NRO_SOLIC")
 
 
 @demo("SELECT c_custkey FROM customer WHERE c_acctbal < 0")
 def keys_removed_between_snapshots(spark, sf_dir):
     before = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    return before.select("c_custkey").join(before.where("c_acctbal >= 0").select("c_custkey"), "c_custkey", "left_anti")
+    return rows.removed_keys(before, before.where("c_acctbal >= 0"), ["c_custkey"])
 
 
 @demo(with_roles("sg sg_link", f", k AS (SELECT *, {SG_REF} AS own FROM sg), l AS (SELECT *, NRO_SOLIC % 2 = 0 AS structured FROM sg_link) SELECT k.NRO_SOLIC, remote_id FROM k LEFT JOIN l ON (structured AND l.NRO_SOLIC = k.NRO_SOLIC) OR (NOT structured AND l.ref = k.own)"))
@@ -309,4 +308,4 @@ def top_unresolved(spark, sf_dir):
     part = table(spark, sf_dir, "part").where("p_partkey % 3 <> 0")
     lines = table(spark, sf_dir, "lineitem").select("l_partkey")
     keyed = lines.join(part, lines.l_partkey == part.p_partkey).select(F.concat("p_brand", F.lit("::"), "p_type").alias("item_key"))
-    return keyed.groupBy("item_key").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "item_key").limit(10)
+    return rows.top_counts(keyed, "item_key", 10)

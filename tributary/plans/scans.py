@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.operators import incremental
+from tributary.operators import incremental, rows
 from tributary.plans.bindings import role, roles, with_roles
 from tributary.plans.registry import demo, table
 from tributary.sources import payloads, snapshots
@@ -33,8 +33,15 @@ def csv_roundtrip(spark, sf_dir):
 
 @demo("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey, max(o_orderdate) AS o_orderdate FROM orders GROUP BY o_custkey")
 def latest_snapshot_per_key(spark, sf_dir):
-    latest = F.max(F.struct("o_orderdate", "o_orderkey")).alias("m")
-    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(latest).select("o_custkey", "m.o_orderkey", "m.o_orderdate")
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
+    return rows.latest_per_key(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+
+
+@demo("SELECT concat('seg_', lower(c_mktsegment)) AS entity, concat('seg_', lower(c_mktsegment), '_20240101_', lpad(CAST(max(c_custkey) AS VARCHAR), 6, '0'), '.csv') AS name FROM customer GROUP BY c_mktsegment")
+def latest_snapshot_files(spark, sf_dir):
+    text = F.concat(F.lit("seg_"), F.lower("c_mktsegment"), F.lit("_20240101_"), F.lpad(F.col("c_custkey").cast("string"), 6, "0"))
+    named = table(spark, sf_dir, "customer").select(F.explode(F.array(F.concat(text, F.lit(".csv")), F.concat(text, F.lit(".txt")), F.lit("other.csv"))).alias("name"))
+    return snapshots.latest_snapshots(named)
 
 
 @demo("SELECT o_orderkey, o_custkey, o_orderdate FROM orders")
@@ -83,14 +90,14 @@ def explode_results(spark, sf_dir):
     return found.select(F.col("external_id")["nro_oc"].alias("order_key"), "id")
 
 
-@demo()
+@demo("SELECT 'rubros' AS section, count(*) AS n FROM nation UNION ALL SELECT 'tipos', count(*) FROM nation UNION ALL SELECT 'absent', NULL")
 def catalog_sections(spark, sf_dir):
     folder = new_path(spark, "catalogs")
     for section, under in (("rubros", False), ("tipos", True)):
         own = F.struct(F.col("n_nationkey").cast("string").alias("id"), F.col("n_name").alias("name"))
-        rows = table(spark, sf_dir, "nation").agg(F.sort_array(F.collect_list(own)).alias(section))
+        listed = table(spark, sf_dir, "nation").agg(F.sort_array(F.collect_list(own)).alias(section))
         body = F.struct(F.struct(section).alias("lookups")) if under else F.struct(section)
-        rows.select(F.to_json(body).alias("value")).coalesce(1).write.text(f"{folder}/{section}.json")
+        listed.select(F.to_json(body).alias("value")).coalesce(1).write.text(f"{folder}/{section}.json")
     found, failed = payloads.read_catalogs(spark, folder, ("rubros", "tipos", "absent"))
     counts = [t.groupBy().agg(F.count(F.lit(1)).alias("n")).select(F.lit(s).alias("section"), "n") for s, t in found.items()]
     lost = [spark.range(1).select(F.lit(s).alias("section"), F.lit(None).cast("long").alias("n")) for s in failed]
@@ -154,22 +161,19 @@ def exclude_cancelled(spark, sf_dir):
 @demo("SELECT c_custkey, CAST(substr(c_name, 10) AS INT) AS number FROM customer WHERE c_custkey % 7 <> 0 AND TRY_CAST(substr(c_name, 10) AS INT) IS NOT NULL")
 def drop_incomplete_keys(spark, sf_dir):
     text = F.when(F.col("c_custkey") % 7 != 0, F.substring("c_name", 10, 100))
-    return table(spark, sf_dir, "customer").select("c_custkey", text.try_cast("int").alias("number")).dropna(subset=["number"])
+    return rows.with_whole_key(table(spark, sf_dir, "customer"), {"number": text}).select("c_custkey", F.col("number").cast("int").alias("number"))
 
 
 @demo("SELECT o_orderkey, CAST(substr(o_orderpriority, 1, 1) AS INT) AS priority FROM orders WHERE TRY_CAST(substr(o_orderpriority, 1, 1) AS INT) IS NOT NULL AND o_totalprice IS NOT NULL")
 def required_values(spark, sf_dir):
     priority = F.substring("o_orderpriority", 1, 1).try_cast("int")
-    rows = table(spark, sf_dir, "orders").where(F.col("o_totalprice").isNotNull()).select("o_orderkey", priority.alias("priority"))
-    return rows.where("priority IS NOT NULL")
+    return rows.required(table(spark, sf_dir, "orders"), F.col("o_totalprice"), priority).select("o_orderkey", priority.alias("priority"))
 
 
 @demo("SELECT o_orderkey, count(l_orderkey) AS n_items FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey")
 def docs_with_items(spark, sf_dir):
     orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    counted = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_items"))
-    joined = orders.join(counted, orders.o_orderkey == counted.l_orderkey, "left").select("o_orderkey", F.coalesce("n_items", F.lit(0)).alias("n_items"))
-    return joined.where("n_items > 0")
+    return rows.with_items(orders, lines, {"o_orderkey": "l_orderkey"}).select("o_orderkey", "n_items")
 
 
 @demo(with_roles("op", "SELECT NRO_OP, CAST(IMPORTE_TOTAL AS DOUBLE) AS IMPORTE_TOTAL FROM op WHERE EJERCICIO = 2024 AND NRO_CANCE = 7"))
@@ -192,8 +196,8 @@ def stream_snapshot_intake(spark, sf_dir):
         batch.select("event_type", "value").write.mode("overwrite").parquet(f"{out}/rows/batch={number}")
 
     take_in(spark, folder, events.schema, keep, f"{out}/checkpoint", files_per_trigger=2)
-    rows = spark.read.schema("event_type string, value double, batch int").parquet(f"{out}/rows")
-    return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(15,2)")).alias("total"))
+    kept = spark.read.schema("event_type string, value double, batch int").parquet(f"{out}/rows")
+    return kept.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("value").cast("decimal(15,2)")).alias("total"))
 
 
 @demo(
@@ -205,5 +209,4 @@ def stream_snapshot_intake(spark, sf_dir):
 )
 def extract_summary(spark, sf_dir):
     oc, items, sg = roles(spark, sf_dir, "oc items sg")
-    named = [t.select(F.lit(n).alias("entity")) for n, t in (("orden_compra", oc), ("oc_items", items), ("solic_gastos", sg))]
-    return named[0].union(named[1]).union(named[2]).groupBy("entity").agg(F.count(F.lit(1)).alias("n"))
+    return rows.table_counts({"orden_compra": oc, "oc_items": items, "solic_gastos": sg})

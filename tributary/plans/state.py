@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tributary.operators import extracts, incremental, reconcile
+from tributary.operators import extracts, incremental, reconcile, rows
 from tributary.plans.bindings import roles, with_roles
 from tributary.plans.registry import demo, table
 from tributary.sources.payloads import section_errors
@@ -29,14 +29,14 @@ def po_action_classification(spark, sf_dir):
 
 @demo(with_roles("oc oc_link", f"{ACTIONS} SELECT action, count(*) AS n FROM a GROUP BY action"))
 def action_counts(spark, sf_dir):
-    return _actions(spark, sf_dir).groupBy("action").agg(F.count(F.lit(1)).alias("n"))
+    return rows.counts(_actions(spark, sf_dir), "action")
 
 
 @demo(with_roles("oc oc_link", f"{ACTIONS} SELECT NRO_OC, action, CASE WHEN action = 'cancel' THEN 4 ELSE 1 END AS estado_aprobacion FROM a WHERE action IN ('create', 'resend', 'cancel')"))
 def send_list_union(spark, sf_dir):
-    rows = _actions(spark, sf_dir)
-    create = rows.where("action IN ('create', 'resend')").select("NRO_OC", "action", F.lit(1).alias("estado_aprobacion"))
-    cancel = rows.where("action = 'cancel'").select("NRO_OC", "action", F.lit(4).alias("estado_aprobacion"))
+    decided = _actions(spark, sf_dir)
+    create = decided.where("action IN ('create', 'resend')").select("NRO_OC", "action", F.lit(1).alias("estado_aprobacion"))
+    cancel = decided.where("action = 'cancel'").select("NRO_OC", "action", F.lit(4).alias("estado_aprobacion"))
     return create.unionByName(cancel)
 
 
@@ -81,12 +81,12 @@ def create_update_skip(spark, sf_dir):
     return joined.select("c_custkey", "forced", reconcile.feed_action(F.coalesce("_linked", F.lit(False)), F.col("forced")).alias("action"))
 
 
-@demo("SELECT max(o_orderkey) AS last_id, max(o_orderdate) AS last_ts, count(*) AS records FROM orders WHERE o_orderstatus = 'F'")
+@demo("SELECT max(o_orderkey) AS last_id, max(o_orderdate) AS last_ts, count(*) AS records FROM orders")
 def cursor_max(spark, sf_dir):
     import dataclasses
 
     spec = dataclasses.replace(ENTITIES["orden_compra"], id_column="o_orderkey", ts_column="o_orderdate")
-    return incremental.cursor_values(table(spark, sf_dir, "orders").where("o_orderstatus = 'F'"), spec)
+    return incremental.cursor_values(table(spark, sf_dir, "orders"), spec)
 
 
 def _state(spark, sf_dir):
@@ -131,14 +131,18 @@ def error_keeps_cursor(spark, sf_dir):
     return incremental.failed(_state(spark, sf_dir), "F", "lost").select("entity", "last_ts", "status")
 
 
-@demo("SELECT event_type AS section, count(*) AS rows_read, true AS has_column FROM events GROUP BY 1")
+@demo(
+    """SELECT 'orden_pago' AS entity, 'ESTADO_OP' AS column_name, count(*) AS n_rows FROM events UNION ALL SELECT 'orden_pago', 'FECH_OP', count(*) FROM events
+    UNION ALL SELECT 'orden_compra', 'ESTADO_OC', count(*) FROM orders"""
+)
 def cursor_column_check(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    import dataclasses
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderdate", "FECH_OC")
+    return incremental.missing_cursors({"orden_pago": table(spark, sf_dir, "events"), "orden_compra": orders}, ENTITIES)
+
 
-    spec = dataclasses.replace(ENTITIES["orden_pago"], ts_column="ts", pending_column="event_type")
-    missing = incremental.missing_cursor_columns(events, spec)
-    return events.groupBy(F.col("event_type").alias("section")).agg(F.count(F.lit(1)).alias("rows_read"), F.lit(not missing).alias("has_column"))
+@demo(f"WITH {STATE} SELECT entity, CASE WHEN entity IN ('F', 'P') OR entity = 'O' THEN 'FULL' ELSE 'INCREMENTAL' END AS mode FROM (SELECT DISTINCT o_orderstatus AS entity FROM orders) LEFT JOIN st USING (entity)")
+def reset_runs_full(spark, sf_dir):
+    return incremental.run_mode(incremental.reset(_state(spark, sf_dir), "F"), _specs(spark, sf_dir))
 
 
 @demo("WITH s AS (SELECT event_type AS section, count(*) FILTER (WHERE value > 90) AS errors FROM events GROUP BY 1) SELECT coalesce(string_agg(section, ',' ORDER BY section), '') AS failing, count(*) AS n_failing FROM s WHERE errors > 0")
