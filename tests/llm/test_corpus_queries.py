@@ -3,7 +3,10 @@
 import os
 
 import duckdb
+import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
+from test_corpus_operators import brute_url, check_packing
 
 import __spark_entry__
 import corpus_pipeline
@@ -24,6 +27,33 @@ def test_query_equals_sql(spark, name):
     assert sorted(map(tuple, rows)) == sorted(found.fetchall())
 
 
+def test_packing_query(spark):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    places = {d: n for n, d in enumerate(docs)}
+    rows = [r for r in queries.op9_packing(spark, SF).collect()]
+    given = [type("Row", (), {**r.asDict(), "doc_id": places[r.doc_id]}) for r in rows]
+    assert check_packing(given, list(docs.values()), public_tokenizers.path("word_bpe_49k.json"), 2048) == 0
+
+
+def test_url_query(spark):
+    pages = {r.page_id: r.url for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
+    found = queries.op3_url_filter(spark, SF).collect()
+    assert len(found) == len(pages)
+    for r in found:
+        assert (r.host, r.path, r.rule) == brute_url(pages[r.page_id], queries.URL_RULES)
+        assert r.verdict == (dict(queries.URL_RULES)[r.rule] if r.rule else "block" if r.block_score >= 0.5 else "allow")
+
+
+def test_conversation_query(spark):
+    turns = spark.read.parquet(f"{SF}/conversations.parquet")
+    found = queries.conversation_packing(spark, SF)
+    whole = found.groupBy("conv_id", "turn").agg(F.sum("length").alias("n"), F.first("doc_tokens").alias("doc_tokens"))
+    assert whole.where("n <> doc_tokens").count() == 0 and whole.count() == turns.select("conv_id", "turn").distinct().count()
+    sequences = found.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.count("*").alias("segments"), F.sum("loss").alias("loss"))
+    assert sequences.where("n > 2048 OR segments > 16 OR loss > 1024").count() == 0
+    assert found.join(turns, ["conv_id", "turn"]).where("loss <> CASE WHEN role = 'assistant' THEN length ELSE 0 END").count() == 0
+
+
 def test_all_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= set(__spark_entry__.queries())
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 11))
