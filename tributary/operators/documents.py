@@ -62,13 +62,12 @@ def order_item() -> Column:
     return F.when(whole, item)
 
 
-def nested(lines: DataFrame, key: list[str], header: list[str], item: Column, order: list[Column], refs: Column | None = None) -> DataFrame:
-    """One row per ``key``: the header columns of its first line in ``order``, its sorted items, its distinct refs."""
+def nested(lines: DataFrame, key: list[str], header: list[str], item: Column, order: list[Column], sets: dict[str, Column] | None = None) -> DataFrame:
+    """One row per ``key``: the header columns of its first line in ``order``, its sorted items, and the distinct values of ``sets``."""
     first = F.min_by(F.struct(*header), F.struct(*order))
     parts = [first.alias("_header"), F.sort_array(F.collect_list(item)).alias("items")]
-    if refs is not None:
-        parts.append(F.array_sort(F.collect_set(refs)).alias("gasto_refs"))
-    return lines.groupBy(*key).agg(*parts).select(*key, "_header.*", *(["gasto_refs"] if refs is not None else []), "items")
+    parts += [F.array_sort(F.collect_set(c)).alias(name) for name, c in (sets or {}).items()]
+    return lines.groupBy(*key).agg(*parts).select(*key, "_header.*", *(sets or {}), "items")
 
 
 def order_documents(lines: DataFrame, supplier_links: DataFrame, unit_links: DataFrame, expense_links: DataFrame) -> DataFrame:
@@ -83,11 +82,13 @@ def order_documents(lines: DataFrame, supplier_links: DataFrame, unit_links: Dat
     resolved = resolved.join(links, "SG_JURISDICCION", "left")
     order = [F.col(c) for c in ("ITEM_OC", "NRO_SOLIC", "DESCRIPCION", "IMP_UNITARIO", "CANTIDAD")]
     header = ["COD_PROV", "proveedor_id", "centro_costo_id", "SG_JURISDICCION", "OC_FECH_OC", "OC_OBSERVACIONES", "OC_ESTADO_OC", "OC_FECH_CONFIRM", "OC_IMPORTE_TOT"]
-    docs = nested(resolved, ["EJERCICIO", "UNI_COMPRA", "NRO_OC"], header, order_item(), order, E.expense_ref("EJERCICIO", "DELEG_SOLIC", "NRO_SOLIC"))
-    refs = docs.select("EJERCICIO", "UNI_COMPRA", "NRO_OC", F.explode("gasto_refs").alias("ref")).join(expense_links.select("ref", F.col("remote_id").cast("int").alias("_id")), "ref")
-    ids = refs.groupBy("EJERCICIO", "UNI_COMPRA", "NRO_OC").agg(F.array_sort(F.collect_set("_id")).alias("gasto_ids"))
-    return docs.join(ids, ["EJERCICIO", "UNI_COMPRA", "NRO_OC"], "left").withColumns(
+    # A line's expense is resolved before lines are nested: no documents are opened and joined again.
+    known = expense_links.select(F.col("ref").alias("_ref"), F.col("remote_id").cast("int").alias("_expense"))
+    resolved = resolved.withColumn("_ref", E.expense_ref("EJERCICIO", "DELEG_SOLIC", "NRO_SOLIC")).join(known, "_ref", "left")
+    docs = nested(resolved, ["EJERCICIO", "UNI_COMPRA", "NRO_OC"], header, order_item(), order, {"gasto_refs": F.col("_ref"), "gasto_ids": F.col("_expense")})
+    return docs.withColumns(
         {
+            "gasto_ids": F.when(F.size("gasto_ids") > 0, F.col("gasto_ids")),
             "internal_id": E.build_ref("oc", "EJERCICIO", "UNI_COMPRA", "NRO_OC"),
             "created": E.created_at("OC_FECH_OC"),
             "observacion": E.truncated(E.clean("OC_OBSERVACIONES"), 255),

@@ -24,7 +24,7 @@ def nest_po_items(spark, sf_dir):
     items = role(spark, sf_dir, "items")
     item = F.struct("ITEM_OC", "NRO_SOLIC", "DESCRIPCION", "IMP_UNITARIO", "CANTIDAD")
     order = [F.col(c) for c in ("ITEM_OC", "NRO_SOLIC", "DESCRIPCION", "IMP_UNITARIO", "CANTIDAD")]
-    docs = documents.nested(items, extracts.ORDER, ["DESCRIPCION"], item, order, E.expense_ref("EJERCICIO", "DELEG_SOLIC", "NRO_SOLIC"))
+    docs = documents.nested(items, extracts.ORDER, ["DESCRIPCION"], item, order, {"gasto_refs": E.expense_ref("EJERCICIO", "DELEG_SOLIC", "NRO_SOLIC")})
     total = F.aggregate("items", F.lit(0).cast("decimal(25,2)"), lambda a, x: (a + x["IMP_UNITARIO"]).cast("decimal(25,2)"))
     return docs.select("NRO_OC", F.size("items").cast("long").alias("n_items"), total.alias("total"), F.col("DESCRIPCION").alias("first_line"), F.array_join("gasto_refs", ",").alias("refs"))
 
