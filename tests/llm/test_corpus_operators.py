@@ -116,6 +116,37 @@ def test_shards_with_other_columns(spark):
     assert sorted((r.shard, r.slot) for r in found) == [(s, k) for s in range(4) for k in range(10)]
 
 
+def test_repeated_rows_are_spread(spark):
+    """A row that is a third of all rows is in many blocks and buckets, and all results stay whole."""
+    texts = [f"some text number {n} with words" for n in range(600)] + ["the same words again and again"] * 300
+    given = table(spark, texts, [*range(600), *[7] * 150, *[None] * 150]).repartition(4)
+    blocked, n = blocks.into_blocks(given, "lang", block_bytes=5000)
+    sizes = {r.block: r["count"] for r in blocked.groupBy("block").count().collect()}
+    assert sum(sizes.values()) == 900 and n > 10 and max(sizes.values()) < 4 * 900 / n
+    bare, _ = blocks.into_blocks(given, block_bytes=1 << 20)
+    assert bare.count() == 900
+    found = shards.shuffle_into_shards(given, 5, bucket_bytes=3000).collect()
+    assert Counter((r.doc_id, r.text) for r in found) == Counter(zip([*range(600), *[7] * 150, *[None] * 150], texts, strict=True))
+    assert len({(r.shard, r.slot) for r in found}) == 900
+    assert sum(r.component_id == 7 for r in ngram_join.join_similar(given, block_bytes=5000).where("n_shingles = 2").collect()) == 301
+    rows = lm.score(given, block_bytes=5000).collect()
+    wanted = brute_scores(texts, range(900), [False] * 900)
+    assert sorted(r.score for r in rows) == pytest.approx(sorted(w[6] for w in wanted))
+
+
+def test_repeated_rows_in_token_files(spark, tmp_path):
+    path, folder = public_tokenizers.path("byte_bpe_50k.json"), f"file://{tmp_path}/t"
+    given = table(spark, ["the same words again"] * 400 + ["other"] * 3, [5] * 400 + [4, 6, None]).repartition(4)
+    manifest = token_files.write_token_files(given, folder, path, 2, part_bytes=3000)
+    assert manifest.count() > 4 and manifest.agg(F.max("n_docs")).first()[0] < 250
+    rows = sorted(token_files.read_token_files(manifest, folder).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == [None, 4, *[5] * 400, 6]
+    at = 0
+    for r in rows:
+        assert r.start == at
+        at += r.n_tokens
+
+
 # 2: n-gram join.
 
 

@@ -17,17 +17,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.text import sliced
+from tributary.workspace import stored
 
 BLOCK_BYTES = 8 << 20
 SENT = "part long, block long, keys binary, about binary"
 ANSWER = "block long, step int, part long, about binary, told array<long>"
 
 
+def salted(docs: DataFrame, most_bytes: int, *, id_col: str = "doc_id", text_col: str = "text", salt: str = "_salt") -> DataFrame:
+    """``docs`` with ``salt``, which spreads rows that repeat one id and text until they fill more than ``most_bytes``.
+
+    Such rows get a number each, and are stored with it, so that all that is made of them sees the same numbers; others
+    get 0.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row, id_, text = "_row_of_" + salt, F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    keyed = docs.select(F.struct(*columns).alias("_all"), F.xxhash64(id_, text).alias(row))
+    sizes = docs.select(F.xxhash64(id_, text).alias(row), (F.coalesce(F.octet_length(text), F.lit(0)) + 64).cast("long").alias("_bytes"))
+    often = sizes.groupBy(row).agg(F.sum("_bytes").alias("_bytes"), F.count(F.lit(1)).alias("_n")).where((F.col("_bytes") > most_bytes) & (F.col("_n") > 1))
+    often = stored(often.select(row), "repeated")
+    own = [F.col("_all")[c].alias(c) for c in docs.columns]
+    if not often.limit(1).count():
+        return docs.select(*columns, F.lit(0).cast("long").alias(salt))
+    numbered = keyed.withColumn(salt, F.monotonically_increasing_id()).join(often, row, "left_semi")
+    numbered = stored(numbered.select(*own, salt), "repeated")
+    return keyed.join(often, row, "left_anti").select(*own, F.lit(0).cast("long").alias(salt)).unionByName(numbered)
+
+
 def into_blocks(docs: DataFrame, *columns, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
-    """(block, doc_id, text, columns...) and the number of blocks. Rows are dealt by their id and text together."""
+    """(block, doc_id, text, columns...) and the number of blocks. Rows are dealt by their id and text together, see ``salted``."""
     total = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    key = F.xxhash64(F.lit("block"), F.col(id_col), F.col(text_col))
+    docs = salted(docs, block_bytes, id_col=id_col, text_col=text_col)
+    key = F.xxhash64(F.lit("block"), F.col(id_col), F.col(text_col), F.col("_salt"))
     block = F.pmod(key, F.lit(blocks).cast("long")).alias("block")
     return docs.select(block, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *columns), blocks
 
@@ -99,8 +121,8 @@ def answered(parts: DataFrame, step: int, key_type: str, about_kind: str, answer
     def gather(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         keys, about, ends = received(rows, key_type, about_kind)
-        distinct, places = np.unique(keys, return_inverse=True)
-        found = decide(places, len(distinct), about)
+        known, places = np.unique(keys, return_inverse=True)
+        found = decide(places, len(known), about)
         starts = np.concatenate([[0], ends[:-1]])
         return pa.table(
             {
@@ -108,7 +130,7 @@ def answered(parts: DataFrame, step: int, key_type: str, about_kind: str, answer
                 "step": pa.array(np.full(rows.num_rows, step, np.int32)),
                 "part": rows.column("part"),
                 "about": pa.array([encoded(found[a:b], answer_kind) for a, b in zip(starts, ends, strict=True)], pa.binary()),
-                "told": pa.array([tell(distinct, places, about) if tell and not n else None for n in range(rows.num_rows)], pa.list_(pa.int64())),
+                "told": pa.array([tell(known, places, about) if tell and not n else None for n in range(rows.num_rows)], pa.list_(pa.int64())),
             }
         )
 

@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from tributary.llm.blocks import salted
+
 BUCKET, BASE, RECORD, AT, SHARD = "_bucket", "_base", "_record", "_at", "_shard"
+SALT = "_salt_of_shards"
 
 
 def record_bytes(text: F.Column | str) -> F.Column:
@@ -31,7 +34,7 @@ def shuffle_into_shards(
     Law ``rows``: shard counts are at most one apart. The same rows, seed and bucket size give the same buckets;
     rows are ordered by their columns before a bucket is shuffled, so fetch order does not matter.
     Null texts count 8 bytes; rows are scattered by id and text together, so that rows with a null or repeated id are
-    spread by their texts. Repeated rows are kept, each with a slot of its own; rows that are equal in all columns are
+    spread by their texts, and rows that repeat both beyond a bucket's size by a number of their own. Repeated rows are kept, each with a slot of its own; rows that are equal in all columns are
     interchangeable. A very long text makes a bucket of its own size, which a task must hold. An empty table gives no
     rows. Columns already named ``shard`` or ``slot`` are replaced; others, whatever their names, stay as they are.
     Columns must be of types that can be ordered (no maps). Two windows run over one row for each bucket (input bytes /
@@ -44,8 +47,8 @@ def shuffle_into_shards(
     id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     total, rows = docs.agg(F.sum(record_bytes(text)), F.count(F.lit(1))).first()
     buckets = max(1, math.ceil((total or 0) / bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), id_, text), F.lit(buckets).cast("long")).alias(BUCKET)
-    scattered = docs.select(bucket, F.struct(*(F.col(f"`{c}`") for c in names)).alias(RECORD))
+    bucket = F.pmod(F.xxhash64(F.lit(seed), id_, text, F.col(SALT)), F.lit(buckets).cast("long")).alias(BUCKET)
+    scattered = salted(docs, bucket_bytes, id_col=id_col, text_col=text_col, salt=SALT).select(bucket, F.struct(*(F.col(f"`{c}`") for c in names)).alias(RECORD))
 
     # As many counts as buckets: input bytes / bucket_bytes rows of two numbers.
     counts = scattered.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))

@@ -22,11 +22,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tributary.llm.blocks import salted
 from tributary.llm.encoding import SLICE_BYTES, encoder
 from tributary.llm.text import sliced
 from tributary.workspace import stored
 
-MANIFEST = "name string, first_id long, first_text long, n_docs long, n_null long, n_tokens long, width int"
+MANIFEST = "name string, first_id long, first_text long, salt long, n_docs long, n_null long, n_tokens long, width int"
 
 
 def _at(folder: str):
@@ -63,25 +64,25 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                     place += len(ids)
                     docs.append(some.column("doc_id").fill_null(0).to_numpy().copy())  # a view would hold the texts
                     nulls += some.column("doc_id").null_count
-                    first = first or (some.column("doc_id")[0].as_py(), some.column("by_text")[0].as_py())
+                    first = first or (some.column("doc_id")[0].as_py(), some.column("by_text")[0].as_py(), some.column("_salt")[0].as_py())
         if first:
             ends, docs = np.concatenate(offsets), np.concatenate(docs)
             for end, values in (("off", ends), ("doc", docs)):
                 with files.open_output_stream(f"{root}/{name}.{end}") as out:
                     out.write(values.astype("<i8").tobytes())
-            columns = [[name], [first[0]], [first[1]], [len(docs)], [nulls], [place], [width]]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, [pa.string(), *[pa.int64()] * 5, pa.int32()], strict=True)], names=[x.split()[0] for x in MANIFEST.split(", ")])
+            columns = [[name], [first[0]], [first[1]], [first[2]], [len(docs)], [nulls], [place], [width]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, [pa.string(), *[pa.int64()] * 6, pa.int32()], strict=True)], names=[x.split()[0] for x in MANIFEST.split(", ")])
         else:
             files.delete_file(f"{root}/{name}.bin")
 
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("by_text"))
-    ordered = keyed.repartitionByRange(parts, "doc_id", "by_text").sortWithinPartitions("doc_id", "by_text", "text")
+    keyed = salted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), part_bytes).select("doc_id", "text", F.xxhash64("text").alias("by_text"), "_salt")
+    ordered = keyed.repartitionByRange(parts, "doc_id", "by_text", "_salt").sortWithinPartitions("doc_id", "by_text", "text")
     return stored(ordered.mapInArrow(write, MANIFEST), "manifest")
 
 
 def with_bases(manifest: DataFrame) -> DataFrame:
     """The manifest with ``base``. It holds one row for each part (text / ``part_bytes``: 3 million at 100 TB), so that one task can sum it."""
-    before = Window.orderBy(F.col("first_id").asc_nulls_first(), "first_text", "name").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy(F.col("first_id").asc_nulls_first(), "first_text", "salt", "name").rowsBetween(Window.unboundedPreceding, -1)
     return manifest.withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
