@@ -7,14 +7,6 @@ from pyspark.sql import functions as F
 
 from tributary.functions.exprs import clean, digits_key, expense_ref, normalize_text, split_list
 
-MOST_BROADCAST_ROWS = 200_000
-
-
-def small(table: DataFrame) -> DataFrame:
-    """``table``, marked for broadcast if it has no more than MOST_BROADCAST_ROWS rows; else Spark chooses the join."""
-    return F.broadcast(table) if table.limit(MOST_BROADCAST_ROWS + 1).count() <= MOST_BROADCAST_ROWS else table
-
-
 def resolve(df: DataFrame, links: DataFrame, keys: dict[str, str], target: str, as_name: str) -> DataFrame:
     """``df`` with ``as_name``: ``target`` of the link whose columns (values of ``keys``) equal ``df``'s (its keys)."""
     own = links.select(*(F.col(v).alias(f"_link_{v}") for v in keys.values()), F.col(target).alias(as_name))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.operators import incremental, rows
 from tributary.plans.bindings import role, roles, with_roles
@@ -31,6 +32,16 @@ def csv_roundtrip(spark, sf_dir):
     return raw.select(F.col("C_CUSTKEY").cast("long").alias("c_custkey"), F.col("C_NAME").alias("c_name"), F.col("C_ACCTBAL").cast("decimal(15,2)").alias("c_acctbal"))
 
 
+@demo("SELECT o_orderkey, o_orderdate, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS DOUBLE) AS o_totalprice, CAST(NULL AS INTEGER) AS o_orderpriority, CAST(NULL AS INTEGER) AS o_absent FROM orders")
+def typed_snapshot(spark, sf_dir):
+    """Text columns as types: what does not fit, and what is missing, is null."""
+    folder = new_path(spark, "csv")
+    snapshots.write_csv(table(spark, sf_dir, "orders").withColumn("o_totalprice", F.col("o_totalprice").cast("decimal(15,2)")), folder)
+    raw = snapshots.read_csv_snapshot(spark, folder).withColumnsRenamed({c.upper(): c for c in ("o_orderkey", "o_orderdate", "o_totalprice", "o_orderpriority")})
+    wanted = "o_orderkey long, o_orderdate timestamp_ntz, o_totalprice decimal(15,2), o_orderpriority int, o_absent int"
+    return snapshots.typed(raw, T.StructType.fromDDL(wanted))
+
+
 @demo("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey, max(o_orderdate) AS o_orderdate FROM orders GROUP BY o_custkey")
 def latest_snapshot_per_key(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
@@ -67,14 +78,29 @@ def rolling_window_extract(spark, sf_dir):
     return snapshots.rolling_window(orders, "o_orderdate", F.lit(AS_OF).cast("timestamp_ntz"), 3)
 
 
-@demo(
-    """WITH n AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS batch FROM orders WHERE o_orderstatus = 'F')
-    SELECT CAST(batch AS BIGINT) AS batch, count(*) AS n_docs, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM n GROUP BY batch"""
-)
+BATCHES = "n AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 500 AS batch FROM orders)"
+
+
+def _numbered(spark, sf_dir):
+    """All orders in batches, with all their columns and a wide one."""
+    docs = table(spark, sf_dir, "orders").withColumn("wide", F.sha2(F.col("o_orderkey").cast("string"), 512))
+    return payloads.batch_numbers(docs, ["o_orderkey"], 500)
+
+
+@demo(f"WITH {BATCHES} SELECT CAST(batch AS BIGINT) AS batch, count(*) AS n_docs, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key FROM n GROUP BY batch")
 def payload_batches(spark, sf_dir):
-    docs = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey")
-    numbered = payloads.batch_numbers(docs, ["o_orderkey"], 500)
-    return numbered.groupBy("batch").agg(F.count(F.lit(1)).alias("n_docs"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"))
+    measures = [F.count(F.lit(1)).alias("n_docs"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key"), F.count("wide").alias("_wide")]
+    return _numbered(spark, sf_dir).groupBy("batch").agg(*measures).drop("_wide")
+
+
+@demo(f"WITH {BATCHES} SELECT CAST(batch AS BIGINT) AS batch, false AS dry_run, true AS upsert, count(*) AS n_docs, CAST(sum(o_orderkey) AS BIGINT) AS keys, 0 AS n_others FROM n GROUP BY batch")
+def payload_envelopes(spark, sf_dir):
+    found = payloads.envelopes(_numbered(spark, sf_dir), "ordenes_compra", F.to_json(F.struct("o_orderkey", "wide")), dry_run=False, options={"upsert": True})
+    sections = ", ".join(f"{c} array<string>" for c in payloads.SECTIONS)
+    parsed = F.from_json("payload", f"dry_run boolean, options struct<upsert: boolean>, {sections}").alias("p")
+    keys = F.aggregate(F.transform("p.ordenes_compra", lambda d: F.get_json_object(d, "$.o_orderkey").cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
+    others = sum(F.size(f"p.{c}") for c in payloads.SECTIONS if c != "ordenes_compra")
+    return found.select("batch", parsed).select("batch", "p.dry_run", "p.options.upsert", F.size("p.ordenes_compra").cast("long").alias("n_docs"), keys.alias("keys"), others.alias("n_others"))
 
 
 @demo("SELECT CAST(o_orderkey AS VARCHAR) AS order_key, CAST(900000 + o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey % 10 <> 0")
