@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.text import sliced
+from tributary.llm.text import distinct, sliced
 from tributary.workspace import stored
 
 BLOCK_BYTES = 8 << 20
@@ -121,7 +121,9 @@ def answered(parts: DataFrame, step: int, key_type: str, about_kind: str, answer
     def gather(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         keys, about, ends = received(rows, key_type, about_kind)
-        known, places = np.unique(keys, return_inverse=True)
+        shift = np.uint64(64 - 8 * keys.dtype.itemsize)
+        known, places = distinct(keys.astype(np.uint64) << shift)
+        known >>= shift
         found = decide(places, len(known), about)
         starts = np.concatenate([[0], ends[:-1]])
         return pa.table(

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tributary.llm.blocks import SENT, answered, block_of, into_blocks, part_of, read_answer, sent, text_slices
-from tributary.llm.text import Words, mix
+from tributary.llm.text import Words, distinct, mix
 from tributary.workspace import stored
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814E)  # stand for the two ends of a text
@@ -98,7 +98,7 @@ class Block:
         before = np.concatenate([[START], self.token[:-1]])
         before[self.first[:-1]] = START
         both = np.concatenate([word_keys(self.token), longer_keys(before, self.token), word_keys(np.array([START, END]))])
-        self.keys, places = np.unique(both, return_inverse=True)
+        self.keys, places = distinct(both)
         n = len(self.token)
         self.word, self.pair, (self.start, self.end) = places[:n], places[n : 2 * n], places[-2:].tolist()
         self.is_pair = (self.keys & np.uint64(1)).astype(bool)
@@ -123,7 +123,9 @@ class Block:
         at = np.setdiff1d(np.arange(len(self.token)), self.first[:-1], assume_unique=True)
         at = at[(self.total[self.pair[at]] >= LEAST) & (self.total[self.pair[at - 1]] >= LEAST)]
         keys = longer_keys(self.keys[self.pair[at - 1]], self.token[at])
-        self.triple_keys, where, places = np.unique(keys, return_index=True, return_inverse=True)
+        self.triple_keys, places = distinct(keys)
+        where = np.zeros(len(self.triple_keys), np.int64)
+        where[places] = np.arange(len(keys))
         self.triple_counts = np.bincount(places[self.train[at]], minlength=len(self.triple_keys))
         self.triple_head, self.triple_last = self.pair[at[where] - 1], self.pair[at[where]]
 

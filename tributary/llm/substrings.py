@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tributary.llm.blocks import SENT, answered, block_of, into_blocks, part_of, read_answer, sent, text_slices
-from tributary.llm.text import Words, run_hashes
+from tributary.llm.text import Words, distinct, run_hashes
 from tributary.workspace import stored
 
 KEPT = "doc_id long, n_words long, n_removed long, kept_text string"
@@ -46,11 +46,11 @@ class Block:
         at = self.starts(self.anchor)
         hashes = run_hashes(self.hashes, at, at + self.anchor)
         code = part_of(hashes, self.parts) << np.uint64(32) | hashes & np.uint64(0xFFFFFFFF)
-        distinct, places = np.unique(code, return_inverse=True)
-        times = np.bincount(places, minlength=len(distinct))
-        index = np.zeros(len(distinct), bool)
+        codes, places = distinct(code)
+        times = np.bincount(places, minlength=len(codes))
+        index = np.zeros(len(codes), bool)
         index[places[self.place[at] % self.anchor == 0]] = True
-        return at, distinct, places, index, times
+        return at, codes, places, index, times
 
     def extended(self, at: np.ndarray, anchors: np.ndarray):
         """Distinct whole windows around anchors, with the smallest id that has each in this block."""
@@ -63,10 +63,10 @@ class Block:
         starts = self.starts(self.window)
         starts = starts[near[starts]]
         keys = run_hashes(self.hashes, starts, starts + self.window)
-        distinct, places = np.unique(keys, return_inverse=True)
-        least = np.full(len(distinct), NO_ID)
+        found, places = distinct(keys)
+        least = np.full(len(found), NO_ID)
         np.minimum.at(least, places, self.id_of_word[starts])
-        return starts, distinct, places, least
+        return starts, found, places, least
 
 
 def _repeated(places: np.ndarray, n: int, flags: np.ndarray) -> np.ndarray:
@@ -117,27 +117,27 @@ def remove_repeats(docs: DataFrame, *, window: int = 50, block_bytes: int = 8 <<
         out = out.add(name, kind)
 
     def probe(rows: pa.Table) -> pa.Table:
-        _, distinct, _, index, times = Block(rows, window, parts).probes()
+        _, codes, _, index, times = Block(rows, window, parts).probes()
         flags = (index | (times > 1).astype(np.uint8) << 1).astype(np.uint8)
-        return sent(block_of(rows), distinct.astype(np.uint32), distinct >> np.uint64(32), flags, "u1")
+        return sent(block_of(rows), codes.astype(np.uint32), codes >> np.uint64(32), flags, "u1")
 
     def anchors_of(block: Block, answers: pa.Table):
-        at, distinct, places, _, _ = block.probes()
-        return at, read_answer(answers, 0, distinct >> np.uint64(32), "bool")[places]
+        at, codes, places, _, _ = block.probes()
+        return at, read_answer(answers, 0, codes >> np.uint64(32), "bool")[places]
 
     def extend(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return sent(0, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0), "<i8")
         block = Block(rows, window, parts)
-        _, distinct, _, least = block.extended(*anchors_of(block, answers))
-        return sent(block_of(rows), distinct, part_of(distinct, parts), least, "<i8")
+        _, keys, _, least = block.extended(*anchors_of(block, answers))
+        return sent(block_of(rows), keys, part_of(keys, parts), least, "<i8")
 
     def remove(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pa.table({name: [] for name in out.names})
         block = Block(rows, window, parts)
-        starts, distinct, places, least = block.extended(*anchors_of(block, answers))
-        elsewhere = read_answer(answers, 1, part_of(distinct, parts), "bool")
+        starts, keys, places, least = block.extended(*anchors_of(block, answers))
+        elsewhere = read_answer(answers, 1, part_of(keys, parts), "bool")
         gone = starts[elsewhere[places] | (least[places] < block.id_of_word[starts])]
         change = np.zeros(len(block.hashes) + window + 1, np.int64)
         np.add.at(change, gone, 1)

@@ -50,6 +50,27 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * down[starts] + size * np.uint64(0xD6E8FEB86659FD93))
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``values`` (64-bit hashes), ascending, and the place among them of each.
+
+    What np.unique gives. Hashes are sorted by their upper bits together with where they stand, which takes one sort of
+    plain numbers; should two of them share those bits only, they are sorted in full.
+    """
+    n = len(values)
+    if not n:
+        return values, np.zeros(0, np.int64)
+    low = np.uint64((1 << n.bit_length()) - 1)
+    order = (np.sort((values & ~low) | np.arange(n, dtype=np.uint64)) & low).astype(np.int64)
+    ordered = values[order]
+    if (ordered[1:] < ordered[:-1]).any():
+        return np.unique(values, return_inverse=True)
+    new = np.ones(n, bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    places = np.empty(n, np.int64)
+    places[order] = np.cumsum(new) - 1
+    return ordered[new], places
+
+
 class Words:
     """The words of a few texts: documents are rows of ``texts``; ``first[d]`` to ``first[d + 1]`` are the words of d."""
 
