@@ -26,9 +26,9 @@ from tributary.llm.text import _WHITE
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-MOST_PIECES, MOST_IDS = 1 << 17, 1 << 20
+MOST_PIECES, MOST_IDS = 1 << 18, 1 << 21
 AT_ONCE = 4096
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 20
 # White space beyond ASCII in UTF-8.
 WIDE_SPACES = [*map(chr, (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))]
 
@@ -86,11 +86,23 @@ class Encoder:
         self.added = [] if special_as_text else [x.content.encode() for x in added]
         self.lower = self.kind == "words" and "Lowercase" in json.dumps(normalizer)
         self.model = self.tokenizer.model
+        self.latest: tuple[list[bytes], np.ndarray] = [], np.zeros(0, np.int64)
         self._forget()
 
     def _forget(self) -> None:
+        """Remember only the pieces of the latest slice: most of those that are frequent are among them."""
+        pieces, slots = self.latest
+        kept = (pieces, *self._gathered(slots)) if pieces else None
         self.slots: dict[bytes | int, int] = {}
         self.ids, self.begin, self.size = Grown("<u4"), Grown(np.int64), Grown(np.int64)
+        if kept:
+            self._remember(*kept)
+
+    def _gathered(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces in ``slots``, one after another, and how many each has."""
+        sizes = self.size.data[slots]
+        before = np.cumsum(sizes) - sizes
+        return self.ids.data[np.repeat(self.begin.data[slots] - before, sizes) + np.arange(sizes.sum())], sizes
 
     def _remember(self, keys: list, ids: np.ndarray, sizes: np.ndarray) -> None:
         self.slots.update(zip(keys, range(self.begin.n, self.begin.n + len(keys)), strict=True))
@@ -182,17 +194,16 @@ class Encoder:
         pieces = [data[a:b] for a, b in pairwise(places)]
         if missing := [x for x in pieces if x not in self.slots]:
             self._learn(missing)
-        slots = np.fromiter(map(self.slots.__getitem__, pieces), np.int64, len(pieces))[known.indices.to_numpy()]
+        self.latest = pieces, np.fromiter(map(self.slots.__getitem__, pieces), np.int64, len(pieces))
+        slots = self.latest[1][known.indices.to_numpy()]
         first = np.searchsorted(cuts, offsets)
         if end_id is not None:
             if end_id not in self.slots:
                 self._remember([end_id], np.array([end_id], "<u4"), np.array([1]))
             slots = np.insert(slots, first[1:], self.slots[end_id])
             first = first + np.arange(len(first))
-        sizes = self.size.data[slots]
-        before = np.concatenate([[0], np.cumsum(sizes)])
-        from_ = np.repeat(self.begin.data[slots] - before[:-1], sizes) + np.arange(before[-1])
-        return self.ids.data[from_], before[first]
+        ids, sizes = self._gathered(slots)
+        return ids, np.concatenate([[0], np.cumsum(sizes)])[first]
 
 
 _encoders: dict[tuple[str, bool], Encoder] = {}
