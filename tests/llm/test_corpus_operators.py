@@ -78,6 +78,15 @@ def test_words_and_hashes():
     assert len(set(hashes.tolist())) == len(set(flat)) and len({(h, w) for h, w in zip(hashes.tolist(), flat, strict=True)}) == len(set(flat))
 
 
+def test_distinct_is_unique():
+    rng = np.random.default_rng(0)
+    for n in (0, 1, 2, 5, 1000, 50_000):
+        for top in (1, 3, 1000, 2**44, 2**63):
+            given = rng.integers(0, top, n, dtype=np.uint64)
+            for own, other in zip(text.distinct(given), np.unique(given, return_inverse=True), strict=True):
+                assert (own == other).all()
+
+
 def test_slices_hold_all_rows():
     batch = pa.RecordBatch.from_pydict({"text": pa.array([*TEXTS, None])})
     parts = list(text.sliced(batch, most=1000))

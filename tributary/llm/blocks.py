@@ -121,9 +121,7 @@ def answered(parts: DataFrame, step: int, key_type: str, about_kind: str, answer
     def gather(rows: pa.Table) -> pa.Table:
         rows = rows.combine_chunks()
         keys, about, ends = received(rows, key_type, about_kind)
-        shift = np.uint64(64 - 8 * keys.dtype.itemsize)
-        known, places = distinct(keys.astype(np.uint64) << shift)
-        known >>= shift
+        known, places = distinct(keys.astype(np.uint64))
         found = decide(places, len(known), about)
         starts = np.concatenate([[0], ends[:-1]])
         return pa.table(

@@ -51,16 +51,17 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct ``values`` (64-bit hashes), ascending, and the place among them of each.
+    """The distinct ``values`` (unsigned 64-bit numbers), ascending, and the place among them of each.
 
-    What np.unique gives. Hashes are sorted by their upper bits together with where they stand, which takes one sort of
-    plain numbers; should two of them share those bits only, they are sorted in full.
+    What np.unique gives. Numbers are sorted by their upper bits, the first that any has, together with where they stand,
+    which takes one sort of plain numbers; should two of them share those bits only, they are sorted in full.
     """
     n = len(values)
     if not n:
         return values, np.zeros(0, np.int64)
     low = np.uint64((1 << n.bit_length()) - 1)
-    order = (np.sort((values & ~low) | np.arange(n, dtype=np.uint64)) & low).astype(np.int64)
+    unused = np.uint64(64 - int(values.max()).bit_length())
+    order = (np.sort((values << unused & ~low) | np.arange(n, dtype=np.uint64)) & low).astype(np.int64)
     ordered = values[order]
     if (ordered[1:] < ordered[:-1]).any():
         return np.unique(values, return_inverse=True)
