@@ -70,3 +70,25 @@ WITH d AS (
 SELECT doc_id, item_id, sizes.n::BIGINT AS n_shingles, shared.n::BIGINT AS n_shared
 FROM shared JOIN sizes USING (item_id) WHERE 100 * shared.n >= 80 * sizes.n
 """
+
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all({LOWER}, '{TERM}') AS w FROM documents
+), sizes AS (
+  SELECT doc_id, len(w)::BIGINT AS n FROM d WHERE len(w) > 0
+), whole AS (
+  SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM sizes
+), tf AS (
+  SELECT doc_id, t, count(*)::BIGINT AS tf FROM (SELECT doc_id, unnest(w) AS t FROM d) GROUP BY doc_id, t
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, whole GROUP BY t
+), item_terms AS (
+  SELECT item_id, t, count(*)::BIGINT AS times FROM (SELECT item_id, unnest(regexp_extract_all({LOWER}, '{TERM}')) AS t FROM benchmark) GROUP BY item_id, t
+), scores AS (
+  SELECT item_id, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM item_terms JOIN tf USING (t) JOIN weights USING (t) JOIN sizes USING (doc_id), whole GROUP BY item_id, doc_id
+)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0) WHERE rank <= 20
+"""

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from tributary.llm import decontaminate, language, lm, ngram_join, oracles, packing, quality, shards, substrings, token_files, urls
+from tributary.llm import decontaminate, language, lexical, lm, neighbours, ngram_join, oracles, packing, quality, shards, substrings, token_files, urls, whitening
 from tributary.workspace import new_path, stored
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "allow"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -77,6 +77,19 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"), held_out=lm.held_out_tenth("doc_id"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=32)
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 QUERIES = {
     "op1_shards": op1_shards,
     "op2_ngram_join": op2_ngram_join,
@@ -88,8 +101,11 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_packing": op9_packing,
     "op10_lm_score": op10_lm_score,
+    "op11_whitening": op11_whitening,
+    "op12_lexical_search": op12_lexical_search,
+    "op13_neighbours": op13_neighbours,
     "conversation_packing": conversation_packing,
 }
 
 #: SQL for the queries that it can express.
-ORACLE_SQL: dict[str, str] = {"op2_ngram_join": oracles.OP2, "op4_substring_dedup": oracles.OP4, "op7_decontaminate": oracles.OP7}
+ORACLE_SQL: dict[str, str] = {"op2_ngram_join": oracles.OP2, "op4_substring_dedup": oracles.OP4, "op7_decontaminate": oracles.OP7, "op12_lexical_search": oracles.OP12}
