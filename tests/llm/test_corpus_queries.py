@@ -56,7 +56,7 @@ def test_conversation_query(spark):
 
 def test_all_are_registered():
     assert {*queries.QUERIES, "pipeline"} <= set(__spark_entry__.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")) == list(range(1, 14))
 
 
 def test_pipeline_stages(spark):

@@ -57,7 +57,7 @@ class Folded:
 
 def terms_of(text: str | None) -> list[str]:
     """The terms of a text, each of its bytes a character."""
-    return Folded(pa.array([text], pa.string())).latin().split()
+    return [t for t in Folded(pa.array([text], pa.string())).latin().split(" ") if t]  # other bytes that split() takes for white space are parts of characters
 
 
 def automaton(terms: list[str]):

@@ -24,27 +24,26 @@ SCHEMA = "vec_id long, component int, n long, deviation decimal(38,0), whitened
 AT_ONCE = 2048
 
 
-def refine(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """One step from approximate eigenvectors ``x`` of ``a``, all in WIDE: better ones, their eigenvalues, and the largest correction."""
+def refine(a: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, float]:
+    """One step from approximate eigenvectors ``x`` of ``a``, all in WIDE: better ones, and how far ``x`` was from orthogonal and diagonal."""
     rest = np.eye(len(a), dtype=WIDE) - x.T @ x
-    turned = x.T @ a @ x
+    turned = x.T @ (a @ x)
+    turned = (turned + turned.T) / 2
     values = np.diag(turned) / (1 - np.diag(rest))
-    close = 2 * (np.linalg.norm((turned - np.diag(values)).astype(np.float64)) + np.linalg.norm(a.astype(np.float64)) * np.linalg.norm(rest.astype(np.float64)))
-    gaps = values[None, :] - values[:, None]
+    aside = turned - np.diag(np.diag(turned))
+    close = 2 * (np.linalg.norm(aside.astype(np.float64)) + np.linalg.norm(a.astype(np.float64)) * np.linalg.norm(rest.astype(np.float64)))
+    gaps, middle = values[None, :] - values[:, None], (values[None, :] + values[:, None]) / 2
     apart = np.abs(gaps) > close
-    change = np.where(apart, (turned + values[None, :] * rest) / np.where(apart, gaps, 1), rest / 2)
-    x = x + x @ change
+    # half of ``rest`` makes the vectors orthogonal; what turns them is antisymmetric, also as rounded
+    better = x + x @ (np.where(apart, (aside + middle * rest) / np.where(apart, gaps, 1), 0) + rest / 2)
     order = np.argsort(-values, kind="stable")
-    x, values = x[:, order], values[order]
-    moved = float(np.abs(change).max())
-    cuts = np.flatnonzero(-np.diff(values) > close) + 1
-    for own in np.split(np.arange(len(values)), cuts):
+    better, values = better[:, order], values[order]
+    for own in np.split(np.arange(len(values)), np.flatnonzero(-np.diff(values) > close) + 1):
         if len(own) > 1:
-            inner = x[:, own].T @ (a @ x[:, own] - values[own].mean() * x[:, own])
-            _, w = np.linalg.eigh(((inner + inner.T) / 2).astype(np.float64))
-            x[:, own] = x[:, own] @ w[:, ::-1].astype(WIDE)
-            moved = max(moved, float(np.abs(inner - np.diag(np.diag(inner))).max()))
-    return x, values, moved
+            inner = better[:, own].T @ (a @ better[:, own] - values[own].mean() * better[:, own])
+            w = np.linalg.eigh(((inner + inner.T) / 2).astype(np.float64))[1][:, ::-1].astype(WIDE)
+            better[:, own] = better[:, own] @ (w @ (3 * np.eye(len(own), dtype=WIDE) - w.T @ w) / 2)  # orthogonal beyond double precision
+    return better, float(max(np.abs(rest).max(), np.abs(aside).max()))
 
 
 def eigen(a: np.ndarray, most: int = 12) -> tuple[np.ndarray, np.ndarray]:
@@ -56,13 +55,15 @@ def eigen(a: np.ndarray, most: int = 12) -> tuple[np.ndarray, np.ndarray]:
     if not scale:
         return np.zeros(len(a)), np.eye(len(a))
     wide = (a / scale).astype(WIDE)
-    x = np.linalg.eigh((a / scale).astype(np.float32))[1][:, ::-1].astype(WIDE)
-    before = np.inf
+    now = np.linalg.eigh((a / scale).astype(np.float32))[1].astype(WIDE)
+    least = np.inf
     for _ in range(most):
-        x, _, moved = refine(wide, x)
-        if moved < 2.0**-60 or (moved < 2.0**-50 and moved >= before):
+        better, error = refine(wide, now)
+        if error < least:
+            least, x = error, now
+        if error < len(a) * 2.0**-62:
             break
-        before = moved
+        now = better
     x = x / np.sqrt((x * x).sum(0))
     values = ((x * (wide @ x)).sum(0) * WIDE(scale)).astype(np.float64)
     order = np.argsort(-values, kind="stable")
