@@ -236,13 +236,23 @@ def test_neighbours_of_few_equal_or_odd_rows(spark):
 def test_windows_end_only_when_enough_lie_within_the_radius():
     x = clustered(400, 8, 9)
     longest = float(np.sqrt((x * x).sum(1)).max())
-    index = neighbours.Index(x, longest, 48, 0.8, 0.04, 7)
-    found, scores = index.nearest(x[3], index.windows(x[3:4])[..., 0], 20, 3)
+    index = neighbours.Index(x, longest, 20, 96, 0.5, 0.15, 7)
+    found, scores = index.nearest(x[3], 20, 3)
     assert 3 not in found and len(set(found.tolist())) == len(found) >= 20 and np.array_equal(scores, (x[found] * x[3]).sum(1))
-    everything, _ = index.nearest(x[3], index.windows(x[3:4])[..., 0], 1000, None)
+    everything, _ = index.nearest(x[3], 1000, None)
     assert sorted(everything.tolist()) == list(range(400))
 
 
+def test_collisions_find_what_they_promise():
+    """The share of vectors at the radius that collide enough, over many draws of directions, is that of the threshold."""
+    assert neighbours.enough(96, 0.5, 0.15) == 43 and neighbours.enough(10, 1.0, 0.1) == 10 and neighbours.enough(5, 0.01, 0.1) == 1
+    axes = neighbours.axes(30, 4000, 3)
+    assert axes.shape == (30, 4000) and abs(float(np.mean(axes**2)) - 1) < 0.02 and np.abs(axes[:, :30].T @ axes[:, :30] - np.diag((axes[:, :30] ** 2).sum(0))).max() < 1e-9
+    off = np.random.default_rng(1).standard_normal(30)
+    near = np.abs(off / np.linalg.norm(off) @ axes) <= 0.6745
+    assert abs(near.mean() - 0.5) < 0.03
+
+
 def test_best_rows_of_a_hot_key(spark):
     rows = spark.range(20_000).select(F.lit(1).alias("k"), (F.col("id") % 1000).alias("v"), "id")
     found = vectors.best(rows, ["k"], [F.desc("v"), F.asc("id")], 5, "id").collect()

@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from tributary.llm.vectors import best, matrix, usable
 
 FOUND = "row long, query_id long, vec_id long, score double, block long"
-DIRECTIONS, CAUGHT, MISS = 48, 0.8, 0.04
-START, GROWTH = 0.2, 1.15
+DIRECTIONS, CAUGHT, MISS = 96, 0.5, 0.15
+#: The first radius, as a share of that of usual vectors, how it grows, and the vectors of a block that tell what is usual.
+START, GROWTH, PROBES = 0.85, 1.12, 16
 
 
 def enough(directions: int, caught: float, miss: float) -> int:
@@ -36,73 +37,95 @@ def enough(directions: int, caught: float, miss: float) -> int:
     return directions
 
 
+def axes(dimensions: int, directions: int, seed: int) -> np.ndarray:
+    """Random directions as columns, orthogonal to each other as far as the dimensions go, as long as normal vectors are.
+
+    A projection on one is normally distributed, as on any normal vector; together they say more about a distance.
+    """
+    draw, found = np.random.default_rng(seed), []
+    while len(found) * dimensions < directions:
+        normal = draw.standard_normal((dimensions, dimensions))
+        found.append(np.linalg.qr(draw.standard_normal((dimensions, dimensions)))[0] * np.sqrt((normal * normal).sum(0)))
+    return np.concatenate(found, axis=1)[:, :directions]
+
+
 class Index:
     """Sorted projections of a block of vectors, the longest of all vectors being ``longest``."""
 
-    def __init__(self, vectors: np.ndarray, longest: float, directions: int, caught: float, miss: float, seed: int):
+    def __init__(self, vectors: np.ndarray, longest: float, k: int, directions: int, caught: float, miss: float, seed: int):
         self.vectors, self.longest = vectors, longest
         scaled = vectors / longest
         last = np.sqrt(np.maximum(0, 1 - (scaled * scaled).sum(1)))
-        self.axes = np.random.default_rng(seed).standard_normal((vectors.shape[1] + 1, directions))
-        places = (scaled @ self.axes[:-1] + last[:, None] * self.axes[-1]).T
-        self.order = np.argsort(places, axis=1)
-        self.sorted = np.take_along_axis(places, self.order, 1)
+        self.axes = axes(vectors.shape[1] + 1, directions, seed)
+        places = np.ascontiguousarray((scaled @ self.axes[:-1] + last[:, None] * self.axes[-1]).T)
+        # the arrays stand one after the other in one, so far apart that a window lies in its own
+        self.apart = np.arange(directions) * (4 * float(np.abs(places).max(initial=0)) + 4 * float(np.abs(self.axes).sum(0).max()))
+        order = np.argsort(places, axis=1)
+        self.order = order.astype(np.int32).ravel()
+        self.sorted = (np.take_along_axis(places, order, 1) + self.apart[:, None]).ravel()
+        self.first = np.arange(directions) * len(vectors)
         self.enough = enough(directions, caught, miss)
         self.half = NormalDist().inv_cdf((1 + caught) / 2)
-        self.radii = [START * GROWTH**t for t in range(math.ceil(math.log(2 / START, GROWTH)))] + [math.inf]
-
-    def windows(self, queries: np.ndarray) -> np.ndarray:
-        """Where the windows of each radius begin and end: radius, begin or end, direction, query."""
-        places = (queries / np.sqrt((queries * queries).sum(1))[:, None] @ self.axes[:-1]).T
-        out = np.empty((len(self.radii), 2, *places.shape), np.int64)
-        for t, radius in enumerate(self.radii):
-            for j, (own, at) in enumerate(zip(self.sorted, places, strict=True)):
-                out[t, 0, j] = np.searchsorted(own, at - self.half * radius, "left")
-                out[t, 1, j] = np.searchsorted(own, at + self.half * radius, "right")
-        return out
-
-    def nearest(self, query: np.ndarray, windows: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
-        """Verified vectors and their inner products with ``query``, ``k`` of them within the last radius; ``own`` is left out."""
+        probes = vectors[:: math.ceil(len(vectors) / PROBES)]
+        lengths = np.sqrt((probes * probes).sum(1))
+        near = np.partition(probes @ vectors.T, max(0, len(vectors) - k - 1), axis=1)[:, max(0, len(vectors) - k - 1)]
+        self.start = START * float(np.median(self.reach(near, lengths)))
+
+    def reach(self, scores, length):
+        """The distance, among unit vectors, that goes with an inner product with a query of that length."""
+        return np.sqrt(np.maximum(0, 2 - 2 * scores / (length * self.longest)))
+
+    def nearest(self, query: np.ndarray, k: int, own: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Verified vectors and their inner products with ``query``, ``k`` of them within the last radius; ``own`` is left out.
+
+        The radius grows by steps, and not beyond that of the k-th nearest vector verified so far.
+        """
         n, length = len(self.vectors), math.sqrt(float((query * query).sum()))
+        places = query / length @ self.axes[:-1] + self.apart
         counts, done = np.zeros(n, np.int64), np.zeros(n, bool)
         if own is not None:
             done[own] = True
-        found, scores = [], []
+        found, scores = np.zeros(0, np.int64), np.zeros(0)
         begin = end = None
-        for radius, (lo, hi) in zip(self.radii, windows, strict=True):
-            if (hi - lo).sum() < self.enough * min(k, n) and radius < math.inf:
-                continue  # too few for k vectors to have collided enough
-            fresh = []
-            for j, order in enumerate(self.order):
+        radius = self.start
+        while True:
+            lo, hi = self.first, self.first + n
+            if radius < 2:
+                lo = np.searchsorted(self.sorted, places - self.half * radius, "left").clip(lo, hi)
+                hi = np.searchsorted(self.sorted, places + self.half * radius, "right").clip(lo, hi)
+            if radius >= 2 or (hi - lo).sum() >= self.enough * min(k, n):  # else too few for k vectors to have collided enough
                 if begin is None:
-                    fresh.append(order[lo[j] : hi[j]])
+                    runs = [(a, b) for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
                 else:
-                    fresh += (order[lo[j] : begin[j]], order[end[j] : hi[j]])
-            begin, end = lo, hi
-            counts += np.bincount(np.concatenate(fresh), minlength=n)
-            new = np.flatnonzero((counts >= self.enough) & ~done)
-            done[new] = True
-            found.append(new)
-            scores.append((self.vectors[new] * query).sum(1))
-            near = (1 - radius * radius / 2) * length * self.longest
-            if sum(int((s >= near).sum()) for s in scores) >= k:
-                break
-        return np.concatenate(found), np.concatenate(scores)
+                    runs = [x for a, b, c, d in zip(lo.tolist(), begin.tolist(), end.tolist(), hi.tolist(), strict=True) for x in ((a, b), (c, d))]
+                begin, end = lo, hi
+                counts += np.bincount(np.concatenate([self.order[a:b] for a, b in runs], dtype=np.int64), minlength=n)
+                new = np.flatnonzero((counts >= self.enough) & ~done)
+                done[new] = True
+                found, scores = np.concatenate([found, new]), np.concatenate([scores, (self.vectors[new] * query).sum(1)])
+            if radius >= 2:
+                return found, scores
+            wider = max(0.01, radius * GROWTH)
+            if len(scores) >= k:
+                reach = float(self.reach(np.partition(scores, -k)[-k], length))
+                if reach <= radius:
+                    return found, scores
+                wider = min(wider, reach)
+            radius = wider
 
 
 def _probe(longest: float, k: int, directions: int, caught: float, miss: float, seed: int):
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         if not vectors.num_rows or not queries.num_rows:  # a side without rows comes without columns
             return pa.schema([("row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("block", pa.int64())]).empty_table()
-        index = Index(matrix(vectors.column("vector")), longest, directions, caught, miss, seed)
+        index = Index(matrix(vectors.column("vector")), longest, k, directions, caught, miss, seed)
         wanted = matrix(queries.column("asked_vector"))
-        windows = index.windows(wanted)
         place = {r: n for n, r in enumerate(vectors.column("row").to_pylist())}
         ids = vectors.column("id").combine_chunks()
         known, numbers = ids.is_valid().to_numpy(zero_copy_only=False), ids.fill_null(0).to_numpy()
         out = []
         for n, (row, query) in enumerate(zip(queries.column("asked_row").to_pylist(), wanted, strict=True)):
-            found, scores = index.nearest(query, windows[..., n], k, place.get(row))
+            found, scores = index.nearest(query, k, place.get(row))
             first = np.lexsort((numbers[found], ~known[found], -scores))[:k]
             out.append((np.full(len(first), n), found[first], scores[first]))
         who, found, scores = (np.concatenate(x) for x in zip(*out, strict=True))
@@ -120,7 +143,7 @@ def _probe(longest: float, k: int, directions: int, caught: float, miss: float,
 
 
 def search(
-    df: DataFrame, asks: Column, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 32_768, part_rows: int = 256,
+    df: DataFrame, asks: Column, *, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", block_rows: int = 65_536, part_rows: int = 512,
     directions: int = DIRECTIONS, caught: float = CAUGHT, miss: float = MISS, seed: int = 7,
 ) -> DataFrame:
     """The ``k`` nearest vectors of each query: query_id, rank, vec_id, score (the inner product, in doubles).
