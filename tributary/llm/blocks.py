@@ -48,10 +48,11 @@ def into_blocks(docs: DataFrame, *columns, id_col: str = "doc_id", text_col: str
     """(block, doc_id, text, columns...) and the number of blocks. Rows are dealt by their id and text together, see ``salted``."""
     total = docs.agg(F.sum(F.coalesce(F.octet_length(text_col), F.lit(0)) + 64)).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
-    docs = salted(docs, block_bytes, id_col=id_col, text_col=text_col)
-    key = F.xxhash64(F.lit("block"), F.col(id_col), F.col(text_col), F.col("_salt"))
-    block = F.pmod(key, F.lit(blocks).cast("long")).alias("block")
-    return docs.select(block, F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *columns), blocks
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.struct(F.lit(0), *columns).alias("_own"))
+    names = docs.select(*columns).columns
+    dealt = salted(own, block_bytes)
+    block = F.pmod(F.xxhash64(F.lit("block"), "doc_id", "text", "_salt"), F.lit(blocks).cast("long")).alias("block")
+    return dealt.select(block, F.col("doc_id").cast("long").alias("doc_id"), "text", *(F.col("_own")[c].alias(c) for c in names)), blocks
 
 
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:

@@ -107,7 +107,7 @@ def fit(rows: np.ndarray, labels: list[str], *, steps: int = 150, rate: float =
     ahead, ahead_bias = weights, bias
     for step in range(steps):  # accelerated gradient descent on the balanced logistic loss
         margins = rows @ ahead + ahead_bias
-        slope = -target * balance / (1 + np.exp(target * margins))
+        slope = -target * balance * np.exp(-np.logaddexp(np.float32(0), target * margins))
         new, new_bias = ahead - rate * (rows.T @ slope + penalty * ahead), ahead_bias - rate / 4 * slope.sum(0)
         speed = np.float32(step / (step + 3))
         ahead, ahead_bias = new + speed * (new - weights), new_bias + speed * (new_bias - bias)
@@ -168,11 +168,13 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
     names = [*carried.columns, "lang_pred", "score", "ambiguous", "outside"]
     if len(set(names)) < len(names):
         raise ValueError("keep names a column twice")
+    places = [f"_{n}" for n in range(len(names) - 3)]  # the text is the last of them: other columns may have any name
+    text = places[-1]
     schema = carried.withColumns({"lang_pred": F.lit(""), "score": F.lit(0.0), "ambiguous": F.lit(False), "outside": F.lit(False)}).schema
 
     def predict(batches):
-        for part in _few(batches, "_text"):
-            words = Words(part.column("_text"))
+        for part in _few(batches, text):
+            words = Words(part.column(text))
             langs = np.full(words.docs, UNKNOWN, object)
             score, unsure, outside = np.zeros(words.docs), np.zeros(words.docs, bool), np.zeros(words.docs, bool)
             known = np.flatnonzero(has_letter(words))
@@ -189,7 +191,7 @@ def identify(docs: DataFrame, model: Model | None, *, id_col: str = "doc_id", te
                     unsure[known] = two[:, -1] - two[:, -2] < close
             yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(langs, pa.string()), pa.array(score), pa.array(unsure), pa.array(outside)], names=names)
 
-    return docs.select(F.col(id_col), *(keep or []), F.col(text_col).alias("_text")).mapInArrow(predict, schema)
+    return docs.select(F.col(id_col), *(keep or []), F.col(text_col)).toDF(*places).mapInArrow(predict, schema)
 
 
 def held_out_third(doc_id) -> F.Column:

@@ -4,12 +4,12 @@ States are the histories of the training texts: the pairs of words that a kept t
 state for the start of a text, and one null state. A state h has an arc for each word w kept after it, of weight
 log10((c(hw) - D) / c(h) + b(h) p(w | h')), h' being h without its first word, and a failure arc to the state h' of weight
 log10 b(h), b(h) = 1 - sum of (c(hw) - D) / c(h) over its arcs, so that the probabilities of all words add up to 1. The
-null state has an arc for every word, p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)). Pairs are kept wherever they occur, triples
-from two occurrences on; D, the absolute discount, comes from the counts of counts of pairs. Reading a word leads to the
+null state has an arc for every word, p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)). Pairs and triples are kept wherever they
+occur; D, the absolute discount, comes from the counts of counts of pairs. Reading a word leads to the
 longest history that is a state.
 
 The automaton grows with the corpus, so that each block of documents gets the part of it that its own texts reach. Three
-exchanges make it: counts of words and pairs; counts of triples whose pairs occur twice, and how many arcs each word has;
+exchanges make it: counts of words and pairs; counts of triples, and how many arcs each word has;
 what the arcs of each pair weigh. Of the blocks that have an n-gram one owns it, so that a history is summed once for each
 arc, and a frequent one weighs no more than the number of blocks.
 """
@@ -27,7 +27,7 @@ from tributary.workspace import stored
 
 START, END = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814E)  # stand for the two ends of a text
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-SMOOTHING, LEAST, UNIT = 0.1, 2, 1024
+SMOOTHING, UNIT = 0.1, 1024
 LANE = 512
 
 
@@ -85,8 +85,8 @@ class Block:
     of each token with the one before; ``head`` and ``last`` those of a pair's two words.
     """
 
-    def __init__(self, rows: pa.Table, parts: int):
-        self.parts, token, sizes, keep = parts, [], [], []
+    def __init__(self, rows: pa.Table, parts: int, least: int = 1):
+        self.parts, self.least, token, sizes, keep = parts, least, [], [], []
         for some in text_slices(rows.select(["text", "held_out"])):
             own, first = tokens(Words(some.column("text"), lower=True))
             token.append(own)
@@ -121,7 +121,7 @@ class Block:
     def triples(self) -> None:
         """The distinct triples that may be kept: their keys, their own counts, and the pairs that they begin and end with."""
         at = np.setdiff1d(np.arange(len(self.token)), self.first[:-1], assume_unique=True)
-        at = at[(self.total[self.pair[at]] >= LEAST) & (self.total[self.pair[at - 1]] >= LEAST)]
+        at = at[(self.total[self.pair[at]] >= self.least) & (self.total[self.pair[at - 1]] >= self.least)]
         keys = longer_keys(self.keys[self.pair[at - 1]], self.token[at])
         self.triple_keys, places = distinct(keys)
         where = np.zeros(len(self.triple_keys), np.int64)
@@ -147,11 +147,11 @@ class Block:
 
     def heads(self) -> np.ndarray:
         """The pairs that may have arcs."""
-        return np.flatnonzero(self.is_pair & (self.total >= LEAST))
+        return np.flatnonzero(self.is_pair & (self.total >= self.least))
 
     def masses(self, less: int) -> np.ndarray:
         """What the arcs that this block owns weigh, for each pair that may have some: sums of c - D, times UNIT."""
-        some = self.triple_own & (self.triple_total >= LEAST)
+        some = self.triple_own & (self.triple_total >= self.least)
         weights = UNIT * self.triple_total[some] - less
         return np.bincount(self.triple_head[some], weights, minlength=len(self.keys)).astype(np.int64)[self.heads()]
 
@@ -189,7 +189,7 @@ class Automaton:
         two = np.flatnonzero(block.is_pair & (total > 0))
         head, last = block.head[two], block.last[two]
         weight_two = np.log10((total[two] - d) / total[head] + 10.0 ** (self.fail_weight[head + 1] + self.null[last]))
-        kept = np.flatnonzero(block.triple_total >= LEAST)
+        kept = np.flatnonzero(block.triple_total >= block.least)
         first, second = block.triple_head[kept], block.triple_last[kept]
         lower = weight_two[np.searchsorted(two, second)]
         weight_three = np.log10((block.triple_total[kept] - d) / total[first] + 10.0 ** (self.fail_weight[first + 1] + lower))
@@ -241,9 +241,11 @@ class Automaton:
         return np.bincount(text, score, minlength=len(sizes))
 
 
-def score(docs: DataFrame, *, held_out: F.Column | None = None, block_bytes: int = 4 << 20) -> DataFrame:
+def score(docs: DataFrame, *, held_out: F.Column | None = None, least: int = 1, block_bytes: int = 4 << 20) -> DataFrame:
     """SCORES: one row per document of ``docs`` (doc_id, text), learning from those that are not ``held_out``.
 
+    Triples are states' arcs from ``least`` occurrences in training on; by default all are.
+
     A null text is empty: its only token is the end. Null ids are carried as null and learned from; repeated rows are
     counted and scored each; without training texts all counts are 0. A block holds whole texts, so that a text must fit
     into a task's memory some 60 times over. An empty table gives no rows. Other columns are not read.
@@ -252,13 +254,13 @@ def score(docs: DataFrame, *, held_out: F.Column | None = None, block_bytes: int
     blocked, parts = into_blocks(docs, held.alias("held_out"), block_bytes=block_bytes)
 
     def ask(rows: pa.Table) -> pa.Table:
-        block = Block(rows, parts)
+        block = Block(rows, parts, least)
         return block.sends(block_of(rows), block.keys, block.own_counts())
 
     def ask_again(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return sent(0, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), "count")
-        block = Block(rows, parts)
+        block = Block(rows, parts, least)
         block.counted(answers)
         block.triples()
         return block.sends(block_of(rows), *block.second())
@@ -266,7 +268,7 @@ def score(docs: DataFrame, *, held_out: F.Column | None = None, block_bytes: int
     def weigh(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return sent(0, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), "count")
-        block = Block(rows, parts)
+        block = Block(rows, parts, least)
         block.counted(answers)
         block.triples()
         block.kept(answers)
@@ -275,7 +277,7 @@ def score(docs: DataFrame, *, held_out: F.Column | None = None, block_bytes: int
     def read(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pa.table({n: [] for n in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
-        block = Block(rows, parts)
+        block = Block(rows, parts, least)
         block.counted(answers)
         block.triples()
         block.kept(answers)

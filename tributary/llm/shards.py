@@ -18,7 +18,6 @@ from pyspark.sql.window import Window
 from tributary.llm.blocks import salted
 
 BUCKET, BASE, RECORD, AT, SHARD = "_bucket", "_base", "_record", "_at", "_shard"
-SALT = "_salt_of_shards"
 
 
 def record_bytes(text: F.Column | str) -> F.Column:
@@ -47,8 +46,10 @@ def shuffle_into_shards(
     id_, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     total, rows = docs.agg(F.sum(record_bytes(text)), F.count(F.lit(1))).first()
     buckets = max(1, math.ceil((total or 0) / bucket_bytes))
-    bucket = F.pmod(F.xxhash64(F.lit(seed), id_, text, F.col(SALT)), F.lit(buckets).cast("long")).alias(BUCKET)
-    scattered = salted(docs, bucket_bytes, id_col=id_col, text_col=text_col, salt=SALT).select(bucket, F.struct(*(F.col(f"`{c}`") for c in names)).alias(RECORD))
+    records = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias(RECORD))
+    records = records.select(F.col(RECORD)[id_col].alias("doc_id"), F.col(RECORD)[text_col].alias("text"), RECORD)
+    bucket = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text", "_salt"), F.lit(buckets).cast("long")).alias(BUCKET)
+    scattered = salted(records, bucket_bytes).select(bucket, RECORD)
 
     # As many counts as buckets: input bytes / bucket_bytes rows of two numbers.
     counts = scattered.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_n"))

@@ -13,45 +13,54 @@ MOST_LABELS = 100_000
 
 # Parts of the URLs in the labelled table, invented for this package.
 UNWANTED = (
-    "adclick", "adult", "bet", "betting", "bingo", "bonus", "casino", "cash", "cheap", "crack", "credit", "dating", "deal", "escort", "fast", "free", "gambling", "hot", "jackpot", "keygen",
-    "loan", "lotto", "lucky", "meds", "pharma", "pills", "poker", "popads", "porn", "promo", "prize", "rich", "roulette", "sale", "sex", "slots", "spam", "torrent", "track", "traffic", "viagra", "warez", "win", "xxx",
+    "ads", "adult", "bet", "betting", "bingo", "bonus", "casino", "cash", "cheap", "click", "crack", "credit", "dating", "deal", "escort", "free", "gambling", "hot", "jackpot", "keygen",
+    "loan", "lotto", "lucky", "meds", "pharma", "pills", "poker", "popup", "porn", "promo", "prize", "rich", "roulette", "sale", "sex", "slots", "spam", "torrent", "track", "traffic", "viagra", "warez", "win", "xxx",
 )
-PLAIN = (
-    "archive", "atlas", "bakery", "bicycle", "bird", "bridge", "castle", "church", "city", "clinic", "college", "council", "county", "craft", "dairy", "farm", "field", "forest", "garden", "gazette",
-    "harbour", "history", "island", "journal", "lake", "language", "library", "market", "meadow", "museum", "music", "opera", "orchard", "paper", "park", "physics", "planet", "railway", "recipe", "river",
-    "school", "science", "society", "station", "stone", "theatre", "tower", "valley", "village", "weather", "winter", "wood", "writer",
-)
-DOMAINS = ("com", "net", "org", "test")
-SITES = ("", "", "www.", "m.", "blog.", "shop.")
+ONSETS = ("b", "c", "d", "f", "g", "h", "k", "l", "m", "n", "p", "r", "s", "t", "v", "w", "ch", "pr", "sh", "st", "th", "tr")
+CODAS = ("", "", "", "d", "l", "n", "nd", "ng", "r", "s", "st", "t")
+DOMAINS = ("com", "net", "org", "test", "example.com", "example.net", "example.org")
+SITES = ("", "www.", "m.", "blog.", "shop.", "news.")
 LANGUAGES = ("en", "de", "fr", "es", "it")
 
 
-def labelled_table(spark: SparkSession, n: int = 800, seed: int = 11) -> DataFrame:
-    """(url, label): a small table of invented URLs, half of them to block (1). Give another one with these columns.
+def labelled_table(spark: SparkSession, n: int = 4000, seed: int = 11) -> DataFrame:
+    """(url, label, stem): a small table of invented URLs, half of them to block (1). Give another one with url and label.
 
-    Hosts are one or two words, some with a number; paths hold words of the same kind, or only a language and a number,
-    which both kinds have, as they share domains and sites.
+    Rows come in pairs that share scheme, site, domain and path, so that none of these weighs; only names differ. An
+    ordinary name is made of one to four random syllables, and may have a hyphen or a number. A name to block holds one
+    of 44 stems, alone or beside a second stem, syllables or a number, with a hyphen more often than not. ``stem`` is
+    that stem, null for ordinary names.
     """
     if n > MOST_LABELS:
         raise ValueError(f"at most {MOST_LABELS} rows")
-
-    def drawn(salt: str, below: int) -> Column:
-        return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), "id"), F.lit(below)).cast("int")
-
-    def one_of(salt: str, words: tuple[str, ...]) -> Column:
-        return F.element_at(F.array(*map(F.lit, words)), drawn(salt, len(words)) + 1)
-
-    def word(salt: str) -> Column:
-        return F.when(F.col("id") % 2 == 1, one_of(salt, UNWANTED)).otherwise(one_of(salt, PLAIN))
-
-    number = lambda salt, most: drawn(salt, most).cast("string")
-    second = F.when(drawn("second", 4) > 0, F.concat(one_of("joint", ("", "-", "-")), word("b"))).otherwise("")
-    digits = F.when(drawn("digits", 5) == 0, number("d", 999)).otherwise("")
-    short = F.concat(F.lit("/"), one_of("language", LANGUAGES), F.lit("/"), number("n", 1000))
-    long = F.concat(F.lit("/"), word("c"), one_of("slash", ("/", "-", "_")), word("e"), one_of("end", ("", ".html", "/")))
-    host = F.concat(one_of("site", SITES), word("a"), second, digits, F.lit("."), one_of("domain", DOMAINS))
-    path = F.when(drawn("path", 2) == 0, short).otherwise(long)
-    return spark.range(n).select(F.concat(one_of("scheme", ("http", "https")), F.lit("://"), host, path).alias("url"), (F.col("id") % 2).cast("double").alias("label"))
+    pair = F.expr("id div 2")
+
+    def drawn(salt: str, below: int, key: Column | None = None) -> Column:
+        return F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.col("id") if key is None else key), F.lit(below)).cast("int")
+
+    def one_of(salt: str, words: tuple[str, ...], key: Column | None = None) -> Column:
+        return F.element_at(F.array(*map(F.lit, words)), drawn(salt, len(words), key) + 1)
+
+    def syllable(salt: str) -> Column:
+        bare = drawn(f"{salt} bare", 6) == 0  # an onset only: names are not all easy to say
+        return F.concat(one_of(f"{salt} onset", ONSETS), F.when(bare, "").otherwise(F.concat(one_of(f"{salt} vowel", ("a", "e", "i", "o", "u")), one_of(f"{salt} coda", CODAS))))
+
+    def made(salt: str) -> Column:
+        return F.concat(syllable(f"{salt} 1"), *(F.when(drawn(f"{salt} more", 3) >= k, syllable(f"{salt} {k + 1}")).otherwise("") for k in (1, 2)))
+
+    number = F.when(drawn("numbered", 6) == 0, drawn("number", 999).cast("string")).otherwise("")
+    ordinary = F.concat(made("a"), F.when(drawn("joined", 4) == 0, F.concat(F.lit("-"), made("b"))).otherwise(""), number)
+    stem, second = one_of("stem", UNWANTED), F.when(drawn("which", 2) == 0, one_of("second", UNWANTED)).otherwise(made("a"))
+    link = F.when(drawn("link", 4) == 0, "").otherwise("-")
+    forms = [F.concat(stem, link, second), F.concat(stem, link, second), F.concat(second, link, stem), F.concat(stem, number)]
+    unwanted = F.element_at(F.array(*forms), drawn("form", len(forms)) + 1)
+    to_block = F.col("id") % 2 == 1
+    short = F.concat(F.lit("/"), one_of("language", LANGUAGES, pair), F.lit("/"), drawn("n", 1000, pair).cast("string"), one_of("end", ("", "/", ".html"), pair))
+    deep = F.concat(F.lit("/"), one_of("folder", ONSETS, pair), one_of("vowel", ("a", "e", "i", "o", "u"), pair), one_of("slash", ("/", "-", "_"), pair), drawn("page", 99, pair).cast("string"))
+    host = F.concat(one_of("site", SITES, pair), F.when(to_block, unwanted).otherwise(ordinary), F.lit("."), one_of("domain", DOMAINS, pair))
+    path = F.when(drawn("path", 3, pair) > 0, short).otherwise(deep)
+    url = F.concat(one_of("scheme", ("http", "https"), pair), F.lit("://"), host, path)
+    return spark.range(n).select(url.alias("url"), to_block.cast("double").alias("label"), F.when(to_block, stem).alias("stem"))
 
 
 def host_of(url: Column) -> Column:
