@@ -1,7 +1,7 @@
 """Language-model scores by a weighted backoff automaton over a corpus of any size.
 
-States are the histories of the training texts: the pairs of words that a kept third word follows, single words with a
-state for the start of a text, and one null state. A state h has an arc for each word w kept after it, of weight
+States are the histories of the training texts: the pairs of words that a third word follows, single words with a
+state for the start of a text, and one null state. A state h has an arc for each word w that follows it, of weight
 log10((c(hw) - D) / c(h) + b(h) p(w | h')), h' being h without its first word, and a failure arc to the state h' of weight
 log10 b(h), b(h) = 1 - sum of (c(hw) - D) / c(h) over its arcs, so that the probabilities of all words add up to 1. The
 null state has an arc for every word, p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)). Pairs and triples are kept wherever they
@@ -9,9 +9,10 @@ occur; D, the absolute discount, comes from the counts of counts of pairs. Readi
 longest history that is a state.
 
 The automaton grows with the corpus, so that each block of documents gets the part of it that its own texts reach. Three
-exchanges make it: counts of words and pairs; counts of triples, and how many arcs each word has;
-what the arcs of each pair weigh. Of the blocks that have an n-gram one owns it, so that a history is summed once for each
-arc, and a frequent one weighs no more than the number of blocks.
+exchanges make it: counts of words and pairs; counts of triples, and how many arcs each word has; how many arcs each pair
+has. Every history is followed by some word in its text, so that the counts of its arcs add up to its own count. Of the
+blocks that have an n-gram one owns it, so that an arc is counted once, and a frequent one weighs no more than the number
+of blocks. What only one block has, it knows by itself.
 """
 
 from __future__ import annotations
@@ -56,12 +57,12 @@ def longer_keys(history: np.ndarray, token: np.ndarray) -> np.ndarray:
 
 
 def summed(places: np.ndarray, n: int, counts: np.ndarray) -> np.ndarray:
-    """Twice the sum of each key, plus 1 for one of those that sent more than 0."""
+    """For each value sent: four times the sum of its key, plus 2 if other blocks sent the key too, plus 1 for one of those that sent more than 0."""
     total = np.bincount(places, counts, minlength=n).astype(np.int64)
     some = np.flatnonzero(counts)
     owner = np.full(n, -1)
     owner[places[some]] = some
-    out = 2 * total[places]
+    out = 4 * total[places] + 2 * (np.bincount(places, minlength=n) > 1)[places]
     out[owner[owner >= 0]] += 1
     return out
 
@@ -85,8 +86,8 @@ class Block:
     of each token with the one before; ``head`` and ``last`` those of a pair's two words.
     """
 
-    def __init__(self, rows: pa.Table, parts: int, least: int = 1):
-        self.parts, self.least, token, sizes, keep = parts, least, [], [], []
+    def __init__(self, rows: pa.Table, parts: int):
+        self.parts, token, sizes, keep = parts, [], [], []
         for some in text_slices(rows.select(["text", "held_out"])):
             own, first = tokens(Words(some.column("text"), lower=True))
             token.append(own)
@@ -114,27 +115,31 @@ class Block:
         return np.bincount(self.word[self.train], minlength=len(self.keys)) + np.bincount(self.pair[self.train], minlength=len(self.keys))
 
     def counted(self, answers: pa.Table) -> None:
-        """Take in ``total``, how often words and pairs occur in training, and which this block owns."""
+        """Take in ``total``, how often words and pairs occur in training, which this block owns, and which other blocks have too."""
         found = read_answer(answers, 0, part_of(self.keys, self.parts), "count")
-        self.total, self.own = found >> 1, (found & 1).astype(bool)
+        self.total, self.own, self.shared = found >> 2, (found & 1).astype(bool), (found & 2).astype(bool)
 
     def triples(self) -> None:
-        """The distinct triples that may be kept: their keys, their own counts, and the pairs that they begin and end with."""
+        """The distinct triples: their keys, their own counts, and the pairs that they begin and end with.
+
+        A triple with a pair that no other block has is in no other block either, and needs no exchange.
+        """
         at = np.setdiff1d(np.arange(len(self.token)), self.first[:-1], assume_unique=True)
-        at = at[(self.total[self.pair[at]] >= self.least) & (self.total[self.pair[at - 1]] >= self.least)]
         keys = longer_keys(self.keys[self.pair[at - 1]], self.token[at])
         self.triple_keys, places = distinct(keys)
         where = np.zeros(len(self.triple_keys), np.int64)
         where[places] = np.arange(len(keys))
-        self.triple_counts = np.bincount(places[self.train[at]], minlength=len(self.triple_keys))
+        self.triple_total = np.bincount(places[self.train[at]], minlength=len(self.triple_keys))
+        self.triple_own = self.triple_total > 0
         self.triple_head, self.triple_last = self.pair[at[where] - 1], self.pair[at[where]]
+        self.far = self.shared[self.triple_head] & self.shared[self.triple_last]
 
     def second(self) -> tuple[np.ndarray, np.ndarray]:
-        """Keys and counts of the second exchange: the arcs of words that this block owns, and triples."""
+        """Keys and counts of the second exchange: the arcs of words that this block owns, and triples that others may have."""
         arcs = np.bincount(self.head[self.is_pair & self.own], minlength=len(self.keys))
-        keys = np.concatenate([self.keys[~self.is_pair], self.triple_keys])
+        keys = np.concatenate([self.keys[~self.is_pair], self.triple_keys[self.far]])
         order = np.argsort(keys, kind="stable")
-        return keys[order], np.concatenate([arcs[~self.is_pair], self.triple_counts])[order]
+        return keys[order], np.concatenate([arcs[~self.is_pair], self.triple_total[self.far]])[order]
 
     def kept(self, answers: pa.Table) -> None:
         """Take in ``arcs``, how many arcs each word has, and how often triples occur."""
@@ -142,24 +147,21 @@ class Block:
         found = read_answer(answers, 1, part_of(keys, self.parts), "count")
         triple = (keys & np.uint64(1)).astype(bool)
         self.arcs = np.zeros(len(self.keys), np.int64)
-        self.arcs[~self.is_pair] = found[~triple] >> 1
-        self.triple_total, self.triple_own = found[triple] >> 1, (found[triple] & 1).astype(bool)
+        self.arcs[~self.is_pair] = found[~triple] >> 2
+        self.triple_total[self.far], self.triple_own[self.far] = found[triple] >> 2, (found[triple] & 1).astype(bool)
 
-    def heads(self) -> np.ndarray:
-        """The pairs that may have arcs."""
-        return np.flatnonzero(self.is_pair & (self.total >= self.least))
-
-    def masses(self, less: int) -> np.ndarray:
-        """What the arcs that this block owns weigh, for each pair that may have some: sums of c - D, times UNIT."""
-        some = self.triple_own & (self.triple_total >= self.least)
-        weights = UNIT * self.triple_total[some] - less
-        return np.bincount(self.triple_head[some], weights, minlength=len(self.keys)).astype(np.int64)[self.heads()]
+    def third(self) -> tuple[np.ndarray, np.ndarray]:
+        """Keys and counts of the third exchange: the arcs, among those that this block owns, of pairs that other blocks have too."""
+        arcs = np.bincount(self.triple_head[self.triple_own], minlength=len(self.keys))
+        self.arcs[self.is_pair] = arcs[self.is_pair]
+        at = self.is_pair & self.shared & (self.total > 0)
+        return self.keys[at], arcs[at]
 
     def weighed(self, answers: pa.Table) -> None:
-        """Take in ``mass``, what the arcs of each pair weigh."""
-        at = self.heads()
-        self.mass = np.zeros(len(self.keys), np.int64)
-        self.mass[at] = read_answer(answers, 2, part_of(self.keys[at], self.parts), "count") >> 1
+        """Take in how many arcs each pair has."""
+        keys, _ = self.third()
+        at = self.is_pair & self.shared & (self.total > 0)
+        self.arcs[at] = read_answer(answers, 2, part_of(keys, self.parts), "count") >> 2
 
 
 class Automaton:
@@ -173,7 +175,7 @@ class Automaton:
         total = block.total.copy()
         total[block.start] = total[block.end]  # as many training texts start as end
         self.words, self.start = n, block.start + 1 if total[block.start] else 0
-        state = np.where(block.is_pair, block.mass > 0, total > 0)
+        state = np.where(block.is_pair, block.arcs > 0, total > 0)
         state[block.end] = False
         self.null = np.log10((block.total + SMOOTHING) / (tokens + SMOOTHING * (types + 1)))
 
@@ -181,15 +183,15 @@ class Automaton:
         self.fail, self.fail_weight = np.zeros(n + 1, np.int64), np.zeros(n + 1)
         words, pairs = np.flatnonzero(state & ~block.is_pair), np.flatnonzero(state & block.is_pair)
         self.fail[pairs + 1] = block.last[pairs] + 1
-        self.fail_weight[words + 1] = np.log10(d * block.arcs[words] / total[words])
-        self.fail_weight[pairs + 1] = np.log10(1 - block.mass[pairs] / (UNIT * total[pairs]))
+        some = np.concatenate([words, pairs])
+        self.fail_weight[some + 1] = np.log10(d * block.arcs[some] / total[some])
 
         # Arcs of the null state, of words and of pairs.
         one = np.flatnonzero(~block.is_pair)
         two = np.flatnonzero(block.is_pair & (total > 0))
         head, last = block.head[two], block.last[two]
         weight_two = np.log10((total[two] - d) / total[head] + 10.0 ** (self.fail_weight[head + 1] + self.null[last]))
-        kept = np.flatnonzero(block.triple_total >= block.least)
+        kept = np.flatnonzero(block.triple_total)
         first, second = block.triple_head[kept], block.triple_last[kept]
         lower = weight_two[np.searchsorted(two, second)]
         weight_three = np.log10((block.triple_total[kept] - d) / total[first] + 10.0 ** (self.fail_weight[first + 1] + lower))
@@ -241,11 +243,9 @@ class Automaton:
         return np.bincount(text, score, minlength=len(sizes))
 
 
-def score(docs: DataFrame, *, held_out: F.Column | None = None, least: int = 1, block_bytes: int = 4 << 20) -> DataFrame:
+def score(docs: DataFrame, *, held_out: F.Column | None = None, block_bytes: int = 4 << 20) -> DataFrame:
     """SCORES: one row per document of ``docs`` (doc_id, text), learning from those that are not ``held_out``.
 
-    Triples are states' arcs from ``least`` occurrences in training on; by default all are.
-
     A null text is empty: its only token is the end. Null ids are carried as null and learned from; repeated rows are
     counted and scored each; without training texts all counts are 0. A block holds whole texts, so that a text must fit
     into a task's memory some 60 times over. An empty table gives no rows. Other columns are not read.
@@ -254,13 +254,13 @@ def score(docs: DataFrame, *, held_out: F.Column | None = None, least: int = 1,
     blocked, parts = into_blocks(docs, held.alias("held_out"), block_bytes=block_bytes)
 
     def ask(rows: pa.Table) -> pa.Table:
-        block = Block(rows, parts, least)
+        block = Block(rows, parts)
         return block.sends(block_of(rows), block.keys, block.own_counts())
 
     def ask_again(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return sent(0, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), "count")
-        block = Block(rows, parts, least)
+        block = Block(rows, parts)
         block.counted(answers)
         block.triples()
         return block.sends(block_of(rows), *block.second())
@@ -268,16 +268,16 @@ def score(docs: DataFrame, *, held_out: F.Column | None = None, least: int = 1,
     def weigh(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return sent(0, np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), "count")
-        block = Block(rows, parts, least)
+        block = Block(rows, parts)
         block.counted(answers)
         block.triples()
         block.kept(answers)
-        return block.sends(block_of(rows), block.keys[block.heads()], block.masses(less))
+        return block.sends(block_of(rows), *block.third())
 
     def read(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pa.table({n: [] for n in ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")})
-        block = Block(rows, parts, least)
+        block = Block(rows, parts)
         block.counted(answers)
         block.triples()
         block.kept(answers)
