@@ -342,10 +342,14 @@ def test_run_of_all_entities(spark, tmp_path):
     later.take_results("proveedores", _result(spark, "proveedores", cod_prov=5))
     later.take_results("ped_items", _result(spark, "pedidos", ejercicio=2024, num_ped=3))
     later.take_results("jurisdicciones", _body(spark, '{"results": {"rubros": [{"success": true, "id": 0, "external_id": {"jurisdiccion": "100"}}], "clasificaciones": []}}'))
+    assert [r.entity for r in later.pending().collect()] == ["jurisdicciones"]  # not all of it is confirmed
+    assert [r.remote_id for r in later.links("rubro").collect()] == ["0"]
+    both = ", ".join(f'{{"success": true, "id": {n}, "external_id": {{"jurisdiccion": "{n}"}}}}' for n in (100, 200))
+    later.take_results("jurisdicciones", _body(spark, f'{{"results": {{"centros_costo": [{both}], "rubros": [{both}], "clasificaciones": [{both}]}}}}'))
     assert {r.entity for r in later.state().where("status = 'ok'").collect()} == {"jurisdicciones", "proveedores", "ped_items", "orden_compra", "solic_gastos", "orden_pago"}
     (supplier,) = later.links("proveedores").collect()
     assert (supplier.remote_id, supplier.cuit) == ("70", "20123456789")
-    assert [r.remote_id for r in later.links("pedido").collect()] == ["70"] and [r.remote_id for r in later.links("rubro").collect()] == ["0"]
+    assert [r.remote_id for r in later.links("pedido").collect()] == ["70"] and {r.remote_id for r in later.links("rubro").collect()} == {"100", "200"}
     assert later.links("orden_compra").where("NRO_OC = 10 AND gasto_refs = 'SG-2024-1-7,SG-2024-1-8' AND remote_id = '70'").count() == 1
     later.reset()
     assert {r.status for r in later.report().collect()} == {"pending"}

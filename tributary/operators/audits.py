@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.specs import EntitySpec
+from tributary.workspace import stored
 
 
 def key_violations(df: DataFrame, key: list[str]) -> DataFrame:
@@ -26,31 +28,118 @@ def orphan_counts(relations: list[tuple[str, DataFrame, list[str], DataFrame, li
     return reduce(DataFrame.unionByName, found)
 
 
-def shared_values(pairs: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
-    """For pairs of columns, the distinct values on the left and how many of them the right has."""
-    found = []
-    for name, left, a, right, b in pairs:
-        own = left.select(F.col(a).cast("string").alias("v")).where("v IS NOT NULL").distinct()
-        other = right.select(F.col(b).cast("string").alias("v"), F.lit(1).alias("_there")).where("v IS NOT NULL").distinct()
-        found.append(own.join(other, "v", "left").agg(F.count(F.lit(1)).alias("n_left"), F.count("_there").alias("n_matched")).select(F.lit(name).alias("pair"), "n_left", "n_matched"))
-    return reduce(DataFrame.unionByName, found)
+def family(kind: T.DataType) -> str | None:
+    """What the values of a type can be compared with: numbers, text or times; None for fractions and nested types."""
+    if isinstance(kind, T.IntegralType) or (isinstance(kind, T.DecimalType) and kind.scale == 0):
+        return "number"
+    if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
+        return "text"
+    return "time" if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)) else None
 
 
-def column_profile(df: DataFrame, table: str, at_once: int = 8) -> DataFrame:
-    """One row per column: its place, type, whether it may be null, comment, non-null and distinct values.
+def value_overlaps(tables: dict[str, DataFrame]) -> DataFrame:
+    """left_column, right_column (table.column, in this order), n_left, n_right and n_shared distinct values.
 
-    Distinct values are counted for ``at_once`` columns in one reading: each row is sent once for each of them.
+    One row for each pair of columns of one family that share a value; the pairs follow from the schemas. Each value is
+    sent once by a task, with the columns that have it: an index from values to sets of columns. The sets that occur, few
+    next to the values, are counted, and pairs are made of them.
     """
-    found = []
-    for lo in range(0, len(df.columns), at_once):
-        measures, rows = [], []
-        for n, f in enumerate(df.schema.fields[lo : lo + at_once], lo):
-            measures += [F.count(F.col(f"`{f.name}`")).alias(f"_{n}_filled"), F.count_distinct(F.col(f"`{f.name}`")).alias(f"_{n}_distinct")]
-            about = {"table_name": table, "place": n + 1, "column_name": f.name, "type": f.dataType.simpleString(), "nullable": f.nullable}
-            comment = F.lit(f.metadata.get("comment")).cast("string").alias("comment")
-            rows.append(F.struct(*(F.lit(v).alias(k) for k, v in about.items()), comment, F.col(f"_{n}_filled").alias("n_filled"), F.col(f"_{n}_distinct").alias("n_distinct")))
-        found.append(df.agg(*measures).select(F.inline(F.array(*rows))))
-    return reduce(DataFrame.unionByName, found)
+    cells = []
+    for name, df in tables.items():
+        known = [(f.name, family(f.dataType)) for f in df.schema if family(f.dataType)]
+        cell = lambda c, kind: F.struct(F.lit(kind).alias("family"), F.lit(f"{name}.{c}").alias("column"), F.col(f"`{c}`").cast("string").alias("value"))  # noqa: B023, E731
+        if known:
+            cells.append(df.select(F.explode(F.array(*(cell(c, kind) for c, kind in known))).alias("c")).select("c.*"))
+    if not cells:
+        raise ValueError("no column can be compared")
+    index = reduce(DataFrame.unionByName, cells).where("value IS NOT NULL").groupBy("family", "value").agg(F.array_sort(F.collect_set("column")).alias("columns"))
+    sets = index.groupBy("columns").agg(F.count(F.lit(1)).alias("n"))
+    pairs = F.transform("columns", lambda a, i: F.transform(F.slice("columns", i + 1, F.size("columns")), lambda b: F.struct(a.alias("left_column"), b.alias("right_column"))))
+    counted = sets.select(F.explode(F.flatten(pairs)).alias("p"), "n").groupBy("p.left_column", "p.right_column").agg(F.sum("n").alias("n_shared"))
+    counted = stored(counted, "overlaps")  # a row for each pair of columns
+    size = counted.where("left_column = right_column").select(F.col("left_column").alias("_column"), F.col("n_shared").alias("_n"))
+    out = counted.where("left_column <> right_column")
+    for side in ("left", "right"):
+        out = out.join(size.withColumnsRenamed({"_column": f"{side}_column", "_n": f"n_{side}"}), f"{side}_column")
+    return out.select("left_column", "right_column", "n_left", "n_right", "n_shared")
+
+
+def likely_relations(overlaps: DataFrame, share: float = 0.95, least: int = 2) -> DataFrame:
+    """column, referenced and share: columns of ``overlaps`` with at least ``least`` values, of which ``referenced`` has that share."""
+    sides = F.array(
+        F.struct(F.col("left_column").alias("column"), F.col("right_column").alias("referenced"), F.col("n_left").alias("n"), (F.col("n_shared") / F.col("n_left")).alias("share")),
+        F.struct(F.col("right_column").alias("column"), F.col("left_column").alias("referenced"), F.col("n_right").alias("n"), (F.col("n_shared") / F.col("n_right")).alias("share")),
+    )
+    return overlaps.select(F.explode(sides).alias("s")).select("s.*").where((F.col("share") >= share) & (F.col("n") >= least)).drop("n")
+
+
+def printed_type(field: T.StructField) -> str:
+    """The type of a column as the catalog of the source prints it."""
+    kind = field.dataType
+    declared = str(field.metadata.get("__CHAR_VARCHAR_TYPE_STRING", ""))
+    if isinstance(kind, T.DecimalType):
+        return f"NUMBER({kind.precision},{kind.scale})"
+    if isinstance(kind, T.IntegralType):
+        return f"NUMBER({ {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10}.get(type(kind), 19)})"
+    if isinstance(kind, T.NumericType):
+        return "NUMBER"
+    if isinstance(kind, T.StringType):
+        return f"{'CHAR' if declared.startswith('char') else 'VARCHAR2'}{declared[declared.index('(') :]}" if "(" in declared else "VARCHAR2"
+    return "DATE" if family(kind) == "time" else kind.simpleString().upper()
+
+
+def _about(df: DataFrame, table: str) -> list[Column]:
+    """A struct for each column: its place, name, types, default, whether it may be null, and its comment."""
+    out = []
+    for n, f in enumerate(df.schema):
+        texts = {"default_value": f.metadata.get("CURRENT_DEFAULT"), "comment": f.metadata.get("comment")}
+        known = {"table_name": table, "place": n + 1, "column_name": f.name, "type": f.dataType.simpleString(), "printed_type": printed_type(f), "nullable": f.nullable}
+        out.append(F.struct(*(F.lit(v).alias(k) for k, v in known.items()), *(F.lit(v).cast("string").alias(k) for k, v in texts.items())))
+    return out
+
+
+def _as_text(f: T.StructField) -> Column:
+    value = F.col(f"`{f.name}`")
+    return (value + F.lit(0).cast(f.dataType) if isinstance(f.dataType, T.FractionalType) else value).cast("string")  # one zero
+
+
+def column_profile(df: DataFrame, table: str) -> DataFrame:
+    """One row per column: its place, types, default, whether it may be null, comment, non-null and distinct values, exactly.
+
+    The table is read once: each value goes with its column's number, and equal ones meet in the tasks first.
+    """
+    cells = df.select(F.posexplode(F.array(*map(_as_text, df.schema))).alias("_n", "value")).where("value IS NOT NULL")
+    per = cells.groupBy("_n", "value").agg(F.count(F.lit(1)).alias("times")).groupBy("_n").agg(F.sum("times").alias("n_filled"), F.count(F.lit(1)).alias("n_distinct"))
+    about = df.sparkSession.range(1).select(F.posexplode(F.array(*_about(df, table))).alias("_n", "a")).select("_n", "a.*")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("n_filled", "n_distinct")]
+    return about.join(per, "_n", "left").select(*(c for c in about.columns if c != "_n"), *counts)
+
+
+def profile_sketches(df: DataFrame, table: str, snapshot: str, *, lg_k: int = 12) -> DataFrame:
+    """As ``column_profile`` for one snapshot, with a sketch of the distinct values (HyperLogLog, 2^lg_k registers at most) instead of their number.
+
+    One scan and one row to the reducer for each task, whatever the number of values. Keep it: sketches of later
+    snapshots are merged with it by ``merged_profile``.
+    """
+    measures = [F.count(F.lit(1)).alias("_rows")]
+    for n, f in enumerate(df.schema):
+        measures += [F.count(F.col(f"`{f.name}`")).alias(f"_{n}_filled"), F.hll_sketch_agg(_as_text(f), F.lit(lg_k)).alias(f"_{n}_sketch")]
+    rows = [F.struct(a.alias("a"), F.col(f"_{n}_filled").alias("n_filled"), F.col(f"_{n}_sketch").alias("sketch")) for n, a in enumerate(_about(df, table))]
+    return df.agg(*measures).select("_rows", F.inline(F.array(*rows))).select("a.*", F.lit(snapshot).alias("snapshot"), F.col("_rows").alias("n_rows"), "n_filled", "sketch")
+
+
+def merged_profile(sketches: DataFrame) -> DataFrame:
+    """One row per table and column over all snapshots: rows, non-null values, and about how many distinct ones.
+
+    With 2^12 registers the standard error is 1.6 %; up to some hundred values the number is exact. What a column is comes from
+    its last snapshot.
+    """
+    about = ["place", "type", "printed_type", "nullable", "default_value", "comment"]
+    found = sketches.groupBy("table_name", "column_name").agg(
+        F.max_by(F.struct(*about), "snapshot").alias("_last"), F.count(F.lit(1)).alias("n_snapshots"), F.sum("n_rows").alias("n_rows"), F.sum("n_filled").alias("n_filled"),
+        F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about_distinct"),
+    )
+    return found.select("table_name", "column_name", "_last.*", "n_snapshots", "n_rows", "n_filled", "about_distinct")
 
 
 def key_listing(spark: SparkSession, specs: dict[str, EntitySpec], relations: list[tuple[str, str, list[str], str, list[str]]]) -> DataFrame:

@@ -13,6 +13,21 @@ REQUEST = ["EJERCICIO", "NUM_PED"]
 PAYMENT = ["EJERCICIO", "NRO_OP"]
 
 
+def touched(df: DataFrame, changed: DataFrame, on: dict[str, str], year: str = "EJERCICIO") -> DataFrame:
+    """The rows of ``df`` that ``changed`` refers to: columns of ``df`` (keys of ``on``) equal those of ``changed`` (values).
+
+    Give it to a join or an aggregation instead of ``df``, so that a few changed rows do not take the whole table. The
+    years of ``changed``, from the first to the last, are a filter that the scan of ``df`` gets; its keys are a semi join.
+    That filter also lets Spark put a Bloom filter of the keys on a large scan (``spark.sql.optimizer.runtime.bloomFilter``).
+    """
+    keys = changed.select(*(F.col(own).alias(other) for other, own in on.items())).dropna()
+    first, last = keys.agg(F.min(year), F.max(year)).first()
+    if first is None:
+        return df.where(F.lit(False))
+    in_years = (F.col(year) >= first) & (F.col(year) <= last)
+    return df.where(in_years).join(keys.where(in_years).distinct(), list(on), "left_semi")
+
+
 def order_header(orders: DataFrame) -> DataFrame:
     renamed = {"FECH_OC": "OC_FECH_OC", "OBSERVACIONES": "OC_OBSERVACIONES", "ESTADO_OC": "OC_ESTADO_OC", "FECH_CONFIRM": "OC_FECH_CONFIRM", "IMPORTE_TOT": "OC_IMPORTE_TOT"}
     return orders.select(*ORDER, "COD_PROV", *(F.col(k).alias(v) for k, v in renamed.items()))

@@ -36,7 +36,7 @@ def resolve_text(df: DataFrame, attempts: list[tuple[Column, DataFrame]], as_nam
 def described_codes(catalog: DataFrame, prefix: str, ident: str = "id", ordinal: str = "ordinal") -> DataFrame:
     """code and id of the rows whose description is ``prefix`` and a code; the last row of a code counts."""
     text = clean("description")
-    code = clean(F.when(text.startswith(prefix), F.substring(text, len(prefix) + 1, 10_000)))
+    code = clean(F.when(text.startswith(prefix), F.substr(text, F.lit(len(prefix) + 1))))
     rows = catalog.where(code.isNotNull() & F.col(ident).isNotNull())
     return rows.groupBy(code.alias("code")).agg(F.max_by(ident, ordinal).alias(ident))
 

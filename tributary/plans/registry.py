@@ -33,7 +33,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load() -> None:
-    from tributary.plans import audits, documents, relational, scalars, scans, state  # noqa: F401
+    from tributary.plans import audits, documents, relational, runs, scalars, scans, state  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -61,6 +61,13 @@ def project_allowlist(spark, sf_dir):
     return kept
 
 
+@demo("SELECT 'orders' AS table_name, 'o_orderstatus' AS column_name, 3 AS place, 'dropped' AS change, count(o_orderstatus) AS n_filled FROM orders UNION ALL SELECT 'orders', 'o_totalprice', 4, 'dropped', count(o_totalprice) FROM orders UNION ALL SELECT 'orders', 'o_orderpriority', 6, 'dropped', count(o_orderpriority) FROM orders UNION ALL SELECT 'orders', 'o_absent', NULL, 'missing', 0 UNION ALL SELECT 'customer', 'c_acctbal', 4, 'dropped', count(c_acctbal) FROM customer")
+def columns_at_intake(spark, sf_dir):
+    """What the allow-lists of two tables drop and miss."""
+    allowed = {"orders": ["o_orderkey", "o_custkey", "o_orderdate", "o_absent"], "customer": ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"], "nation": ["n_nationkey", "n_name", "n_regionkey"]}
+    return snapshots.column_changes(spark, {t: table(spark, sf_dir, t) for t in allowed}, allowed)
+
+
 @demo("SELECT s_suppkey AS S_SUPPKEY, s_name AS S_NAME, s_nationkey AS S_NATIONKEY, s_acctbal AS S_ACCTBAL FROM supplier")
 def table_scan_upper(spark, sf_dir):
     return snapshots.read_table(spark, sf_dir, "supplier")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,6 +77,24 @@ def allowed_columns(df: DataFrame, allowed: list[str]) -> tuple[DataFrame, list[
     return df.select(*(c for c in allowed if c in df.columns)), [c for c in df.columns if c not in allowed]
 
 
+def column_changes(spark: SparkSession, tables: dict[str, DataFrame], allowed: dict[str, list[str]]) -> DataFrame:
+    """table_name, column_name, place and change (``dropped``: not allowed; ``missing``: allowed, not there) at intake, and n_filled: how many values are dropped.
+
+    A few rows a table; the values of dropped columns are counted in one scan of each table that has some.
+    """
+    parts = []
+    for name, df in tables.items():
+        _, dropped = allowed_columns(df, allowed[name])
+        missing = [c for c in allowed[name] if c not in df.columns]
+        rows = [F.struct(F.lit(c).alias("column_name"), F.lit(df.columns.index(c) + 1).alias("place"), F.lit("dropped").alias("change"), F.col(f"_{n}").alias("n_filled")) for n, c in enumerate(dropped)]
+        rows += [F.struct(F.lit(c).alias("column_name"), F.lit(None).cast("int").alias("place"), F.lit("missing").alias("change"), F.lit(0).cast("long").alias("n_filled")) for c in missing]
+        if rows:
+            counted = df.agg(F.count(F.lit(1)).alias("_"), *(F.count(F.col(f"`{c}`")).alias(f"_{n}") for n, c in enumerate(dropped)))
+            parts.append(counted.select(F.lit(name).alias("table_name"), F.inline(F.array(*rows))))
+    empty = spark.createDataFrame([], "table_name string, column_name string, place int, change string, n_filled long")
+    return reduce(DataFrame.unionByName, parts, empty)
+
+
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Text columns as the types of ``schema``; values that do not fit, and columns that are missing, are null."""
     fields = [F.col(f.name).try_cast(f.dataType) if f.name in df.columns else F.lit(None).cast(f.dataType) for f in schema]

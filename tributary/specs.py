@@ -89,3 +89,6 @@ RESULT_SECTIONS = {
     "solic_gastos": (("gastos", "gasto"),),
     "orden_pago": (("ordenes_pago", "orden_pago"),),
 }
+
+# What a rejected supplier that exists already is known by: the field in error, and the words of its message.
+DUPLICATE = ("cuit", ("ya existe", "cuit"))
