@@ -777,7 +777,8 @@ def test_leaks(spark, docs):
                 wanted.add((d, n, len(own), len(own & there)))
     for block_bytes in (1 << 20, 300):
         assert {tuple(r) for r in decontaminate.find_leaks(docs, bench, block_bytes=block_bytes).collect()} == wanted
-    assert {r.doc_id for r in decontaminate.leak_free(docs, bench).collect()} == set(range(len(TEXTS))) - {d for d, *_ in wanted}
+    for block_bytes in (8 << 20, 1):
+        assert {r.doc_id for r in decontaminate.leak_free(docs, bench, block_bytes=block_bytes).collect()} == set(range(len(TEXTS))) - {d for d, *_ in wanted}
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
     assert decontaminate.find_leaks(table(spark, []), bench).count() == 0
 
@@ -983,3 +984,20 @@ def test_columns_of_any_name_do_no_harm(spark):
     kept = language.identify(named, language.train(named), keep=["_text", "text", "_salt", "_0"])
     assert kept.columns[:5] == ["doc_id", "_text", "text", "_salt", "_0"] and kept.where("_text = 'x'").count() == len(texts)
     assert corpus_pipeline.join_near_copies(spark, named.withColumns({"source": F.lit("s"), "n_chars": F.lit(1)}), "").columns == corpus_pipeline.COLUMNS
+
+
+def test_a_large_benchmark_is_joined_in_one_plan(spark, odd):
+    """The join gives what the broadcast gives, and its plan does not grow with the benchmark."""
+    rng = np.random.default_rng(21)
+    new = lambda n: " ".join(f"b{x}" for x in rng.integers(0, 90, n))
+    items = [(i, new(rng.integers(1, 40))) for i in range(60)] + [(7, PASSAGE), (None, "one two three"), (8, None), (9, " "), (10, "a b c d e f g h"), (10, "a b c d e f g h")]
+    texts = [f"{new(30)} {t} {new(5)}" for _, t in items[:40]] + [f"{new(5)} {' '.join((t or '').split()[:-1])} {new(400)}" for _, t in items[20:]]
+    docs = odd.unionByName(table(spark, texts + texts[:9])).repartition(4)
+    bench = spark.createDataFrame([(i, t, "x", 1) for i, t in items], "item_id long, text string, digest string, row int")
+    found = {b: Counter(map(tuple, decontaminate.find_leaks(docs, bench, block_bytes=b).collect())) for b in (8 << 20, 1)}
+    assert found[1] == found[8 << 20] and len(found[1]) > 60
+    clean = {b: Counter(map(str, decontaminate.leak_free(docs, bench, block_bytes=b).collect())) for b in (8 << 20, 1)}
+    assert clean[1] == clean[8 << 20] and 0 < sum(clean[1].values()) < docs.count()
+    plan = lambda items: decontaminate.leak_free(docs, items, block_bytes=1)._jdf.queryExecution().executedPlan().toString()
+    assert plan(bench).count("MapInArrow") == plan(bench.limit(2)).count("MapInArrow") == 0  # what the last join reads is stored
+    assert decontaminate.find_leaks(docs.limit(0), bench, block_bytes=1).count() == 0
