@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tributary.llm import decontaminate, language, ngram_join, packing, substrings
-from tributary.workspace import stored
+from tributary.workspace import stored, temporary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -78,5 +78,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        with temporary(spark):  # what a stage stores on its way goes with it
+            docs = stored(stage(spark, docs, sf_dir), name, keep=True)
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -10,6 +10,7 @@ from test_core import NOW, ORDER_DONE, _all_tables, _body, _day, _link_supplier,
 from tributary.operators import audits, extracts
 from tributary.plans.pipeline import Run
 from tributary.streaming.intake import run_on_arrival
+from tributary.workspace import stored, temporary
 
 
 def done(spark, *numbers, section="ordenes_compra"):
@@ -238,3 +239,29 @@ def test_results_name_links_by_the_time_of_their_payload(spark, tmp_path):
     run.suppliers()
     _day(spark, tables, tmp_path, 5).take_results("proveedores", _result(spark, "proveedores", cod_prov=5))
     assert run.links("proveedores").first().updated_at == dt.datetime(2024, 6, 2)
+
+
+def test_old_files_of_runs_go(spark, tmp_path):
+    tables = _order_tables(spark)
+    run = _day(spark, tables, tmp_path, 2)
+    _link_supplier(spark, run)
+    run.orders()
+    later = _day(spark, tables, tmp_path, 3)
+    later.orders()
+    assert later.forget(dt.datetime(2024, 6, 3)) == 0  # the first payload is pending
+    later.take_results("orden_compra", done(spark, 10))
+    assert later.forget(dt.datetime(2024, 6, 3)) == 6
+    assert later.sent("orden_compra", run.stamp).count() == 0 and later.sent("orden_compra", later.stamp).count() == 1
+    assert later.links("orden_compra").count() == 1 and (tmp_path / "payloads/orden_compra/20240603_000000").exists()
+
+
+def test_temporary_tables_go(spark):
+    inner = []
+    with temporary(spark):
+        inner.append(stored(spark.range(3), "x").inputFiles()[0])
+        kept = stored(spark.range(4), "x", keep=True)
+        with temporary(spark):
+            inner.append(stored(spark.range(3), "y").inputFiles()[0])
+    import os
+
+    assert not any(os.path.exists(p.removeprefix("file://")) for p in inner) and kept.count() == 4

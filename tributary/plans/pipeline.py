@@ -24,6 +24,7 @@ from tributary.operators import documents, extracts, incremental, ledger, lookup
 from tributary.operators.state import KeyedStore, Manifest
 from tributary.sources import payloads
 from tributary.specs import DUPLICATE, ENTITIES, LINK_COLUMNS, LINK_KEYS, RESULT_SECTIONS, RUN_ORDER, UNIT_KINDS
+from tributary.workspace import temporary
 
 LINK = "remote_id string, updated_at timestamp_ntz"
 PENDING = "entity string, stamp string, last_id long, last_ts timestamp_ntz, records long, run_at timestamp_ntz, apart boolean"
@@ -111,6 +112,21 @@ class Run:
                 self.store("checkpoints").write(incremental.failed(self.state(), entity, str(error)))
             raise
 
+    def forget(self, before: datetime.datetime) -> int:
+        """Remove what runs dated before ``before`` have written, but for state and pending payloads; how many folders went.
+
+        Links of later results of those payloads then lack the columns of what was sent.
+        """
+        pending, gone = {r["stamp"] for r in self.pending().collect()}, 0
+        root = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        files = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for depth in ("changed/*/*", "decided/*/*", "skipped/*/*", "payloads/*/*", "sent/*/*/*", "ledger/*/sent/*", "ledger/*/confirmed/*"):
+            for found in files.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{depth}")) or []:
+                at = _time_of(found.getPath().getName())
+                if at and at < before and found.getPath().getName() not in pending:
+                    gone += bool(files.delete(found.getPath(), True))
+        return gone
+
     def written(self, df: DataFrame, kind: str, name: str, stamp: str | None = None) -> DataFrame:
         """``df``, written for this run and read back: what is derived from it sees one state of a live source."""
         path = f"{self.folder}/{kind}/{name}/{stamp or self.stamp}"
@@ -149,11 +165,12 @@ class Run:
         sent, held = 0, None
         names = dict(RESULT_SECTIONS[entity])
         for section, docs, key in parts:
-            numbered = payloads.batch_numbers(docs, key, self.batches.get(entity, self.batch))
             seen = Observation()
-            out = payloads.envelopes(numbered, section, F.to_json(F.struct(*docs.columns)), dry_run=self.dry_run, options={"upsert": True})
-            out = out.observe(seen, F.count(F.lit(1)).alias("batches"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-            out.select("payload").write.mode("overwrite").text(f"{self.folder}/payloads/{entity}/{self.stamp}/{section}")
+            with temporary(self.spark):
+                numbered = payloads.batch_numbers(docs, key, self.batches.get(entity, self.batch))
+                out = payloads.envelopes(numbered, section, F.to_json(F.struct(*docs.columns)), dry_run=self.dry_run, options={"upsert": True})
+                out = out.observe(seen, F.count(F.lit(1)).alias("batches"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+                out.select("payload").write.mode("overwrite").text(f"{self.folder}/payloads/{entity}/{self.stamp}/{section}")
             sent += seen.get.get("n", 0)
             rows = docs.select(F.lit(section).alias("section"), ledger.key_text({k: F.col("external_id")[k] for k in _external_names(names[section])}).alias("key"))
             held = rows if held is None else held.unionByName(rows)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,13 +29,31 @@ def new_path(spark: SparkSession, name: str) -> str:
 CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables that are ``stored`` within go at its end, but for those to ``keep``: write what was made of them before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def stored(df: DataFrame, name: str, *, keep: bool = False) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: any executor can be lost afterwards.
 
-    The shuffle files of the job that writes it are removed when it ends; nothing reads them again.
+    The shuffle files of the job that writes it are removed when it ends; nothing reads them again. The table stays, unless
+    it is made in the scope of ``temporary`` without ``keep``.
     """
     spark = df.sparkSession
     path, before = new_path(spark, name), spark.conf.get(CLEAN_UP, "false")
+    if _scopes and not keep:
+        _scopes[-1].append(path)
     spark.conf.set(CLEAN_UP, "true")
     try:
         df.write.parquet(path)
