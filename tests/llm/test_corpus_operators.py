@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tributary.llm import blocks, decontaminate, encoding, language, lexical, lm, ngram_join, packing, quality, queries, shards, substrings, text, token_files, tries, urls
-from tributary.llm.graph import components
+from tributary.llm.graph import components, least_labels
 from tributary.workspace import new_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -373,6 +373,38 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+@pytest.mark.parametrize("kind", ["long", "binary", "string"])
+def test_components_of_random_edges(spark, partitions, kind):
+    """Chains, stars and random edges over one partition and several, for nodes of each type."""
+    rng = np.random.default_rng(partitions)
+    pairs = [(n, n + 1) for n in range(100, 180)] + [(300, n) for n in range(301, 340)] + rng.integers(400, 600, (110, 2)).tolist() + [(7, 7), (5, 6), (6, 5)]
+    least = {}
+    for x in {x for a, b in pairs if a != b for x in (a, b)}:
+        least[x] = x
+    changed = True
+    while changed:
+        changed = False
+        for a, b in pairs:
+            if a != b and least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                changed = True
+    node = {"long": lambda c: c, "string": lambda c: F.lpad(c.cast("string"), 4, "0"), "binary": lambda c: F.lpad(c.cast("string"), 4, "0").cast("binary")}[kind]
+    edges = spark.createDataFrame(pairs, "a long, b long").repartition(partitions).select(node(F.col("a")).alias("a"), node(F.col("b")).alias("b"))
+    found = {int(r.node): int(r.label) for r in components(edges).collect()}
+    assert found == least
+
+
+def test_labels_within_a_partition():
+    rng = np.random.default_rng(2)
+    for n, m in ((1, 0), (2, 1), (50, 30), (1000, 900)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        label = least_labels(a, b, n)
+        assert (label[a] == label[b]).all() and (label <= np.arange(n)).all() and (label[label] == label).all()
+    chain = np.arange(999)
+    assert not least_labels(chain, chain + 1, 1000).any()
+
+
 # 3: URL filter.
 
 

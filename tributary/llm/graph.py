@@ -1,7 +1,10 @@
-"""Connected components of an edge list, by alternating large-star and small-star steps."""
+"""Connected components of an edge list: within partitions first, then by alternating large-star and small-star steps."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,15 +30,52 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return joined.union(least.select("a", F.col("m").alias("b")))
 
 
+def least_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` nodes the smallest that edges (a, b) connect it to."""
+    label = np.arange(n)
+    while True:
+        low, high = np.minimum(label[a], label[b]), np.maximum(label[a], label[b])
+        if (low == high).all():
+            return label
+        np.minimum.at(label, high, low)
+        while (label[label] != label).any():
+            label = label[label]
+
+
+def _collapsed(batches):
+    """The edges of a partition as stars: each node with the smallest that the partition connects it to."""
+    rows = [x for x in batches if x.num_rows]
+    if not rows:
+        return
+    table = pa.Table.from_batches(rows).combine_chunks()
+    both = pa.concat_arrays([c for name in "ab" for c in table.column(name).chunks]).dictionary_encode()
+    order = pc.sort_indices(both.dictionary).to_numpy()
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    codes = rank[both.indices.to_numpy()]
+    label = least_labels(codes[: table.num_rows], codes[table.num_rows :], len(order))
+    nodes = np.flatnonzero(label != np.arange(len(order)))
+    yield pa.RecordBatch.from_arrays([both.dictionary.take(pa.array(order[nodes])), both.dictionary.take(pa.array(order[label[nodes]]))], names=["a", "b"])
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each a has one b, and no b is an a."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("n"), F.lit(0).alias("m")).unionByName(edges.select(F.col("b").alias("node"), F.lit(0).alias("n"), F.lit(1).alias("m")))
+    per = ends.groupBy("node").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
+    return not per.where("n > 1 OR n > 0 AND m > 0").limit(1).count()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): for each node of ``edges`` (a, b, of one type), the smallest node that it is connected to.
 
-    Every round is written to the shared folder; the number of rounds grows with the logarithm of a component's size.
+    Each partition is collapsed to stars by itself, which settles edge lists of one partition. Otherwise rounds of star
+    steps follow, each written to the shared folder; their number grows with the logarithm of a component's size.
     Edges from a node to itself and repeated edges do no harm; an empty list gives no rows.
     """
-    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
-    mark = _mark(now)
-    while mark[0]:
+    own = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
+    now = stored(own.mapInArrow(_collapsed, own.schema), "edges")
+    mark = None
+    while not _are_stars(now):
         now = stored(_large_star(now).distinct(), "edges")
         now = stored(_small_star(now).distinct(), "edges")
         new = _mark(now)
