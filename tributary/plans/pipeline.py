@@ -89,7 +89,7 @@ class Run:
 
     def pending(self) -> DataFrame:
         """Payloads whose results have not all come: where each would move its entity's cursor."""
-        return self.table("pending", PENDING)
+        return self.table("pending", PENDING).fillna(False, ["apart"])
 
     def reset(self, entity: str | None = None) -> None:
         """The next run of ``entity``, or of all, is full; results of earlier payloads no longer move its cursor."""
@@ -162,8 +162,7 @@ class Run:
         A step with nothing to send moves the cursor at once. ``needs_documents``: changed rows that make no document
         are an error, unless in a dry run.
         """
-        sent, held = 0, None
-        names = dict(RESULT_SECTIONS[entity])
+        sent, names = 0, dict(RESULT_SECTIONS[entity])
         for section, docs, key in parts:
             seen = Observation()
             with temporary(self.spark):
@@ -171,9 +170,10 @@ class Run:
                 out = payloads.envelopes(numbered, section, F.to_json(F.struct(*docs.columns)), dry_run=self.dry_run, options={"upsert": True})
                 out = out.observe(seen, F.count(F.lit(1)).alias("batches"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
                 out.select("payload").write.mode("overwrite").text(f"{self.folder}/payloads/{entity}/{self.stamp}/{section}")
+                if not self.dry_run:
+                    held = ledger.key_text({k: F.col("external_id")[k] for k in _external_names(names[section])})
+                    self.written(numbered.select(F.lit(section).alias("section"), held.alias("key")), "ledger", f"{entity}/sent/{self.stamp}", section)
             sent += seen.get.get("n", 0)
-            rows = docs.select(F.lit(section).alias("section"), ledger.key_text({k: F.col("external_id")[k] for k in _external_names(names[section])}).alias("key"))
-            held = rows if held is None else held.unionByName(rows)
         seen = incremental.cursor_values(self.changed(entity), ENTITIES[entity])
         if self.dry_run:
             return sent
@@ -184,7 +184,6 @@ class Run:
             self.written(rows, "sent", f"{entity}/{name}")
         pending = self.pending()
         if sent:
-            self.written(held, "ledger", f"{entity}/sent")
             same = (F.col("entity") == entity) & (F.col("stamp") == self.stamp)
             self.store("pending").write(pending.where(~same).unionByName(runs.drop("_read")))
         else:
@@ -211,12 +210,11 @@ class Run:
 
     def confirmed(self, entity: str, stamp: str) -> DataFrame:
         """section and key of what results have confirmed of a payload."""
-        return self._ledger(entity, "confirmed", f"{stamp}/*")
+        return self._ledger(entity, "confirmed", stamp)
 
     def _ledger(self, entity: str, kind: str, stamp: str) -> DataFrame:
         path = f"{self.folder}/ledger/{entity}/{kind}/{stamp}"
-        known = self._exists(path.removesuffix("/*"))
-        return self.spark.read.schema(ledger.SENT).parquet(path) if known else self.spark.createDataFrame([], ledger.SENT)
+        return self.spark.read.schema(ledger.SENT).parquet(f"{path}/*") if self._exists(path) else self.spark.createDataFrame([], ledger.SENT)
 
     def take_results(self, entity: str, results: DataFrame, *, stamp: str | None = None, directory: DataFrame | None = None) -> dict[str, int]:
         """Take in the import results (``body``: JSON) of a payload of ``entity``: links saved, by state.
