@@ -16,6 +16,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tributary.llm import blocks, decontaminate, encoding, language, lexical, lm, ngram_join, packing, quality, queries, shards, substrings, text, token_files, tries, urls
 from tributary.llm.graph import components, least_labels
+from tributary.llm.skew import join_counted
 from tributary.workspace import new_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -373,6 +374,37 @@ def test_components(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("most_edges", [1, 30])
+def test_components_of_edges_taken_a_few_at_a_time(spark, most_edges):
+    edges = spark.createDataFrame([(n, n + 1) for n in range(60)] + [(100, n) for n in range(101, 140)], "a long, b long").coalesce(1)
+    found = {r.node: r.label for r in components(edges, most_edges=most_edges).collect()}
+    assert found == {n: 0 if n < 100 else 100 for n in (*range(61), *range(100, 140))}
+
+
+def test_joins_with_heavy_keys(spark):
+    """A key with a third of all rows is joined without a shuffle of them; rows are those of a plain join."""
+    rows = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(-1)).when(F.col("id") % 100 == 1, F.lit(None)).otherwise(F.col("id") % 700).alias("key"), F.col("id").alias("x"))
+    names = rows.where("key IS NOT NULL AND key <> 5").groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("y"))
+    for most_heavy in (1, 20, 10**9):
+        found = join_counted(rows, names, "key", "n", most_heavy=most_heavy)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.join(names.drop("n"), "key").collect()))
+        assert found.columns == ["key", "x", "y"]
+    heavy = names.where(F.col("n") * 20 > names.agg(F.sum("n")).first()[0])
+    assert [r.key for r in heavy.collect()] == [-1]
+    assert join_counted(rows.limit(0), names.limit(0), "key", "n").count() == 0
+
+
+def test_sets_are_told_apart_by_both_words_of_their_keys():
+    """Keys with one word in common, and some that a fold to one word would take for equal, are classes of their own."""
+    c = 0x9E3779B97F4A7C15
+    keys = np.array([[0, 0], [c, 1], [c, 0], [0, 1], [0, 0], [c, 1]], np.uint64)
+    at, same = ngram_join._distinct_keys(keys)
+    assert len(at) == 4 and (keys[at][same] == keys).all()
+    assert [tuple(k) for k in keys[at].tolist()] == sorted({tuple(k) for k in keys.tolist()})
+    none = ngram_join._distinct_keys(np.zeros((0, 2), np.uint64))
+    assert len(none[0]) == len(none[1]) == 0
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 @pytest.mark.parametrize("kind", ["long", "binary", "string"])
 def test_components_of_random_edges(spark, partitions, kind):

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tributary.workspace import stored
 
+MOST_EDGES = 1 << 20
+
 
 def _least(edges: DataFrame) -> DataFrame:
     """(a, m): the smallest b of each a. Stored, so that both sides of the joins with it can be split where a node has many edges."""
@@ -42,12 +44,9 @@ def least_labels(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
             label = label[label]
 
 
-def _collapsed(batches):
-    """The edges of a partition as stars: each node with the smallest that the partition connects it to."""
-    rows = [x for x in batches if x.num_rows]
-    if not rows:
-        return
-    table = pa.Table.from_batches(rows).combine_chunks()
+def _stars(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """Edges as stars: each node with the smallest that these edges connect it to."""
+    table = pa.Table.from_batches(batches).combine_chunks()
     both = pa.concat_arrays([c for name in "ab" for c in table.column(name).chunks]).dictionary_encode()
     order = pc.sort_indices(both.dictionary).to_numpy()
     rank = np.empty(len(order), np.int64)
@@ -55,7 +54,25 @@ def _collapsed(batches):
     codes = rank[both.indices.to_numpy()]
     label = least_labels(codes[: table.num_rows], codes[table.num_rows :], len(order))
     nodes = np.flatnonzero(label != np.arange(len(order)))
-    yield pa.RecordBatch.from_arrays([both.dictionary.take(pa.array(order[nodes])), both.dictionary.take(pa.array(order[label[nodes]]))], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([both.dictionary.take(pa.array(order[nodes])), both.dictionary.take(pa.array(order[label[nodes]]))], names=["a", "b"])
+
+
+def _collapsed(most_edges: int):
+    """The edges of a partition as stars, of about ``most_edges`` edges at a time."""
+
+    def run(batches):
+        rows, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                rows.append(batch)
+                n += batch.num_rows
+            if n >= most_edges:
+                yield _stars(rows)
+                rows, n = [], 0
+        if rows:
+            yield _stars(rows)
+
+    return run
 
 
 def _are_stars(edges: DataFrame) -> bool:
@@ -65,15 +82,15 @@ def _are_stars(edges: DataFrame) -> bool:
     return not per.where("n > 1 OR n > 0 AND m > 0").limit(1).count()
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, *, most_edges: int = MOST_EDGES) -> DataFrame:
     """(node, label): for each node of ``edges`` (a, b, of one type), the smallest node that it is connected to.
 
-    Each partition is collapsed to stars by itself, which settles edge lists of one partition. Otherwise rounds of star
-    steps follow, each written to the shared folder; their number grows with the logarithm of a component's size.
+    Each partition is collapsed to stars by itself, ``most_edges`` at a time, which settles short edge lists of one
+    partition. Otherwise rounds of star steps follow, each written to the shared folder; their number grows with the logarithm of a component's size.
     Edges from a node to itself and repeated edges do no harm; an empty list gives no rows.
     """
     own = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    now = stored(own.mapInArrow(_collapsed, own.schema), "edges")
+    now = stored(own.mapInArrow(_collapsed(most_edges), own.schema), "edges")
     mark = None
     while not _are_stars(now):
         now = stored(_large_star(now).distinct(), "edges")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm.blocks import SENT, answered, block_of, decoded, encoded, into_blocks, packed_keys, part_of, read_answer, sent, text_slices, unpacked_keys
 from tributary.llm.graph import components
+from tributary.llm.skew import join_counted
 from tributary.llm.text import Words, shingles, sliced
 from tributary.llm.tries import Trie, in_order
 from tributary.workspace import stored
@@ -132,6 +133,16 @@ def _filed(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array(x, t) for x, t in zip(columns, FILED_TYPES, strict=True)], names=[x.split()[0] for x in FILED.split(", ")])
 
 
+def _distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each distinct key (a pair of words) stands first in key order, and each key's number among them."""
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    new = np.ones(len(order), bool)
+    new[1:] = (keys[order[1:]] != keys[order[:-1]]).any(axis=1)
+    same = np.empty(len(order), np.int64)
+    same[order] = np.cumsum(new) - 1
+    return order[new], same
+
+
 def _unpacked(rows: pa.Table) -> tuple:
     """Items, owners and largest sizes of rows of FILED, the owners' keys and sizes, and the links found so far."""
     columns = {c: rows.column(c).to_pylist() for c in ("items", "which", "keys", "sizes", "spans", "links")}
@@ -141,7 +152,7 @@ def _unpacked(rows: pa.Table) -> tuple:
     owner = np.concatenate([np.frombuffer(x, "<u4").astype(np.int64) + n for x, n in zip(columns["which"], before[:-1], strict=True)])
     high = sizes[owner] + np.concatenate([decoded(x, len(w) // 4, "count") for x, w in zip(columns["spans"], columns["which"], strict=True)])
     # One number for each class: the same set may have come from several blocks.
-    _, at, same = np.unique(keys[:, 0] ^ (keys[:, 1] * np.uint64(0x9E3779B97F4A7C15)), return_index=True, return_inverse=True)
+    at, same = _distinct_keys(keys)
     return item, same[owner], high, keys[at], sizes[at], b"".join(columns["links"])
 
 
@@ -250,7 +261,7 @@ def _trees(docs: DataFrame, members: DataFrame, ranked: DataFrame, k: int, perce
 
 
 def _linked(docs: DataFrame, k: int, percent: int, block_sets: int, block_items: int, part_items: int, pivots: int, block_bytes: int, most_blocks: int) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, digest, n, key) of each row of ``docs``, and (key, doc_id, _label): the class of each key and its component."""
+    """(doc_id, digest, n, key) of each row of ``docs``, and (key, doc_id, _docs, _label): the class of each key, its rows and its component."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = stored(docs.withColumn("digest", text_digest()).mapInArrow(_measure(k), MEASURED), "measured")
     total = measured.agg(F.sum("n")).first()[0] or 0
@@ -266,13 +277,14 @@ def _linked(docs: DataFrame, k: int, percent: int, block_sets: int, block_items:
     if salts > 1:
         filed = filed.groupBy("part", "salt").applyInArrow(_reduced(percent, file_parts), FILED)
     near = filed.groupBy("part").applyInArrow(_candidates(percent), "a binary, b binary")
-    classes = measured.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"), F.min("n").alias("n"))
+    classes = measured.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.min("digest").alias("digest"), F.min("n").alias("n"), F.count(F.lit(1)).alias("_docs"))
 
     clusters = components(near).select(F.col("node").alias("key"), F.col("label").alias("cluster"))
-    inside = stored(clusters.join(classes.drop("doc_id"), "key"), "members")
+    inside = stored(clusters.join(classes.drop("doc_id", "_docs"), "key"), "members")
     scale = inside.groupBy("cluster").agg(F.count(F.lit(1)).alias("_sets"), F.sum("n").alias("_items"))
     blocks = F.greatest(F.ceil(F.col("_sets") / block_sets), F.ceil(F.col("_items") / block_items)).cast("int")
-    inside = stored(inside.join(scale.select("cluster", "_sets", blocks.alias("_blocks")), "cluster"), "members")
+    scale = stored(scale.select("cluster", "_sets", F.col("_sets").alias("_rows"), blocks.alias("_blocks")), "scale")
+    inside = stored(join_counted(inside, scale, "cluster", "_rows"), "members")
     chance = F.pmod(F.xxhash64(F.lit("pivot"), "key"), F.col("_sets"))
     own_block = F.pmod(F.xxhash64("key"), F.col("_blocks")).cast("int")
     several = F.col("_blocks") > 1
@@ -285,7 +297,8 @@ def _linked(docs: DataFrame, k: int, percent: int, block_sets: int, block_items:
         labels = components(stored(links, "links"))
 
     label = F.coalesce("label", "key")
-    return measured, classes.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "doc_id", label.alias("_label"))
+    named = classes.join(labels.withColumnRenamed("node", "key"), "key", "left").select("key", "doc_id", "_docs", label.alias("_label"))
+    return measured, stored(named, "classes")
 
 
 def join_similar(
@@ -300,9 +313,9 @@ def join_similar(
     documents have null ids. Empty tables give no rows; other columns are not read.
     """
     measured, named = _linked(docs, k, percent, block_sets, block_items, part_items, pivots, block_bytes, most_blocks)
-    least = named.groupBy("_label").agg(F.min("doc_id").alias("component_id"))
-    named = named.join(least, "_label").select("key", "component_id")
-    found = measured.where("n > 0").join(named, "key").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+    least = stored(named.groupBy("_label").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_keys")), "least")
+    named = stored(join_counted(named, least, "_label", "_keys").select("key", "_docs", "component_id"), "classes")
+    found = join_counted(measured.where("n > 0"), named, "key", "_docs").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return found.unionByName(measured.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")))
 
 
@@ -311,16 +324,16 @@ def _outside(docs, inside, ranked, labels, own_block, k, percent, block_sets, bl
     named = inside.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("label", F.coalesce("label", "key"))
     named = stored(named, "labelled")
     counts = named.groupBy("cluster", "label").agg(F.count(F.lit(1)).alias("_n"))
-    largest = counts.groupBy("cluster").agg(F.max_by("label", F.struct("_n", "label")).alias("_largest"))
-    outer = named.join(largest, "cluster").where("label <> _largest")
-    size = outer.groupBy("cluster").agg(F.count(F.lit(1)).alias("_out"), F.sum("n").alias("_out_items"))
+    largest = stored(counts.groupBy("cluster").agg(F.max_by("label", F.struct("_n", "label")).alias("_largest"), F.sum("_n").alias("_all"), F.sum("_n").alias("_rows")), "largest")
+    outer = stored(join_counted(named, largest, "cluster", "_rows").where("label <> _largest"), "outer")
+    size = outer.groupBy("cluster").agg(F.count(F.lit(1)).alias("_out"), F.sum("n").alias("_out_items"), F.first("_all").alias("_all"))
     cuts = F.greatest(F.ceil(F.col("_out") / block_sets), F.ceil(F.col("_out_items") / block_items)).cast("int")
-    size = size.select("cluster", cuts.alias("_cuts"))
+    size = stored(size.select("cluster", cuts.alias("_cuts"), "_out", "_all"), "outer_sizes")
     place = lambda block, cut: F.struct(block.alias("block"), cut.alias("cut"))
-    all_sets = named.join(size, "cluster").select("*", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)).alias("_cut"))
+    all_sets = join_counted(named, size.drop("_out"), "cluster", "_all").select("*", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)).alias("_cut"))
     all_sets = all_sets.select("digest", "cluster", place(own_block, F.col("_cut")).alias("place"), "key", "label", "n")
     own_cut = F.pmod(F.xxhash64("key"), F.col("_cuts")).cast("int")
-    outer = outer.join(size, "cluster").select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
+    outer = join_counted(outer.drop("_all"), size.drop("_all"), "cluster", "_out").select("*", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
     outer = outer.select("digest", "cluster", place(F.col("_block"), own_cut).alias("place"), "key", "label", "n")
     both = all_sets.unionByName(outer).withColumn("place", F.col("place.block").cast("long") * (1 << 31) + F.col("place.cut"))
     return _trees(docs, both, ranked, k, percent, block_items)
