@@ -640,6 +640,55 @@ def test_training_rows_are_bounded_and_unique(spark, monkeypatch):
     assert 0 < forest.threshold <= 1
 
 
+def test_every_row_grows_a_tree():
+    """Root spans count a tree's rows: up to 256 rows grow all trees, of more each grows one at least, and trees stay even."""
+    for n in (1, 100, 256, 257, 3000, 40_000):
+        size = min(n, max(256, -(-n // 100)))
+        share = (size * 100 / n - 1) / 99 if size <= 256 else 0.0
+        row, tree = quality._members(quality._mixed(np.arange(n, dtype=np.uint64)), 100, share)
+        assert set(row) == set(range(n)) and len(set(zip(row, tree, strict=True))) == len(row)
+        each = np.bincount(tree, minlength=100)
+        assert (each == n).all() if n <= 256 else abs(each - size).max() < 6 * size**0.5
+    forest = quality.grow(np.repeat(np.arange(40_000.0), 2).reshape(-1, 2))
+    assert forest.subsample == 400 and len(forest.trees) == 100 and max(len(t[0]) for t in forest.trees) < 512
+
+
+def rates_table(spark, rows, **more):
+    columns = {c: rows[:, k] for k, c in enumerate(quality.RATES)} | more
+    return spark.createDataFrame(pa.table(columns)).repartition(7)
+
+
+def test_spread_rows_grow_and_calibrate_as_arrays_do(spark):
+    rng = np.random.default_rng(8)
+    rows, good = rng.normal(0, 1, (3000, len(quality.RATES))), np.arange(3000) < 2700
+    rows[~good, 2:5] += 3
+    keys = quality._mixed(np.arange(3000, dtype=np.uint64)).view(np.int64)
+    here, there = quality.grow(rows), quality.grow(quality.Spread(rates_table(spark, rows, _key=keys), 3000))
+    assert here.subsample == there.subsample == 256
+    assert all((a == b).all() for x, y in zip(here.trees, there.trees, strict=True) for a, b in zip(x, y, strict=True))
+    for marks in (good, good | True, good & False, rng.random(3000) < 0.5):
+        given = rates_table(spark, rows, quality=marks.astype(np.int32))
+        for keep in (0.985, 0.7):
+            for bins in (1, 1 << 16):
+                assert quality.calibrate_spread(here, given, keep, bins=bins) == pytest.approx(quality.calibrate(here, rows, marks, keep), rel=1e-12)
+
+
+def test_all_labelled_rows_train(spark, monkeypatch):
+    """30,000 labelled rows: half of them grow the forest, and the threshold is that of all others."""
+    n = 30_000
+    rng = np.random.default_rng(9)
+    rows, good = rng.random((n, len(quality.RATES))), np.arange(n) % 10 > 0
+    rows[~good, 3] += 0.4
+    measured = rates_table(spark, rows, doc_id=np.arange(n)).select("doc_id", *(F.lit(100 if c == "n_words" else 0).cast("long").alias(c) for c in quality.COUNTS), *quality.RATES)
+    grown, real = [], quality.grow
+    monkeypatch.setattr(quality, "grow", lambda rows: (grown.append(len(rows)), real(rows))[1])
+    forest = quality.train(measured, spark.createDataFrame(pa.table({"doc_id": np.arange(n), "quality": good.astype(np.int32)})))
+    assert grown == [n // 2] and forest.subsample == 256
+    ranked = [r.doc_id for r in measured.orderBy(F.xxhash64(F.lit("half"), "doc_id")).select("doc_id").collect()]
+    other = ranked[: n // 2]
+    assert forest.threshold == pytest.approx(quality.calibrate(forest, rows[other], good[other], 0.985), rel=1e-12)
+
+
 def test_judging(spark, docs):
     rng = np.random.default_rng(6)
     vocabulary = np.array(["".join(rng.choice(list("abcdefgh"), rng.integers(2, 9))) for _ in range(2000)])

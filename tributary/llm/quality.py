@@ -1,9 +1,9 @@
 """Quality rules: statistics of each text, base rules, and an isolation forest on the statistics.
 
-The forest is grown on a bounded sample of labelled rows: each tree splits a small random subsample at random values of
-random statistics, and a document that a few splits set apart is an anomaly. The score above which a document goes is
-calibrated on labelled rows: the one that separates the two labels best among those that keep a stated share of the
-good rows.
+The forest is grown on labelled rows: each tree splits its own share of them at random values of random statistics, and
+a document that a few splits set apart is an anomaly. The score above which a document goes is calibrated on labelled
+rows: the one that separates the two labels best among those that keep a stated share of the good rows. All labelled rows
+count, in one of these two steps, and Spark keeps them: the driver sees spans of nodes and counts of scores.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ import dataclasses
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.text import _CODES, Words, run_hashes, sliced
+from tributary.workspace import stored, temporary
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 RATES = ["word_length", "symbols_per_word", "dup_line_share", "repeat_share", "words_per_line", "upper_share", "mark_share", "bare_share"]
@@ -146,29 +147,104 @@ class Forest:
         return 2 ** (-depth / len(self.trees) / max(float(_usual_path(self.subsample)), 1e-9))
 
 
-def grow(rows: np.ndarray, *, trees: int = 100, subsample: int = 256, seed: int = 3) -> Forest:
-    rng, made = np.random.default_rng(seed), []
-    limit = int(np.ceil(np.log2(max(2, min(subsample, len(rows))))))
-    for _ in range(trees):
-        own = rows[rng.choice(len(rows), min(subsample, len(rows)), replace=False)]
-        nodes: list[list[float]] = []
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each number (the finalizer of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
-        def split(part: np.ndarray, depth: int) -> int:
-            at = len(nodes)
-            nodes.append([-1, 0.0, 0, 0, depth + float(_usual_path(len(part)))])
-            low, high = (part.min(0), part.max(0)) if len(part) else (np.zeros(1), np.zeros(1))
-            free = np.flatnonzero(high > low)
-            if depth < limit and len(part) > 1 and len(free):
-                which = rng.choice(free)
-                value = rng.uniform(low[which], high[which])
-                below = part[:, which] < value
-                nodes[at] = [which, value, split(part[below], depth + 1), split(part[~below], depth + 1), 0.0]
-            return at
 
-        split(own, 0)
-        table = np.array(nodes)
-        made.append((table[:, 0].astype(np.int32), table[:, 1], table[:, 2].astype(np.int32), table[:, 3].astype(np.int32), table[:, 4]))
-    return Forest(made, min(subsample, len(rows)))
+def _members(keys: np.ndarray, trees: int, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a row and a tree that it grows: one tree for each row, and any other with probability ``share``."""
+    home = (_mixed(keys) % np.uint64(trees)).astype(np.int64)
+    if share <= 0:
+        return np.arange(len(keys)), home
+    drawn = _mixed(keys[:, None] + np.arange(1, trees + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(11)
+    belongs = drawn * 2.0**-53 < share
+    belongs[np.arange(len(keys)), home] = True
+    return np.nonzero(belongs)
+
+
+def _spans(rows: np.ndarray, keys: np.ndarray, share: float, which: np.ndarray, value: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
+    """The nodes at ``depth`` that rows reach (tree times places, plus place), their numbers of rows, least and greatest values."""
+    row, tree = _members(keys, len(which), share)
+    at = np.zeros(len(row), np.int64)
+    for _ in range(depth):
+        split = which[tree, at]
+        at = np.where(split >= 0, 2 * at + 1 + (rows[row, split] >= value[tree, at]), at)
+    here = np.flatnonzero(at >= 2**depth - 1)  # others have ended in a leaf above
+    node = tree[here] * which.shape[1] + at[here]
+    order = np.argsort(node, kind="stable")
+    own, node = rows[row[here[order]]], node[order]
+    first = np.flatnonzero(np.diff(node, prepend=-1))
+    if not len(first):
+        return node, node, own, own
+    return node[first], np.diff(first, append=len(node)), np.minimum.reduceat(own, first), np.maximum.reduceat(own, first)
+
+
+def _rates(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
+    return np.column_stack([batch.column(c).to_numpy() for c in RATES])
+
+
+@dataclasses.dataclass
+class Spread:
+    """``n`` rows of RATES in a table, each with a hash of its id in ``_key``: what ``grow`` takes beside arrays."""
+
+    table: DataFrame
+    n: int
+
+    def __len__(self) -> int:
+        return self.n
+
+    def spans(self, share: float, which: np.ndarray, value: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
+        """``_spans`` over the whole table: no more rows come back than nodes can be at ``depth``."""
+        shared = self.table.sparkSession.sparkContext.broadcast((which, value))
+        lows, highs = [f"low_{c}" for c in RATES], [f"high_{c}" for c in RATES]
+
+        def found(batches):
+            for batch in batches:
+                node, n, low, high = _spans(_rates(batch), batch.column("_key").to_numpy().view(np.uint64), share, *shared.value, depth)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (node, n, *low.T, *high.T)], names=["node", "n", *lows, *highs])
+
+        parts = self.table.select("_key", *RATES).mapInArrow(found, ", ".join(["node long", "n long", *(f"{c} double" for c in lows + highs)]))
+        whole = parts.groupBy("node").agg(F.sum("n").alias("n"), *(F.min(c).alias(c) for c in lows), *(F.max(c).alias(c) for c in highs)).toArrow().sort_by("node")
+        shared.destroy()
+        return whole["node"].to_numpy(), whole["n"].to_numpy(), *(np.column_stack([whole[c].to_numpy() for c in names]) for names in (lows, highs))
+
+
+def grow(rows: np.ndarray | Spread, *, trees: int = 100, subsample: int = 256, seed: int = 3) -> Forest:
+    """Trees of about ``subsample`` rows each, or of more where so many trees would not take in all rows.
+
+    Every row grows one tree at least; of rows up to ``subsample`` each grows all. Trees grow together, level by level, as
+    deep as ``subsample`` rows ask for: a level needs the spans of its nodes, which one pass over the rows tells.
+    """
+    n, rng = len(rows), np.random.default_rng(seed)
+    size = min(n, max(subsample, -(-n // trees)))
+    share = (size * trees / n - 1) / max(trees - 1, 1) if n and size <= subsample else 0.0
+    limit = int(np.ceil(np.log2(max(2, min(subsample, n)))))
+    places = np.arange(2 ** (limit + 1) - 1)  # the children of place p are 2 p + 1 and 2 p + 2
+    which, value = np.full((trees, len(places)), -1, np.int32), np.zeros((trees, len(places)))
+    path = np.tile(np.floor(np.log2(places + 1)), (trees, 1))
+    keys = _mixed(np.arange(n, dtype=np.uint64))
+    for depth in range(limit + 1):
+        node, count, low, high = rows.spans(share, which, value, depth) if isinstance(rows, Spread) else _spans(rows, keys, share, which, value, depth)
+        tree, at = np.divmod(node, len(places))
+        path[tree, at] = depth + _usual_path(count)
+        free = high > low
+        chosen = np.where(free, rng.random(free.shape), -1).argmax(1)[:, None]
+        low, high = np.take_along_axis(low, chosen, 1)[:, 0], np.take_along_axis(high, chosen, 1)[:, 0]
+        cut = low + (high - low) * rng.random(len(low))
+        splits = free.any(1) & (depth < limit)
+        which[tree[splits], at[splits]], value[tree[splits], at[splits]] = chosen[splits, 0], cut[splits]
+        if not splits.any():
+            break
+    made = []
+    for k in range(trees):
+        inner = np.flatnonzero(which[k] >= 0)
+        used = np.unique(np.concatenate([[0], 2 * inner + 1, 2 * inner + 2]))
+        left = np.where(which[k][used] >= 0, np.searchsorted(used, 2 * used + 1), 0).astype(np.int32)
+        made.append((which[k][used], value[k][used], left, left + (left > 0).astype(np.int32), path[k][used]))
+    return Forest(made, size)
 
 
 def calibrate(forest: Forest, rows: np.ndarray, good: np.ndarray, keep: float) -> float:
@@ -184,8 +260,57 @@ def calibrate(forest: Forest, rows: np.ndarray, good: np.ndarray, keep: float) -
     return float((cuts[best] + cuts[min(best + 1, len(cuts) - 1)]) / 2)
 
 
-def train(measured: DataFrame, labels: DataFrame, *, most_rows: int = 20_000, keep: float = 0.985, halved_from: int = 100, id_col: str = "doc_id") -> Forest | None:
-    """Grow on one half of about ``most_rows`` labelled rows, chosen by a hash of the id, and calibrate on the other half.
+def calibrate_spread(forest: Forest, table: DataFrame, keep: float, *, bins: int = 1 << 16) -> float:
+    """``calibrate`` over all rows of a table (RATES and quality, 1 for good), with the same result.
+
+    Scores are counted, and added up from the lowest in ``bins`` of them: the driver sees one row a bin.
+    """
+    spark = table.sparkSession
+    shared = spark.sparkContext.broadcast(forest)
+
+    def scores(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value.score(_rates(batch))), batch.column("good")], names=["score", "good"])
+
+    scored = table.select((F.col("quality") == 1).alias("good"), *RATES).mapInArrow(scores, "score double, good boolean")
+    counts = scored.groupBy("score").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    counts = stored(counts.withColumn("bin", F.floor(F.col("score") * bins)), "scores")
+    shared.destroy()
+    before, n_good, n_bad = [], 0, 0
+    for r in counts.groupBy("bin").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")).orderBy("bin").toArrow().to_pylist():
+        before.append((r["bin"], n_good, n_bad))
+        n_good, n_bad = n_good + r["good"], n_bad + r["bad"]
+    if not n_good:
+        return 1.0
+    up_to = Window.partitionBy("bin").orderBy("score").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sums = counts.join(F.broadcast(spark.createDataFrame(before, "bin long, good_before long, bad_before long")), "bin")
+    sums = sums.select("score", *((F.col(f"{c}_before") + F.sum(c).over(up_to)).alias(c) for c in ("good", "bad")))
+    if not n_bad:
+        place = (n_good - 1) * keep
+        ends = sums.agg(*(F.min(F.when(F.col("good") > int(k), F.col("score"))) for k in (np.floor(place), np.ceil(place)))).first()
+        return float(np.quantile(list(ends), place - np.floor(place)))
+    good_over, bad_over = 1 - F.col("good") / n_good, 1 - F.col("bad") / n_bad
+    gain = F.when(good_over <= 1 - keep, bad_over - good_over).otherwise(-1.0)
+    best = sums.agg(F.max_by("score", F.struct(gain, -F.col("score")))).first()[0]
+    after = counts.where(F.col("score") > best).agg(F.min("score")).first()[0]
+    return (best + (best if after is None else after)) / 2
+
+
+def _at_rank(table: DataFrame, name: str, rank: int) -> tuple[int, int]:
+    """The value of a column of spread hashes at ``rank`` (from 0, ascending), and how many rows are below it."""
+    top = F.shiftright(name, 48)
+    below = 0
+    for r in table.groupBy(top.alias("top")).count().orderBy("top").toArrow().to_pylist():
+        if below + r["count"] > rank:
+            break
+        below += r["count"]
+    near = np.sort(table.where(top == r["top"]).select(name).toArrow()[name].to_numpy())
+    found = near[rank - below]
+    return int(found), below + int(np.searchsorted(near, found))
+
+
+def train(measured: DataFrame, labels: DataFrame, *, keep: float = 0.985, halved_from: int = 100, id_col: str = "doc_id") -> Forest | None:
+    """Grow on one half of all labelled rows, by a hash of the id, and calibrate on all of the other half.
 
     ``labels`` has the id and quality (1 good, 0 bad). Rows that fail the base rules, and ids that are labelled both ways,
     are not used; of rows with one id one is. Fewer than ``halved_from`` rows are not halved: the same ones then grow the
@@ -193,19 +318,18 @@ def train(measured: DataFrame, labels: DataFrame, *, most_rows: int = 20_000, ke
     """
     marked = labels.where(F.col("quality").isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.min("quality").alias("quality"), F.max("quality").alias("_most"))
     marked = marked.where("quality = _most").drop("_most")
-    n = marked.count()
-    if n > most_rows:
-        marked = marked.where(F.pmod(F.xxhash64(F.lit("quality"), id_col), F.lit(1_000_003)) / 1_000_003.0 < most_rows / n)
     once = measured.where(~base_failed()).join(marked, id_col).groupBy(id_col, "quality").agg(F.min(F.struct(*RATES)).alias("_rates"))
-    sample = once.select("quality", "_rates.*").orderBy(F.xxhash64(F.lit("half"), id_col), id_col).toArrow()
-    if not sample.num_rows:
-        return None
-    rows = np.column_stack([sample.column(c).to_numpy() for c in RATES])
-    good = sample.column("quality").to_numpy() == 1
-    half = len(rows) // 2 if len(rows) >= halved_from else 0
-    forest = grow(rows[half:])
-    other = slice(0, half or None)
-    return dataclasses.replace(forest, threshold=calibrate(forest, rows[other], good[other], keep))
+    hashes = [F.xxhash64(F.lit(x), id_col).alias(f"_{x}") for x in ("half", "key")]
+    with temporary(measured.sparkSession):
+        rows = other = stored(once.select("quality", "_rates.*", *hashes), "labelled")
+        n, below = rows.count(), 0
+        if not n:
+            return None
+        if n >= halved_from:
+            cut, below = _at_rank(rows, "_half", n // 2)
+            rows, other = rows.where(F.col("_half") >= cut), rows.where(F.col("_half") < cut)
+        forest = grow(Spread(rows, n - below))
+        return dataclasses.replace(forest, threshold=calibrate_spread(forest, other, keep))
 
 
 def judge(measured: DataFrame, forest: Forest | None) -> DataFrame:
@@ -222,7 +346,7 @@ def judge(measured: DataFrame, forest: Forest | None) -> DataFrame:
             failed = np.asarray(batch.column("base_failed"))
             score = np.zeros(batch.num_rows)
             if shared.value is not None and batch.num_rows:
-                score = shared.value.score(np.column_stack([batch.column(c).to_numpy() for c in RATES]))
+                score = shared.value.score(_rates(batch))
             good = ~failed & (score <= shared.value.threshold if shared.value is not None else True)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score), pa.array(good)], names=[*names, "base_failed", "anomaly", "kept"])
 
