@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_core import NOW, ORDER_DONE, _all_tables, _body, _day, _link_supplier, _order_tables, _purchases, _result
 
-from tributary.operators import audits, extracts
+from tributary.operators import audits, documents, extracts
 from tributary.plans.pipeline import Run
 from tributary.streaming.intake import run_on_arrival
 from tributary.workspace import stored, temporary
@@ -255,6 +255,22 @@ def test_old_files_of_runs_go(spark, tmp_path):
     assert later.links("orden_compra").count() == 1 and (tmp_path / "payloads/orden_compra/20240603_000000").exists()
 
 
+def test_withholdings_are_found_once_for_what_many_payments_settle(spark, tmp_path):
+    """Texts of 2 codes are looked at, not of 300 withholdings for each of 200 payments; of two numbers that one payment settles the last counts."""
+    tables = _all_tables(spark)
+    tables["RETENCIONES"] = spark.range(300).select(
+        F.lit(2024).alias("EJERCICIO"), F.lit(7).alias("NRO_CANCE"), (3 + 2 * (F.col("id") % 2)).cast("int").alias("COD_RET"),
+        F.format_string("%03d", "id").alias("CUENTA"), F.when(F.col("id") < 298, F.col("id") + 0.5).otherwise(0.0).alias("IMPORTE"),
+    ).unionByName(spark.createDataFrame([(2024, 8, 3, "999", 1.25), (2024, 9, 3, "999", 4.0)], "EJERCICIO int, NRO_CANCE int, COD_RET int, CUENTA string, IMPORTE double"))
+    payments = spark.range(200).select(F.lit(2024).alias("EJERCICIO"), F.col("id").cast("int").alias("NRO_OP"), F.lit(7).alias("NRO_CANCE")).unionByName(spark.createDataFrame([(2024, 0, 8)], "EJERCICIO int, NRO_OP int, NRO_CANCE int"))
+    last = documents.last_withholdings(tables["RETENCIONES"].withColumn("ordinal", F.struct("CUENTA", "IMPORTE")), payments, ["EJERCICIO", "NRO_CANCE"])
+    assert sorted((r.NRO_CANCE, r.COD_RET, r.IMPORTE) for r in last.collect()) == [(7, 3, 296.5), (7, 5, 297.5), (8, 3, 1.25)]
+    found = _day(spark, tables, tmp_path, 2).withholdings(payments)
+    amounts = {(r.NRO_OP, r.cod_ret): (float(r.monto_retenido), r.numero_certificado, r.tipo, r.tipo_impuesto_name) for r in found.collect()}
+    assert len(amounts) == 400 and amounts[0, "3"] == (1.25, "RET-2024-0-3", "iva", None)
+    assert amounts[9, "3"] == (296.5, "RET-2024-9-3", "iva", None) and amounts[9, "5"] == (297.5, "RET-2024-9-5", None, "Other")
+
+
 def test_temporary_tables_go(spark):
     inner = []
     with temporary(spark):

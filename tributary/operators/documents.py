@@ -143,23 +143,36 @@ def expense_documents(expenses: DataFrame, document_types: Column | None, unit_l
     )
 
 
-def withholding_documents(rows: DataFrame, tag: str = "RET") -> DataFrame:
-    """Withholdings of payments: a code and an amount other than 0; the last of equal codes of a payment counts.
+def last_withholdings(held: DataFrame, payments: DataFrame, on: list[str]) -> DataFrame:
+    """Of the withholdings of what ``payments`` settle (``on``), the last of each code with an amount other than 0.
 
-    ``rows``: EJERCICIO, NRO_OP, COD_RET, IMPORTE, DESCRIPCION, tipo_impuesto_id (resolved or null), ordinal.
+    Take them before the join with payments: many payments may settle what has many withholdings, and each gets one row a
+    code then. ``held``: the columns of ``on``, COD_RET, IMPORTE, ordinal and any others.
+    """
+    code, rest = E.clean(F.col("COD_RET")), [c for c in held.columns if c not in on]
+    kept = held.join(payments.select(*on).distinct(), on, "left_semi")
+    # rows that do not count have no order, so that texts are looked at after the semi join: a filter would go below it
+    order = F.when(code.isNotNull() & (E.money("IMPORTE") != 0), F.col("ordinal"))
+    latest = kept.groupBy(*on, code.alias("_code")).agg(F.max_by(F.struct(*rest), order).alias("_row"))
+    return latest.where("_row IS NOT NULL").select(*on, "_row.*")
+
+
+def withholding_documents(payments: DataFrame, last: DataFrame, on: list[str], tag: str = "RET") -> DataFrame:
+    """Withholdings of ``payments`` (EJERCICIO, NRO_OP and ``on``): of what one payment settles, the last of equal codes counts.
+
+    ``last``: as by ``last_withholdings``, with DESCRIPCION and tipo_impuesto_id (resolved or null). Texts are looked at
+    here, once for what is settled; for each payment there is only its certificate's number to make.
     """
     code, text = E.clean(F.col("COD_RET")), E.clean("DESCRIPCION")
-    kept = rows.where(code.isNotNull() & (E.money("IMPORTE") != 0))
     alias = E.withholding_class(F.coalesce(text, code))
     free = F.col("tipo_impuesto_id").isNull()
-    doc = F.struct(
-        E.money("IMPORTE").alias("monto_retenido"),
-        E.build_ref(tag, "EJERCICIO", "NRO_OP", code).alias("numero_certificado"),
-        F.col("tipo_impuesto_id").alias("tipo_impuesto_id"),
-        F.when(free, alias).alias("tipo"),
-        F.when(free & alias.isNull(), text).alias("tipo_impuesto_name"),
-    )
-    return kept.groupBy("EJERCICIO", "NRO_OP", code.alias("cod_ret")).agg(F.max_by(doc, "ordinal").alias("_doc")).select("EJERCICIO", "NRO_OP", "cod_ret", "_doc.*")
+    docs = last.select(
+        *on, code.alias("cod_ret"), "ordinal", E.money("IMPORTE").alias("monto_retenido"), "tipo_impuesto_id",
+        F.when(free, alias).alias("tipo"), F.when(free & alias.isNull(), text).alias("tipo_impuesto_name"),
+    )
+    key, parts = ["EJERCICIO", "NRO_OP"], ["monto_retenido", "tipo_impuesto_id", "tipo", "tipo_impuesto_name"]
+    each = payments.select(*dict.fromkeys([*key, *on])).join(docs, on).groupBy(*key, "cod_ret").agg(F.max_by(F.struct(*parts), "ordinal").alias("_doc"))
+    return each.select(*key, "cod_ret", "_doc.monto_retenido", E.build_ref(tag, *key, "cod_ret").alias("numero_certificado"), *(f"_doc.{c}" for c in parts[1:]))
 
 
 def payment_documents(payments: DataFrame, direct: DataFrame, fallback: DataFrame, expense_links: DataFrame, tag: str = "OP", payment_type: int = 1) -> DataFrame:

@@ -115,9 +115,11 @@ def map_payment_docs(spark, sf_dir):
 )
 def map_withholdings(spark, sf_dir):
     op, ret, ded = roles(spark, sf_dir, "op ret ded")
-    rows = op.select("EJERCICIO", "NRO_OP", "NRO_CANCE").join(ret, "NRO_CANCE").join(ded.withColumnRenamed("CODIGO", "COD_RET"), "COD_RET", "left")
-    found = rows.withColumns({"tipo_impuesto_id": F.when(F.col("COD_RET") % 2 == 0, (F.col("COD_RET") + 70).cast("int")), "ordinal": F.struct("ORDINAL", "IMPORTE")})
-    return documents.withholding_documents(found).select("NRO_OP", "cod_ret", "monto_retenido", "numero_certificado", "tipo_impuesto_id", "tipo_impuesto_name")
+    payments = op.select("EJERCICIO", "NRO_OP", "NRO_CANCE")
+    last = documents.last_withholdings(ret.select("NRO_CANCE", "COD_RET", "IMPORTE", F.struct("ORDINAL", "IMPORTE").alias("ordinal")), payments, ["NRO_CANCE"])
+    named = last.join(ded.withColumnRenamed("CODIGO", "COD_RET"), "COD_RET", "left")
+    found = named.withColumn("tipo_impuesto_id", F.when(F.col("COD_RET") % 2 == 0, (F.col("COD_RET") + 70).cast("int")))
+    return documents.withholding_documents(payments, found, ["NRO_CANCE"]).select("NRO_OP", "cod_ret", "monto_retenido", "numero_certificado", "tipo_impuesto_id", "tipo_impuesto_name")
 
 
 PARTY = """SELECT CAST(COD_PROV AS INT) AS cod_prov, CASE WHEN COD_PROV % 7 = 0 THEN RAZON_SOCIAL ELSE SEGMENT END AS name, RAZON_SOCIAL AS razon_social,

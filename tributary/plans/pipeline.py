@@ -370,15 +370,16 @@ class Run:
             links = self.links("gasto").where("remote_id <> ''")
             docs = documents.payment_documents(rows, direct, extracts.fallback_refs(rows, orders), links).withColumn("external_id", _external(extracts.PAYMENT))
             if self.tables.get("RETENCIONES") is not None:
-                found = documents.withholding_documents(self.withholdings(rows))
+                found = self.withholdings(rows)
                 own = F.sort_array(F.collect_list(F.struct(*(c for c in found.columns if c not in extracts.PAYMENT)))).alias("retenciones")
                 docs = docs.join(found.groupBy(*extracts.PAYMENT).agg(own), extracts.PAYMENT, "left")
             sent = rows.dropna(subset=extracts.PAYMENT).groupBy(*extracts.PAYMENT).agg(F.max(E.status_code("ESTADO_OP")).alias("estado_op"), F.max(F.col("IMPORTE_TOTAL").cast("string")).alias("importe_total"))
             return self.step("orden_pago", ("ordenes_pago", docs, extracts.PAYMENT), links={"orden_pago": sent})
 
     def withholdings(self, payments: DataFrame) -> DataFrame:
-        """Withholdings of ``payments`` with the id of their type: by a link of the code, else from the catalog by code or name."""
-        held = payments.select(*extracts.PAYMENT, "NRO_CANCE").join(self.tables["RETENCIONES"], ["EJERCICIO", "NRO_CANCE"])
+        """Withholdings of ``payments``, their types' ids by a link of the code, else from the catalog by code or name."""
+        on = ["EJERCICIO", "NRO_CANCE"]
+        held = documents.last_withholdings(self.tables["RETENCIONES"].withColumn("ordinal", F.struct("CUENTA", "IMPORTE")), payments, on)
         codes, types = self.tables.get("DEDUCCIONES"), self.catalogs.get("tipos_retencion")
         if codes is not None:
             held = held.join(codes.select(F.col("CODIGO").alias("COD_RET"), "DESCRIPCION").dropDuplicates(["COD_RET"]), "COD_RET", "left")
@@ -388,7 +389,7 @@ class Run:
         held = held.join(linked, E.clean(F.col("COD_RET").cast("string")) == F.col("_code"), "left")
         attempts = [] if types is None else [(F.col("COD_RET").cast("string"), lookups.text_index(types, "codigo")), (F.col("COD_RET").cast("string"), lookups.text_index(types, "codename")), (F.col("DESCRIPCION"), lookups.text_index(types, "name"))]
         held = lookups.resolve_text(held, attempts, "_found") if attempts else held.withColumn("_found", F.lit(None).cast("int"))
-        return held.withColumn("tipo_impuesto_id", F.coalesce("_linked", "_found")).withColumn("ordinal", F.struct("CUENTA", "IMPORTE"))
+        return documents.withholding_documents(payments, held.withColumn("tipo_impuesto_id", F.coalesce("_linked", "_found")), on)
 
     def unit_links(self) -> DataFrame:
         """JURISDICCION with the ids of its cost centre, rubro and classification.
