@@ -1,7 +1,10 @@
 """Runs and their results: what was sent, what is confirmed, and where cursors stand."""
 
 import datetime as dt
+import gzip
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +13,7 @@ from test_core import NOW, ORDER_DONE, _all_tables, _body, _day, _link_supplier,
 from tributary.operators import audits, documents, extracts
 from tributary.plans.pipeline import Run
 from tributary.streaming.intake import run_on_arrival
-from tributary.workspace import stored, temporary
+from tributary.workspace import shared_dir, stored, temporary
 
 
 def done(spark, *numbers, section="ordenes_compra"):
@@ -271,6 +274,67 @@ def test_withholdings_are_found_once_for_what_many_payments_settle(spark, tmp_pa
     assert amounts[9, "3"] == (296.5, "RET-2024-9-3", "iva", None) and amounts[9, "5"] == (297.5, "RET-2024-9-5", None, "Other")
 
 
+def test_runs_leave_no_shuffle_files(spark, tmp_path):
+    """Of the jobs of a run and of its results, shuffle files go with each job: they are most of a run's disk."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        found = manager.getAllFiles()
+        return {name for name in (found.apply(k).getName() for k in range(found.size())) if name.startswith("shuffle_")}
+
+    tables = _order_tables(spark)
+    run = _day(spark, tables, tmp_path, 2)
+    before = shuffles()
+    _link_supplier(spark, run)
+    assert run.orders() == {"create": 1}
+    assert run.take_results("orden_compra", _body(spark, ORDER_DONE)) == {"orden_compra": 1}
+    for _ in range(50):  # files are removed by messages
+        if not (left := shuffles() - before):
+            break
+        time.sleep(0.1)
+    assert not left
+
+
+def test_payloads_are_gzipped_lines(spark, tmp_path):
+    run = _day(spark, _order_tables(spark), tmp_path, 2)
+    _link_supplier(spark, run)
+    run.orders()
+    (file,) = [p for p in (tmp_path / "payloads/orden_compra/20240602_000000/ordenes_compra").iterdir() if p.name.startswith("part-") and p.stat().st_size > 50]
+    (line,) = gzip.decompress(file.read_bytes()).decode().splitlines()
+    (doc,) = json.loads(line)["ordenes_compra"]
+    assert json.loads(doc)["external_id"] == {"ejercicio": 2024, "uni_compra": 1, "nro_oc": 10}
+    assert all(p.name.endswith(".zstd.parquet") for p in (tmp_path / "decided/orden_compra/20240602_000000").iterdir() if p.name.startswith("part-"))
+
+
+def test_suppliers_are_found_for_orders_and_not_for_lines(spark, tmp_path):
+    """The same documents, with no exchange of lines by their supplier or after their headers; what is stored on the way goes."""
+    oc, items, sg = _purchases(spark)
+    suppliers = spark.createDataFrame([(5, "50")], "COD_PROV int, remote_id string")
+    units = spark.createDataFrame([], "JURISDICCION string, centro_costo_id int, rubro_id int")
+    links = spark.createDataFrame([], "ref string, remote_id string")
+    known = documents.with_suppliers(oc, suppliers)
+    docs = documents.order_documents(extracts.order_extract(known, items, sg), None, units, links)
+    same = documents.order_documents(extracts.order_extract(oc, items, sg), suppliers, units, links)
+    columns = sorted(docs.columns)
+    assert docs.count() and sorted(map(str, docs.select(columns).collect())) == sorted(map(str, same.select(columns).collect()))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        lines = extracts.with_header(known, extracts.with_unit(items, sg))
+        nested = documents.nested(lines, extracts.ORDER, ["COD_PROV"], F.col("ITEM_OC"), [F.col("ITEM_OC")])
+        exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(EJERCICIO")
+        assert exchanges(nested) == exchanges(lines) == 4  # lines and expenses by expense, headers and lines by order
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    run = _day(spark, _order_tables(spark), tmp_path, 2)
+    _link_supplier(spark, run)
+    shared = shared_dir(spark).removeprefix("file://")
+    run.orders()
+    assert not [n for n in os.listdir(shared) if n.startswith(("lines-", "units-"))]
+
+
 def test_temporary_tables_go(spark):
     inner = []
     with temporary(spark):

@@ -9,6 +9,9 @@ from tributary.functions import exprs as E
 
 UNIT_TEXT = "Jurisdiccion "
 
+#: The columns of an order line that its document needs.
+ORDER_LINE = ["EJERCICIO", "UNI_COMPRA", "NRO_OC", "ITEM_OC", "DELEG_SOLIC", "NRO_SOLIC", "DESCRIPCION", "CANTIDAD", "IMP_UNITARIO"]
+
 
 def suppliers(rows: DataFrame) -> DataFrame:
     """external_id and supplier; rows without a name or a key are dropped. Null attributes are left out in JSON."""
@@ -70,14 +73,20 @@ def nested(lines: DataFrame, key: list[str], header: list[str], item: Column, or
     return lines.groupBy(*key).agg(*parts).select(*key, "_header.*", *(sets or {}), "items")
 
 
-def order_documents(lines: DataFrame, supplier_links: DataFrame, unit_links: DataFrame, expense_links: DataFrame) -> DataFrame:
+def with_suppliers(rows: DataFrame, supplier_links: DataFrame) -> DataFrame:
+    """The rows whose COD_PROV resolves, with proveedor_id."""
+    return rows.join(supplier_links.select("COD_PROV", F.col("remote_id").cast("int").alias("proveedor_id")), "COD_PROV")
+
+
+def order_documents(lines: DataFrame, supplier_links: DataFrame | None, unit_links: DataFrame, expense_links: DataFrame) -> DataFrame:
     """Order documents: the supplier must resolve; items, expense refs, resolved expense ids and the cost centre.
 
-    ``lines`` come from an order extract. ``supplier_links`` (COD_PROV, remote_id), ``unit_links`` (JURISDICCION,
+    ``lines`` come from an order extract. ``supplier_links`` (COD_PROV, remote_id; None if the extract is of orders that have
+    their suppliers already, which spares the lines an exchange), ``unit_links`` (JURISDICCION,
     centro_costo_id, rubro_id), ``expense_links`` (ref, remote_id). The header is that of the lowest line.
     """
     keyed = lines.where(F.col("EJERCICIO").isNotNull() & F.col("UNI_COMPRA").isNotNull() & F.col("NRO_OC").isNotNull())
-    resolved = keyed.join(supplier_links.select("COD_PROV", F.col("remote_id").cast("int").alias("proveedor_id")), "COD_PROV")
+    resolved = keyed if supplier_links is None else with_suppliers(keyed, supplier_links)
     links = unit_links.select(F.col("JURISDICCION").alias("SG_JURISDICCION"), "centro_costo_id", "rubro_id")
     resolved = resolved.join(links, "SG_JURISDICCION", "left")
     order = [F.col(c) for c in ("ITEM_OC", "NRO_SOLIC", "DESCRIPCION", "IMP_UNITARIO", "CANTIDAD")]

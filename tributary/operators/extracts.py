@@ -30,21 +30,29 @@ def touched(df: DataFrame, changed: DataFrame, on: dict[str, str], year: str = "
 
 def order_header(orders: DataFrame) -> DataFrame:
     renamed = {"FECH_OC": "OC_FECH_OC", "OBSERVACIONES": "OC_OBSERVACIONES", "ESTADO_OC": "OC_ESTADO_OC", "FECH_CONFIRM": "OC_FECH_CONFIRM", "IMPORTE_TOT": "OC_IMPORTE_TOT"}
-    return orders.select(*ORDER, "COD_PROV", *(F.col(k).alias(v) for k, v in renamed.items()))
+    own = [c for c in ("proveedor_id",) if c in orders.columns]
+    return orders.select(*ORDER, "COD_PROV", *own, *(F.col(k).alias(v) for k, v in renamed.items()))
 
 
-def _with_unit(lines: DataFrame, expenses: DataFrame) -> DataFrame:
+def with_header(orders: DataFrame, lines: DataFrame) -> DataFrame:
+    return order_header(orders).join(lines, ORDER)
+
+
+def with_unit(lines: DataFrame, expenses: DataFrame) -> DataFrame:
     return lines.join(expenses.select(*EXPENSE, F.col("JURISDICCION").alias("SG_JURISDICCION")), EXPENSE, "left")
 
 
 def order_extract(orders: DataFrame, lines: DataFrame, expenses: DataFrame) -> DataFrame:
-    """Order lines with their header, which must exist, and the unit of their expense. Filter ``orders`` by the cursor."""
-    return _with_unit(order_header(orders).join(lines, ORDER), expenses)
+    """Order lines with their header, which must exist, and the unit of their expense. Filter ``orders`` by the cursor.
+
+    Headers come last: lines are exchanged without them, and lie by their orders afterwards, as documents need them.
+    """
+    return with_header(orders, with_unit(lines, expenses))
 
 
 def order_line_extract(lines: DataFrame, orders: DataFrame, expenses: DataFrame) -> DataFrame:
     """Order lines, with or without a header."""
-    return _with_unit(lines.join(order_header(orders), ORDER, "left"), expenses)
+    return with_unit(lines.join(order_header(orders), ORDER, "left"), expenses)
 
 
 def request_line_extract(lines: DataFrame, requests: DataFrame) -> DataFrame:

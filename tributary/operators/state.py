@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tributary.workspace import shuffles_removed
+
 VERSION, WRITER, BUCKET = "_version", "_writer", "_bucket"
 
 
@@ -133,7 +135,8 @@ class KeyedStore:
     def _put(self, rows: DataFrame, name: str) -> dict[int, str]:
         """Write rows with their BUCKET, one file for each; the folder of each bucket."""
         path = f"data/{name}-{uuid.uuid4().hex}"
-        rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{self.folder}/{path}")
+        with shuffles_removed(self.spark):
+            rows.repartition(BUCKET).write.partitionBy(BUCKET).parquet(f"{self.folder}/{path}")
         start = f"{BUCKET}="
         return {int(n[len(start) :]): f"{path}/{n}" for n in self._names(path) if n.startswith(start)}
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -24,7 +24,7 @@ from tributary.operators import documents, extracts, incremental, ledger, lookup
 from tributary.operators.state import KeyedStore, Manifest
 from tributary.sources import payloads
 from tributary.specs import DUPLICATE, ENTITIES, LINK_COLUMNS, LINK_KEYS, RESULT_SECTIONS, RUN_ORDER, UNIT_KINDS
-from tributary.workspace import temporary
+from tributary.workspace import shuffles_removed, stored, temporary
 
 LINK = "remote_id string, updated_at timestamp_ntz"
 PENDING = "entity string, stamp string, last_id long, last_ts timestamp_ntz, records long, run_at timestamp_ntz, apart boolean"
@@ -104,9 +104,10 @@ class Run:
 
     @contextmanager
     def attempt(self, entity: str) -> Iterator[None]:
-        """On an error the cursor stays and the error is kept; a dry run keeps nothing."""
+        """On an error the cursor stays and the error is kept; a dry run keeps nothing. No job leaves shuffle files."""
         try:
-            yield
+            with shuffles_removed(self.spark):
+                yield
         except Exception as error:
             if not self.dry_run:
                 self.store("checkpoints").write(incremental.failed(self.state(), entity, str(error)))
@@ -130,7 +131,7 @@ class Run:
     def written(self, df: DataFrame, kind: str, name: str, stamp: str | None = None) -> DataFrame:
         """``df``, written for this run and read back: what is derived from it sees one state of a live source."""
         path = f"{self.folder}/{kind}/{name}/{stamp or self.stamp}"
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path, compression="zstd")
         return self.spark.read.schema(df.schema).parquet(path)
 
     def decided(self, docs: DataFrame, name: str, actions: tuple[str, ...]) -> tuple[DataFrame, dict[str, int]]:
@@ -157,7 +158,7 @@ class Run:
         return self.read[entity]
 
     def step(self, entity: str, *parts: tuple[str, DataFrame, list[str]], links: dict[str, DataFrame] | None = None, needs_documents: bool = False) -> int:
-        """Write payloads of the parts (section, documents, key), what they hold, and what their success would make of ``links``.
+        """Write payloads of the parts (section, documents, key) as gzipped lines, what they hold, and what their success would make of ``links``.
 
         A step with nothing to send moves the cursor at once. ``needs_documents``: changed rows that make no document
         are an error, unless in a dry run.
@@ -169,7 +170,7 @@ class Run:
                 numbered = payloads.batch_numbers(docs, key, self.batches.get(entity, self.batch))
                 out = payloads.envelopes(numbered, section, F.to_json(F.struct(*docs.columns)), dry_run=self.dry_run, options={"upsert": True})
                 out = out.observe(seen, F.count(F.lit(1)).alias("batches"), F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
-                out.select("payload").write.mode("overwrite").text(f"{self.folder}/payloads/{entity}/{self.stamp}/{section}")
+                out.select("payload").write.mode("overwrite").text(f"{self.folder}/payloads/{entity}/{self.stamp}/{section}", compression="gzip")
                 if not self.dry_run:
                     held = ledger.key_text({k: F.col("external_id")[k] for k in _external_names(names[section])})
                     self.written(numbered.select(F.lit(section).alias("section"), held.alias("key")), "ledger", f"{entity}/sent/{self.stamp}", section)
@@ -413,25 +414,30 @@ class Run:
         """Send confirmed orders that are new or have newly resolved expenses, and cancel those sent; register the rest."""
         with self.attempt("orden_compra"):
             rows = self.changed("orden_compra")
-            lines = extracts.touched(self.tables["OC_ITEMS"], rows, {k: k for k in extracts.ORDER})
-            return self._orders("orden_compra", rows, extracts.order_extract(rows, lines, self.tables["SOLIC_GASTOS"]))
+            return self._orders("orden_compra", rows, rows, lambda orders: extracts.touched(self.tables["OC_ITEMS"], orders, {k: k for k in extracts.ORDER}))
 
     def order_lines(self) -> dict[str, int]:
         """As ``orders``, from the changed lines."""
         with self.attempt("oc_items"):
             rows = self.changed("oc_items")
-            return self._orders("oc_items", rows, extracts.order_line_extract(rows, self.tables["ORDEN_COMPRA"], self.tables["SOLIC_GASTOS"]))
+            return self._orders("oc_items", rows, self.tables["ORDEN_COMPRA"], lambda orders: rows)
 
-    def _orders(self, entity: str, rows: DataFrame, lines: DataFrame) -> dict[str, int]:
+    def _orders(self, entity: str, rows: DataFrame, orders: DataFrame, lines: Callable[[DataFrame], DataFrame]) -> dict[str, int]:
+        """``rows``: those changed; ``lines``: the lines to send, given their orders. Suppliers are found for orders, not for lines."""
         key = extracts.ORDER
         suppliers = self.links("proveedores").where("remote_id <> ''")
-        self.written(documents.skipped_orders(lines, suppliers), "skipped", entity)
-        docs = documents.order_documents(lines, suppliers, self.unit_links(), self.links("gasto").where("remote_id <> ''"))
-        docs = docs.withColumns({"_refs": F.array_join("gasto_refs", ","), "_ids": F.array_join("gasto_ids", ",")})
+        named = lines(orders).select(*key).join(orders.select(*key, "COD_PROV"), key, "left")
+        self.written(documents.skipped_orders(named, suppliers), "skipped", entity)
+        known = documents.with_suppliers(orders, suppliers)
         state = self.links("orden_compra", rows)
         old = state.select(*key, F.col("estado_oc").alias("_previous"), F.col("remote_id").alias("_id"), F.col("gasto_ids").alias("_old_ids"))
         action = reconcile.order_action(F.col("OC_ESTADO_OC"), F.col("_previous"), F.col("_id"), F.col("_ids"), F.col("_old_ids"))
-        decided, counts = self.decided(docs.join(old, key, "left").withColumn("action", action), entity, ORDER_ACTIONS)
+        with temporary(self.spark):  # lines are exchanged by order, by expense and by order: each time in a job of its own, whose files go
+            own = stored(lines(known).select(documents.ORDER_LINE), "lines", compression="zstd")
+            found = extracts.with_header(known, stored(extracts.with_unit(own, self.tables["SOLIC_GASTOS"]), "units", compression="zstd"))
+            docs = documents.order_documents(found, None, self.unit_links(), self.links("gasto").where("remote_id <> ''"))
+            docs = docs.withColumns({"_refs": F.array_join("gasto_refs", ","), "_ids": F.array_join("gasto_ids", ",")})
+            decided, counts = self.decided(docs.join(old, key, "left").withColumn("action", action), entity, ORDER_ACTIONS)
         links = decided.select(
             *key, F.nullif(E.date_only("OC_FECH_CONFIRM"), F.lit("")).alias("fech_confirm"), E.status_code("OC_ESTADO_OC").alias("estado_oc"), F.col("COD_PROV").cast("string").alias("cod_prov"),
             F.col("OC_IMPORTE_TOT").cast("string").alias("importe_tot"), F.col("_refs").alias("gasto_refs"), F.col("_ids").alias("gasto_ids"), "action", "_old_ids",

@@ -19,7 +19,7 @@ def batch_numbers(docs: DataFrame, order: list[str], size: int) -> DataFrame:
     partitions are stored with their numbers: planned twice, they would be coalesced in two ways. Partitions' sizes, one row
     for each, are joined as Spark sees fit.
     """
-    ranged = stored(docs.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged")
+    ranged = stored(docs.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranged", compression="zstd")
     within = ranged.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
     sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
     before = F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -44,19 +44,30 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def stored(df: DataFrame, name: str, *, keep: bool = False) -> DataFrame:
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Of each job within, shuffle files go when it ends, not when the driver happens to collect its garbage.
+
+    A DataFrame that is taken twice is computed twice anyway: what jobs share is written and read back.
+    """
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+
+
+def stored(df: DataFrame, name: str, *, keep: bool = False, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: any executor can be lost afterwards.
 
     The shuffle files of the job that writes it are removed when it ends; nothing reads them again. The table stays, unless
     it is made in the scope of ``temporary`` without ``keep``.
     """
     spark = df.sparkSession
-    path, before = new_path(spark, name), spark.conf.get(CLEAN_UP, "false")
+    path = new_path(spark, name)
     if _scopes and not keep:
         _scopes[-1].append(path)
-    spark.conf.set(CLEAN_UP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEAN_UP, before)
+    with shuffles_removed(spark):
+        df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
