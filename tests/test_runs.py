@@ -332,7 +332,21 @@ def test_suppliers_are_found_for_orders_and_not_for_lines(spark, tmp_path):
     _link_supplier(spark, run)
     shared = shared_dir(spark).removeprefix("file://")
     run.orders()
-    assert not [n for n in os.listdir(shared) if n.startswith(("lines-", "units-"))]
+    assert not [n for n in os.listdir(shared) if n.startswith(("orders-", "lines-", "units-"))]
+
+
+def test_an_orders_header_is_exchanged_once_for_all_its_jobs(spark, tmp_path, monkeypatch):
+    """Orders with their suppliers are stored: the jobs that need them neither join suppliers again nor read other orders."""
+    tables = _order_tables(spark)
+    seen = []
+    monkeypatch.setattr(extracts, "order_header", lambda orders, f=extracts.order_header: f(seen.append(orders) or orders))
+    run = _day(spark, with_order(spark, tables, 20, 2), tmp_path, 2)
+    _link_supplier(spark, run)
+    assert run.orders() == {"create": 2}
+    lines = _day(spark, with_order(spark, tables, 20, 2) | {"OC_ITEMS": tables["OC_ITEMS"].where("NRO_OC = 10")}, tmp_path / "lines", 2)
+    _link_supplier(spark, lines)
+    assert lines.order_lines() == {"create": 1}
+    assert len(seen) == 2 and not any("Join" in x._jdf.queryExecution().optimizedPlan().toString() for x in seen)
 
 
 def test_temporary_tables_go(spark):

@@ -12,6 +12,9 @@ EXPENSE = ["EJERCICIO", "DELEG_SOLIC", "NRO_SOLIC"]
 REQUEST = ["EJERCICIO", "NUM_PED"]
 PAYMENT = ["EJERCICIO", "NRO_OP"]
 
+#: Columns of an order's header, and their names beside its lines.
+HEADER = {"FECH_OC": "OC_FECH_OC", "OBSERVACIONES": "OC_OBSERVACIONES", "ESTADO_OC": "OC_ESTADO_OC", "FECH_CONFIRM": "OC_FECH_CONFIRM", "IMPORTE_TOT": "OC_IMPORTE_TOT"}
+
 
 def touched(df: DataFrame, changed: DataFrame, on: dict[str, str], year: str = "EJERCICIO") -> DataFrame:
     """The rows of ``df`` that ``changed`` refers to: columns of ``df`` (keys of ``on``) equal those of ``changed`` (values).
@@ -29,9 +32,8 @@ def touched(df: DataFrame, changed: DataFrame, on: dict[str, str], year: str = "
 
 
 def order_header(orders: DataFrame) -> DataFrame:
-    renamed = {"FECH_OC": "OC_FECH_OC", "OBSERVACIONES": "OC_OBSERVACIONES", "ESTADO_OC": "OC_ESTADO_OC", "FECH_CONFIRM": "OC_FECH_CONFIRM", "IMPORTE_TOT": "OC_IMPORTE_TOT"}
     own = [c for c in ("proveedor_id",) if c in orders.columns]
-    return orders.select(*ORDER, "COD_PROV", *own, *(F.col(k).alias(v) for k, v in renamed.items()))
+    return orders.select(*ORDER, "COD_PROV", *own, *(F.col(k).alias(v) for k, v in HEADER.items()))
 
 
 def with_header(orders: DataFrame, lines: DataFrame) -> DataFrame:

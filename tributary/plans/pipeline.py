@@ -420,7 +420,8 @@ class Run:
         """As ``orders``, from the changed lines."""
         with self.attempt("oc_items"):
             rows = self.changed("oc_items")
-            return self._orders("oc_items", rows, self.tables["ORDEN_COMPRA"], lambda orders: rows)
+            orders = extracts.touched(self.tables["ORDEN_COMPRA"], rows, {k: k for k in extracts.ORDER})
+            return self._orders("oc_items", rows, orders, lambda orders: rows)
 
     def _orders(self, entity: str, rows: DataFrame, orders: DataFrame, lines: Callable[[DataFrame], DataFrame]) -> dict[str, int]:
         """``rows``: those changed; ``lines``: the lines to send, given their orders. Suppliers are found for orders, not for lines."""
@@ -428,11 +429,11 @@ class Run:
         suppliers = self.links("proveedores").where("remote_id <> ''")
         named = lines(orders).select(*key).join(orders.select(*key, "COD_PROV"), key, "left")
         self.written(documents.skipped_orders(named, suppliers), "skipped", entity)
-        known = documents.with_suppliers(orders, suppliers)
         state = self.links("orden_compra", rows)
         old = state.select(*key, F.col("estado_oc").alias("_previous"), F.col("remote_id").alias("_id"), F.col("gasto_ids").alias("_old_ids"))
         action = reconcile.order_action(F.col("OC_ESTADO_OC"), F.col("_previous"), F.col("_id"), F.col("_ids"), F.col("_old_ids"))
         with temporary(self.spark):  # lines are exchanged by order, by expense and by order: each time in a job of its own, whose files go
+            known = stored(documents.with_suppliers(orders.select(*key, "COD_PROV", *extracts.HEADER), suppliers), "orders", compression="zstd")
             own = stored(lines(known).select(documents.ORDER_LINE), "lines", compression="zstd")
             found = extracts.with_header(known, stored(extracts.with_unit(own, self.tables["SOLIC_GASTOS"]), "units", compression="zstd"))
             docs = documents.order_documents(found, None, self.unit_links(), self.links("gasto").where("remote_id <> ''"))
