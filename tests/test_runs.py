@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from test_core import NOW, ORDER_DONE, _all_tables, _body, _day, _link_supplier, _order_tables, _purchases, _result
 
 from tributary.operators import audits, documents, extracts
+from tributary.plans import registry
 from tributary.plans.pipeline import Run
 from tributary.streaming.intake import run_on_arrival
 from tributary.workspace import shared_dir, stored, temporary
@@ -274,25 +275,35 @@ def test_withholdings_are_found_once_for_what_many_payments_settle(spark, tmp_pa
     assert amounts[9, "3"] == (296.5, "RET-2024-9-3", "iva", None) and amounts[9, "5"] == (297.5, "RET-2024-9-5", None, "Other")
 
 
-def test_runs_leave_no_shuffle_files(spark, tmp_path):
-    """Of the jobs of a run and of its results, shuffle files go with each job: they are most of a run's disk."""
-    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+def _shuffles(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in (found.apply(k).getName() for k in range(found.size())) if name.startswith("shuffle_")}
+
+
+def _left_since(spark, before):
+    for _ in range(50):  # files are removed by messages
+        if not (left := _shuffles(spark) - before):
+            break
+        time.sleep(0.1)
+    return left
 
-    def shuffles():
-        found = manager.getAllFiles()
-        return {name for name in (found.apply(k).getName() for k in range(found.size())) if name.startswith("shuffle_")}
 
+def test_runs_leave_no_shuffle_files(spark, tmp_path):
+    """Of the jobs of a run and of its results, shuffle files go with each job: they are most of a run's disk."""
     tables = _order_tables(spark)
     run = _day(spark, tables, tmp_path, 2)
-    before = shuffles()
+    before = _shuffles(spark)
     _link_supplier(spark, run)
     assert run.orders() == {"create": 1}
     assert run.take_results("orden_compra", _body(spark, ORDER_DONE)) == {"orden_compra": 1}
-    for _ in range(50):  # files are removed by messages
-        if not (left := shuffles() - before):
-            break
-        time.sleep(0.1)
-    assert not left
+    assert not _left_since(spark, before)
+
+
+def test_run_links_leaves_no_shuffle_files(spark):
+    """Over the test tables, before the links are read: neither the run nor its results leave any."""
+    before = _shuffles(spark)
+    links = registry.queries()["run_links"](spark, "/root/testdata/sf0.001")
+    assert not _left_since(spark, before) and links.where("remote_id <> ''").count()
 
 
 def test_payloads_are_gzipped_lines(spark, tmp_path):
